@@ -8,6 +8,7 @@ time: of two that start from the same version, the later one fails.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession, functions as F
@@ -15,26 +16,44 @@ from pyspark.sql import SparkSession, functions as F
 from sluiceway.graph.model import Table
 
 
+class VersionTaken(RuntimeError):
+    """Another write has published, or begun, the version this one would be."""
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self._spark = spark
         self._folder = f"{root}/versions"
 
+    def _folder_of(self, version: int) -> str:
+        return f"{self._folder}/version={version}"
+
     def load(self) -> tuple[int, list[Table]]:
         """The newest version number and its tables; 0 and none for a new graph."""
         try:
-            versions = self._spark.read.schema("value string, version long").text(self._folder)
+            files = self._spark.read.schema("value string").text(self._folder).inputFiles()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            files = []
+        found = (re.search(r"/version=(\d+)/", file) for file in files)
+        newest = max((int(match.group(1)) for match in found if match), default=0)
+        if not newest:
             return 0, []
-        newest, text = versions.agg(F.max("version"), F.max_by("value", "version")).first()
-        if newest is None:
-            return 0, []
-        return newest, [Table.from_dict(item) for item in json.loads(text)]
+        line = self._spark.read.schema("value string").text(self._folder_of(newest)).first()
+        return newest, [Table.from_dict(item) for item in json.loads(line["value"])]
 
     def publish(self, version: int, tables: list[Table]) -> None:
         """Make ``tables`` the graph's state; fails if ``version`` exists already."""
         text = json.dumps([table.to_dict() for table in tables])
         line = self._spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
-        line.write.mode("error").text(f"{self._folder}/version={version}")
+        folder = self._folder_of(version)
+        try:
+            line.write.mode("error").text(folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise VersionTaken(
+                f"another writer took version {version}; write again, and if that writer died "
+                f"before it finished, remove {folder} first"
+            ) from error

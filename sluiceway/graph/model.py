@@ -55,7 +55,10 @@ class NodePattern:
 
 @dataclass(frozen=True)
 class Table:
-    """One stored table: the Parquet folders that make up its current state."""
+    """One stored table: the Parquet folders that make up its current state.
+
+    ``unique`` are columns of which no two rows share all values, if any are known.
+    """
 
     labels: tuple[str, ...] = ()
     rel_type: str = ""
@@ -65,6 +68,7 @@ class Table:
     target_keys: tuple[str, ...] = ()
     schema: StructType = field(default_factory=StructType)
     paths: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
 
     @property
     def identity(self) -> tuple:
@@ -80,8 +84,10 @@ class Table:
     def has(self, columns: Iterable[str]) -> bool:
         return set(columns) <= set(self.schema.names)
 
-    def with_data(self, schema: StructType, *paths: str) -> "Table":
-        return replace(self, schema=schema, paths=paths)
+    def with_data(
+        self, schema: StructType, paths: Iterable[str], unique: Iterable[str]
+    ) -> "Table":
+        return replace(self, schema=schema, paths=tuple(paths), unique=tuple(sorted(unique)))
 
     @classmethod
     def from_dict(cls, values: Mapping) -> "Table":

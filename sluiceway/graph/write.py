@@ -81,7 +81,7 @@ class GraphWrite:
         known = self._node_tables(labels, keys)
         types = _key_types(known, keys)
         batch = self._stage(frame, keys, types, upsert, order_by, checked)
-        self._merge(Table(labels=labels), batch, keys, known if upsert else [])
+        self._merge(Table(labels=labels), batch, keys, upsert, known)
 
     def edges(
         self,
@@ -124,7 +124,7 @@ class GraphWrite:
                     self.nodes(nodes, end.labels, names, upsert=True, checked=True)
                 else:
                     self.nodes(nodes.distinct(), end.labels, names, upsert=False, checked=True)
-        self._merge(table, batch, keys, known if upsert else [])
+        self._merge(table, batch, keys, upsert, known)
 
     # ---- steps -----------------------------------------------------------
 
@@ -179,29 +179,39 @@ class GraphWrite:
         return batch
 
     def _merge(
-        self, table: Table, batch: Batch, keys: Sequence[str], known: Sequence[Table]
+        self,
+        table: Table,
+        batch: Batch,
+        keys: Sequence[str],
+        upsert: bool,
+        known: Sequence[Table],
     ) -> None:
-        """Set the batch's columns on the rows of ``known``, add the rest to ``table``."""
+        """Upsert: set the batch's columns on the rows of ``known`` that have its keys.
+        Rows that are left, or all rows, are added to ``table``."""
         hits = []
-        for stored in known:
+        columns = set(batch.schema.names) - set(keys)
+        for stored in known if upsert else ():
             if not stored.has(keys):
                 continue
             old = self._read(stored)
-            hit = self._write(matched_keys(old, batch.frame, keys))
+            once = set(stored.unique) == set(keys)
+            hit = self._write(matched_keys(old, batch.frame, keys, once))
             if hit.frame.isEmpty():
                 continue
             hits.append(hit.frame)
-            if len(batch.schema) > len(keys):
+            if columns:
                 schema = widened(stored.schema, batch.schema)
                 merged = self._write(merge_rows(old, batch.frame, keys))
-                self._put(stored.with_data(schema, merged.path))
+                unique = () if columns & set(stored.unique) else stored.unique
+                self._put(stored.with_data(schema, [merged.path], unique))
         if hits:
             batch = self._write(unmatched_rows(batch.frame, union(hits), keys))
             if batch.frame.isEmpty():
                 return
         current = next((t for t in self.tables if t.identity == table.identity), table)
+        unique = keys if upsert and (not current.paths or set(current.unique) == set(keys)) else ()
         schema = widened(current.schema, batch.schema)
-        self._put(current.with_data(schema, *current.paths, batch.path))
+        self._put(current.with_data(schema, [*current.paths, batch.path], unique))
 
     def _put(self, table: Table) -> None:
         self.tables = [t for t in self.tables if t.identity != table.identity] + [table]

@@ -26,12 +26,13 @@ def latest_per_key(
     others = [name for name in frame.columns if name not in keys]
     if not others:
         return frame.dropDuplicates(list(keys))
-    row = F.struct(*(F.col(quoted(name)) for name in others))
-    rank = [F.col(quoted(name)) for name in order_by]
-    if all(comparable(frame.schema[name].dataType) for name in others):
-        best = F.max(F.struct(F.struct(*rank, F.lit(0)), row.alias("row")))["row"]
+    rank = [name for name in dict.fromkeys(order_by) if name not in keys]
+    ranked = rank + [name for name in others if name not in rank]
+    row = F.struct(*(F.col(quoted(name)) for name in ranked))
+    if all(comparable(frame.schema[name].dataType) for name in ranked):
+        best = F.max(row)
     elif rank:
-        best = F.max_by(row, F.struct(*rank))
+        best = F.max_by(row, F.struct(*(F.col(quoted(name)) for name in rank)))
     else:
         raise ValueError("rows with a map or variant column need order_by to choose among")
     grouped = frame.groupBy(*(F.col(quoted(name)) for name in keys)).agg(best.alias("__row"))
@@ -43,10 +44,18 @@ def latest_per_key(
     )
 
 
-def matched_keys(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys of ``batch`` that ``table`` holds, once each. Reads key columns only."""
+def matched_keys(
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], unique: bool = False
+) -> DataFrame:
+    """The keys of ``batch`` that ``table`` holds, once each. Reads key columns only.
+
+    Keys that may repeat in the table are reduced before the join, task by task,
+    so that a key on a third of the rows does not meet in one task.
+    """
     names = [quoted(name) for name in keys]
-    return table.select(*names).join(batch.select(*names), list(keys), "left_semi").distinct()
+    stored = table.select(*names)
+    stored = stored if unique else stored.distinct()
+    return stored.join(batch.select(*names), list(keys), "left_semi")
 
 
 def unmatched_rows(batch: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
