@@ -1,0 +1,181 @@
+"""Presets, format names and what happens when a connector is missing."""
+
+import json
+import logging
+from importlib import import_module
+
+import pytest
+
+from sluiceway import (
+    JobConfig,
+    Preset,
+    PropertyGraph,
+    Source,
+    Target,
+    job_stub,
+    preset,
+    presets,
+    read,
+    register_preset,
+    run_job,
+    write,
+)
+from sluiceway.sources import MissingConnector, UnknownPreset
+from sluiceway.sources.presets import resolve_format
+from sluiceway.sources.scan import jdbc_options, scan
+
+# Each preset's format name.
+FORMATS = {
+    "Snowflake": "snowflake",
+    "Graph": "graph",
+    "BigQuery": "bigquery",
+    "RedShift_Community": "io.github.spark_redshift_community.spark.redshift",
+    "RedShift_Databricks": "com.databricks.spark.redshift",
+    "RedShift_JDBC": "jdbc",
+    "Synapse_Databricks": "com.databricks.spark.sqldw",
+    "Synapse_JDBC": "jdbc",
+}
+
+
+def test_presets_and_their_formats():
+    assert {name: preset(name).format for name in presets()} == FORMATS
+
+
+@pytest.mark.parametrize("name", ["snowflake", "SNOWFLAKE", " Snowflake "])
+def test_names_in_any_case(name):
+    assert preset(name).name == "Snowflake"
+
+
+def test_unknown_preset():
+    with pytest.raises(UnknownPreset, match="Teradata"):
+        preset("Teradata")
+
+
+@pytest.mark.parametrize(
+    ("name", "options", "missing"),
+    [
+        ("Snowflake", {"dbtable": "t"}, "sfURL"),
+        ("snowflake", {"sfURL": "u"}, "dbtable or query"),
+        ("RedShift_JDBC", {"url": "u"}, "dbtable or query"),
+        ("RedShift_Community", {"url": "u", "query": "q"}, "tempdir"),
+        ("Synapse_Databricks", {"url": "u", "dbTable": "t", "tempDir": "d"}, "useAzureMSI"),
+        ("graph", {"path": "p"}, "labels or relationship or query"),
+    ],
+)
+def test_missing_options_are_named(name, options, missing):
+    with pytest.raises(ValueError, match=missing):
+        resolve_format(name, options)
+
+
+def test_option_names_in_any_case_and_values_never_shown():
+    options = {"SFURL": "u", "DbTable": "t", "sfPassword": "hush"}
+    assert resolve_format("snowflake", options) == ("snowflake", options)
+    with pytest.raises(ValueError) as error:
+        resolve_format("snowflake", {"sfPassword": "hush"})
+    assert "hush" not in str(error.value)
+
+
+def test_other_formats_pass_through():
+    assert resolve_format("com.example.Any", {"a": "b"}) == ("com.example.Any", {"a": "b"})
+
+
+def test_format_class_sent_to_a_graph(spark, tmp_path, persons_csv, monkeypatch):
+    """A job file for a graph database runs against a graph of tables, unchanged."""
+    module = import_module("sluiceway.sources.presets")
+    monkeypatch.setattr(module, "_registered", dict(module._registered))
+    path = str(tmp_path / "g")
+    register_preset(
+        Preset(name="com.example.graph.Source", format="graph", defaults={"path": path})
+    )
+    run_job(
+        spark,
+        {
+            "source": {"format": "csv", "options": {"header": "true", "path": persons_csv}},
+            "target": {
+                "format": "com.example.graph.Source",
+                "mode": "Overwrite",
+                "options": {"labels": ":Person", "url": "bolt://db", "node.keys": "person_id:id"},
+            },
+        },
+    )
+    assert PropertyGraph(spark, path).read_nodes("Person").count() == 3
+
+
+@pytest.mark.parametrize("name", [n for n in FORMATS if FORMATS[n] not in ("jdbc", "graph")])
+def test_missing_connector_names_its_packages(spark, name):
+    options = {option: "x" for option in preset(name).option_names}
+    with pytest.raises(MissingConnector) as error:
+        read(spark, Source(name, options))
+    for package in preset(name).packages:
+        assert package in str(error.value)
+
+
+def test_missing_connector_when_writing(spark):
+    options = {option: "x" for option in preset("BigQuery").option_names}
+    with pytest.raises(MissingConnector, match="bigquery"):
+        write(spark.range(1), Target("bigquery", options, "append"))
+
+
+def test_jdbc_query_with_a_partition_column_becomes_a_derived_table():
+    given = {"url": "u", "query": "SELECT 1", "partitionColumn": "id", "numPartitions": "8"}
+    assert jdbc_options(given) == {
+        "url": "u",
+        "dbtable": "(SELECT 1) source_query",
+        "partitionColumn": "id",
+        "numPartitions": "8",
+    }
+
+
+def test_jdbc_options_else_unchanged(caplog):
+    table = {"url": "u", "dbtable": "t", "partitionColumn": "id"}
+    assert jdbc_options(table) == table
+    with caplog.at_level(logging.WARNING):
+        assert jdbc_options({"url": "u", "query": "q"}) == {"url": "u", "query": "q"}
+    assert "one task" in caplog.text
+
+
+class Recorder:
+    """Stands in for Spark's reader: no database runs in these tests."""
+
+    def __init__(self):
+        self.read, self.calls = self, []
+
+    def format(self, name):
+        self.calls.append(name)
+        return self
+
+    def options(self, **options):
+        self.calls.append(options)
+        return self
+
+    def load(self):
+        return "rows"
+
+
+@pytest.mark.parametrize("name", ["jdbc", "RedShift_JDBC", "synapse_jdbc"])
+@pytest.mark.parametrize("what", [{"dbtable": "orders"}, {"query": "SELECT * FROM orders"}])
+def test_jdbc_table_and_query_reach_the_reader(name, what, monkeypatch):
+    monkeypatch.setenv("DB_PASSWORD", "secret")
+    reader = Recorder()
+    options = {"url": "jdbc:x://h/db", "password": "${env:DB_PASSWORD}", **what}
+    assert scan(reader, Source(name, options)) == ("rows", False)
+    assert reader.calls == ["jdbc", {"url": "jdbc:x://h/db", "password": "secret", **what}]
+
+
+def test_stub_is_a_job_to_fill_in():
+    stub = json.loads(json.dumps(job_stub("Snowflake", "graph")))
+    job = JobConfig.load(stub)
+    assert (job.source.format, job.target.format) == ("snowflake", "graph")
+    assert (job.source.limit, job.source.show, job.source.printSchema) == (-1, -1, False)
+    assert (job.source.partition.number, job.source.partition.by) == (-1, "")
+    assert set(job.source.options) == {
+        "sfURL", "sfUser", "sfPassword", "sfDatabase", "sfSchema", "sfWarehouse",
+        "dbtable", "query",
+    }
+    assert "net.snowflake:snowflake-jdbc" in job.name
+
+
+def test_stub_holds_the_settings_of_both_ends():
+    stub = job_stub("RedShift_Community", "Synapse_Databricks")
+    assert set(stub["hadoopConfiguration"]) == {"fs.s3a.access.key", "fs.s3a.secret.key"}
+    assert any(key.startswith("fs.azure.account.key") for key in stub["conf"])
