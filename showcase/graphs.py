@@ -365,3 +365,49 @@ def table_to_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
     )
     return read(spark, source)
+
+
+@query("SELECT DISTINCT l_suppkey, l_partkey, l_shipdate FROM lineitem WHERE l_returnflag = 'R'")
+def table_to_merged_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern to merge in the form of a job file: the date is part of the identity."""
+    path = scratch(spark)
+    run_job(
+        spark,
+        JobConfig(
+            source=parquet(
+                sf_dir,
+                "lineitem",
+                where="l_returnflag = 'R'",
+                columns=["l_suppkey", "l_partkey", "l_shipdate"],
+            ),
+            target=Target(
+                "graph",
+                {
+                    "path": path,
+                    "relationship": "SHIPPED",
+                    "relationship.keys": "l_shipdate:date",
+                    "relationship.source.save.mode": "Overwrite",
+                    "relationship.source.labels": ":Company:Supplier",
+                    "relationship.source.node.keys": "l_suppkey:id",
+                    "relationship.target.save.mode": "Overwrite",
+                    "relationship.target.labels": ":Part",
+                    "relationship.target.node.keys": "l_partkey:id",
+                },
+                "Overwrite",
+            ),
+        ),
+    )
+    source = Source(
+        "graph",
+        {
+            "path": path,
+            "relationship": "SHIPPED",
+            "relationship.source.labels": ":Supplier",
+        },
+        columns=[
+            {"name": "`source.id`", "alias": "l_suppkey"},
+            {"name": "`target.id`", "alias": "l_partkey"},
+            {"name": "`rel.date`", "alias": "l_shipdate"},
+        ],
+    )
+    return read(spark, source)

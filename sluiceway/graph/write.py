@@ -188,24 +188,24 @@ class GraphWrite:
     ) -> None:
         """Upsert: set the batch's columns on the rows of ``known`` that have its keys.
         Rows that are left, or all rows, are added to ``table``."""
-        hits = []
+        stored = [item for item in known if upsert and item.has(keys)]
         columns = set(batch.schema.names) - set(keys)
-        for stored in known if upsert else ():
-            if not stored.has(keys):
-                continue
-            old = self._read(stored)
-            once = set(stored.unique) == set(keys)
-            hit = self._write(matched_keys(old, batch.frame, keys, once))
-            if hit.frame.isEmpty():
-                continue
-            hits.append(hit.frame)
+        left = batch.frame
+        for item in stored:
+            old = self._read(item)
+            hits = matched_keys(old, batch.frame, keys, set(item.unique) == set(keys))
             if columns:
-                schema = widened(stored.schema, batch.schema)
+                # Only rows that are hit are a reason to rewrite a table.
+                hits = self._write(hits).frame
+                if hits.isEmpty():
+                    continue
+                schema = widened(item.schema, batch.schema)
                 merged = self._write(merge_rows(old, batch.frame, keys))
-                unique = () if columns & set(stored.unique) else stored.unique
-                self._put(stored.with_data(schema, [merged.path], unique))
-        if hits:
-            batch = self._write(unmatched_rows(batch.frame, union(hits), keys))
+                unique = () if columns & set(item.unique) else item.unique
+                self._put(item.with_data(schema, [merged.path], unique))
+            left = unmatched_rows(left, hits, keys)
+        if left is not batch.frame:
+            batch = self._write(left)
             if batch.frame.isEmpty():
                 return
         current = next((t for t in self.tables if t.identity == table.identity), table)

@@ -29,7 +29,11 @@ def latest_per_key(
     rank = [name for name in dict.fromkeys(order_by) if name not in keys]
     ranked = rank + [name for name in others if name not in rank]
     row = F.struct(*(F.col(quoted(name)) for name in ranked))
-    if all(comparable(frame.schema[name].dataType) for name in ranked):
+    if len(others) == 1 and comparable(frame.schema[others[0]].dataType):
+        # A plain maximum is kept in a hash table where that of rows is sorted.
+        (name,) = others
+        best = F.struct(F.max(F.col(quoted(name))).alias(name))
+    elif all(comparable(frame.schema[name].dataType) for name in ranked):
         best = F.max(row)
     elif rank:
         best = F.max_by(row, F.struct(*(F.col(quoted(name)) for name in rank)))

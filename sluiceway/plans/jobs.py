@@ -57,7 +57,7 @@ def _known_reads(source: Source, strict: bool) -> list[str] | None:
     texts = [source.where, *(column.name for column in source.columns)]
     if format not in FILE_FORMATS or "path" not in options:
         return None
-    if any("select" in text.lower() or "table" in text.lower() for text in texts):
+    if any(word in text.lower() for text in texts for word in ("select", "table", "from")):
         return None
     return [options["path"]]
 

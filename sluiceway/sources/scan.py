@@ -64,12 +64,12 @@ def jdbc_options(options: Mapping[str, str]) -> dict[str, str]:
 
 
 def scan(spark: SparkSession, source: Source, strict: bool = False) -> tuple[DataFrame, bool]:
-    """The source as it is, and whether its partitions are fixed by its files."""
+    """The source as it is, and whether it is made of files, which fix its partitions."""
     format, options = resolve_format(source.format, resolve_options(source.options, strict))
     if format == GRAPH_FORMAT:
         from sluiceway.graph import PropertyGraph
 
-        return PropertyGraph.from_options(spark, options).read_options(options), False
+        return PropertyGraph.from_options(spark, options).read_options(options), True
     if format == "jdbc":
         options = jdbc_options(options)
     frame = with_connector(format, lambda: spark.read.format(format).options(**options).load())

@@ -114,7 +114,7 @@ def test_settings_are_ignored_on_a_given_session(spark, tmp_path, numbers, caplo
     with caplog.at_level(logging.WARNING):
         run_job(spark, job)
     assert "ignored" in caplog.text
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
 def test_settings_apply_to_a_session_of_its_own(spark, tmp_path, numbers):

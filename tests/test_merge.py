@@ -9,7 +9,7 @@ KEYS = st.integers(0, 4)
 VALUES = st.one_of(st.none(), st.integers(-3, 3))
 ROWS = st.lists(st.tuples(KEYS, VALUES, VALUES), max_size=12)
 some = settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 
