@@ -190,20 +190,28 @@ class GraphWrite:
         Rows that are left, or all rows, are added to ``table``."""
         stored = [item for item in known if upsert and item.has(keys)]
         columns = set(batch.schema.names) - set(keys)
-        left = batch.frame
+        left, rows = batch.frame, None
         for item in stored:
             old = self._read(item)
             hits = matched_keys(old, batch.frame, keys, set(item.unique) == set(keys))
             if columns:
-                # Only rows that are hit are a reason to rewrite a table.
+                # Only rows that are hit are a reason to rewrite a table. Counting
+                # stored rows takes the files' footers alone.
                 hits = self._write(hits).frame
-                if hits.isEmpty():
+                found = hits.count()
+                if not found:
                     continue
                 schema = widened(item.schema, batch.schema)
                 merged = self._write(merge_rows(old, batch.frame, keys))
                 unique = () if columns & set(item.unique) else item.unique
                 self._put(item.with_data(schema, [merged.path], unique))
-            left = unmatched_rows(left, hits, keys)
+                rows = batch.frame.count() if rows is None else rows
+                if found == rows:
+                    left = None
+            if left is not None:
+                left = unmatched_rows(left, hits, keys)
+        if left is None:
+            return
         if left is not batch.frame:
             batch = self._write(left)
             if batch.frame.isEmpty():

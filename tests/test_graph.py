@@ -439,3 +439,17 @@ def test_hot_node_and_large_sides(spark, graph):
         assert graph.read_nodes("C").agg(F.count_distinct("id")).first()[0] == 2001
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_upsert_over_several_tables_that_all_hold_the_keys(graph, make):
+    schema = "id int, name string"
+    for labels in (":A:B", ":A:C"):
+        graph.write_nodes(make([(1, "x"), (2, "y")], schema), labels, "id", "overwrite")
+    graph.write_nodes(make([(1, "X"), (2, "Y")], schema), ":A", "id", "overwrite")
+    assert rows(graph.read_nodes("B"), "id", "name") == [(1, "X"), (2, "Y")]
+    assert rows(graph.read_nodes("C"), "id", "name") == [(1, "X"), (2, "Y")]
+    assert graph.read_nodes("A").count() == 4
+    graph.write_nodes(make([(1, "Z"), (3, "W")], schema), ":A", "id", "overwrite")
+    assert rows(graph.read_nodes("A"), "id", "name") == [
+        (1, "Z"), (1, "Z"), (2, "Y"), (2, "Y"), (3, "W"),
+    ]
