@@ -139,8 +139,12 @@ class GraphWrite:
     def _with_node(self, frame: DataFrame, side: str, end: NodePattern) -> DataFrame:
         """The rows whose node at ``side`` exists."""
         names = list(end.keys.values())
-        columns = [F.col(quoted(name)).alias(f"{side}.{name}") for name in names]
-        nodes = [self._read(t).select(*columns) for t in self._node_tables(end.labels, names)]
+        nodes = []
+        for table in self._node_tables(end.labels, names):
+            keys = self._read(table).select(
+                *(F.col(quoted(name)).alias(f"{side}.{name}") for name in names)
+            )
+            nodes.append(keys if set(table.unique) == set(names) else keys.distinct())
         if not nodes:
             return frame.where(F.lit(False))
         return frame.join(union(nodes), [f"{side}.{name}" for name in names], "left_semi")

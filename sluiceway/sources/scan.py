@@ -31,7 +31,7 @@ def with_connector(format: str, action: Callable[[], T]) -> T:
     try:
         return action()
     except (AnalysisException, Py4JJavaError) as error:
-        absent = ("DATA_SOURCE_NOT_FOUND", "ClassNotFoundException", "Failed to find data source")
+        absent = ("DATA_SOURCE_NOT_FOUND", "Failed to find data source")
         if not any(mark in str(error) for mark in absent):
             raise
         packages = [
