@@ -11,7 +11,7 @@ from sluiceway import Column, read
 @query(
     """
     SELECT upper(p_name) AS name, substr(p_brand, 7) AS brand_number,
-           p_type || '/' || p_brand AS type_brand, length(p_name) AS name_length
+           p_type || '/' || p_brand AS type_brand, CAST(length(p_name) AS INTEGER) AS name_length
     FROM part
     """
 )

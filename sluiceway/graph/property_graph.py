@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -60,7 +61,8 @@ class PropertyGraph:
         Of several rows with one key the last by ``order_by`` counts, without it
         the largest row.
         """
-        labels, keys, mode = parse_labels(labels), mapping(keys), _mode(mode)
+        labels, mode = parse_labels(labels), _mode(mode)
+        keys = _found(frame, mapping(keys))
         if not labels:
             raise ValueError("nodes need at least one label")
         if mode == "overwrite" and not keys:
@@ -71,11 +73,17 @@ class PropertyGraph:
             return
         if exists and mode == "error":
             raise ValueError(f"nodes with the labels {':'.join(labels)} exist already")
+        order_by = _found(frame, mapping(order_by))
         frame = frame.select(
             *(F.col(quoted(name)).alias(keys.get(name, name)) for name in frame.columns)
         )
-        order_by = [keys.get(name, name) for name in order_by]
-        write.nodes(frame, labels, tuple(keys.values()), mode == "overwrite", order_by)
+        write.nodes(
+            frame,
+            labels,
+            tuple(keys.values()),
+            mode == "overwrite",
+            [keys.get(name, name) for name in order_by],
+        )
         write.publish()
 
     def write_relationships(
@@ -96,19 +104,19 @@ class PropertyGraph:
         values of ``keys``, the properties that belong to its identity. Both
         ends and the relationships appear in one version.
         """
-        mode, keys = _mode(mode), mapping(keys)
-        used = {*source.keys, *target.keys}
+        mode = _mode(mode)
+        keys, starts, ends = (_found(frame, mapping(m)) for m in (keys, source.keys, target.keys))
         if properties is None:
-            chosen = {name: name for name in frame.columns if name not in used}
+            chosen = {name: name for name in frame.columns if name not in {*starts, *ends}}
         else:
-            chosen = mapping(properties)
+            chosen = _found(frame, mapping(properties))
         chosen = {**chosen, **keys}
         table = Table(
             rel_type=rel_type,
             source_labels=source.labels,
-            source_keys=tuple(source.keys.values()),
+            source_keys=tuple(starts.values()),
             target_labels=target.labels,
-            target_keys=tuple(target.keys.values()),
+            target_keys=tuple(ends.values()),
         )
         write = GraphWrite(self._catalog, self._root, self.open)
         exists = any(known.identity == table.identity for known in write.tables)
@@ -116,17 +124,18 @@ class PropertyGraph:
             return
         if exists and mode == "error":
             raise ValueError(f"relationships of type {rel_type} exist already")
-        order = {name: f"__order{i}" for i, name in enumerate(order_by)}
+        order = {
+            name: f"__order{i}" for i, name in enumerate(_found(frame, mapping(order_by)))
+        }
         named = frame.select(
-            *_renamed(source.keys, "source."),
-            *_renamed(target.keys, "target."),
+            *_renamed(starts, "source."),
+            *_renamed(ends, "target."),
             *_renamed(chosen, "rel."),
             *_renamed(order, ""),
         )
         identity = tuple(f"rel.{name}" for name in keys.values())
-        write.edges(
-            named, table, (source, target), identity, mode == "overwrite", list(order.values())
-        )
+        patterns = (replace(source, keys=starts), replace(target, keys=ends))
+        write.edges(named, table, patterns, identity, mode == "overwrite", list(order.values()))
         write.publish()
 
     def merge_pattern(
@@ -237,6 +246,10 @@ class PropertyGraph:
             raise ValueError(f"the graph has no relationships of type {rel_type}")
         return found
 
+    def folders(self) -> list[str]:
+        """The data folders the newest version uses; others may be removed once no job reads them."""
+        return sorted(path for table in self._catalog.load()[1] for path in table.paths)
+
     def open(self, table: Table) -> DataFrame:
         """A stored table. Its schema is known, so no file footer is read to plan."""
         return self._spark.read.schema(table.schema).parquet(*table.paths)
@@ -302,3 +315,15 @@ class PropertyGraph:
 def _renamed(columns: Mapping[str, str], prefix: str) -> list[Column]:
     return [F.col(quoted(name)).alias(prefix + wanted) for name, wanted in columns.items()]
 
+
+def _found(frame: DataFrame, columns: Mapping[str, str]) -> dict[str, str]:
+    """``columns`` as ``frame`` spells them; a name without a new one keeps that spelling."""
+    spelled = {name.lower(): name for name in frame.columns}
+    missing = [name for name in columns if name.lower() not in spelled]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} among {', '.join(frame.columns)}")
+    actual = {name: name if name in frame.columns else spelled[name.lower()] for name in columns}
+    return {
+        actual[name]: wanted if wanted != name else actual[name]
+        for name, wanted in columns.items()
+    }

@@ -453,3 +453,22 @@ def test_upsert_over_several_tables_that_all_hold_the_keys(graph, make):
     assert rows(graph.read_nodes("A"), "id", "name") == [
         (1, "Z"), (1, "Z"), (2, "Y"), (2, "Y"), (3, "W"),
     ]
+
+
+def test_names_are_found_in_any_case_and_missing_ones_named(graph, make):
+    frame = make([(1, 10, 5)], "C int, O int, N int")
+    graph.write_relationships(frame, "R", *BOTH, mode="overwrite", properties="n", order_by=["n"])
+    assert edges(graph, "rel.N") == [(1, 10, 5)]
+    graph.write_nodes(make([(7,)], "ID int"), ":P", "id", "overwrite", order_by=["Id"])
+    assert graph.read_nodes("P").columns == ["ID", "<labels>"]
+    with pytest.raises(ValueError, match="no column name"):
+        graph.write_nodes(make([(7,)], "id int"), ":P", "name", "overwrite")
+
+
+def test_folders_in_use(graph, make):
+    schema = "id int, name string"
+    graph.write_nodes(make([(1, "a")], schema), ":P", "id", "overwrite")
+    (first,) = graph.folders()
+    graph.write_nodes(make([(1, "b")], schema), ":P", "id", "overwrite")
+    (second,) = graph.folders()
+    assert first != second and second.startswith(graph._root)
