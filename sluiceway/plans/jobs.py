@@ -1,4 +1,4 @@
-"""Running jobs: one lazy plan from source to target, on one session."""
+"""Running jobs: a session, and one lazy plan from source to target."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import logging
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.placeholders import resolve_options
@@ -31,19 +30,6 @@ def session_for(job: JobConfig) -> SparkSession:
     return builder.getOrCreate()
 
 
-def _session_of_its_own(base: SparkSession, job: JobConfig) -> SparkSession:
-    """A session on the running context with this job's settings and no other's."""
-    session = base.newSession()
-    # Spark hands session settings on to Hadoop under their own names.
-    for key, value in {**job.conf, **job.hadoopConfiguration}.items():
-        try:
-            session.conf.set(key, value)
-        except AnalysisException:
-            if base.conf.get(key, None) != value:
-                log.warning("job '%s': %s cannot change once Spark runs", job.name, key)
-    return session
-
-
 def read(spark: SparkSession, source: "Source | dict", strict: bool = False) -> DataFrame:
     """The rows a source describes, as one DataFrame."""
     source = Source.of(source)
@@ -101,20 +87,25 @@ def run_jobs(
     close_session: bool = False,
     strict: bool = False,
 ) -> None:
-    """Run jobs in order, up to the first that fails, on one Spark context.
+    """Run jobs in order, up to the first that fails.
 
-    ``jobs`` is anything ``JobConfig.load_all`` takes. Without a session, each
-    job gets one of its own on the context the first job's settings started.
+    ``jobs`` is anything ``JobConfig.load_all`` takes. A session that is given
+    serves them all. Without one, jobs in a row that ask for the same settings
+    share a session; other settings start a new one, so none reach a later job.
     """
-    jobs = JobConfig.load_all(jobs)
-    if not jobs:
-        return
-    base = spark or session_for(jobs[0])
+    session, settings, started = spark, None, False
     try:
-        for job in jobs:
+        for job in JobConfig.load_all(jobs):
+            wanted = (job.master, job.conf, job.hadoopConfiguration)
             if spark is not None:
                 _warn_of_ignored_settings(job)
-            _move(spark or _session_of_its_own(base, job), job, strict)
+            elif wanted != settings:
+                if started:
+                    session.stop()
+                # A session that was there before is used, and is not ours to stop.
+                started = SparkSession.getActiveSession() is None
+                session, settings = session_for(job), wanted
+            _move(session, job, strict)
     finally:
-        if close_session:
-            base.stop()
+        if close_session and session is not None:
+            session.stop()

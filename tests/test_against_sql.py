@@ -30,11 +30,16 @@ def _sorted(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_same_rows_as_sql(name, spark, oracle, sf):
-    ours = _sorted(queries()[name](spark, sf).toPandas())
+def test_same_rows_as_sql(name, spark, oracle, sf, capsys):
+    frame = queries()[name](spark, sf)
+    ours = _sorted(frame.toPandas())
     theirs = _sorted(oracle.execute(oracle_sql()[name]).df())
     assert len(theirs) > 0
     pd.testing.assert_frame_equal(ours, theirs, check_dtype=False, check_exact=True)
+    frame.explain()
+    plan = capsys.readouterr().out
+    for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert step not in plan
 
 
 def test_flagship(spark):

@@ -2,7 +2,12 @@
 
 import json
 import logging
+import os
+import subprocess
+import sys
+from pathlib import Path
 
+import pyspark
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -117,30 +122,65 @@ def test_settings_are_ignored_on_a_given_session(spark, tmp_path, numbers, caplo
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
-def test_settings_apply_to_a_session_of_its_own(spark, tmp_path, numbers):
-    """Hadoop settings of one job reach its write, and not the next job's."""
-    quiet = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
-    run_jobs(
-        None,
-        [
-            copy(numbers, tmp_path / "1", hadoopConfiguration=quiet),
-            copy(numbers, tmp_path / "2"),
-        ],
-    )
-    assert not (tmp_path / "1" / "_SUCCESS").exists()
-    assert (tmp_path / "2" / "_SUCCESS").exists()
+class Fake:
+    def __init__(self, job):
+        self.job, self.stopped = job, False
 
+    def stop(self):
+        self.stopped = True
 
-def test_fixed_settings_of_a_later_job_are_warned_about(spark, tmp_path, numbers, caplog):
-    with caplog.at_level(logging.WARNING):
-        run_jobs(
-            None,
+
+@pytest.mark.parametrize("active", [False, True])
+def test_jobs_share_a_session_while_their_settings_are_the_same(monkeypatch, active):
+    sessions, runs = [], []
+
+    def start(job):
+        sessions.append(Fake(job))
+        return sessions[-1]
+
+    def move(session, job, strict):
+        assert not session.stopped
+        runs.append((job.name, sessions.index(session)))
+
+    def running():
+        return active or any(not session.stopped for session in sessions) or None
+
+    monkeypatch.setattr(jobs_module, "session_for", start)
+    monkeypatch.setattr(jobs_module, "_move", move)
+    monkeypatch.setattr(jobs_module.SparkSession, "getActiveSession", running)
+    quiet = {"hadoopConfiguration": {"a": "b"}}
+    jobs = [
+        copy("s", "t", name="1", **quiet),
+        copy("s", "t", name="2", **quiet),
+        copy("s", "t", name="3"),
+        copy("s", "t", name="4", conf={"c": "d"}),
+    ]
+    run_jobs(None, jobs)
+    assert runs == [("1", 0), ("2", 0), ("3", 1), ("4", 2)]
+    assert [s.stopped for s in sessions] == ([False] * 3 if active else [True, True, False])
+
+
+def test_settings_reach_their_own_job_only(numbers, tmp_path):
+    """Submitted as a job of its own, as there is a session here already."""
+    quiet = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    conf = {"spark.ui.enabled": "false"}
+    jobs = tmp_path / "jobs.json"
+    jobs.write_text(
+        json.dumps(
             [
-                copy(numbers, tmp_path / "1"),
-                copy(numbers, tmp_path / "2", conf={"spark.executor.memory": "3g"}),
-            ],
+                copy(numbers, tmp_path / "1", master="local", conf=conf, hadoopConfiguration=quiet),
+                copy(numbers, tmp_path / "2", master="local", conf=conf),
+            ]
         )
-    assert "spark.executor.memory" in caplog.text
+    )
+    repository = Path(__file__).resolve().parent.parent
+    submit = Path(pyspark.__file__).parent / "bin" / "spark-submit"
+    command = [submit, repository / "sluiceway" / "__main__.py", "-p", jobs, "-ft", "ARRAY"]
+    paths = os.pathsep.join([str(repository), *sys.path])
+    environment = {**os.environ, "PYTHONPATH": paths, "PYSPARK_PYTHON": sys.executable}
+    subprocess.run(command, env=environment, check=True, timeout=300, capture_output=True)
+    assert (tmp_path / "1").exists() and not (tmp_path / "1" / "_SUCCESS").exists()
+    assert (tmp_path / "2" / "_SUCCESS").exists()
 
 
 def test_session_from_a_job(spark, numbers, tmp_path):
@@ -152,11 +192,6 @@ def test_session_from_a_job(spark, numbers, tmp_path):
     assert session.conf.get("spark.hadoop.a") == "b"
 
 
-class Stopped:
-    def stop(self):
-        self.stopped = True
-
-
 @pytest.mark.parametrize("fails", [False, True])
 def test_session_is_closed_in_the_end(monkeypatch, numbers, tmp_path, fails):
     def move(spark, job, strict):
@@ -165,7 +200,7 @@ def test_session_is_closed_in_the_end(monkeypatch, numbers, tmp_path, fails):
 
     monkeypatch.setattr(jobs_module, "_move", move)
     for run, given in ((run_job, copy("a", "b")), (run_jobs, [copy("a", "b")])):
-        session = Stopped()
+        session = Fake(None)
         if fails:
             with pytest.raises(RuntimeError):
                 run(session, given, close_session=True)

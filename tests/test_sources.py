@@ -135,10 +135,10 @@ def test_jdbc_options_else_unchanged(caplog):
 
 
 class Recorder:
-    """Stands in for Spark's reader: no database runs in these tests."""
+    """Stands in for Spark's reader and writer: no database runs in these tests."""
 
     def __init__(self):
-        self.read, self.calls = self, []
+        self.read, self.write, self.calls = self, self, []
 
     def format(self, name):
         self.calls.append(name)
@@ -151,6 +151,13 @@ class Recorder:
     def load(self):
         return "rows"
 
+    def mode(self, name):
+        self.calls.append(name)
+        return self
+
+    def save(self):
+        self.calls.append("saved")
+
 
 @pytest.mark.parametrize("name", ["jdbc", "RedShift_JDBC", "synapse_jdbc"])
 @pytest.mark.parametrize("what", [{"dbtable": "orders"}, {"query": "SELECT * FROM orders"}])
@@ -162,6 +169,15 @@ def test_jdbc_table_and_query_reach_the_reader(name, what, monkeypatch):
     assert reader.calls == ["jdbc", {"url": "jdbc:x://h/db", "password": "secret", **what}]
 
 
+@pytest.mark.parametrize(("mode", "calls"), [("Append", ["Append"]), ("", [])])
+def test_jdbc_table_and_mode_reach_the_writer(mode, calls, monkeypatch):
+    monkeypatch.setenv("DB_PASSWORD", "secret")
+    frame = Recorder()
+    options = {"url": "jdbc:x://h/db", "dbtable": "t", "password": "${env:DB_PASSWORD}"}
+    write(frame, Target("Synapse_JDBC", options, mode))
+    assert frame.calls == ["jdbc", {**options, "password": "secret"}, *calls, "saved"]
+
+
 def test_stub_is_a_job_to_fill_in():
     stub = json.loads(json.dumps(job_stub("Snowflake", "graph")))
     job = JobConfig.load(stub)
