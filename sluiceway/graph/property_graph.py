@@ -185,6 +185,10 @@ class PropertyGraph:
                 ("target", table.target_labels, table.target_keys, target_labels),
             ):
                 nodes = self._nodes(tables, (*labels, *parse_labels(wanted)), keys)
+                for key in keys:
+                    kind = frame.schema[f"{side}.{key}"].dataType
+                    if nodes.schema[key].dataType != kind:
+                        nodes = nodes.withColumn(key, F.col(quoted(key)).try_cast(kind))
                 nodes = nodes.select(
                     F.col(quoted(LABELS)).alias(f"<{side}.labels>"),
                     *(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, NumericType, StructType
 
 from sluiceway.functions.columns import lossless_cast, quoted
 from sluiceway.graph.catalog import Catalog
@@ -22,6 +22,21 @@ from sluiceway.operators.merge import (
 
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:
+    """All rows; a column missing somewhere is NULL there, one of mixed types is text."""
+    kinds: dict[str, list[DataType]] = {}
+    for item in (item for frame in frames for item in frame.schema):
+        kinds.setdefault(item.name, []).append(item.dataType)
+    mixed = {
+        name: F.col(quoted(name)).cast("string")
+        for name, found in kinds.items()
+        if len({kind.simpleString() for kind in found}) > 1
+        and not all(isinstance(kind, NumericType) for kind in found)
+    }
+    if mixed:
+        frames = [
+            frame.withColumns({name: mixed[name] for name in frame.columns if name in mixed})
+            for frame in frames
+        ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -472,3 +472,20 @@ def test_folders_in_use(graph, make):
     graph.write_nodes(make([(1, "b")], schema), ":P", "id", "overwrite")
     (second,) = graph.folders()
     assert first != second and second.startswith(graph._root)
+
+
+def test_label_sets_that_store_a_property_in_other_types(graph, make):
+    graph.write_nodes(make([(1, 5, 7)], "id int, code int, n int"), ":P:A", "id", "overwrite")
+    graph.write_nodes(make([("x", "y", 8)], "id string, code string, n long"), ":P:B", "id",
+                      "overwrite")
+    assert rows(graph.read_nodes("P"), "id", "code", "n") == [("1", "5", 7), ("x", "y", 8)]
+    assert rows(graph.read_nodes("A"), "id", "code") == [(1, 5)]
+
+
+def test_relationships_after_a_label_set_with_another_key_type(graph, make):
+    graph.write_relationships(make([(1, 10)], "c int, o int"), "R", *BOTH, mode="overwrite")
+    graph.write_nodes(make([("x",), ("1",)], "id string"), ":C:VIP", "id", "overwrite")
+    found = rows(graph.read_relationships("R"), "<source.labels>", "source.id", "target.id")
+    assert found == [(["C", "VIP"], 1, 10), (["C"], 1, 10)]
+    with pytest.raises(ValueError, match="several types"):
+        graph.write_relationships(make([(1, 11)], "c int, o int"), "R", *BOTH, mode="overwrite")
