@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+from collections.abc import Callable
 from contextlib import redirect_stdout
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 # Spark's own limit sends its rows through one task, which is best for the few
@@ -12,6 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 ONE_TASK_ROWS_SETTING = "sluiceway.limit.oneTaskRows"
 ONE_TASK_ROWS = 100_000
 
+# A limit that needs more files than this reads them all rather than name them.
+NAMED_FILES = 10_000
+
 # monotonically_increasing_id() puts the partition number above the row's
 # position, which takes the low 33 bits.
 _POSITION_BITS = 33
@@ -25,20 +30,31 @@ def has_shuffle(frame: DataFrame) -> bool:
     return "Exchange" in text.getvalue()
 
 
-def take_rows(frame: DataFrame, rows: int, fixed_partitions: bool = False) -> DataFrame:
-    """Any ``rows`` rows, or all if there are fewer.
+def first_files(
+    scan: DataFrame, keep: Callable[[DataFrame], DataFrame], rows: int
+) -> DataFrame | None:
+    """``scan`` over only the first files, by path, of which ``keep`` leaves ``rows`` rows.
 
-    A large limit counts each partition, then keeps every row below one cut-off
-    (partition, position): no shuffle, no row passes through the driver. Both
-    passes must see the same partitions. A scan of files gives that; anything
-    else is checkpointed first.
+    None if the scan is not one of files, or if it takes more of them than are
+    worth naming. Spark skips the other files when it plans the read.
     """
-    spark = frame.sparkSession
-    if rows <= int(spark.conf.get(ONE_TASK_ROWS_SETTING, str(ONE_TASK_ROWS))):
-        return frame.limit(rows)
-    if not fixed_partitions or has_shuffle(frame):
-        frame = frame.checkpoint()
+    file = "__file"
+    try:
+        path = scan.metadataColumn("_metadata")["file_path"]
+        sizes = keep(scan.withColumn(file, path)).groupBy(file).count()
+        found = sizes.orderBy(file).limit(NAMED_FILES).collect()
+    except AnalysisException:
+        return None
+    left = rows
+    for name, size in found:
+        left -= size
+        if left <= 0:
+            return scan.where(path <= F.lit(name))
+    return None
+
 
+def _up_to_cut(frame: DataFrame, rows: int) -> DataFrame | None:
+    """The first ``rows`` rows by partition and position; None if there are fewer."""
     tag = "__row_tag"
     tagged = frame.select("*", F.monotonically_increasing_id().alias(tag))
     # One row per partition: bounded by the number of tasks, not by the data.
@@ -53,4 +69,32 @@ def take_rows(frame: DataFrame, rows: int, fixed_partitions: bool = False) -> Da
             cut = (part << _POSITION_BITS) + left
             return tagged.where(F.col(tag) < F.lit(cut)).drop(tag)
         left -= size
-    return frame
+    return None
+
+
+def take_rows(
+    frame: DataFrame,
+    rows: int,
+    fixed_partitions: bool = False,
+    on_fewer_files: Callable[[], DataFrame | None] = lambda: None,
+) -> DataFrame:
+    """Any ``rows`` rows, or all if there are fewer.
+
+    A large limit counts each partition, then keeps every row below one cut-off
+    (partition, position): no shuffle, no row passes through the driver. Both
+    passes must see the same partitions. A scan of files gives that; anything
+    else is checkpointed first. ``on_fewer_files`` may give the frame over files
+    that hold enough rows; if they turn out not to, all files are taken.
+    """
+    spark = frame.sparkSession
+    if rows <= int(spark.conf.get(ONE_TASK_ROWS_SETTING, str(ONE_TASK_ROWS))):
+        return frame.limit(rows)
+    if not fixed_partitions or has_shuffle(frame):
+        frame = frame.checkpoint()
+    else:
+        fewer = on_fewer_files()
+        taken = None if fewer is None else _up_to_cut(fewer, rows)
+        if taken is not None:
+            return taken
+    taken = _up_to_cut(frame, rows)
+    return frame if taken is None else taken

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from sluiceway import Column, Partition, Source, read
+from sluiceway import Column, Partition, PropertyGraph, Source, read
 from sluiceway.operators import repartition_rows, take_rows
 from sluiceway.operators.limit import ONE_TASK_ROWS_SETTING
 from sluiceway.operators.repartition import hot_keys
@@ -141,6 +141,40 @@ def test_distributed_limit_is_exact(spark, tmp_path, small_tasks, capsys, rows):
     assert frame.distinct().count() == min(rows, 800)
 
 
+@pytest.mark.parametrize("format", ["parquet", "orc", "csv", "json", "text", "xml"])
+def test_distributed_limit_reads_only_the_files_it_needs(spark, tmp_path, small_tasks, format):
+    """Eight files of 100 rows, every second row passes the filter: 120 rows take three files."""
+    options = {"path": str(tmp_path / "a b" / "t"), "header": "true", "rowTag": "row"}
+    rows = spark.range(0, 800, 1, 8).selectExpr("CAST(id AS STRING) AS value")
+    rows.write.format(format).options(**options).save()
+    source = Source(format, options, ["value"], where="CAST(value AS INT) % 2 = 0", limit=120)
+    frame = read(spark, source)
+    found = [int(row.value) for row in frame.collect()]
+    assert len(found) == len(set(found)) == 120
+    assert all(value % 2 == 0 for value in found)
+    files = {value // 100 for value in found}
+    assert len(files) == 3
+    assert frame.rdd.getNumPartitions() <= 3
+
+
+def test_distributed_limit_where_columns_drop_rows(spark, tmp_path, small_tasks):
+    """Exploding empty arrays leaves too few rows in the first files; all files are read then."""
+    path = str(tmp_path / "t")
+    arrays = "IF(id < 400, array_repeat(id, 0), array(id)) AS items"
+    spark.range(0, 800, 1, 8).selectExpr(arrays).write.parquet(path)
+    source = Source("parquet", {"path": path}, ["explode(items) AS item"], limit=350)
+    assert read(spark, source).distinct().count() == 350
+    assert read(spark, Source("parquet", {"path": path}, source.columns, limit=500)).count() == 400
+
+
+def test_distributed_limit_over_a_graph(spark, tmp_path, small_tasks):
+    graph = PropertyGraph(spark, str(tmp_path / "g"))
+    graph.write_nodes(spark.range(0, 100, 1, 3), ":A")
+    graph.write_nodes(spark.range(100, 200, 1, 3), ":A:B")
+    source = Source("graph", {"path": str(tmp_path / "g"), "labels": ":A"}, ["id"], limit=130)
+    assert read(spark, source).distinct().count() == 130
+
+
 def test_distributed_limit_over_a_shuffle(spark, small_tasks):
     frame = spark.range(500).selectExpr("id % 100 AS k").groupBy("k").count()
     assert take_rows(frame, 60).count() == 60
