@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.llm.minhash import near_duplicates
+from sluiceway.llm.packing import pack
+from sluiceway.llm.quality import COUNTS, quality
 from sluiceway.llm.sharding import shard_manifest
+from sluiceway.llm.substrings import substring_dedup
 from sluiceway.llm.token_counts import token_counts
+from sluiceway.llm.warc import archive_round_trip
 
 SHARDS = 40
 TOKEN_LIMIT = 2048
+VOCABULARY = "word_bpe_49k.json"
+
+
+#: The folder of the package, for Python workers that start elsewhere.
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,13 +38,73 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and trees fitted on the labels, over every document."""
+    judged = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by five-word shingles of similarity 0.85 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its words in repeated windows."""
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), size=TOKEN_LIMIT)
+
+
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, by pair merging."""
     return token_counts(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), TOKEN_LIMIT
+        table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), TOKEN_LIMIT
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_rendezvous_shards, op10_token_counts)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_rendezvous_shards,
+        op2_quality_rules,
+        op3_minhash_near_dedup,
+        op4_substring_dedup,
+        op5_best_fit_packing,
+        op6_warc_round_trip,
+        op10_token_counts,
+    )
+}
+
+#: The checksum is built from its polynomial, bit by bit, then byte by byte.
+OP1_SQL = """
+WITH digits AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+        lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, digits),
+draws AS (
+  SELECT doc_id, size, text_crc32, s AS shard,
+    -ln((('0x' || substr(md5(s || ':' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) AS draw
+  FROM sized, range(41) AS shards(s)),
+placed AS (
+  SELECT doc_id, size, text_crc32, arg_min(shard, draw) FILTER (shard < 40) AS shard, arg_min(shard, draw) AS grown_shard
+  FROM draws GROUP BY doc_id, size, text_crc32)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard
+    ORDER BY md5(coalesce(doc_id::VARCHAR, '') || '|' || text_crc32 || '|' || size), doc_id) - 1 AS slot,
+  grown_shard::INTEGER AS grown_shard
+FROM placed
+"""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_rendezvous_shards": OP1_SQL}
