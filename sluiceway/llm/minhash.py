@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluiceway.llm.anchored import mixed
 from sluiceway.llm.components import components
 from sluiceway.llm.shared import Staged
 
@@ -30,13 +31,6 @@ OFFSETS = _draw.integers(0, 2**63, BANDS * ROWS, np.uint64)
 PLACES = _draw.integers(0, 2**63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A permutation of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= KEPT_WORDS:

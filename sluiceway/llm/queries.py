@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm.minhash import near_duplicates
+from sluiceway.llm.neighbours import nearest
 from sluiceway.llm.packing import pack
 from sluiceway.llm.quality import COUNTS, quality
+from sluiceway.llm.sentencepiece_sampling import sampled_segmentations
 from sluiceway.llm.sharding import shard_manifest
 from sluiceway.llm.substrings import substring_dedup
+from sluiceway.llm.suffix_dedup import suffix_dedup
 from sluiceway.llm.token_counts import token_counts
 from sluiceway.llm.warc import archive_round_trip
 
@@ -64,6 +67,23 @@ def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four distinct sampled segmentations of every whole text."""
+    return sampled_segmentations(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), count=4
+    )
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings of documents with smaller numbers."""
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector, among all others."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, count=20)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, by pair merging."""
     return token_counts(
@@ -80,6 +100,9 @@ QUERIES = {
         op4_substring_dedup,
         op5_best_fit_packing,
         op6_warc_round_trip,
+        op7_sampled_segmentations,
+        op8_suffix_array_dedup,
+        op9_nearest_neighbours,
         op10_token_counts,
     )
 }

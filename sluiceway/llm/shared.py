@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,6 +48,15 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver's garbage is collected, which may be long after.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def store(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a path and the path in it, for streams that tasks read or write."""
     if path.startswith("file:/") and not path.startswith("file:///"):

@@ -1,9 +1,8 @@
 """Repeated passages by relative Lempel-Ziv parsing against reference blocks.
 
-Passages that may repeat are found by anchors: of the word groups of a window, the one with the
-smallest hash. Equal windows have the same anchor, so only places with one anchor need comparing.
-The surroundings of such places are the documents' parts to parse, and those of one anchor are the
-reference block that each of them is factored against.
+Equal windows of words have the same anchor, so a document's parts need comparing only with the
+parts of their own anchors. The parts of one anchor are the reference block that each of them is
+factored against. Anchors of which all parts are equal need no parsing: their parts are duplicates.
 """
 
 from __future__ import annotations
@@ -17,8 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.minhash import WordHashes, mixed
-from sluiceway.llm.shared import Staged
+from sluiceway.llm.anchored import parts
+from sluiceway.llm.minhash import WordHashes
+from sluiceway.llm.shared import Staged, let_go
 
 WINDOW = 35
 #: Words of an anchor.
@@ -27,89 +27,47 @@ GRAM = 8
 BLOCK = 64
 
 _hashes = WordHashes()
-_draw = np.random.default_rng(35)
-PLACES = _draw.integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def running(values: np.ndarray, width: int, best) -> np.ndarray:
-    """``best`` (minimum or maximum) of every window of so many values."""
-    span, out = 1, values
-    while span * 2 <= width:
-        out = best(out[:-span], out[span:])
-        span *= 2
-    rest = width - span
-    return best(out[: len(out) - rest], out[rest:]) if rest else out
-
-
-def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the word groups that are smallest in some window; ties all count."""
-    if len(words) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    codes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    total = np.zeros(len(codes) - gram + 1, np.uint64)
-    for k in range(gram):
-        total += mixed(codes[k : k + len(total)] + PLACES[k]) * PLACES[k + gram]
-    total = mixed(total)
-    width = window - gram + 1
-    least = running(total, width, np.minimum)
-    # a group counts if it equals the minimum of a window it is in: then it equals the largest of these
-    edge = np.zeros(width - 1, np.uint64)
-    largest = running(np.concatenate([edge, least, edge]), width, np.maximum)
-    at = np.flatnonzero(total == largest)
-    return at, total[at].view(np.int64)
-
-
-def anchor_rows(texts: DataFrame) -> DataFrame:
-    """``id``, ``anchor``, ``place`` of all anchors of texts (``id``, ``text``)."""
+
+
+def part_rows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """Of texts (``id``, ``text``): ``id`` and the parts' ``first``, ``count``, ``before``, ``anchor``, ``digest``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, codes, counts = [], [], []
+            found = []
             for value in batch.column("text"):
-                at, code = anchors((value.as_py() or "").encode().split())
-                places.append(at), codes.append(code), counts.append(len(at))
-            if not sum(counts):
-                continue
-            owner = np.repeat(np.arange(batch.num_rows), counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(pa.array(owner)), pa.array(np.concatenate(codes)),
-                    pa.array(np.concatenate(places).astype(np.int32)),
-                ],
-                names=["id", "anchor", "place"],
-            )
+                words = (value.as_py() or "").encode().split()
+                codes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+                found.append(parts(codes, window, gram))
+            owner = np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found])
+            columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+            if len(owner):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(owner)), *columns],
+                    names=["id", "first", "count", "before", "anchor", "digest"],
+                )
 
-    return texts.mapInArrow(find, "id binary, anchor long, place int")
+    return texts.mapInArrow(find, "id binary, first int, count int, before int, anchor long, digest long")
 
 
-def surroundings(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Of texts (``id``, ``text``, ``places`` of anchors): ``id``, ``place``, ``anchor``, ``before`` (words
-    before the anchor), ``words`` (all that a window with the anchor can hold), ``variant`` (their digest), ``length`` (their number)."""
-    reach = window - gram
+def contents(texts: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``before``, ``words`` of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[] for _ in names]
-            for key, text, places in zip(*(batch.column(c) for c in ("id", "text", "places")), strict=True):
-                words, id_ = text.as_py().encode().split(), key.as_py()
-                for p in sorted(set(places.as_py())):
-                    low = max(0, p - reach)
-                    part, length = b" ".join(words[low : p + gram + reach]), min(len(words), p + gram + reach) - low
-                    anchor = xxhash.xxh3_64_intdigest(b" ".join(words[p : p + gram])) - 2**63
-                    digest = xxhash.xxh3_128_digest(b"%d " % (p - low) + part)
-                    for column, value in zip(rows, (id_, p, anchor, p - low, part, digest, length), strict=True):
+            rows: list[list] = [[], [], [], []]
+            for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
+                words = text.as_py().encode().split()
+                for x in wanted.as_py():
+                    part = b" ".join(words[x["first"] : x["first"] + x["count"] - 1 + window])
+                    for column, value in zip(rows, (x["anchor"], x["digest"], x["before"], part), strict=True):
                         column.append(value)
-                if len(rows[0]) > 5000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
-                    rows = [[] for _ in names]
-            if rows[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
-
-    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
-    names = ["id", "place", "anchor", "before", "words", "variant", "length"]
-    return texts.mapInArrow(
-        cut, "id binary, place int, anchor long, before int, words binary, variant binary, length int"
-    )
+            kinds = pa.int64(), pa.int64(), pa.int32(), pa.binary()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["anchor", "digest", "before", "words"]
+            )
+
+    return texts.mapInArrow(cut, "anchor long, digest long, before int, words binary")
 
 
 def factor_spans(same: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -148,146 +106,149 @@ def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def parse_blocks(blocks: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``variant``, ``start``, ``end`` of the duplicate spans of variants (``block``, ``variant``,
-    ``before``, ``words``), each factored against the others of its block. A block's rows come together."""
+    """``anchor``, ``digest``, ``start``, ``end`` of the duplicate spans of variants (``block``, ``anchor``,
+    ``digest``, ``before``, ``words``), each factored against the others of its block.
+
+    The rows of a block come together, in no memory but one block's."""
     reach = window - gram
     width = 2 * reach + gram
 
-    def parse(block: list[tuple[bytes, int, bytes]]) -> Iterator[tuple[bytes, int, int]]:
+    def parse(block: dict[tuple[int, int], tuple[int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
         numbers: dict[bytes, int] = {}
         codes = np.empty((len(block), width), np.int32)
-        for n, (_, before, words) in enumerate(block):
-            codes[n] = -1 - n  # past a text's ends nothing is the same
-            for k, word in enumerate(words.split(), reach - before):
-                codes[n, k] = numbers.setdefault(word, len(numbers))
+        for n, (before, words) in enumerate(block.values()):
+            codes[n] = -1 - n  # past a part's ends nothing is the same
+            mine = [numbers.setdefault(w, len(numbers)) for w in words.split()]
+            codes[n, reach - before : reach - before + len(mine)] = mine
         others = np.ones(len(block), bool)
-        for n, (variant, before, _) in enumerate(block):
+        for n, (variant, (before, _)) in enumerate(block.items()):
             others[n] = False
             for start, end in joined_spans(factor_spans(codes[others] == codes[n], window)):
-                yield variant, start - (reach - before), end - (reach - before)
+                yield *variant, start - (reach - before), end - (reach - before)
             others[n] = True
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def blocks_of() -> Iterator[list]:
-            key, held = None, []
-            for batch in batches:
-                for row in zip(*(batch.column(c).to_pylist() for c in ("block", "variant", "before", "words")), strict=True):
-                    if row[0] != key:
-                        if held:
-                            yield held
-                        key, held = row[0], []
-                    held.append(row[1:])
-            if held:
-                yield held
-
-        found: list[tuple[bytes, int, int]] = []
-        for block in blocks_of():
-            found += parse(block)
+        key, held, found = None, {}, []
+        for batch in batches:
+            for block, anchor, digest, before, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != key:
+                    found += parse(held)
+                    key, held = block, {}
+                held[anchor, digest] = (before, words)
             if len(found) > 5000:
                 yield spans_batch(found)
                 found = []
-        yield spans_batch(found)
+        yield spans_batch([*found, *parse(held)])
 
-    def spans_batch(found: list) -> pa.RecordBatch:
+    def spans_batch(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+        rows = np.array(found, np.int64).reshape(-1, 4).T
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([x for x, _, _ in found], pa.binary()), pa.array([x for _, x, _ in found], pa.int32()),
-                pa.array([x for _, _, x in found], pa.int32()),
-            ],
-            names=["variant", "start", "end"],
-        )
+            [pa.array(c.astype(k)) for c, k in zip(rows, (np.int64, np.int64, np.int32, np.int32), strict=True)],
+            names=["anchor", "digest", "start", "end"],
+        )
 
-    together = blocks.select("block", "variant", "before", "words").repartition("block").sortWithinPartitions("block")
-    return together.mapInArrow(stream, "variant binary, start int, end int")
+    together = blocks.select("block", "anchor", "digest", "before", "words").repartition("block").sortWithinPartitions("block")
+    return together.mapInArrow(stream, "anchor long, digest long, start int, end int")
 
 
 def dealt_again(blocks: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Rows of too large blocks, each in two blocks of half the windows: those that start in ``low`` to
-    ``high`` words of the part share all words from ``high`` to ``low + window``."""
+    """Rows of too large blocks, each in two blocks of half the windows: those that start ``low`` to
+    ``high`` words into the anchor's surroundings share all words from ``high`` to ``low + window``."""
     reach = window - gram
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], [], []]
-            for _, variant, before, words, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                parts = words.split()
-                first = reach - before  # the place of the first word
+            rows: list[list] = [[] for _ in names]
+            for _, anchor, digest, before, words, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = words.split()
+                first = reach - before  # where the part's first word is
                 middle = (low + high) // 2
                 for a, b in ((low, middle), (middle + 1, high)):
-                    core = parts[max(0, b - first) : a + window - first]
+                    # all windows of a half hold its core; a part without the whole core has none of them,
+                    # for its windows are all that its document has with this anchor
+                    core = own[max(0, b - first) : max(0, a + window - first)]
                     if a > b or b < first or len(core) < a + window - b:
-                        continue  # no window of these is whole
+                        continue
                     block = xxhash.xxh3_64_intdigest(b"%d %d " % (a, b) + b" ".join(core)) - 2**63
-                    for column, value in zip(rows, (block, variant, before, words, a, b), strict=True):
+                    for column, value in zip(rows, (block, anchor, digest, before, words, a, b), strict=True):
                         column.append(value)
-            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.int32()]
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32()
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
 
-    names = ["block", "variant", "before", "words", "low", "high"]
+    names = ["block", "anchor", "digest", "before", "words", "low", "high"]
     return blocks.select(*names).mapInArrow(
-        deal, "block long, variant binary, before int, words binary, low int, high int"
+        deal, "block long, anchor long, digest long, before int, words binary, low int, high int"
     )
 
 
 def duplicate_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
-    """``id`` and ``spans`` (start and end in words) of what repeats, in distinct texts (``id``, ``text``)."""
-    reach = window - gram
-    found = Staged(anchor_rows(texts), "anchors")
+    """``id`` and ``spans`` (start and end in words) of what repeats, in texts (``id``, ``text``)."""
+    spark = texts.sparkSession
+    place = F.xxhash64("id", "first")
+    found = Staged(part_rows(texts, window, gram), "parts")
     rows = found.read()
-    repeated = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    places = rows.join(repeated, "anchor").groupBy("id").agg(F.collect_set("place").alias("places"))
-    around = Staged(surroundings(texts.join(places, "id")), "parts")
+    anchors = (
+        rows.groupBy("anchor")
+        .agg(
+            F.min(place).alias("one"), F.max(place).alias("two"), F.min("digest").alias("low"), F.max("digest").alias("high")
+        )
+        .where("one <> two")
+        .select("anchor", (F.col("low") == F.col("high")).alias("equal"))
+    )
+    repeated = Staged(rows.join(anchors, "anchor"), "repeated")
     found.discard()
-    part = around.read()
-    at = part.select("id", "place", "anchor", "before", "variant", "length").dropDuplicates(["id", "place"])
-    variants = Staged(
-        at.groupBy("anchor", "variant").agg(F.count(F.lit(1)).alias("copies")), "variants"
+    let_go(spark)
+    rows = repeated.read()
+    end = F.col("first") + F.col("count") - 1 + window
+    spans = rows.where("equal").select("id", F.col("first").alias("start"), end.alias("end"))
+    open_rows = rows.where("NOT equal")
+    variants = open_rows.groupBy("anchor", "digest").agg(
+        F.min(place).alias("one"), F.max(place).alias("two"), F.min(F.struct("id", "first", "count", "before")).alias("at")
     )
-    several = variants.read().groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    rows = Staged(
-        part.select("anchor", "variant", "before", "words")
-        .join(several, "anchor", "left_semi")
-        .groupBy("anchor", "variant")
-        .agg(F.first("before").alias("before"), F.first("words").alias("words"))
-        .select(F.col("anchor").alias("block"), "variant", "before", "words", F.lit(0).alias("low"), F.lit(reach).alias("high")),
-        "blocks",
+    variants = Staged(variants.select("anchor", "digest", (F.col("one") != F.col("two")).alias("copied"), "at.*"), "variants")
+    wanted = (
+        variants.read()
+        .groupBy("id")
+        .agg(F.collect_list(F.struct("anchor", "digest", "first", "count", "before")).alias("wanted"))
     )
-    found_spans: list[DataFrame] = []
+    dealt = Staged(
+        contents(texts.join(wanted, "id"), window).select(
+            F.col("anchor").alias("block"), "anchor", "digest", "before", "words",
+            F.lit(0).alias("low"), F.lit(window - gram).alias("high"),
+        ),
+        "blocks",
+    )
+    let_go(spark)
+    # a part that occurs more than once as a whole
+    by_variant = variants.read().where("copied").select("anchor", "digest", F.lit(0).alias("start"), F.lit(2**30).alias("end"))
     while True:
-        dealt = rows.read()
-        sizes = dealt.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.max(F.col("high") - F.col("low")).alias("width"))
-        fits = sizes.where(f"size BETWEEN 2 AND {block} AND width > 0").select("block")
-        found_spans.append(Staged(parse_blocks(dealt.join(fits, "block", "left_semi")), "spans").read())
+        blocks = dealt.read()
+        sizes = blocks.groupBy("block").agg(
+            F.countDistinct("anchor", "digest").alias("size"), F.max(F.col("high") - F.col("low")).alias("width")
+        )
+        sizes = Staged(sizes.where("size > 1"), "sizes").read()
+        fits = sizes.where(f"size <= {block} AND width > 0").select("block")
+        by_variant = by_variant.unionByName(
+            Staged(parse_blocks(blocks.join(fits, "block", "left_semi"), window, gram), "spans").read()
+        )
         # a block of one window: all its variants have it
-        one = sizes.where("size > 1 AND width = 0").select("block")
-        found_spans.append(
-            dealt.join(one, "block", "left_semi").select(
-                "variant",
-                (F.col("low") - reach + F.col("before")).alias("start"),
-                (F.col("low") - reach + F.col("before") + window).alias("end"),
-            )
+        single = sizes.where("width = 0").select("block")
+        shift = F.col("low") - (window - gram) + F.col("before")
+        by_variant = by_variant.unionByName(
+            blocks.join(single, "block", "left_semi").select("anchor", "digest", shift.alias("start"), (shift + window).alias("end"))
         )
         large = sizes.where(f"size > {block} AND width > 0").select("block")
-        again = Staged(dealt_again(dealt.join(large, "block", "left_semi")), "blocks")
-        if again.read().isEmpty():
+        if large.isEmpty():
             break
-        rows = again
-    # a part that occurs more than once as a whole
-    whole = variants.read().where("copies > 1").select("variant", F.lit(0).alias("start"), F.lit(2**30).alias("end"))
-    for more in found_spans:
-        whole = whole.unionByName(more)
-    by_variant = whole.groupBy("variant").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    spans = at.join(by_variant, "variant").select(
-        "id",
-        F.explode("spans").alias("span"),
-        (F.col("place") - F.col("before")).alias("from"),
-        "length",
-    )
-    return spans.groupBy("id").agg(
-        F.collect_set(
-            F.struct((F.col("from") + F.col("span.start")).alias("start"), (F.col("from") + F.least("span.end", "length")).alias("end"))
-        ).alias("spans")
+        dealt = Staged(dealt_again(blocks.join(large, "block", "left_semi"), window, gram), "blocks")
+    by_variant = by_variant.groupBy("anchor", "digest").agg(F.collect_set(F.struct("start", "end")).alias("own"))
+    more = open_rows.join(by_variant, ["anchor", "digest"]).select("id", "first", end.alias("last"), F.explode("own").alias("x"))
+    spans = spans.unionByName(
+        more.select(
+            "id", (F.col("first") + F.col("x.start")).alias("start"), F.least(F.col("first") + F.col("x.end"), "last").alias("end")
+        )
     )
+    return spans.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def substring_dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -300,10 +261,11 @@ def substring_dedup(documents: DataFrame, key: str = "doc_id", text: str = "text
     repeat. Other columns are not read; no documents give no rows.
     """
     keep = keep or [key]
-    body = documents.withColumn("whole_text_id", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
+    body = documents.withColumn("whole_text_id", F.unhex(F.substring(F.md5(F.coalesce(F.col(text), F.lit(""))), 1, 24)))
     rows = body.select(F.col("whole_text_id").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
     copies = rows.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
     spans = Staged(duplicate_spans(rows), "text-spans")
+    let_go(documents.sparkSession)
     notes = copies.where("copies > 1").join(spans.read(), "id", "full").select(
         F.col("id").alias("whole_text_id"), (F.coalesce("copies", F.lit(1)) > 1).alias("copied"), "spans"
     )
