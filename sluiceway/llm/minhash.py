@@ -217,39 +217,38 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     links = check.of(rest.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
     groups = Staged(merged(groups.read(), links.read()), "groups")
 
-    limit, done = CENTRES, None
+    limit = CENTRES
+    state = members.read().where("doc <> centre").select("bucket", "doc")
     while True:
-        now = members.read().select("bucket", "doc", (F.col("doc") == F.col("centre")).alias("was"))
-        if done is not None:
-            now = now.join(done.read().select("bucket", "doc", F.lit(True).alias("been")), ["bucket", "doc"], "left").select(
-                "bucket", "doc", (F.col("was") | F.coalesce("been", F.lit(False))).alias("was")
-            )
-        now = now.join(groups.read(), "doc", "left").withColumn("group", F.coalesce("group", "doc"))
-        mixed_ones = (
-            now.where("NOT was").groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y")
-        )
-        open_rows = Staged(now.where("NOT was").join(mixed_ones.select("bucket"), "bucket", "left_semi"), "open")
-        opened = open_rows.read()
+        now = state.join(groups.read(), "doc", "left").select("bucket", "doc", F.coalesce("group", "doc").alias("group"))
+        opened = Staged(several_groups(now), "open").read()
         if opened.isEmpty():
             break
-        sizes = opened.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("size"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("size", "group")).alias("main"))
-        odd = opened.join(largest, "bucket").where("group <> main")
+        able = several_groups(opened.join(shared_sizes(source, opened), "doc").where(f"100 * shared >= {percent} * size"))
+        able = Staged(able, "able").read()
+        sizes = able.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("rows"))
+        largest = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("rows", "group")).alias("main"))
         turn = Window.partitionBy("bucket").orderBy("doc")
         centres = Staged(
-            odd.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= limit).select("bucket", "doc", "group"),
+            able.join(largest, "bucket")
+            .where("group <> main")
+            .withColumn("turn", F.row_number().over(turn))
+            .where(F.col("turn") <= limit)
+            .select("bucket", *(F.col(c).alias(f"{c}_of_centre") for c in ("doc", "group", "size", "shared"))),
             "centres",
-        )
+        ).read()
+        common = F.least("shared", "shared_of_centre")
         pairs = (
-            opened.join(centres.read().withColumnsRenamed({"doc": "centre", "group": "other"}), "bucket")
-            .where("group <> other")
-            .select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b"))
+            able.join(centres, "bucket")
+            .where(F.col("group") != F.col("group_of_centre"))
+            .where(100 * common >= percent * (F.col("size") + F.col("size_of_centre") - common))
+            .select(F.least("doc", "doc_of_centre").alias("a"), F.greatest("doc", "doc_of_centre").alias("b"))
             .distinct()
         )
         links = check.of(pairs)
         groups = Staged(merged(groups.read(), links.read()), "groups")
-        been = centres.read().select("bucket", "doc")
-        done = Staged(been if done is None else done.read().unionByName(been), "done")
+        been = centres.select("bucket", F.col("doc_of_centre").alias("doc"))
+        state = Staged(able.select("bucket", "doc").join(been, ["bucket", "doc"], "left_anti"), "left").read()
         limit *= 4
 
     result = (
@@ -266,6 +265,38 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
 
 
+def several_groups(rows: DataFrame) -> DataFrame:
+    """Rows of buckets with more than one group."""
+    mixed_up = rows.groupBy("bucket").agg(F.min("group").alias("one"), F.max("group").alias("two")).where("one <> two")
+    return rows.join(mixed_up.select("bucket"), "bucket", "left_semi")
+
+
+def shared_sizes(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """``doc``, ``size`` of its set and ``shared``, how many of it some other document of the rows has.
+
+    Two documents have no more in common than the smaller of their shared numbers, so these bound
+    their similarity from above, exactly.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(x.as_py()) for x in batch.column("text")]
+            owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc").take(pa.array(owner)), pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))],
+                names=["doc", "shingle"],
+            )
+
+    kind = documents.schema["doc"].dataType.simpleString()
+    some = documents.join(rows.select("doc").distinct(), "doc", "left_semi")
+    each = Staged(some.mapInArrow(spread, f"doc {kind}, shingle long").distinct(), "shingles").read()
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("documents")).where("documents > 1").select("shingle", F.lit(1).alias("one"))
+    return Staged(
+        each.join(common, "shingle", "left").groupBy("doc").agg(F.count(F.lit(1)).alias("size"), F.count("one").alias("shared")),
+        "shared",
+    ).read()
+
+
 def apart(pairs: DataFrame, one: str, two: str, groups: DataFrame) -> DataFrame:
     """Pairs whose ends are not in one group yet."""
     for end in (one, two):
