@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import bisect
+import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,38 +19,51 @@ from sluiceway.llm.shared import Staged, part_count
 
 #: Pieces that are packed together, in one task.
 GROUP_ROWS = 100_000
-#: Words whose identifiers a worker keeps; when full, it starts anew.
-KEPT_WORDS = 400_000
+#: Words whose identifiers a worker keeps in each of two generations.
+KEPT_WORDS = 500_000
 #: Underfull bins in a row that swaps could not lower before the search ends.
 PATIENCE = 50
 
 
 class WordIds:
-    """Identifiers by word as bytes of little-endian 32-bit numbers, from the vocabulary's own library."""
+    """Identifiers by word as bytes of little-endian 32-bit numbers, from the vocabulary's own library.
+
+    Words are kept in two generations: when the new one is full it becomes the old one, from which
+    words that come again are taken over.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known.clear()
-            new = [*words]
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            for word, found in zip(
-                some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True
-            ):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-
-    def of(self, text: bytes) -> bytes:
+        if len(self.known) >= KEPT_WORDS:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        new = []
+        for word in words:
+            if word not in known:
+                if (ids := old.get(word)) is not None:
+                    known[word] = ids
+                else:
+                    new.append(word)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        for word, encoding in zip(new, found, strict=True):
+            ids = array("I", encoding.ids)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            known[word] = ids.tobytes()
+
+    def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """No token reaches across ASCII white space, so a text's identifiers are its words' in turn."""
-        words = text.split()
-        self.learn(set(words))
-        return b"".join(map(self.known.__getitem__, words))
+        split = [text.split() for text in texts]
+        self.learn(set().union(*split))
+        for words in split:
+            yield b"".join(map(self.known.__getitem__, words))
 
 
 _ids: dict[str, WordIds] = {}
@@ -61,15 +77,15 @@ def ids_for(path: str) -> WordIds:
 
 
 def cut(documents: DataFrame, key: str, text: str, vocabulary: str, end_id: int, size: int) -> DataFrame:
-    """A row per piece of at most ``size`` tokens: key, piece, start, length, ids_crc32, whole_text_bytes."""
+    """A row per piece of at most ``size`` tokens: key, piece, start, length, ids_crc32."""
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = ids_for(vocabulary)
-        for batch in batches:
+        for batch in (whole.slice(start, 200) for whole in batches for start in range(0, whole.num_rows, 200)):
             rows: list[tuple[int, int, int, int, int]] = []
-            for i, value in enumerate(batch.column(1)):
-                ids = words.of((value.as_py() or "").encode()) + end
+            for i, ids in enumerate(words.of([(x or "").encode() for x in batch.column(1).to_pylist()])):
+                ids += end
                 for n, start in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[start : start + 4 * size]
                     rows.append((i, n, start // 4, len(part) // 4, zlib.crc32(part)))
