@@ -1,0 +1,272 @@
+"""Operators over many documents: near copies, repeats, archives, neighbours, the pipeline."""
+
+import collections
+import hashlib
+import itertools
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sluiceway.llm import (
+    anchored,
+    components,
+    external_suffixes,
+    minhash,
+    neighbours,
+    substrings,
+    suffix_dedup,
+    warc,
+)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingle_set(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def near(texts, percent):
+    """Smallest key of the component by key, by comparing all pairs."""
+    sets = collections.defaultdict(list)
+    for key, text in texts:
+        if key is not None:
+            sets[key].append(shingle_set(text))
+    root = {k: k for k in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b]):
+                root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_near_duplicates(documents, texts, nothing):
+    rows = minhash.near_duplicates(documents).collect()
+    assert len(rows) == len(texts)
+    expected = near(texts, 85)
+    for r in rows:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.component_id, r.kept) == (expected[r.doc_id], expected[r.doc_id] == r.doc_id)
+    sizes = collections.Counter((i, len(shingle_set(t))) for i, t in texts)
+    assert collections.Counter((r.doc_id, r.n_shingles) for r in rows) == sizes
+    assert minhash.near_duplicates(nothing).collect() == []
+
+
+def test_links_beside_the_centre(spark):
+    """Members that are too far from a bucket's centre are still linked with each other."""
+    words = [f"w{n}" for n in range(200)]
+
+    def edited(places, sign):
+        return " ".join(f"{sign}{w}" if n in places else w for n, w in enumerate(words))
+
+    far = set(range(5, 45, 6))
+    texts = [(1, " ".join(words))]
+    texts += [(10 + k, edited(far | {100 + 9 * k}, "far")) for k in range(6)]
+    texts += [(30 + k, edited(set(range(60, 100, 6)) | {120 + 9 * k}, "other")) for k in range(6)]
+    rows = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), percent=85).collect()
+    expected = near(texts, 85)
+    assert len(set(expected.values())) > 1
+    assert {r.doc_id: r.component_id for r in rows} == expected
+
+
+def test_components(spark):
+    draw = np.random.default_rng(3)
+    links = [(int(a), int(b)) for a, b in draw.integers(0, 150, (90, 2))] + [(200 + n, 201 + n) for n in range(40)]
+    root = {n: n for n in {x for pair in links for x in pair}}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    frame = spark.createDataFrame([*links, (7, None)], "a long, b long")
+    found = {r.a: r.component for r in components.components(frame).collect()}
+    lone = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+    assert found == {k: v for k, v in root.items() if k not in lone}
+    assert components.components(frame.limit(0)).collect() == []
+
+
+def without_repeats(texts, window):
+    words = [WORD.findall(t or "") for _, t in texts]
+    counts = collections.Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
+    for own in words:
+        gone = {
+            k for i in range(len(own) - window + 1) if counts[tuple(own[i : i + window])] > 1 for k in range(i, i + window)
+        }
+        yield len(own), len(gone), " ".join(w for k, w in enumerate(own) if k not in gone)
+
+
+def test_substring_dedup(documents, texts, nothing):
+    rows = substrings.substring_dedup(documents, keep=["doc_id", "shard"]).collect()
+    assert len(rows) == len(texts)
+    expected = [*without_repeats(texts, 35)]
+    assert sum(gone for _, gone, _ in expected) > 200
+    for r in rows:
+        size, gone, kept = expected[r.shard]
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (size, gone, hashlib.sha256(kept.encode()).hexdigest())
+        assert r.kept_text == (kept if gone else texts[r.shard][1])
+    assert substrings.substring_dedup(nothing).collect() == []
+
+
+def test_large_blocks_are_dealt_again(spark):
+    """A line that many texts share, some of them with more words around it."""
+    line = " ".join(f"line{n}" for n in range(20))
+    texts = [
+        (n, f"{' '.join(f'a{n}x{k}' for k in range(40))} {'same ' * (n % 3)}{line} {' '.join(f'b{n % 7}x{k}' for k in range(40))}")
+        for n in range(40)
+    ]
+    frame = spark.createDataFrame(texts, "id long, text string").select(F.col("id").cast("string").cast("binary").alias("id"), "text")
+    found = substrings.duplicate_spans(frame, window=12, gram=4, block=3).collect()
+    spans = {int(bytes(r.id)): substrings.joined_spans([(x.start, x.end) for x in r.spans]) for r in found}
+    for (key, text), (_, gone, _) in zip(texts, without_repeats(texts, 12), strict=True):
+        assert sum(b - a for a, b in spans.get(key, [])) == gone, text
+
+
+def test_every_window_is_in_one_part(monkeypatch):
+    draw = np.random.default_rng(4)
+    monkeypatch.setattr(anchored, "PLACE_BITS", 7)
+    monkeypatch.setattr(anchored, "PLACES", np.uint64(127))
+    codes = anchored.mixed(draw.integers(0, 3, 1000).astype(np.uint64))
+    first, count, before, anchor, _ = anchored.parts(codes, 20, 6)
+    assert [w for a, n in zip(first, count, strict=True) for w in range(a, a + n)] == list(range(981))
+    assert (before >= 0).all() and (before + 6 <= 20 + count).all()
+    assert len(anchored.parts(codes[:19], 20, 6)[0]) == 0
+
+
+def brute_suffixes(text):
+    items = text.tolist()
+    return sorted(range(len(items)), key=lambda i: items[i:])
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_suffixes_on_disk(seed, monkeypatch):
+    draw = np.random.default_rng(seed)
+    letters = int(draw.integers(1, 5))
+    text = np.append(np.tile(draw.integers(1, letters + 1, int(draw.integers(1, 12))), int(draw.integers(1, 7))), 0)
+    monkeypatch.setattr(external_suffixes, "SLICE", int(draw.integers(1, 20)))
+    found = list(external_suffixes.suffixes(text.astype(np.uint16), 5, int(draw.integers(1, 30)), int(draw.integers(0, 6))))
+    order = brute_suffixes(text)
+    common = [0] + [external_suffixes.common_prefix(text, a, b, 5) for a, b in zip(order, order[1:], strict=False)]
+    assert np.concatenate([a for a, _ in found]).tolist() == order
+    assert np.concatenate([b for _, b in found]).tolist() == common
+
+
+def test_suffix_dedup(documents, texts, nothing):
+    rows = suffix_dedup.suffix_dedup(documents, keep=["doc_id", "shard"], shard_bytes=3000, held=500).collect()
+    assert len(rows) == len(texts)
+    data = [(2**63 if i is None else i, (t or "").encode()) for i, t in texts]
+    least = {}
+    for key, text in data:
+        for i in range(len(text) - 49):
+            least[text[i : i + 50]] = min(key, least.get(text[i : i + 50], key))
+    for r in rows:
+        key, text = data[r.shard]
+        gone = {k for i in range(len(text) - 49) if least[text[i : i + 50]] < key for k in range(i, i + 50)}
+        kept = bytes(c for k, c in enumerate(text) if k not in gone)
+        spans = sum(k - 1 not in gone for k in gone)
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(text), len(gone), spans)
+        assert r.kept_bytes == kept and r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+    assert suffix_dedup.suffix_dedup(nothing).collect() == []
+
+
+def test_archives(spark, tmp_path):
+    long = "long é\r\n\r\nWARC/1.1\r\n" * 3000
+    pages = [
+        (3, "http://a/\r\nx", long), (2, None, long), (7, "u", long), (4, "u", None), (5, "u", "short"), (6, "u", "short"),
+        (8, "u", ""), (None, "u", long), (2, None, long), (9, "u", "z" * 100), (10, "v", "z" * 100),
+    ]
+    frame = spark.createDataFrame([(*p, "clash") for p in pages], "page_id long, url string, html string, chunk string")
+    found = warc.archive_round_trip(frame.repartition(3)).collect()
+    digest = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    firsts = {long: 2, "z" * 100: 9}
+    expected = collections.Counter(
+        (i, len((t or "").encode()), digest(t), "revisit" if (again := firsts.get(t, i) != i) else "response", firsts[t] if again else None)
+        for i, _, t in pages
+    )
+    assert collections.Counter(map(tuple, found)) == expected
+    assert warc.archive_round_trip(frame.limit(0)).collect() == []
+
+    archives = warc.write_archives(frame, str(tmp_path / "w"), "page_id", "url", "html", archive_bytes=100).read()
+    assert archives.agg(F.sum("records")).first()[0] == len(pages) and archives.count() > 1
+    rows = warc.read_chunks(archives, chunk_bytes=1000).orderBy("record_key", "chunk_number").collect()
+    payload = b"".join(r.chunk for r in rows if r.record_key == 9)
+    assert payload == b"z" * 100
+    parts = [r for r in rows if r.record_key == 2]
+    half = parts[: len(parts) // 2]
+    assert [r.chunk_number for r in half] == sorted(r.chunk_number for r in half)
+    for r in rows:
+        if r.last and r.record_type == "response":
+            assert r.sha256_so_far == r.stated_digest and r.chunk_offset + r.chunk_bytes == r.stated_bytes
+
+
+def exact_neighbours(vectors, query, count):
+    own = np.array(vectors[query][0])
+    scores = sorted((-float(np.dot(np.array(v), own)), i) for i, (v, _) in vectors.items() if i != query and len(v) == len(own))
+    return [(i, -s) for s, i in scores[:count]]
+
+
+def test_nearest(spark):
+    draw = np.random.default_rng(6)
+    good = {n: (draw.normal(size=8).round(2).tolist(), 0) for n in range(300)}
+    good |= {n: (good[5][0], 0) for n in range(300, 360)}  # one common vector
+    good |= {900: ([1.0, 2.0], 0), 901: ([2.0, 1.0], 0)}
+    bad = [(-1, None), (-2, []), (-3, [0.0] * 8), (-4, [None] + [1.0] * 7), (-5, [float("nan")] * 8), (-6, [float("inf")] * 8), (None, [1.0] * 8)]
+    rows = [(i, v, "x", "y") for i, (v, _) in good.items()] + [(i, v, "x", "y") for i, v in bad] + [(5, good[5][0], "x", "y")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string, rank string")
+    asked = F.col("vec_id") % 20 == 0
+    found = collections.defaultdict(list)
+    for r in neighbours.nearest(frame, asked, count=7).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+        assert r["rank"] == len(found[r.query_id])
+    hits = total = 0
+    for query in (i for i in good if i % 20 == 0):
+        expected = exact_neighbours(good, query, 7)
+        assert len(found[query]) == len(expected)
+        assert [s for _, s in found[query]] == sorted((s for _, s in found[query]), reverse=True)
+        for i, s in found[query]:
+            assert abs(s - np.dot(good[i][0], good[query][0])) < 1e-9
+        hits += len({i for i, _ in found[query]} & {i for i, _ in expected})
+        total += len(expected)
+    assert hits / total > 0.95
+    assert set(found) == {i for i in good if i % 20 == 0}
+    assert neighbours.nearest(frame.limit(0), asked).collect() == []
+
+
+def test_recall(spark, sf):
+    frame = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/embeddings.parquet")
+    rows = {r.vec_id: (r.embedding, 0) for r in frame.collect()}
+    hits = total = 0
+    found = collections.defaultdict(set)
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    for query, own in found.items():
+        hits += len(own & {i for i, _ in exact_neighbours(rows, query, 20)})
+        total += 20
+    assert total and hits / total >= 0.9
+
+
+def test_pipeline(spark, documents, texts, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(13, 1), (14, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    docs, kept = documents, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == documents.columns
+        kept.append({(r.shard, r.text) for r in docs.select("shard", "text").collect()})
+    good = [n for n, (_, t) in enumerate(texts) if len(words := WORD.findall(t or "")) >= 20 and _repeats(words) * 100 <= 30 * len(words)]
+    assert {n for n, _ in kept[0]} == set(good)
+    roots = near([texts[n] for n in good], corpus_pipeline.NEAR_PERCENT)
+    stay = [n for n in good if texts[n][0] is None or roots[texts[n][0]] == texts[n][0]]
+    assert {n for n, _ in kept[1]} == set(stay)
+    expected = [kept for _, _, kept in without_repeats([texts[n] for n in stay], 35)]
+    assert {(n, tuple(WORD.findall(t or ""))) for n, t in kept[2]} == {(n, tuple(e.split(" ")) if e else ()) for n, e in zip(stay, expected, strict=True)}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in packed if r.piece == 0) == sorted(str(texts[n][0]) for n in stay)
+
+
+def _repeats(words):
+    windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    return len({k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)})

@@ -1,0 +1,230 @@
+"""Operators that give rows of single documents: shards, statistics, counts, pieces, segmentations."""
+
+import collections
+import json
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from sluiceway.llm import packing, quality, sentencepiece_sampling, sharding, token_counts, trees
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_shards(documents, texts, nothing):
+    rows = sharding.shard_manifest(documents, "doc_id", "text", [1.0] * 5, block_rows=4).collect()
+    assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == collections.Counter(
+        (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in texts
+    )
+    for shard in range(5):
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert all(r.grown_shard in (r.shard, 5) for r in rows)
+    assert len({r.shard for r in rows if r.doc_id == 1}) == 1
+    assert sharding.shard_manifest(nothing, "doc_id", "text", [1.0, 2.0]).collect() == []
+
+
+def test_weights_and_growth(spark):
+    keys = spark.range(20_000)
+    count = lambda weights: [
+        r["count"] for r in sharding.with_shard(keys, "id", weights).groupBy("shard").count().orderBy("shard").collect()
+    ]
+    few = count([1.0, 1.0, 2.0])
+    assert abs(few[2] - 10_000) < 400 and abs(few[0] - 5_000) < 400
+    moved = (
+        sharding.with_shard(sharding.with_shard(keys, "id", [1.0] * 9, "a"), "id", [1.0] * 10, "b").where("a <> b").collect()
+    )
+    assert {r.b for r in moved} == {9} and abs(len(moved) - 2_000) < 250
+
+
+def plain_statistics(text):
+    words = WORD.findall(text or "")
+    windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)}
+    seen, repeated = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            repeated += line in seen
+            seen.add(line)
+    return [len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), repeated, len(covered)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab# \n\t\x1c<漢", max_size=120))
+def test_statistics(text):
+    assert quality.statistics(text)[0] == plain_statistics(text)
+
+
+def test_quality_rules(spark, documents, texts, nothing):
+    labels = spark.createDataFrame([(13, 1), (14, None), (None, 1), (999, 0)], "doc_id long, quality int")
+    rows = quality.quality(documents, labels, keep=["doc_id", "shard"]).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        counts = plain_statistics(texts[row.shard][1])
+        assert [row[c] for c in quality.COUNTS] == counts
+        assert row.base_failed == (counts[0] < 20 or 100 * counts[4] > 30 * counts[0])
+        assert row.kept == (not row.base_failed)  # labels of one kind: nothing to learn from
+    assert quality.quality(nothing, labels).collect() == []
+
+
+def test_trees_learn_and_are_monotonic():
+    draw = np.random.default_rng(1)
+    rows = draw.random((4000, 4))
+    good = ((rows[:, 0] < 0.5) & (rows[:, 1] > 0.3)).astype(float)
+    noisy = np.where(draw.random(4000) < 0.05, 1 - good, good)
+    forest = trees.fit(rows[:3000], noisy[:3000], np.array([-1, 1, 0, 0]))
+    held_out = forest.probability(rows[3000:]) > 0.5
+    assert (held_out == (good[3000:] > 0.5)).mean() > 0.97
+    for feature, sign in ((0, -1), (1, 1)):
+        grid = np.repeat(rows[:50], 40, axis=0)
+        grid[:, feature] = np.tile(np.linspace(-1, 2, 40), 50)
+        steps = np.diff(forest.margin(grid).reshape(50, 40), axis=1) * sign
+        assert steps.min() >= -1e-9
+    for one_kind in (np.ones(5), np.zeros(0)):
+        assert trees.fit(rows[: len(one_kind)], one_kind, np.zeros(4)).probability(rows[:3]).shape == (3,)
+
+
+def test_held_out_labels(spark, sf):
+    documents, labels = (spark.read.parquet(f"{sf.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    judged = quality.quality(documents, labels.where(half == 0)).join(labels.where(half == 1), "doc_id").where("NOT base_failed")
+    rows = judged.select("kept", "quality").collect()
+    assert sum(r.kept == (r.quality == 1) for r in rows) / len(rows) > 0.95
+
+
+def library():
+    tokenizer = Tokenizer.from_file(BPE)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_token_counts(documents, texts, nothing):
+    ids = library()
+    rows = token_counts.token_counts(documents, BPE, 100).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in rows) == collections.Counter(
+        (i, len((t or "").encode()), n := len(ids(t)), n > 100) for i, t in texts
+    )
+    assert token_counts.token_counts(nothing, BPE, 100).collect() == []
+
+
+def test_token_counts_of_odd_texts():
+    ids, counts, draw = library(), token_counts.counts_for(BPE), random.Random(2)
+    odd = [
+        "Σ", "ΑΣ", "é", "́", "İ", "<|endoftext|>", "<|ENDOFTEXT|>", " ", "\n", "\x1c", "\x85", "\xa0", "'s", "'LL", "12",
+        "½", "漢", "😀", "ß", "ﬁ", "​", "\x00", "!--", "ǅ", "the", "inging", "하",
+    ]
+    for _ in range(3000):
+        text = "".join(draw.choice(odd) for _ in range(draw.randint(0, 12)))
+        assert counts.of(text.encode()) == len(ids(text)), repr(text)
+
+
+def test_unknown_vocabulary(tmp_path):
+    spec = json.load(open(BPE)) | {"pre_tokenizer": {"pretokenizers": [{"type": "Other"}, {"type": "ByteLevel"}]}}
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        token_counts.PairMerger(str(tmp_path / "other.json"))
+
+
+def test_packing(documents, texts, nothing):
+    ids = library()
+    rows = packing.pack(documents, BPE, size=128, group_rows=1000).collect()
+    all_ids = collections.defaultdict(list)
+    for i, t in texts:
+        all_ids[i].append(np.array([*ids(t), 0], "<u4"))
+    expected = collections.Counter(
+        (i, n, start, len(x[start : start + 128]), zlib.crc32(x[start : start + 128].tobytes()))
+        for i, several in all_ids.items() for x in several for n, start in enumerate(range(0, len(x), 128))
+    )
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected
+    bins = collections.defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for placed in bins.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 128
+    assert len(bins) <= -(-sum(r.length for r in rows) // 128) + 2
+    assert packing.pack(nothing, BPE).collect() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=60))
+def test_packed_lengths(lengths):
+    sizes = np.array(lengths, np.int64)
+    bins = packing.pack_lengths(sizes, 20)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(sizes[b].sum() <= 20 for b in bins)
+    assert len(bins) <= len(packing.best_fit(sizes, 20))
+
+
+def test_swaps_empty_a_bin():
+    # two for one: 4 and 3 go for a 6
+    sizes = np.array([6, 3, 4, 3, 3])
+    found = packing.SwapSearch(sizes, [[0, 1], [2, 3], [4]], 10).run()
+    assert len(found) == 2 and sorted(i for b in found for i in b) == [0, 1, 2, 3, 4]
+
+
+def test_sampled_segmentations(documents, texts, nothing):
+    rows = sentencepiece_sampling.sampled_segmentations(documents, PIECES, 3, with_ids=True).collect()
+    again = sentencepiece_sampling.sampled_segmentations(documents.repartition(7), PIECES, 3, with_ids=True).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    processor = sentencepiece_sampling.Vocabulary(PIECES).processor
+    by_id = dict(texts)
+    for r in rows:
+        text = by_id[r.doc_id] or ""
+        assert r.round_trip == ("▁" not in text)
+        if r.round_trip:
+            assert processor.decode(r.ids) == text
+        assert r.n_pieces == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        assert r.log_prob <= 0 and r.log_inclusion <= 0
+    samples = collections.defaultdict(set)
+    for r in rows:
+        samples[r.doc_id].add(tuple(r.ids))
+    assert all(len(s) == 3 for i, s in samples.items() if len(by_id[i] or "") > 5) and samples[5] == samples[6] == {()}
+    assert sentencepiece_sampling.sampled_segmentations(nothing, PIECES, 2).collect() == []
+
+
+def test_samples_follow_the_law():
+    lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
+    weight, last = lattices.vocabulary.weight, lattices.vocabulary.last
+    marked, law = "▁ab▁ca", {}
+
+    def spell(at, pieces, total):
+        if at == len(marked):
+            law[tuple(pieces)] = total
+        for end in range(at + 1, len(marked) + 1):
+            piece = marked[at:end]
+            if piece in weight or end == at + 1:
+                spell(end, [*pieces, piece], total + weight.get(piece, last))
+
+    spell(0, [], 0.0)
+    whole = math.log(sum(map(math.exp, law.values())))
+    law = {k: math.exp(w - whole) for k, w in law.items()}
+    units = lattices.vocabulary.units("ab ca")
+    lattices.learn(units)
+    first, second, weights = collections.Counter(), collections.Counter(), collections.Counter()
+    for seed in range(6000):
+        paths, threshold = sentencepiece_sampling.Sampler(lattices, units, np.random.default_rng(seed)).sample(3)
+        found = [tuple(lattices.texts[p] for p in lattices.edges.piece[x.edges]) for x in paths]
+        assert len(set(found)) == 3
+        for path, key in zip(paths, found, strict=True):
+            assert math.isclose(path.log_prob, math.log(law[key]), abs_tol=1e-9)
+            weights[key] += 1 / math.exp(sentencepiece_sampling.log_inclusion(path.log_prob, threshold))
+        first[found[0]] += 1
+        second[found[1]] += 1
+    for key, share in law.items():
+        after = sum(law[k] * share / (1 - law[k]) for k in law if k != key)
+        assert abs(first[key] / 6000 - share) < 0.025 and abs(second[key] / 6000 - after) < 0.025
+        if share > 0.01:
+            assert abs(weights[key] / 6000 - 1) < 0.25  # inverse inclusion scores are unbiased
