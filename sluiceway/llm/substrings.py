@@ -24,7 +24,7 @@ WINDOW = 35
 #: Words of an anchor.
 GRAM = 8
 #: Variants in a reference block; larger blocks are dealt again by more of the words around the anchor.
-BLOCK = 64
+BLOCK = 512
 
 _hashes = WordHashes()
 
