@@ -29,19 +29,33 @@ BLOCK = 512
 _hashes = WordHashes()
 
 
+def new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches without the rows whose ``id`` has come before."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        fresh = []
+        for key in batch.column("id").to_pylist():
+            fresh.append(key not in seen)
+            seen.add(key)
+        yield batch if all(fresh) else batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def part_rows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Of texts (``id``, ``text``): ``id`` and the parts' ``first``, ``count``, ``before``, ``anchor``, ``digest``."""
+    """Of texts (``id``, ``text``): ``id`` and the parts' ``first``, ``count``, ``before``, ``anchor``, ``digest``.
+
+    A text that a task meets again gives none, so a common one gives few rows to shuffle.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in new_texts(batches):
             found = []
             for value in batch.column("text"):
                 words = (value.as_py() or "").encode().split()
                 codes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
                 found.append(parts(codes, window, gram))
             owner = np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found])
-            columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
             if len(owner):
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(owner)), *columns],
                     names=["id", "first", "count", "before", "anchor", "digest"],

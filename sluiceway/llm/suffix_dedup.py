@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm.anchored import mixed, parts
 from sluiceway.llm.external_suffixes import HELD_ENTRIES, suffixes
 from sluiceway.llm.shared import Staged, let_go, part_count
-from sluiceway.llm.substrings import joined_spans
+from sluiceway.llm.substrings import joined_spans, new_texts
 
 LENGTH = 50
 #: Bytes of an anchor.
@@ -32,7 +32,7 @@ def byte_parts(texts: DataFrame, length: int, gram: int, only_anchors: bool) ->
     """Of texts (``id``, ``text``): the distinct ``anchor`` of each text, or ``id``, ``first``, ``count``, ``anchor``, ``digest``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in new_texts(batches):
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
                 found = []
