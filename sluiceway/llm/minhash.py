@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.anchored import mixed
 from sluiceway.llm.components import components
-from sluiceway.llm.shared import Staged
+from sluiceway.llm.shared import Staged, let_go
 
 SHINGLE = 5
 #: Bands of minima. Two sets of similarity 0.8 miss each other in all bands with chance 3e-6, of 0.85 with 7e-9.
@@ -22,8 +22,8 @@ BANDS, ROWS = 32, 5
 SLACK = 0.15
 #: Distinct words whose hashes a worker keeps; when full, it starts anew.
 KEPT_WORDS = 400_000
-#: Further centres of a bucket in the first round that needs them; four times as many in each later one.
-CENTRES = 4
+#: Further centres of a bucket in the first round that needs them; eight times as many in each later one.
+CENTRES = 64
 
 _draw = np.random.default_rng(20)
 MULTIPLIERS = _draw.integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -157,6 +157,7 @@ class Links:
         links = Staged(found.mapInArrow(meet, f"a {kind}, b {kind}").distinct(), "links")
         likely.discard()
         sets.discard()
+        let_go(self.documents.sparkSession)
         return links
 
 
@@ -224,7 +225,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         opened = Staged(several_groups(now), "open").read()
         if opened.isEmpty():
             break
-        able = several_groups(opened.join(shared_sizes(source, opened), "doc").where(f"100 * shared >= {percent} * size"))
+        shared = shared_sizes(source, opened, heads.read())
+        able = several_groups(opened.join(shared, "doc").where(f"100 * shared >= {percent} * size"))
         able = Staged(able, "able").read()
         sizes = able.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("rows"))
         largest = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("rows", "group")).alias("main"))
@@ -249,7 +251,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         groups = Staged(merged(groups.read(), links.read()), "groups")
         been = centres.select("bucket", F.col("doc_of_centre").alias("doc"))
         state = Staged(able.select("bucket", "doc").join(been, ["bucket", "doc"], "left_anti"), "left").read()
-        limit *= 4
+        limit *= 8
+        let_go(documents.sparkSession)
 
     result = (
         every.select("doc", "n_shingles", "whole")
@@ -271,11 +274,12 @@ def several_groups(rows: DataFrame) -> DataFrame:
     return rows.join(mixed_up.select("bucket"), "bucket", "left_semi")
 
 
-def shared_sizes(documents: DataFrame, rows: DataFrame) -> DataFrame:
+def shared_sizes(documents: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFrame:
     """``doc``, ``size`` of its set and ``shared``, how many of it some other document of the rows has.
 
     Two documents have no more in common than the smaller of their shared numbers, so these bound
-    their similarity from above, exactly.
+    their similarity from above, exactly. Of a document with several texts it is the smallest size
+    and all that its texts share; one that shares nothing is not listed.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,18 +287,23 @@ def shared_sizes(documents: DataFrame, rows: DataFrame) -> DataFrame:
             found = [shingles(x.as_py()) for x in batch.column("text")]
             owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in found])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(pa.array(owner)), pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))],
+                [
+                    batch.column("doc").take(pa.array(owner)),
+                    pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)),
+                ],
                 names=["doc", "shingle"],
             )
 
     kind = documents.schema["doc"].dataType.simpleString()
     some = documents.join(rows.select("doc").distinct(), "doc", "left_semi")
-    each = Staged(some.mapInArrow(spread, f"doc {kind}, shingle long").distinct(), "shingles").read()
-    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("documents")).where("documents > 1").select("shingle", F.lit(1).alias("one"))
-    return Staged(
-        each.join(common, "shingle", "left").groupBy("doc").agg(F.count(F.lit(1)).alias("size"), F.count("one").alias("shared")),
-        "shared",
-    ).read()
+    staged = Staged(some.mapInArrow(spread, f"doc {kind}, shingle long"), "shingles")
+    each = staged.read()
+    common = each.groupBy("shingle").agg(F.min("doc").alias("one"), F.max("doc").alias("two")).where("one <> two")
+    sizes = heads.groupBy("doc").agg(F.min("n_shingles").alias("size"))
+    counts = each.join(common.select("shingle"), "shingle", "left_semi").groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
+    found = Staged(counts.join(sizes, "doc"), "shared")
+    staged.discard()
+    return found.read()
 
 
 def apart(pairs: DataFrame, one: str, two: str, groups: DataFrame) -> DataFrame:
