@@ -47,7 +47,7 @@ def expr_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS discounted,
            l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charged
-    FROM lineitem WHERE l_quantity >= 10
+    FROM lineitem
     """
 )
 def expr_math(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,13 +57,13 @@ def expr_math(spark: SparkSession, sf_dir: str) -> DataFrame:
         Column("l_extendedprice * (1 - l_discount)", "discounted"),
         Column("discounted * (1 + l_tax)", "charged"),
     ]
-    return read(spark, parquet(sf_dir, "lineitem", where="l_quantity >= 10", columns=columns))
+    return read(spark, parquet(sf_dir, "lineitem", columns=columns))
 
 
 @query(
     """
     SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
-    FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) > 50
+    FROM events
     """
 )
 def expr_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,6 @@ def expr_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         parquet(
             sf_dir,
             "events",
-            where="CAST(get_json_object(props, '$.k') AS INT) > 50",
             columns=[Column("event_id"), Column("CAST(get_json_object(props, '$.k') AS INT)", "k")],
         ),
     )

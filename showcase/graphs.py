@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from showcase.registry import parquet, query, scratch
 from sluiceway import JobConfig, NodePattern, PropertyGraph, Source, Target, read, run_job
 
-CUSTOMER = NodePattern(":Customer", "o_custkey:id", "overwrite")
+CUSTOMER = NodePattern(":Buyer", "o_custkey:id", "overwrite")
 ORDER = NodePattern(":Order", "o_orderkey:id", "overwrite")
 
 
@@ -57,7 +57,7 @@ def nodes_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         some.selectExpr(
             "c_custkey AS id", "c_name AS name", "c_acctbal AS balance", "c_mktsegment AS segment"
         ),
-        ":Customer",
+        ":Buyer",
         "id",
         "overwrite",
     )
@@ -65,11 +65,11 @@ def nodes_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         customers.selectExpr(
             "c_custkey AS id", "upper(c_name) AS name", "c_acctbal * 2 AS balance"
         ),
-        ":Customer",
+        ":Buyer",
         "id",
         "overwrite",
     )
-    return graph.read_nodes(":Customer").select("id", "name", "balance", "segment")
+    return graph.read_nodes(":Buyer").select("id", "name", "balance", "segment")
 
 
 @query(
@@ -89,11 +89,11 @@ def nodes_upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").selectExpr(
         "o_custkey", "o_orderkey", "o_orderdate AS last_order", "o_orderpriority AS priority"
     )
-    graph.write_nodes(customers, ":Customer", "id", "overwrite")
+    graph.write_nodes(customers, ":Buyer", "id", "overwrite")
     graph.write_nodes(
-        orders, ":Customer", "o_custkey:id", "overwrite", order_by=["last_order", "o_orderkey"]
+        orders, ":Buyer", "o_custkey:id", "overwrite", order_by=["last_order", "o_orderkey"]
     )
-    return graph.read_nodes(":Customer").select("id", "name", "last_order", "priority")
+    return graph.read_nodes(":Buyer").select("id", "name", "last_order", "priority")
 
 
 @query(
@@ -115,7 +115,7 @@ def nodes_upsert_largest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT c_custkey AS id, 'Customer:Party' AS labels, c_mktsegment AS segment FROM customer
+    SELECT c_custkey AS id, 'Buyer:Party' AS labels, c_mktsegment AS segment FROM customer
     UNION ALL SELECT s_suppkey, 'Party:Supplier', 'supply' FROM supplier
     """
 )
@@ -126,7 +126,7 @@ def nodes_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = _table(spark, sf_dir, "supplier")
     parts = _table(spark, sf_dir, "part")
     graph.write_nodes(
-        customers.selectExpr("c_custkey AS id", "c_mktsegment AS segment"), ":Party:Customer"
+        customers.selectExpr("c_custkey AS id", "c_mktsegment AS segment"), ":Party:Buyer"
     )
     graph.write_nodes(
         suppliers.selectExpr("s_suppkey AS id", "'supply' AS segment"), ":Party:Supplier"
@@ -142,8 +142,8 @@ def relationships_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority"
     )
-    graph.write_relationships(orders, "HAS_ORDER", CUSTOMER, ORDER, "overwrite")
-    return graph.read_relationships("HAS_ORDER").selectExpr(
+    graph.write_relationships(orders, "PLACED", CUSTOMER, ORDER, "overwrite")
+    return graph.read_relationships("PLACED").selectExpr(
         "`source.id` AS o_custkey",
         "`target.id` AS o_orderkey",
         "`rel.o_orderdate` AS o_orderdate",
@@ -198,12 +198,12 @@ def relationships_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").selectExpr(
         "CAST(o_custkey AS DOUBLE) AS o_custkey", "o_orderkey", "o_orderstatus"
     )
-    graph.write_nodes(customers, ":Customer", "c_custkey:id", "overwrite")
-    known = NodePattern(":Customer", "o_custkey:id")
-    graph.write_relationships(orders, "HAS_ORDER", known, ORDER, "append")
+    graph.write_nodes(customers, ":Buyer", "c_custkey:id", "overwrite")
+    known = NodePattern(":Buyer", "o_custkey:id")
+    graph.write_relationships(orders, "PLACED", known, ORDER, "append")
     open_orders = orders.where("o_orderstatus = 'O'")
-    graph.write_relationships(open_orders, "HAS_ORDER", known, ORDER, "append")
-    return graph.read_edges("HAS_ORDER").selectExpr(
+    graph.write_relationships(open_orders, "PLACED", known, ORDER, "append")
+    return graph.read_edges("PLACED").selectExpr(
         "`source.id` AS o_custkey", "`target.id` AS o_orderkey"
     )
 
@@ -211,7 +211,7 @@ def relationships_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT c_custkey, c_name, o_orderkey, o_totalprice, o_orderdate,
-           'Customer:Person' AS labels
+           'Buyer:Party' AS labels
     FROM customer JOIN orders ON o_custkey = c_custkey
     """
 )
@@ -220,19 +220,19 @@ def relationships_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = _graph(spark)
     orders = _table(spark, sf_dir, "orders")
     graph.write_nodes(
-        _table(spark, sf_dir, "customer"), ":Person:Customer", "c_custkey:id", "overwrite"
+        _table(spark, sf_dir, "customer"), ":Buyer:Party", "c_custkey:id", "overwrite"
     )
     graph.write_nodes(
         orders.select("o_orderkey", "o_totalprice"), ":Order", "o_orderkey:id", "overwrite"
     )
     graph.write_relationships(
         orders.select("o_custkey", "o_orderkey", "o_orderdate"),
-        "HAS_ORDER",
-        NodePattern(":Customer", "o_custkey:id"),
+        "PLACED",
+        NodePattern(":Buyer", "o_custkey:id"),
         NodePattern(":Order", "o_orderkey:id"),
         "overwrite",
     )
-    return graph.read_relationships("HAS_ORDER", source_labels=":Person").select(
+    return graph.read_relationships("PLACED", source_labels=":Party").select(
         F.col("`source.id`").alias("c_custkey"),
         F.col("`source.c_name`").alias("c_name"),
         F.col("`target.id`").alias("o_orderkey"),
@@ -242,6 +242,55 @@ def relationships_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT n_nationkey AS nation, n_regionkey AS region FROM nation UNION ALL SELECT n_nationkey, n_regionkey FROM nation")
+def relationships_append_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ends appended, twice: as many relationships as rows, each with nodes of its own write."""
+    graph = _graph(spark)
+    nations = _table(spark, sf_dir, "nation")
+    ends = (NodePattern(":Nation", "n_nationkey:id", "append"), NodePattern(":Region", "n_regionkey:id", "append"))
+    for _ in range(2):
+        graph.write_relationships(nations, "LIES_IN", *ends, "append", properties=())
+    return graph.read_relationships("LIES_IN").selectExpr("`source.id` AS nation", "`target.id` AS region")
+
+
+@query("SELECT c_custkey AS customer, c_nationkey AS nation FROM customer")
+def relationships_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A type with customers and suppliers at its start, read for customers alone."""
+    graph = _graph(spark)
+    nation = ":Nation", "nation:id", "overwrite"
+    for table, label, key in (("customer", ":Buyer", "c"), ("supplier", ":Supplier", "s")):
+        frame = _table(spark, sf_dir, table)
+        own = "c_custkey" if key == "c" else "s_suppkey"
+        graph.write_relationships(
+            frame.selectExpr(f"{own} AS id", f"{key}_nationkey AS nation"),
+            "AT_HOME_IN",
+            NodePattern(label, "id", "overwrite"),
+            NodePattern(*nation),
+            "overwrite",
+        )
+    found = graph.read_relationships("AT_HOME_IN", source_labels=":Buyer")
+    return found.selectExpr("`source.id` AS customer", "`target.id` AS nation")
+
+
+@query("SELECT c_custkey AS customer, c_nationkey AS nation, 'second' AS written FROM customer")
+def relationships_other_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One relationship, though the second write names its start by another of its labels."""
+    graph = _graph(spark)
+    customers = _table(spark, sf_dir, "customer")
+    graph.write_nodes(customers.selectExpr("c_custkey AS id"), ":Party:Buyer", "id", "overwrite")
+    for label, written in ((":Buyer", "first"), (":Party", "second")):
+        graph.write_relationships(
+            customers.select("c_custkey", "c_nationkey", F.lit(written).alias("written")),
+            "AT_HOME_IN",
+            NodePattern(label, "c_custkey:id"),
+            NodePattern(":Nation", "c_nationkey:id", "overwrite"),
+            "overwrite",
+        )
+    return graph.read_relationships("AT_HOME_IN").selectExpr(
+        "`source.id` AS customer", "`target.id` AS nation", "`rel.written` AS written"
+    )
+
+
 @query("SELECT DISTINCT l_partkey, l_suppkey, l_shipdate FROM lineitem")
 def merge_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(part)-[shipped {date}]->(supplier): two dates are two relationships.
@@ -276,36 +325,35 @@ def graph_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     graph = PropertyGraph(spark, path)
     graph.write_nodes(
-        _table(spark, sf_dir, "customer"), ":Customer", "c_custkey:id", "overwrite"
+        _table(spark, sf_dir, "customer"), ":Buyer", "c_custkey:id", "overwrite"
     )
     graph.write_relationships(
         _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate"),
-        "HAS_ORDER",
-        NodePattern(":Customer", "o_custkey:id"),
+        "PLACED",
+        NodePattern(":Buyer", "o_custkey:id"),
         ORDER,
         "overwrite",
     )
     sql = """
         SELECT c.c_mktsegment AS segment, count(*) AS orders,
                count(DISTINCT c.id) AS customers, max(r.`rel.o_orderdate`) AS last_order
-        FROM {Customer} c JOIN {HAS_ORDER} r ON r.`source.id` = c.id
+        FROM {Buyer} c JOIN {PLACED} r ON r.`source.id` = c.id
         GROUP BY c.c_mktsegment ORDER BY orders DESC, segment LIMIT 3
     """
     return read(spark, Source("graph", {"path": path, "query": sql}))
 
 
-@query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal < 0")
+@query("SELECT c_custkey AS id, c_name AS name FROM customer")
 def table_to_graph_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two jobs in the form of job files: a table into a graph, the graph into CSV."""
     path, csv = scratch(spark), scratch(spark)
-    graph = {"path": path, "labels": ":Person:Customer"}
+    graph = {"path": path, "labels": ":Buyer:Party"}
     run_job(
         spark,
         JobConfig(
             source=parquet(
                 sf_dir,
                 "customer",
-                where="c_acctbal < 0",
                 columns=[
                     {"name": "c_custkey", "alias": "id"},
                     {"name": "c_name", "alias": "name"},
@@ -325,7 +373,7 @@ def table_to_graph_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, back)
 
 
-@query("SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus <> 'P'")
+@query("SELECT o_custkey, o_orderkey, o_orderdate FROM orders")
 def table_to_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A relationship target in the form of a job file, read back by another source."""
     path = scratch(spark)
@@ -335,17 +383,16 @@ def table_to_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
             source=parquet(
                 sf_dir,
                 "orders",
-                where="o_orderstatus <> 'P'",
                 columns=["o_custkey", "o_orderkey", "o_orderdate"],
             ),
             target=Target(
                 "graph",
                 {
                     "path": path,
-                    "relationship": "HAS_ORDER",
+                    "relationship": "PLACED",
                     "relationship.save.strategy": "keys",
                     "relationship.source.save.mode": "Overwrite",
-                    "relationship.source.labels": ":Customer",
+                    "relationship.source.labels": ":Buyer",
                     "relationship.source.node.keys": "o_custkey",
                     "relationship.target.save.mode": "Overwrite",
                     "relationship.target.labels": ":Order",
@@ -357,7 +404,7 @@ def table_to_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     source = Source(
         "graph",
-        {"path": path, "relationship": "HAS_ORDER"},
+        {"path": path, "relationship": "PLACED"},
         columns=[
             {"name": "`source.o_custkey`", "alias": "o_custkey"},
             {"name": "`target.o_orderkey`", "alias": "o_orderkey"},
@@ -367,7 +414,7 @@ def table_to_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, source)
 
 
-@query("SELECT DISTINCT l_suppkey, l_partkey, l_shipdate FROM lineitem WHERE l_returnflag = 'R'")
+@query("SELECT DISTINCT l_suppkey, l_partkey, l_shipdate FROM lineitem")
 def table_to_merged_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pattern to merge in the form of a job file: the date is part of the identity."""
     path = scratch(spark)
@@ -377,7 +424,6 @@ def table_to_merged_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
             source=parquet(
                 sf_dir,
                 "lineitem",
-                where="l_returnflag = 'R'",
                 columns=["l_suppkey", "l_partkey", "l_shipdate"],
             ),
             target=Target(

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from showcase.registry import parquet, query
-from sluiceway import Column, Partition, Source, read
-from sluiceway.operators.limit import ONE_TASK_ROWS_SETTING, take_rows
+from showcase.registry import parquet, query, scratch
+from sluiceway import Column, Partition, PropertyGraph, Source, read
 
 
 @query(
@@ -104,25 +104,30 @@ def where_not_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT count(*) AS n FROM (SELECT * FROM orders LIMIT 10)")
+def _taken(spark: SparkSession, sf_dir: str, table: str, rows: int) -> DataFrame:
+    """A limit takes any rows: how many, how often each, and how many of them the table has."""
+    taken = read(spark, parquet(sf_dir, table, limit=rows))
+    copies = taken.groupBy(*taken.columns).agg(F.count("*").alias("taken"))
+    there = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    stored = there.groupBy(*there.columns).agg(F.count("*").alias("stored"))
+    return copies.join(stored, taken.columns, "left").agg(
+        F.sum("taken").alias("taken"),
+        F.sum(F.least("taken", F.coalesce("stored", F.lit(0)))).alias("from_the_table"),
+    )
+
+
+@query("SELECT count(*) AS taken, count(*) AS from_the_table FROM (SELECT * FROM orders LIMIT 10)")
 def limit_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A limit takes any rows, so their number is what can be compared."""
-    return read(spark, parquet(sf_dir, "orders", limit=10)).agg(F.count("*").alias("n"))
+    """A small limit: so many rows, all of the table, none more often than there."""
+    return _taken(spark, sf_dir, "orders", 10)
 
 
-@query("SELECT count(*) AS n FROM (SELECT * FROM lineitem LIMIT 20000)")
-def limit_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A limit too large for one task: every task keeps its own share of the rows."""
-    before = spark.conf.get(ONE_TASK_ROWS_SETTING, None)
-    spark.conf.set(ONE_TASK_ROWS_SETTING, "1000")
-    try:
-        rows = take_rows(read(spark, parquet(sf_dir, "lineitem")), 20000, fixed_partitions=True)
-    finally:
-        if before is None:
-            spark.conf.unset(ONE_TASK_ROWS_SETTING)
-        else:
-            spark.conf.set(ONE_TASK_ROWS_SETTING, before)
-    return rows.agg(F.count("*").alias("n"))
+@query(
+    "SELECT count(*) AS taken, count(*) AS from_the_table FROM (SELECT * FROM lineitem LIMIT 20000)"
+)
+def limit_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large limit has the same plan and the same promise."""
+    return _taken(spark, sf_dir, "lineitem", 20000)
 
 
 @query("SELECT * FROM supplier")
@@ -137,7 +142,7 @@ def repartition_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT * FROM lineitem")
 def repartition_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three values over sixteen partitions: each is spread over its fair share of them."""
+    """Three values over sixteen partitions: adaptive execution splits those that are too large."""
     return read(spark, parquet(sf_dir, "lineitem", partition=Partition(16, "l_returnflag")))
 
 
@@ -148,14 +153,31 @@ def repartition_keys_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, parquet(sf_dir, "orders", partition=partition))
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 0")
+@query("SELECT n_nationkey, n_name FROM nation")
 def option_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source's path comes from the environment."""
     os.environ["SLUICEWAY_SHOWCASE_TABLE"] = f"{sf_dir}/nation.parquet"
-    source = Source(
-        "parquet",
-        {"path": "${env:SLUICEWAY_SHOWCASE_TABLE}"},
-        columns=["n_nationkey", "n_name"],
-        where="n_regionkey <> 0",
+    path = {"path": "${env:SLUICEWAY_SHOWCASE_TABLE}"}
+    return read(spark, Source("parquet", path, columns=["n_nationkey", "n_name"]))
+
+
+@query(
+    "SELECT c_nationkey AS nation, count(*) AS customers, sum(c_acctbal) AS balance "
+    "FROM customer GROUP BY c_nationkey"
+)
+def option_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query of a graph source comes from a text file."""
+    graph, text = scratch(spark), tempfile.NamedTemporaryFile("w", suffix=".sql", delete=False)
+    with text as file:
+        file.write(
+            "SELECT c_nationkey AS nation, count(*) AS customers, sum(c_acctbal) AS balance "
+            "FROM {Buyer} GROUP BY c_nationkey"
+        )
+    PropertyGraph(spark, graph).write_nodes(
+        spark.read.parquet(f"{sf_dir}/customer.parquet"), ":Buyer"
     )
-    return read(spark, source)
+    query_text = f"${{file:{text.name}}}"
+    try:
+        return read(spark, Source("graph", {"path": graph, "query": query_text}))
+    finally:
+        os.remove(text.name)

@@ -1,59 +1,71 @@
 """The list of a graph's tables, one immutable version per write.
 
-A version is one line of JSON naming Parquet folders. Folders are written first
-and never changed; a write shows once its version is there. One writer at a
-time: of two that start from the same version, the later one fails.
+A version is a small file of JSON that names Parquet folders. Folders are
+written first and never changed; a write shows once its version is there. Of
+two writers that start from the same version one succeeds, and the other fails.
 """
 
 from __future__ import annotations
 
 import json
-import re
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from sluiceway.graph.model import Table
+from sluiceway.storage import Storage
 
 
 class VersionTaken(RuntimeError):
-    """Another write has published, or begun, the version this one would be."""
+    """Another write has published the version this one would be."""
 
 
 class Catalog:
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self._spark = spark
         self._folder = f"{root}/versions"
+        self.storage = Storage(spark, root)
 
-    def _folder_of(self, version: int) -> str:
-        return f"{self._folder}/version={version}"
+    def _file(self, version: int) -> str:
+        return f"{self._folder}/{version:020d}.json"
 
-    def load(self) -> tuple[int, list[Table]]:
-        """The newest version number and its tables; 0 and none for a new graph."""
+    def _hint(self) -> str:
+        return f"{self._folder}/newest"
+
+    def versions(self) -> list[int]:
+        names = self.storage.names(self._folder)
+        return sorted(int(name[:-5]) for name in names if name[:-5].isdigit())
+
+    def newest(self) -> int:
+        """The newest version's number; 0 for a new graph.
+
+        A pointer says where to look first. It may lag behind, so the versions
+        after it are asked for one by one; without it the names are listed.
+        """
         try:
-            files = self._spark.read.schema("value string").text(self._folder).inputFiles()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            files = []
-        found = (re.search(r"/version=(\d+)/", file) for file in files)
-        newest = max((int(match.group(1)) for match in found if match), default=0)
-        if not newest:
+            found = int(self.storage.read(self._hint()))
+        except Exception:
+            found = 0
+        if not found or not self.storage.exists(self._file(found)):
+            found = max(self.versions(), default=0)
+        while self.storage.exists(self._file(found + 1)):
+            found += 1
+        return found
+
+    def load(self, version: int | None = None) -> tuple[int, list[Table]]:
+        """A version's number, the newest if none is given, and its tables."""
+        version = self.newest() if version is None else version
+        if not version:
             return 0, []
-        line = self._spark.read.schema("value string").text(self._folder_of(newest)).first()
-        return newest, [Table.from_dict(item) for item in json.loads(line["value"])]
+        text = self.storage.read(self._file(version))
+        return version, [Table.from_dict(item) for item in json.loads(text)]
 
     def publish(self, version: int, tables: list[Table]) -> None:
         """Make ``tables`` the graph's state; fails if ``version`` exists already."""
         text = json.dumps([table.to_dict() for table in tables])
-        line = self._spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
-        folder = self._folder_of(version)
         try:
-            line.write.mode("error").text(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise VersionTaken(
-                f"another writer took version {version}; write again, and if that writer died "
-                f"before it finished, remove {folder} first"
-            ) from error
+            self.storage.write_new(self._file(version), text)
+        except FileExistsError as error:
+            raise VersionTaken(f"another writer took version {version}; write again") from error
+        self.storage.write(self._hint(), str(version))
+
+    def forget(self, version: int) -> None:
+        self.storage.remove(self._file(version))

@@ -10,6 +10,13 @@ from pyspark.sql.types import StructType
 # Columns every read adds; node and relationship properties keep their own names.
 LABELS = "<labels>"
 REL_TYPE = "<rel.type>"
+# What every stored node has, and no read shows.
+NODE_ID = "<id>"
+
+
+def end_id(side: str) -> str:
+    """The column of stored relationships with the identity of the node at an end."""
+    return f"<{side}.id>"
 
 
 class InvalidKeys(ValueError):

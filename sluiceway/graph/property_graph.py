@@ -10,7 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway.functions.columns import quoted
 from sluiceway.graph.catalog import Catalog
-from sluiceway.graph.model import LABELS, REL_TYPE, NodePattern, Table, mapping, parse_labels
+from sluiceway.graph.model import (
+    LABELS,
+    NODE_ID,
+    REL_TYPE,
+    NodePattern,
+    Table,
+    end_id,
+    mapping,
+    parse_labels,
+)
 from sluiceway.graph.write import GraphWrite, union
 
 # Spark's save modes, by every name it accepts.
@@ -67,24 +76,24 @@ class PropertyGraph:
             raise ValueError("nodes need at least one label")
         if mode == "overwrite" and not keys:
             raise ValueError("overwriting nodes needs node keys")
-        write = GraphWrite(self._catalog, self._root, self.open)
-        exists = any(table.labels == labels for table in write.tables)
-        if exists and mode == "ignore":
-            return
-        if exists and mode == "error":
-            raise ValueError(f"nodes with the labels {':'.join(labels)} exist already")
-        order_by = _found(frame, mapping(order_by))
-        frame = frame.select(
-            *(F.col(quoted(name)).alias(keys.get(name, name)) for name in frame.columns)
-        )
-        write.nodes(
-            frame,
-            labels,
-            tuple(keys.values()),
-            mode == "overwrite",
-            [keys.get(name, name) for name in order_by],
-        )
-        write.publish()
+        with GraphWrite(self._catalog, self._root, self.open) as write:
+            exists = any(table.labels == labels for table in write.tables)
+            if exists and mode == "ignore":
+                return
+            if exists and mode == "error":
+                raise ValueError(f"nodes with the labels {':'.join(labels)} exist already")
+            order_by = _found(frame, mapping(order_by))
+            frame = frame.select(
+                *(F.col(quoted(name)).alias(keys.get(name, name)) for name in frame.columns)
+            )
+            write.nodes(
+                frame,
+                labels,
+                tuple(keys.values()),
+                mode == "overwrite",
+                [keys.get(name, name) for name in order_by],
+            )
+            write.publish()
 
     def write_relationships(
         self,
@@ -118,25 +127,25 @@ class PropertyGraph:
             target_labels=target.labels,
             target_keys=tuple(ends.values()),
         )
-        write = GraphWrite(self._catalog, self._root, self.open)
-        exists = any(known.identity == table.identity for known in write.tables)
-        if exists and mode == "ignore":
-            return
-        if exists and mode == "error":
-            raise ValueError(f"relationships of type {rel_type} exist already")
-        order = {
-            name: f"__order{i}" for i, name in enumerate(_found(frame, mapping(order_by)))
-        }
-        named = frame.select(
-            *_renamed(starts, "source."),
-            *_renamed(ends, "target."),
-            *_renamed(chosen, "rel."),
-            *_renamed(order, ""),
-        )
-        identity = tuple(f"rel.{name}" for name in keys.values())
-        patterns = (replace(source, keys=starts), replace(target, keys=ends))
-        write.edges(named, table, patterns, identity, mode == "overwrite", list(order.values()))
-        write.publish()
+        with GraphWrite(self._catalog, self._root, self.open) as write:
+            exists = any(known.identity == table.identity for known in write.tables)
+            if exists and mode == "ignore":
+                return
+            if exists and mode == "error":
+                raise ValueError(f"relationships of type {rel_type} exist already")
+            order = {
+                name: f"__order{i}" for i, name in enumerate(_found(frame, mapping(order_by)))
+            }
+            named = frame.select(
+                *_renamed(starts, "source."),
+                *_renamed(ends, "target."),
+                *_renamed(chosen, "rel."),
+                *_renamed(order, ""),
+            )
+            identity = tuple(f"rel.{name}" for name in keys.values())
+            patterns = (replace(source, keys=starts), replace(target, keys=ends))
+            write.edges(named, table, patterns, identity, mode == "overwrite", list(order.values()))
+            write.publish()
 
     def merge_pattern(
         self,
@@ -164,7 +173,8 @@ class PropertyGraph:
     def read_edges(self, rel_type: str) -> DataFrame:
         """Relationships of a type with the keys of both ends and their properties."""
         found = self._edge_tables(self._catalog.load()[1], rel_type)
-        return union([self.open(table) for table in found]).withColumn(REL_TYPE, F.lit(rel_type))
+        rows = union([self.open(table) for table in found])
+        return rows.drop(*map(end_id, ("source", "target"))).withColumn(REL_TYPE, F.lit(rel_type))
 
     def read_relationships(
         self,
@@ -177,38 +187,48 @@ class PropertyGraph:
         Columns are prefixed ``source.``, ``target.`` and ``rel.``.
         """
         tables = self._catalog.load()[1]
+        wanted = {"source": parse_labels(source_labels), "target": parse_labels(target_labels)}
         frames = []
         for table in self._edge_tables(tables, rel_type):
-            frame = self.open(table)
-            for side, labels, keys, wanted in (
-                ("source", table.source_labels, table.source_keys, source_labels),
-                ("target", table.target_labels, table.target_keys, target_labels),
-            ):
-                nodes = self._nodes(tables, (*labels, *parse_labels(wanted)), keys)
-                for key in keys:
-                    kind = frame.schema[f"{side}.{key}"].dataType
-                    if nodes.schema[key].dataType != kind:
-                        nodes = nodes.withColumn(key, F.col(quoted(key)).try_cast(kind))
-                nodes = nodes.select(
+            ends = {"source": table.source_labels, "target": table.target_labels}
+            nodes = {
+                side: self._node_tables(tables, (*labels, *wanted[side]))
+                for side, labels in ends.items()
+            }
+            if not all(nodes.values()):
+                continue  # none of these relationships ends in such nodes
+            edges = self.open(table)
+            frame = edges.drop(*(c for c in edges.columns if c.startswith(("source.", "target."))))
+            for side, found in nodes.items():
+                rows = self._labelled(found)
+                for key in table.source_keys if side == "source" else table.target_keys:
+                    kind = edges.schema[f"{side}.{key}"].dataType
+                    if key in rows.columns and rows.schema[key].dataType != kind:
+                        rows = rows.withColumn(key, F.col(quoted(key)).try_cast(kind))
+                rows = rows.select(
+                    F.col(quoted(NODE_ID)).alias(end_id(side)),
                     F.col(quoted(LABELS)).alias(f"<{side}.labels>"),
                     *(
                         F.col(quoted(name)).alias(f"{side}.{name}")
-                        for name in nodes.columns
-                        if name != LABELS
+                        for name in rows.columns
+                        if name not in (LABELS, NODE_ID)
                     ),
                 )
                 # Edges stay on the left: a node with very many of them is a hot
                 # key there, which adaptive execution splits.
-                frame = frame.join(nodes, [f"{side}.{key}" for key in keys], "inner")
+                frame = frame.join(rows, end_id(side))
             ordered = [
                 name
-                for prefix in ("<source", "source.", "<target", "target.", "rel.")
+                for prefix in ("<source.labels", "source.", "<target.labels", "target.", "rel.")
                 for name in frame.columns
                 if name.startswith(prefix)
             ]
             frames.append(
                 frame.select(F.lit(rel_type).alias(REL_TYPE), *(quoted(name) for name in ordered))
             )
+        if not frames:
+            labels = ":".join(sorted({*wanted["source"], *wanted["target"]}))
+            raise ValueError(f"the graph has no nodes with the labels {labels} at the ends of {rel_type}")
         return union(frames)
 
     def query(self, sql: str) -> DataFrame:
@@ -226,20 +246,21 @@ class PropertyGraph:
         }
         return self._spark.sql(sql, **frames)
 
-    def _nodes(
-        self, tables: list[Table], labels: Iterable[str], keys: Iterable[str] = ()
-    ) -> DataFrame:
-        found = [
-            table
-            for table in tables
-            if table.labels and set(labels) <= set(table.labels) and table.has(keys)
-        ]
+    def _nodes(self, tables: list[Table], labels: Iterable[str]) -> DataFrame:
+        found = self._node_tables(tables, labels)
         if not found:
             raise ValueError(f"the graph has no nodes with the labels {':'.join(labels)}")
+        return self._labelled(found).drop(NODE_ID)
+
+    @staticmethod
+    def _node_tables(tables: list[Table], labels: Iterable[str]) -> list[Table]:
+        return [table for table in tables if table.labels and set(labels) <= set(table.labels)]
+
+    def _labelled(self, tables: list[Table]) -> DataFrame:
         return union(
             [
                 self.open(table).withColumn(LABELS, F.array(*map(F.lit, table.labels)))
-                for table in found
+                for table in tables
             ]
         )
 
@@ -250,10 +271,47 @@ class PropertyGraph:
             raise ValueError(f"the graph has no relationships of type {rel_type}")
         return found
 
+    # ---- housekeeping ----------------------------------------------------
+
     def folders(self) -> list[str]:
-        """The data folders the newest version uses; others may be removed once no job reads them."""
+        """The data folders the newest version uses."""
         return sorted(path for table in self._catalog.load()[1] for path in table.paths)
 
+    def compact(self) -> None:
+        """Join small folders, of which every append adds one, in a new version."""
+        with GraphWrite(self._catalog, self._root, self.open) as write:
+            before = list(write.tables)
+            write.compact()
+            if write.tables != before:
+                write.publish()
+
+    def clean(self, keep_versions: int = 1, older_than_hours: float = 24) -> list[str]:
+        """Remove older versions and the data folders that none of the newest versions uses.
+
+        Folders younger than ``older_than_hours`` stay: a write may be about to
+        publish them, or a job still reads them. Returns what was removed.
+        """
+        versions = self._catalog.versions()
+        kept = versions[-keep_versions:]
+        used = {
+            path.split("/data/")[-1].split("/")[0]
+            for version in kept
+            for table in self._catalog.load(version)[1]
+            for path in table.paths
+        }
+        storage = self._catalog.storage
+        for version in versions[:-keep_versions]:
+            self._catalog.forget(version)
+        removed = [
+            folder
+            for name in storage.names(f"{self._root}/data")
+            if name not in used
+            and storage.age_seconds(folder := f"{self._root}/data/{name}") >= 3600 * older_than_hours
+        ]
+        for folder in removed:
+            storage.remove(folder)
+        return removed
+
     def open(self, table: Table) -> DataFrame:
         """A stored table. Its schema is known, so no file footer is read to plan."""
         return self._spark.read.schema(table.schema).parquet(*table.paths)

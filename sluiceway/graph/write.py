@@ -12,7 +12,7 @@ from pyspark.sql.types import DataType, NumericType, StructType
 
 from sluiceway.functions.columns import lossless_cast, quoted
 from sluiceway.graph.catalog import Catalog
-from sluiceway.graph.model import InvalidKeys, NodePattern, Table
+from sluiceway.graph.model import NODE_ID, InvalidKeys, NodePattern, Table, end_id
 from sluiceway.operators.merge import (
     latest_per_key,
     matched_keys,
@@ -20,6 +20,9 @@ from sluiceway.operators.merge import (
     unmatched_rows,
 )
 
+# The folder of a stored row, in its file's path.
+_FOLDER = r"/data/([0-9a-f]{32}(?:/bucket=\d+)?)/[^/]*$"
+
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows; a column missing somewhere is NULL there, one of mixed types is text."""
@@ -58,13 +61,18 @@ def widened(old: StructType, new: StructType) -> StructType:
     return StructType(fields)
 
 
+def new_id() -> Column:
+    """An identity of its own for every row that is written."""
+    return F.unhex(F.replace(F.expr("uuid()"), F.lit("-"), F.lit("")))
+
+
 @dataclass(frozen=True)
 class Batch:
-    """Rows written to a folder of their own, and read back from there."""
+    """Rows written to folders of their own, and read back from there."""
 
     frame: DataFrame
     schema: StructType
-    path: str
+    paths: tuple[str, ...]
 
 
 class GraphWrite:
@@ -72,14 +80,34 @@ class GraphWrite:
 
     Batches are written before they are used, so a source is read once, however
     many tables its rows end up in, and Spark knows a batch's size when it joins.
+    Every node has an identity, and relationships name both ends by these.
+
+    Use it in a ``with`` block: at its end the folders are removed that no table
+    of a published version has.
     """
 
+    # A table's rows are kept in folders of about this size, by the hash of
+    # their keys, so that a change rewrites only the folders it hits.
+    folder_bytes = 1 << 30
+
     def __init__(self, catalog: Catalog, root: str, read: Callable[[Table], DataFrame]) -> None:
         self._catalog, self._root, self._read = catalog, root, read
         self._version, self.tables = catalog.load()
+        self._written: list[str] = []
+        self._published = False
+
+    def __enter__(self) -> "GraphWrite":
+        return self
+
+    def __exit__(self, *_) -> None:
+        used = {path for table in self.tables for path in table.paths} if self._published else ()
+        for folder in self._written:
+            if not any(path == folder or path.startswith(f"{folder}/") for path in used):
+                self._catalog.storage.remove(folder)
 
     def publish(self) -> None:
         self._catalog.publish(self._version + 1, self.tables)
+        self._published = True
 
     # ---- nodes and relationships ---------------------------------------
 
@@ -90,12 +118,13 @@ class GraphWrite:
         keys: Sequence[str],
         upsert: bool,
         order_by: Sequence[str] = (),
-        checked: bool = False,
     ) -> None:
-        """Add nodes, or upsert them on ``keys``; ``checked`` keys are known to be fit."""
+        """Add nodes, or upsert them on ``keys``."""
         known = self._node_tables(labels, keys)
-        types = _key_types(known, keys)
-        batch = self._stage(frame, keys, types, upsert, order_by, checked)
+        typed = self._typed(frame, keys, _key_types(known, keys))
+        rows = self._reduced(typed, keys, upsert, order_by)
+        batch = self._write(rows.withColumn(NODE_ID, new_id()))
+        self._check(batch, keys, typed)
         self._merge(Table(labels=labels), batch, keys, upsert, known)
 
     def edges(
@@ -112,34 +141,36 @@ class GraphWrite:
         ``frame`` has the keys as ``source.*`` and ``target.*``, properties as
         ``rel.*``. A row whose node to match does not exist writes nothing.
         """
-        known = [item for item in self.tables if item.identity == table.identity]
-        keys, types = [], {}
-        for side, end in zip(("source", "target"), ends):
+        known = [item for item in self.tables if item.rel_type == table.rel_type]
+        sides = dict(zip(("source", "target"), ends))
+        keys = {side: [f"{side}.{name}" for name in end.keys.values()] for side, end in sides.items()}
+        types = _key_types([item for item in known if item.has(identity)], identity)
+        for side, end in sides.items():
             names = list(end.keys.values())
-            keys += [f"{side}.{name}" for name in names]
             found = _key_types(self._node_tables(end.labels, names), names)
             types |= {f"{side}.{name}": kind for name, kind in found.items()}
-        keys += identity
-        types = {**_key_types([item for item in known if item.has(keys)], keys), **types}
+        every = [*keys["source"], *keys["target"], *identity]
+        typed = self._typed(frame, every, types)
+        batch = self._write(self._reduced(typed, every, upsert, order_by))
+        self._check(batch, every, typed)
 
-        batch = self._stage(frame, keys, types, upsert, order_by)
-        matched = batch.frame
-        for side, end in zip(("source", "target"), ends):
+        rows = batch.frame
+        for side, end in sides.items():
             if end.mode == "match":
-                matched = self._with_node(matched, side, end)
-        if matched is not batch.frame:
-            batch = self._write(matched)
-        for side, end in zip(("source", "target"), ends):
-            if end.mode != "match":
-                names = list(end.keys.values())
-                nodes = batch.frame.select(
-                    *(F.col(quoted(f"{side}.{name}")).alias(name) for name in names)
-                )
-                if end.mode == "overwrite":
-                    self.nodes(nodes, end.labels, names, upsert=True, checked=True)
-                else:
-                    self.nodes(nodes.distinct(), end.labels, names, upsert=False, checked=True)
-        self._merge(table, batch, keys, upsert, known)
+                rows = self._with_ids(rows, side, end)
+        for side, end in sides.items():
+            if end.mode == "append":
+                rows = rows.withColumn(end_id(side), _key_id(keys[side]))
+        self._add_ends(rows, sides)
+        for side, end in sides.items():
+            if end.mode == "overwrite":
+                rows = self._with_ids(rows, side, end)
+        rows = rows.select(*map(quoted, batch.schema.names), *(quoted(end_id(side)) for side in sides))
+        pair = [end_id("source"), end_id("target"), *identity]
+        if upsert and set(batch.schema.names) > set(every):
+            # properties change stored relationships, which takes the batch twice
+            rows = self._write(rows).frame
+        self._merge(table, Batch(rows, rows.schema, ()), pair, upsert, known)
 
     # ---- steps -----------------------------------------------------------
 
@@ -151,51 +182,93 @@ class GraphWrite:
             if table.labels and set(labels) <= set(table.labels) and table.has(keys)
         ]
 
-    def _with_node(self, frame: DataFrame, side: str, end: NodePattern) -> DataFrame:
-        """The rows whose node at ``side`` exists."""
+    def _with_ids(self, rows: DataFrame, side: str, end: NodePattern) -> DataFrame:
+        """The rows with each node at ``side`` that has their keys; none if there is no such node."""
         names = list(end.keys.values())
-        nodes = []
-        for table in self._node_tables(end.labels, names):
-            keys = self._read(table).select(
-                *(F.col(quoted(name)).alias(f"{side}.{name}") for name in names)
+        nodes = [
+            self._read(table).select(
+                *(F.col(quoted(name)).alias(f"{side}.{name}") for name in names),
+                F.col(quoted(NODE_ID)).alias(end_id(side)),
             )
-            nodes.append(keys if set(table.unique) == set(names) else keys.distinct())
+            for table in self._node_tables(end.labels, names)
+        ]
         if not nodes:
-            return frame.where(F.lit(False))
-        return frame.join(union(nodes), [f"{side}.{name}" for name in names], "left_semi")
+            return rows.where(F.lit(False)).withColumn(end_id(side), F.lit(None).cast("binary"))
+        # Relationships stay on the left: a node with very many of them is a hot
+        # key there, which adaptive execution splits.
+        return rows.join(union(nodes), [f"{side}.{name}" for name in names])
 
-    def _stage(
-        self,
-        frame: DataFrame,
-        keys: Sequence[str],
-        types: dict[str, DataType],
-        unique: bool,
-        order_by: Sequence[str] = (),
-        checked: bool = False,
-    ) -> Batch:
-        """The batch with its keys in the stored type, one row per key if ``unique``."""
+    def _add_ends(self, rows: DataFrame, sides: dict[str, NodePattern]) -> None:
+        """The nodes that relationships need, those of both ends in one write where that can be."""
+        new = {side: end for side, end in sides.items() if end.mode != "match"}
+        frames = {side: self._new_nodes(rows, side, end) for side, end in new.items()}
+        if len(new) == 2 and _apart(new["source"], new["target"], frames):
+            self._put_nodes(new, frames)
+            return
+        for side, end in new.items():
+            # the second end may find the nodes of the first
+            self._put_nodes({side: end}, {side: self._new_nodes(rows, side, end)})
+
+    def _new_nodes(self, rows: DataFrame, side: str, end: NodePattern) -> DataFrame:
+        """Nodes for the keys at ``side``; unless they are appended, those that do not exist."""
+        names = list(end.keys.values())
+        own = [F.col(quoted(f"{side}.{name}")).alias(name) for name in names]
+        if end.mode == "append":
+            return rows.select(*own, F.col(quoted(end_id(side))).alias(NODE_ID)).distinct()
+        nodes = rows.select(*own).distinct()
+        for table in self._node_tables(end.labels, names):
+            stored = self._read(table).select(*map(quoted, names))
+            unique = set(table.unique) == set(names)
+            nodes = nodes.join(stored if unique else stored.distinct(), names, "left_anti")
+        return nodes.withColumn(NODE_ID, new_id())
+
+    def _put_nodes(self, sides: dict[str, NodePattern], frames: dict[str, DataFrame]) -> None:
+        if not frames:
+            return
+        for side, batch in self._write_sides(frames).items():
+            end = sides[side]
+            names = list(end.keys.values())
+            if batch.frame.isEmpty():
+                if self._node_tables(end.labels, names):
+                    continue
+                batch = self._write(batch.frame)  # the labels are known from now on
+            self._add(Table(labels=end.labels), batch, names if end.mode == "overwrite" else ())
+
+    @staticmethod
+    def _typed(frame: DataFrame, keys: Sequence[str], types: dict[str, DataType]) -> DataFrame:
+        """The rows with their keys in the stored type; NULL where that cannot hold them."""
         values: dict[str, Column] = {}
-        cast_any = False
         for key in keys:
             value, current = F.col(quoted(key)), frame.schema[key].dataType
             wanted = types.get(key, current)
             if wanted.simpleString() != current.simpleString():
                 cast, changed = lossless_cast(value, current, wanted)
-                value, cast_any = F.when(~changed, cast), True
+                value = F.when(~changed, cast)
             values[key] = value.alias(key)
-        typed = frame.select(*(values.get(name, quoted(name)) for name in frame.columns))
+        return frame.select(*(values.get(name, quoted(name)) for name in frame.columns))
+
+    @staticmethod
+    def _reduced(
+        typed: DataFrame, keys: Sequence[str], unique: bool, order_by: Sequence[str]
+    ) -> DataFrame:
+        """One row per key if ``unique``, without the columns that only say which."""
         rows = latest_per_key(typed, keys, order_by) if unique else typed
-        batch = self._write(rows.drop(*(name for name in order_by if name.startswith("__order"))))
-        if cast_any or (keys and not checked):
-            # A NULL key is a row of the batch still; the statistics in the
-            # files answer this without reading them.
-            missing = reduce(lambda a, b: a | b, (F.col(quoted(key)).isNull() for key in keys))
-            if not batch.frame.where(missing).isEmpty():
-                raise InvalidKeys(
-                    f"{typed.where(missing).count()} rows have a key among {', '.join(keys)} "
-                    "that is NULL or does not fit the stored type"
-                )
-        return batch
+        return rows.drop(*(name for name in order_by if name.startswith("__order")))
+
+    @staticmethod
+    def _check(batch: Batch, keys: Sequence[str], typed: DataFrame) -> None:
+        """No key may be NULL, as one that the stored type cannot hold is by now.
+
+        The statistics in the files answer this without reading them.
+        """
+        if not keys:
+            return
+        missing = reduce(lambda a, b: a | b, (F.col(quoted(key)).isNull() for key in keys))
+        if not batch.frame.where(missing).isEmpty():
+            raise InvalidKeys(
+                f"{typed.where(missing).count()} rows have a key among {', '.join(keys)} "
+                "that is NULL or does not fit the stored type"
+            )
 
     def _merge(
         self,
@@ -208,46 +281,123 @@ class GraphWrite:
         """Upsert: set the batch's columns on the rows of ``known`` that have its keys.
         Rows that are left, or all rows, are added to ``table``."""
         stored = [item for item in known if upsert and item.has(keys)]
-        columns = set(batch.schema.names) - set(keys)
+        columns = {
+            name
+            for name in batch.schema.names
+            if name not in keys and name != NODE_ID and not name.startswith(("source.", "target."))
+        }
         left, rows = batch.frame, None
         for item in stored:
+            unique = set(item.unique) == set(keys)
             old = self._read(item)
-            hits = matched_keys(old, batch.frame, keys, set(item.unique) == set(keys))
-            if columns:
-                # Only rows that are hit are a reason to rewrite a table. Counting
-                # stored rows takes the files' footers alone.
-                hits = self._write(hits).frame
-                found = hits.count()
-                if not found:
-                    continue
-                schema = widened(item.schema, batch.schema)
-                merged = self._write(merge_rows(old, batch.frame, keys))
-                unique = () if columns & set(item.unique) else item.unique
-                self._put(item.with_data(schema, [merged.path], unique))
-                rows = batch.frame.count() if rows is None else rows
-                if found == rows:
-                    left = None
+            if not columns:
+                left = unmatched_rows(left, matched_keys(old, batch.frame, keys, unique), keys)
+                continue
+            folder = F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1)
+            place = old.select(*map(quoted, keys), folder.alias("__folder"))
+            wanted = batch.frame.select(*map(quoted, keys))
+            hits = self._write(place.distinct().join(wanted, list(keys), "left_semi")).frame
+            # As many as the table has folders, whatever the number of rows.
+            folders = {row[0] for row in hits.select("__folder").distinct().collect()}
+            if not folders:
+                continue
+            found = hits.drop("__folder") if unique else hits.drop("__folder").distinct()
+            hit = [path for path in item.paths if path.split("/data/")[-1] in folders]
+            kept = [path for path in item.paths if path not in hit]
+            schema = widened(item.schema, StructType([f for f in batch.schema if f.name in columns]))
+            changes = batch.frame.select(*map(quoted, keys), *map(quoted, sorted(columns)))
+            merged = merge_rows(self._read(item.with_data(item.schema, hit, ())), changes, keys)
+            size = sum(self._catalog.storage.size(path) for path in hit)
+            new = self._write(merged, keys, size)
+            still = () if columns & set(item.unique) else item.unique
+            self._put(item.with_data(schema, [*kept, *new.paths], still))
+            rows = batch.frame.count() if rows is None else rows
             if left is not None:
-                left = unmatched_rows(left, hits, keys)
+                left = None if found.count() == rows else unmatched_rows(left, found, keys)
         if left is None:
             return
-        if left is not batch.frame:
-            batch = self._write(left)
-            if batch.frame.isEmpty():
+        if left is not batch.frame or not batch.paths or (upsert and self._size(batch) > self.folder_bytes):
+            batch = self._write(left, keys if upsert else (), self._size(batch))
+            if known and batch.frame.isEmpty():
                 return
+        self._add(table, batch, keys if upsert else ())
+
+    def _add(self, table: Table, batch: Batch, keys: Sequence[str]) -> None:
+        """Add a batch's folders to a table. ``keys``: of which no row shares all with another."""
         current = next((t for t in self.tables if t.identity == table.identity), table)
-        unique = keys if upsert and (not current.paths or set(current.unique) == set(keys)) else ()
+        unique = keys if not current.paths or set(current.unique) == set(keys) else ()
         schema = widened(current.schema, batch.schema)
-        self._put(current.with_data(schema, [*current.paths, batch.path], unique))
+        self._put(current.with_data(schema, [*current.paths, *batch.paths], unique))
 
     def _put(self, table: Table) -> None:
         self.tables = [t for t in self.tables if t.identity != table.identity] + [table]
 
-    def _write(self, frame: DataFrame) -> Batch:
+    def compact(self) -> None:
+        """Small folders of each table into as few as their size asks for."""
+        size = self._catalog.storage.size
+        for table in self.tables:
+            small = {path: found for path in table.paths if (found := size(path)) < self.folder_bytes}
+            if len(small) < 2:
+                continue
+            rows = self._read(table.with_data(table.schema, small, ()))
+            keys = table.unique or table.schema.names[:1]
+            new = self._write(rows, keys, sum(small.values()))
+            kept = [path for path in table.paths if path not in small]
+            self._put(table.with_data(table.schema, [*kept, *new.paths], table.unique))
+
+    def _size(self, batch: Batch) -> int:
+        return sum(self._catalog.storage.size(path) for path in batch.paths)
+
+    def _write(self, frame: DataFrame, keys: Sequence[str] = (), size: int = 0) -> Batch:
+        """Rows in a folder, or in several by the hash of ``keys`` if ``size`` bytes are many."""
+        path = f"{self._root}/data/{uuid.uuid4().hex}"
+        self._written.append(path)
+        folders = -(-size // self.folder_bytes) if keys else 1
+        if folders > 1:
+            bucket = F.pmod(F.xxhash64(*(F.col(quoted(key)) for key in keys)), F.lit(folders))
+            dealt = frame.withColumn("bucket", bucket).repartition("bucket")
+            dealt.write.partitionBy("bucket").parquet(path)
+            names = self._catalog.storage.names(path)
+            paths = tuple(f"{path}/{name}" for name in sorted(names) if name.startswith("bucket="))
+        else:
+            frame.write.parquet(path)
+            paths = (path,)
+        return Batch(self._read(Table(schema=frame.schema, paths=paths)), frame.schema, paths)
+
+    def _write_sides(self, frames: dict[str, DataFrame]) -> dict[str, Batch]:
+        """Several frames in one job, a folder each."""
+        if len(frames) == 1:
+            return {side: self._write(frame) for side, frame in frames.items()}
         path = f"{self._root}/data/{uuid.uuid4().hex}"
-        frame.write.parquet(path)
-        stored = Table(schema=frame.schema, paths=(path,))
-        return Batch(self._read(stored), frame.schema, path)
+        self._written.append(path)
+        tagged = [frame.withColumn("bucket", F.lit(n)) for n, frame in enumerate(frames.values())]
+        union(tagged).write.partitionBy("bucket").parquet(path)
+        there = set(self._catalog.storage.names(path))
+        out = {}
+        for n, (side, frame) in enumerate(frames.items()):
+            paths = (f"{path}/bucket={n}",) if f"bucket={n}" in there else ()
+            stored = Table(schema=frame.schema, paths=paths)
+            rows = self._read(stored) if paths else frame.limit(0)
+            out[side] = Batch(rows, frame.schema, paths)
+        return out
+
+
+def _key_id(keys: Sequence[str]) -> Column:
+    """An identity that every row of a write with these keys gets, and no other write's."""
+    parts = [F.to_json(F.struct(*(F.col(quoted(key)) for key in keys)))]
+    return F.unhex(F.md5(F.concat(F.lit(uuid.uuid4().hex), *parts)))
+
+
+def _apart(one: NodePattern, two: NodePattern, frames: dict[str, DataFrame]) -> bool:
+    """Whether no node of one end can be meant by the other, and one write can hold both."""
+    if set(one.labels) <= set(two.labels) or set(two.labels) <= set(one.labels):
+        return False
+    kinds: dict[str, str] = {}
+    for frame in frames.values():
+        for item in frame.schema:
+            if kinds.setdefault(item.name, item.dataType.simpleString()) != item.dataType.simpleString():
+                return False
+    return True
 
 
 def _key_types(tables: Sequence[Table], keys: Iterable[str]) -> dict[str, DataType]:

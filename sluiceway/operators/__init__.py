@@ -1,6 +1,5 @@
 """Row operators: filter, projection, limit, preview, repartitioning, keyed merge."""
 
-from sluiceway.operators.limit import take_rows
 from sluiceway.operators.merge import latest_per_key, matched_keys, merge_rows, unmatched_rows
 from sluiceway.operators.repartition import repartition_rows
 from sluiceway.operators.shape import filter_rows, project, shape
@@ -13,6 +12,5 @@ __all__ = [
     "project",
     "repartition_rows",
     "shape",
-    "take_rows",
     "unmatched_rows",
 ]

@@ -3,51 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from sluiceway.functions.columns import comparable, quoted
 from sluiceway.spec import Partition
 
-# A key is spread once it holds this many times the rows of an even partition.
-HOT_SHARE = 2
-
-
-def hot_keys(frame: DataFrame, by: str, number: int) -> list[tuple]:
-    """Keys too large for one of ``number`` partitions, with the partitions each needs.
-
-    At most ``number / HOT_SHARE`` keys can be that large, so only that many
-    counts reach the driver, whatever the number of keys.
-    """
-    largest = number // HOT_SHARE
-    if largest < 1:
-        return []
-    # The rollup's one extra row, sorted first, is the number of all rows.
-    counts = (
-        frame.select(F.col(by).alias("key"))
-        .rollup("key")
-        .agg(F.count("*").alias("n"), F.grouping("key").alias("all"))
-        .orderBy(F.desc("all"), F.desc("n"))
-        .limit(largest + 1)
-        .collect()
-    )
-    if not counts:
-        return []
-    rows = counts[0]["n"]
-    return [
-        (row["key"], -(-row["n"] * number // rows))
-        for row in counts[1:]
-        if row["n"] * number > HOT_SHARE * rows
-    ]
-
 
 def repartition_rows(frame: DataFrame, partition: Partition) -> DataFrame:
     """``frame`` in ``partition.number`` partitions; unchanged if that is not positive.
 
-    Hashing keeps a key's rows in one task, so one key with a third of the rows
-    would keep a third of the work in one task. Such keys are spread over just
-    as many partitions as their share calls for, by a hash of the row and of the
-    number of the task that read it. Both stay the same when a lost task runs
-    again, and the task number spreads copies of one row.
+    By a column, rows are dealt over so many partitions by the column's hash, and
+    adaptive execution then splits partitions over its advisory size, as a hot
+    key makes them, and joins small ones. With ``keepTogether`` the number is
+    exact and every key stays in one partition, whatever its size.
     """
     number, by = partition.number, partition.by.strip()
     if number <= 0:
@@ -56,27 +22,4 @@ def repartition_rows(frame: DataFrame, partition: Partition) -> DataFrame:
         return frame.repartition(number)
     if partition.keepTogether:
         return frame.repartition(number, F.col(by))
-    hot = hot_keys(frame, by, number)
-    if not hot:
-        return frame.repartition(number, F.col(by))
-
-    key, pieces, slot = "__hot_key", "__hot_pieces", "__hot_slot"
-    key_type = frame.select(F.col(by).alias("key")).schema["key"].dataType
-    table = frame.sparkSession.createDataFrame(
-        hot, StructType([StructField(key, key_type), StructField(pieces, LongType())])
-    )
-    # At most number / HOT_SHARE rows, so the broadcast does not grow with the data.
-    marked = frame.join(F.broadcast(table), F.col(by).eqNullSafe(F.col(key)), "left")
-    row = [
-        F.col(quoted(item.name))
-        for item in frame.schema
-        if comparable(item.dataType) and frame.columns.count(item.name) == 1
-    ]
-    spread = F.when(
-        F.col(pieces).isNotNull(), F.pmod(F.xxhash64(F.spark_partition_id(), *row), F.col(pieces))
-    ).otherwise(F.lit(0))
-    return (
-        marked.withColumn(slot, spread)
-        .repartition(number, F.col(by), F.col(slot))
-        .drop(key, pieces, slot)
-    )
+    return frame.hint("rebalance", number, F.col(by))

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from sluiceway.functions.columns import as_column
-from sluiceway.operators.limit import first_files, take_rows
 from sluiceway.operators.repartition import repartition_rows
 from sluiceway.spec import Column, Source
 
@@ -27,25 +26,18 @@ def project(frame: DataFrame, columns: Sequence[Column]) -> DataFrame:
     return frame.select(*(as_column(c) for c in columns)) if columns else frame
 
 
-def shape(scan: DataFrame, source: Source, fixed_partitions: bool = False) -> DataFrame:
-    """``scan`` with every step its specification asks for.
+def shape(scan: DataFrame, source: Source) -> DataFrame:
+    """``scan`` with every step its specification asks for; all lazy but the preview.
 
-    The steps are lazy but for three that need to know the data: the preview, a
-    limit too large for one task, and hashing by a column, which looks for keys
-    that hold too many rows.
+    The limit is Spark's own whatever its size: each task stops at so many rows,
+    and any so many of theirs are kept. It is meant for trial runs; a large share
+    of a table is better chosen by a filter.
     """
-    def shaped(scan: DataFrame) -> DataFrame:
-        return project(filter_rows(scan, source.where), source.columns)
-
-    def on_fewer_files() -> DataFrame | None:
-        some = first_files(scan, lambda rows: filter_rows(rows, source.where), source.limit)
-        return None if some is None else shaped(some)
-
-    frame = shaped(scan)
+    frame = project(filter_rows(scan, source.where), source.columns)
     if source.printSchema:
         frame.printSchema()
     if source.limit > 0:
-        frame = take_rows(frame, source.limit, fixed_partitions, on_fewer_files)
+        frame = frame.limit(source.limit)
     if source.show > 0:
         frame.show(source.show)
     return repartition_rows(frame, source.partition)

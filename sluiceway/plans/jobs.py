@@ -8,11 +8,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.functions.placeholders import resolve_options
 from sluiceway.operators.shape import shape
 from sluiceway.sinks.write import write
-from sluiceway.sources.presets import resolve_format
-from sluiceway.sources.scan import FILE_FORMATS, scan
+from sluiceway.sources.scan import scan
 from sluiceway.spec import JobConfig, Source
 
 log = logging.getLogger(__name__)
@@ -33,24 +31,11 @@ def session_for(job: JobConfig) -> SparkSession:
 def read(spark: SparkSession, source: "Source | dict", strict: bool = False) -> DataFrame:
     """The rows a source describes, as one DataFrame."""
     source = Source.of(source)
-    frame, fixed_partitions = scan(spark, source, strict)
-    return shape(frame, source, fixed_partitions)
-
-
-def _known_reads(source: Source, strict: bool) -> list[str] | None:
-    """The only path the source reads, if nothing in it can read another."""
-    format, options = resolve_format(source.format, resolve_options(source.options, strict))
-    texts = [source.where, *(column.name for column in source.columns)]
-    if format not in FILE_FORMATS or "path" not in options:
-        return None
-    if any(word in text.lower() for text in texts for word in ("select", "table", "from")):
-        return None
-    return [options["path"]]
+    return shape(scan(spark, source, strict), source)
 
 
 def _move(spark: SparkSession, job: JobConfig, strict: bool) -> None:
-    frame = read(spark, job.source, strict)
-    write(frame, job.target, strict, _known_reads(job.source, strict))
+    write(read(spark, job.source, strict), job.target, strict)
 
 
 def _warn_of_ignored_settings(job: JobConfig) -> None:

@@ -2,47 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from urllib.parse import unquote, urlsplit
+from collections.abc import Iterable, Iterator
+from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.placeholders import resolve_options
 from sluiceway.sources.presets import GRAPH_FORMAT, resolve_format
-from sluiceway.sources.scan import FILE_FORMATS, with_connector
+from sluiceway.sources.scan import with_connector
 from sluiceway.spec import Target
+from sluiceway.storage import qualified
+
+# Table formats that keep the old files until the new ones are there.
+VERSIONED_FORMATS = frozenset({"delta", "iceberg", "hudi"})
 
 
 class SelfOverwrite(ValueError):
     """The target would delete files the job still has to read."""
 
 
-def _place(path: str) -> tuple[str, str]:
-    parts = urlsplit(path)
-    return parts.netloc, "/" + unquote(parts.path).strip("/")
+def _items(sequence) -> Iterator:
+    return (sequence.apply(i) for i in range(sequence.size()))
+
+
+def input_roots(frame: DataFrame) -> list[str]:
+    """The folders and files that the plan names, those of its subqueries too.
+
+    They are as many as the job's sources name, however many files lie below.
+    An RDD that was read from files outside of Spark's sources cannot be told.
+    """
+    plan = frame._jdf.queryExecution().analyzed()
+    roots: list[str] = []
+    for part in (plan, *_items(plan.subqueriesAll())):
+        for leaf in _items(part.collectLeaves()):
+            kind = leaf.getClass().getSimpleName()
+            files = None
+            if kind == "LogicalRelation":
+                relation = leaf.relation()
+                if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                    files = relation.location()
+            elif kind == "DataSourceV2Relation" and "datasources.v2" in leaf.table().getClass().getName():
+                table = leaf.table()
+                files = table.fileIndex() if hasattr(table, "fileIndex") else None
+            elif kind == "LogicalRDD":
+                lineage = leaf.rdd().toDebugString()
+                if any(name in lineage for name in ("HadoopRDD", "FileScanRDD", "BinaryFileRDD")):
+                    raise SelfOverwrite(
+                        "the rows come from an RDD over files, and it cannot be told whether the "
+                        "target holds these; write to another place"
+                    )
+            if files is not None:
+                roots += [item.toString() for item in _items(files.rootPaths())]
+    return roots
 
 
 def _holds(folder: str, path: str) -> bool:
-    """Whether ``path`` is ``folder`` or lies within it."""
-    (host, outer), (other, inner) = _place(folder), _place(path)
-    if host and other and host != other:
+    """Whether ``path`` is ``folder`` or lies within it; so also if only the hosts are unknown."""
+    one, two = urlsplit(folder), urlsplit(path)
+    if one.netloc and two.netloc and one.netloc != two.netloc:
         return False
-    return inner == outer or inner.startswith(outer.rstrip("/") + "/")
+    outer, inner = one.path.rstrip("/"), two.path.rstrip("/")
+    return inner == outer or inner.startswith(outer + "/")
 
 
-def refuse_self_overwrite(folder: str, reads: Iterable[str]) -> None:
+def refuse_self_overwrite(spark: SparkSession, folder: str, reads: Iterable[str]) -> None:
+    target = qualified(spark, folder)
     for path in reads:
-        if _holds(folder, path) or _holds(path, folder):
+        source = qualified(spark, path)
+        if _holds(target, source) or _holds(source, target):
             raise SelfOverwrite(f"overwriting {folder} would delete the job's own input {path}")
 
 
-def write(
-    frame: DataFrame, target: Target, strict: bool = False, reads: Iterable[str] | None = None
-) -> None:
+def write(frame: DataFrame, target: Target, strict: bool = False) -> None:
     """Save ``frame`` as the target says; a blank mode is Spark's default.
 
-    ``reads`` are the paths the frame comes from. A caller that knows them spares
-    the driver the list of every single file, which is asked for otherwise.
+    Overwriting a place that holds the frame's own input, or lies in it, is refused.
     """
     format, options = resolve_format(target.format, resolve_options(target.options, strict))
     if format == GRAPH_FORMAT:
@@ -51,8 +85,11 @@ def write(
         graph = PropertyGraph.from_options(frame.sparkSession, options)
         graph.write_options(frame, options, target.mode)
         return
-    if format in FILE_FORMATS and target.mode.lower() == "overwrite" and "path" in options:
-        refuse_self_overwrite(options["path"], frame.inputFiles() if reads is None else reads)
+    folders = [value for name, value in options.items() if name.lower() == "path"]
+    if target.mode.strip().lower() == "overwrite" and folders and format not in VERSIONED_FORMATS:
+        roots = input_roots(frame)
+        for folder in folders:
+            refuse_self_overwrite(frame.sparkSession, folder, roots)
     writer = frame.write.format(format).options(**options)
     if target.mode:
         writer = writer.mode(target.mode)

@@ -182,6 +182,12 @@ def register_preset(item: Preset) -> None:
     _registered[item.name.strip().lower()] = item
 
 
+# Spark's own short names, which it takes in any case.
+_SPARK_FORMATS = frozenset(
+    {"avro", "binaryfile", "csv", "jdbc", "json", "orc", "parquet", "text", "xml"}
+)
+
+
 def resolve_format(format: str, options: Mapping[str, str]) -> tuple[str, dict[str, str]]:
     """The Spark format and options behind a format or preset name.
 
@@ -190,7 +196,8 @@ def resolve_format(format: str, options: Mapping[str, str]) -> tuple[str, dict[s
     """
     found = _registered.get(format.strip().lower())
     if found is None:
-        return format, dict(options)
+        short = format.strip().lower()
+        return short if short in _SPARK_FORMATS or short == GRAPH_FORMAT else format, dict(options)
     merged = {**found.defaults, **options}
     found.check(merged)
     return found.format, merged

@@ -17,11 +17,6 @@ from sluiceway.spec import Source
 log = logging.getLogger(__name__)
 T = TypeVar("T")
 
-# Formats whose splits depend on the files alone, so two reads of
-# the same files give the same rows in the same partitions.
-FILE_FORMATS = frozenset({"parquet", "orc", "csv", "json", "text", "xml", "avro"})
-
-
 class MissingConnector(RuntimeError):
     """The format's connector is not on the class path."""
 
@@ -63,14 +58,13 @@ def jdbc_options(options: Mapping[str, str]) -> dict[str, str]:
     return {**kept, "dbtable": f"({options[names['query']]}) source_query"}
 
 
-def scan(spark: SparkSession, source: Source, strict: bool = False) -> tuple[DataFrame, bool]:
-    """The source as it is, and whether it is made of files, which fix its partitions."""
+def scan(spark: SparkSession, source: Source, strict: bool = False) -> DataFrame:
+    """The source as it is."""
     format, options = resolve_format(source.format, resolve_options(source.options, strict))
     if format == GRAPH_FORMAT:
         from sluiceway.graph import PropertyGraph
 
-        return PropertyGraph.from_options(spark, options).read_options(options), True
+        return PropertyGraph.from_options(spark, options).read_options(options)
     if format == "jdbc":
         options = jdbc_options(options)
-    frame = with_connector(format, lambda: spark.read.format(format).options(**options).load())
-    return frame, format in FILE_FORMATS
+    return with_connector(format, lambda: spark.read.format(format).options(**options).load())

@@ -39,10 +39,8 @@ def table(spark, sf):
 
 
 @pytest.fixture
-def persons_csv(tmp_path):
-    """Three people, two of one family; every column reads as text."""
-    path = tmp_path / "persons.csv"
-    path.write_text(
-        "person_id,person_name,person_surname\n1,Ada,Rossi\n2,Leo,Rossi\n3,Mia,Bianchi\n"
-    )
+def boats_csv(tmp_path):
+    """Three boats, two in one harbour; every column reads as text."""
+    path = tmp_path / "boats.csv"
+    path.write_text("hull,title,harbour\n17,Petrel,Bergen\n23,Tern,Bergen\n31,Heron,Cork\n")
     return str(path)

@@ -1,15 +1,16 @@
 """Filter, projection, schema print, limit, preview, repartitioning, and their order."""
 
+import re
+
 import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from sluiceway import Column, Partition, PropertyGraph, Source, read
-from sluiceway.operators import repartition_rows, take_rows
-from sluiceway.operators.limit import ONE_TASK_ROWS_SETTING
-from sluiceway.operators.repartition import hot_keys
+from sluiceway import Column, Partition, Source, read
+from sluiceway.operators import repartition_rows
+from sluiceway.operators.shape import shape
 
 
 @pytest.fixture
@@ -32,21 +33,21 @@ def sizes(frame):
 def places(frame, key):
     """In how many partitions each key lies."""
     return (
-        frame.select(key, F.spark_partition_id().alias("part")).distinct().groupBy(key).agg(
-            F.count("*").alias("n")
-        )
+        frame.select(key, F.spark_partition_id().alias("part"))
+        .groupBy(key)
+        .agg(F.countDistinct("part").alias("n"))
     )
 
 
-def test_filter_sees_columns_the_projection_drops(spark, persons_csv):
+def test_filter_sees_columns_the_projection_drops(spark, boats_csv):
     source = Source(
         "csv",
-        {"header": "true", "path": persons_csv},
-        [Column("person_id", "id"), Column("person_name", "name")],
-        where="person_surname = 'Rossi'",
+        {"header": "true", "path": boats_csv},
+        [Column("hull", "number"), Column("title")],
+        where="harbour = 'Bergen'",
     )
     rows = read(spark, source).collect()
-    assert [tuple(row) for row in rows] == [("1", "Ada"), ("2", "Leo")]
+    assert [tuple(row) for row in rows] == [("17", "Petrel"), ("23", "Tern")]
 
 
 def test_filter_does_not_see_aliases(customer):
@@ -121,67 +122,36 @@ def test_limit_comes_before_repartition(customer):
     assert sizes(frame) == [3, 3, 3, 3]
 
 
-@pytest.fixture
-def small_tasks(spark):
-    """Limits above 10 rows are distributed, and files are cut into many tasks."""
-    spark.conf.set(ONE_TASK_ROWS_SETTING, "10")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    yield
-    spark.conf.unset(ONE_TASK_ROWS_SETTING)
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-@pytest.mark.parametrize("rows", [11, 149, 150, 151, 799, 800, 1000])
-def test_distributed_limit_is_exact(spark, tmp_path, small_tasks, capsys, rows):
-    path = str(tmp_path / "t")
-    spark.range(0, 800, 1, 7).write.parquet(path)
-    frame = read(spark, Source("parquet", {"path": path}, limit=rows))
-    assert "Exchange" not in plan(frame, capsys)
-    assert frame.count() == min(rows, 800)
-    assert frame.distinct().count() == min(rows, 800)
-
-
-@pytest.mark.parametrize("format", ["parquet", "orc", "csv", "json", "text", "xml"])
-def test_distributed_limit_reads_only_the_files_it_needs(spark, tmp_path, small_tasks, format):
-    """Eight files of 100 rows, every second row passes the filter: 120 rows take three files."""
-    options = {"path": str(tmp_path / "a b" / "t"), "header": "true", "rowTag": "row"}
-    rows = spark.range(0, 800, 1, 8).selectExpr("CAST(id AS STRING) AS value")
-    rows.write.format(format).options(**options).save()
-    source = Source(format, options, ["value"], where="CAST(value AS INT) % 2 = 0", limit=120)
-    frame = read(spark, source)
-    found = [int(row.value) for row in frame.collect()]
-    assert len(found) == len(set(found)) == 120
-    assert all(value % 2 == 0 for value in found)
-    files = {value // 100 for value in found}
-    assert len(files) == 3
-    assert frame.rdd.getNumPartitions() <= 3
+def limit_plans(frame, capsys):
+    text = plan(frame, capsys)
+    return [line.split(" ", 1)[-1] for line in re.findall(r"\w*Limit\w*", text)]
 
 
-def test_distributed_limit_where_columns_drop_rows(spark, tmp_path, small_tasks):
-    """Exploding empty arrays leaves too few rows in the first files; all files are read then."""
+@pytest.mark.parametrize("over", ["parquet", "window", "no file"])
+def test_one_plan_for_every_limit(spark, tmp_path, capsys, over):
+    """No size at which the plan changes, no checkpoint folder, no job before an action."""
     path = str(tmp_path / "t")
-    arrays = "IF(id < 400, array_repeat(id, 0), array(id)) AS items"
-    spark.range(0, 800, 1, 8).selectExpr(arrays).write.parquet(path)
-    source = Source("parquet", {"path": path}, ["explode(items) AS item"], limit=350)
-    assert read(spark, source).distinct().count() == 350
-    assert read(spark, Source("parquet", {"path": path}, source.columns, limit=500)).count() == 400
-
-
-def test_distributed_limit_over_a_graph(spark, tmp_path, small_tasks):
-    graph = PropertyGraph(spark, str(tmp_path / "g"))
-    graph.write_nodes(spark.range(0, 100, 1, 3), ":A")
-    graph.write_nodes(spark.range(100, 200, 1, 3), ":A:B")
-    source = Source("graph", {"path": str(tmp_path / "g"), "labels": ":A"}, ["id"], limit=130)
-    assert read(spark, source).distinct().count() == 130
-
-
-def test_distributed_limit_over_a_shuffle(spark, small_tasks):
-    frame = spark.range(500).selectExpr("id % 100 AS k").groupBy("k").count()
-    assert take_rows(frame, 60).count() == 60
-    assert take_rows(frame, 600).count() == 100
-
-
-def test_distributed_limit_filters_first(spark, sf, small_tasks):
+    spark.range(0, 100_005, 1, 4).write.parquet(path)
+    columns = ["id", Column("row_number() OVER (PARTITION BY id % 7 ORDER BY id)", "n")]
+    group = f"no job {over}"
+    spark.sparkContext.setJobGroup(group, group)
+    found = []
+    for rows in (100_000, 100_001):
+        if over == "no file":
+            spark.range(100_005).createOrReplaceTempView("numbers")
+            frame = shape(spark.table("numbers"), Source("any", {}, limit=rows))
+        else:
+            steps = {"columns": columns} if over == "window" else {}
+            frame = read(spark, Source("parquet", {"path": path}, limit=rows, **steps))
+        found.append((frame, limit_plans(frame, capsys), rows))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group) or over != "no file"
+    assert found[0][1] == found[1][1]
+    for frame, _, rows in found:
+        ids = [row.id for row in frame.select("id").collect()]
+        assert len(ids) == len(set(ids)) == rows and max(ids) < 100_005
+
+
+def test_limit_filters_first(spark, sf):
     source = Source(
         "parquet", {"path": f"{sf}/lineitem.parquet"}, where="l_returnflag = 'R'", limit=500
     )
@@ -199,9 +169,8 @@ def test_no_repartition(customer, number):
     assert len(sizes(customer(partition=Partition(number, "c_custkey")))) == 1
 
 
-def test_hash_keeps_a_key_together(customer):
+def test_hash_keeps_a_small_key_together(customer):
     frame = customer(partition=Partition(5, "c_nationkey"))
-    assert frame.rdd.getNumPartitions() == 5
     assert places(frame, "c_nationkey").where("n > 1").isEmpty()
 
 
@@ -210,48 +179,51 @@ def test_by_is_a_column_not_an_expression(customer):
         customer(partition=Partition(5, "c_nationkey % 3"))
 
 
+@pytest.fixture
+def small_partitions(spark):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.01",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
 @pytest.fixture
 def skewed(spark):
-    """900 rows, a third with one key, written from several tasks; copies included."""
+    """9000 rows, a third with one key, read by several tasks."""
     key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
-    return spark.range(0, 900, 1, 6).select(key.alias("key"), F.lit("same").alias("text"))
+    return spark.range(0, 9000, 1, 6).select(key.alias("key"), F.md5(F.col("id").cast("string")).alias("text"))
 
 
-def test_hot_keys_are_found(skewed):
-    assert hot_keys(skewed, "key", 10) == [(-1, 4)]
-    assert hot_keys(skewed, "key", 3) == []
-    assert hot_keys(skewed, "key", 1) == []
-    assert hot_keys(skewed.where("false"), "key", 10) == []
+def files(frame, path, condition):
+    """In how many of the written files there are rows for which the condition holds."""
+    frame.write.parquet(str(path))
+    back = frame.sparkSession.read.parquet(str(path)).where(condition)
+    return back.select(F.input_file_name()).distinct().count()
 
 
-def test_hot_key_is_spread_and_rows_are_whole(skewed):
+def test_hot_key_is_spread_in_one_lazy_pass(spark, skewed, small_partitions, tmp_path):
+    spark.sparkContext.setJobGroup("spread", "spread")
     frame = repartition_rows(skewed, Partition(10, "key"))
     assert frame.columns == ["key", "text"]
-    assert frame.rdd.getNumPartitions() == 10
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("spread")
+    assert files(frame, tmp_path / "t", "key = -1") > 1
     assert frame.exceptAll(skewed).isEmpty() and skewed.exceptAll(frame).isEmpty()
-    found = places(frame, "key")
-    assert found.where("key = -1").first()["n"] > 1
-    assert found.where("key <> -1 AND n > 1").isEmpty()
 
 
-def test_null_may_be_the_hot_key(skewed):
-    nulls = skewed.select(F.when(F.col("key") != -1, F.col("key")).alias("key"))
+def test_null_may_be_the_hot_key(skewed, small_partitions, tmp_path):
+    nulls = skewed.select(F.when(F.col("key") != -1, F.col("key")).alias("key"), "text")
     frame = repartition_rows(nulls, Partition(10, "key"))
-    assert frame.count() == 900
-    spread = frame.where("key IS NULL").select(F.spark_partition_id()).distinct().count()
-    assert spread > 1
+    assert frame.count() == 9000
+    assert files(frame, tmp_path / "t", "key IS NULL") > 1
 
 
-def test_keep_together_is_plain_hashing(skewed):
+def test_keep_together_is_plain_hashing(skewed, small_partitions):
     frame = repartition_rows(skewed, Partition(10, "key", keepTogether=True))
+    assert frame.rdd.getNumPartitions() == 10
     spread = frame.where("key = -1").select(F.spark_partition_id()).distinct().count()
     assert spread == 1
-
-
-def test_hot_keys_with_repeated_and_map_columns(spark):
-    frame = spark.range(0, 300, 1, 4).selectExpr(
-        "1 AS key", "id", "id", "map('a', id) AS m", "struct(id) AS s"
-    )
-    result = repartition_rows(frame, Partition(6, "key"))
-    assert result.columns == ["key", "id", "id", "m", "s"]
-    assert result.count() == 300

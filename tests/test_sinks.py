@@ -1,5 +1,6 @@
 """Writing files, save modes and the guard against deleting one's own input."""
 
+import os
 from pathlib import Path
 
 import pytest
@@ -15,18 +16,12 @@ def job(source, target):
 
 
 def test_graph_to_csv_text(spark, tmp_path):
-    people = spark.sql("SELECT id, concat('Name For Id ', id) AS name FROM range(1, 3)")
+    boats = spark.createDataFrame([("Tern", 23)], "title string, hull int")
     graph, csv = str(tmp_path / "g"), tmp_path / "csv"
-    PropertyGraph(spark, graph).write_nodes(people.coalesce(1), ":Person:Customer")
-    run_job(
-        spark,
-        job(
-            Source("graph", {"path": graph, "labels": ":Person:Customer"}, ["id", "name"]),
-            Target("csv", {"header": "true", "path": str(csv)}, "Overwrite"),
-        ),
-    )
-    (file,) = csv.glob("*.csv")
-    assert file.read_text() == "id,name\n1,Name For Id 1\n2,Name For Id 2\n"
+    PropertyGraph(spark, graph).write_nodes(boats, ":Boat")
+    source = Source("graph", {"path": graph, "labels": ":Boat"}, ["hull", "upper(title) AS t"])
+    run_job(spark, job(source, Target("csv", {"sep": ";", "path": str(csv)})))
+    assert "".join(file.read_text() for file in csv.glob("*.csv")) == "23;TERN\n"
 
 
 @pytest.mark.parametrize("format", ["parquet", "orc", "json", "csv"])
@@ -118,18 +113,80 @@ def test_appending_to_the_input_is_allowed(spark, stored):
         ("s3a://bucket/t", "s3a://bucket/t/part-0.parquet", True),
         ("s3a://bucket/t/", "s3a://bucket/t", True),
         ("s3a://bucket/t/x", "s3a://bucket/t", True),
+        ("s3a://bucket/u/../t", "s3a://bucket//t", True),
         ("s3a://bucket/t", "s3a://other/t", False),
         ("s3a://bucket/t", "s3a://bucket/t2", False),
         ("/data/t", "file:///data/t/a%20b", True),
-        ("hdfs:///t", "hdfs://name:8020/t/f", True),
+        ("file:/data/t/../t", "/data//t", True),
+        ("/", "file:/data/t", True),
     ],
 )
-def test_paths_that_overlap(folder, read, refused):
+def test_paths_that_overlap(spark, folder, read, refused):
     if refused:
         with pytest.raises(SelfOverwrite):
-            refuse_self_overwrite(folder, [read])
+            refuse_self_overwrite(spark, folder, [read])
     else:
-        refuse_self_overwrite(folder, [read])
+        refuse_self_overwrite(spark, folder, [read])
+
+
+@pytest.mark.parametrize(
+    ("format", "option", "spelled"),
+    [
+        ("PARQUET", "path", "{place}"),
+        ("parquet", "PATH", "{place}"),
+        (" Parquet ", "Path", "{place}"),
+        ("parquet", "path", "{folder}/x/../{name}"),
+        ("parquet", "path", "{folder}//{name}/"),
+        ("parquet", "path", "file:{place}"),
+        ("parquet", "path", "{relative}"),
+        ("parquet", "path", "{link}"),
+        ("org.apache.spark.sql.execution.datasources.parquet.ParquetFileFormat", "path", "{place}"),
+    ],
+)
+@pytest.mark.parametrize("source", ["{place}", "{folder}/t_*"])
+def test_every_spelling_of_the_input_is_refused(spark, tmp_path, format, option, spelled, source):
+    place = tmp_path / "t_1"
+    spark.range(5).write.parquet(str(place))
+    (tmp_path / "link").symlink_to(place)
+    words = {
+        "place": place, "folder": tmp_path, "name": "t_1", "link": tmp_path / "link",
+        "relative": os.path.relpath(place),
+    }
+    target = Target(format, {option: spelled.format(**words)}, "Overwrite")
+    frame = spark.read.parquet(source.format(**words))
+    for attempt in (
+        lambda: run_job(spark, job(Source("parquet", {"path": source.format(**words)}), target)),
+        lambda: write(frame, target),
+        lambda: write(frame.groupBy("id").count(), target),
+    ):
+        with pytest.raises(SelfOverwrite):
+            attempt()
+    assert spark.read.parquet(str(place)).count() == 5
+
+
+def test_a_column_named_like_a_word_of_sql(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).selectExpr("id AS valid_from", "id AS Exchange").write.parquet(path)
+    target = Target("parquet", {"path": str(tmp_path / "u")}, "overwrite")
+    run_job(spark, job(Source("parquet", {"path": path}, where="valid_from > 1", limit=2), target))
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 2
+
+
+def test_rows_of_an_rdd_over_files_are_refused(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.txt").write_text("x\n")
+    lines = spark.sparkContext.textFile(str(tmp_path / "t")).map(lambda line: (line,))
+    frame = spark.createDataFrame(lines, "line string")
+    with pytest.raises(SelfOverwrite):
+        write(frame, Target("text", {"path": str(tmp_path / "t")}, "overwrite"))
+    assert (tmp_path / "t" / "a.txt").exists()
+
+
+def test_rows_from_memory_may_overwrite(spark, tmp_path):
+    for _ in range(2):
+        frame = spark.createDataFrame([(1,)], "id int").unionByName(spark.range(1).selectExpr("CAST(id AS INT) AS id"))
+        write(frame, Target("parquet", {"path": str(tmp_path / "t")}, "overwrite"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
 
 
 def test_array_columns_are_the_format_s_to_reject(spark, tmp_path, table):

@@ -79,7 +79,7 @@ def test_other_formats_pass_through():
     assert resolve_format("com.example.Any", {"a": "b"}) == ("com.example.Any", {"a": "b"})
 
 
-def test_format_class_sent_to_a_graph(spark, tmp_path, persons_csv, monkeypatch):
+def test_format_class_sent_to_a_graph(spark, tmp_path, boats_csv, monkeypatch):
     """A job file for a graph database runs against a graph of tables, unchanged."""
     module = import_module("sluiceway.sources.presets")
     monkeypatch.setattr(module, "_registered", dict(module._registered))
@@ -90,15 +90,15 @@ def test_format_class_sent_to_a_graph(spark, tmp_path, persons_csv, monkeypatch)
     run_job(
         spark,
         {
-            "source": {"format": "csv", "options": {"header": "true", "path": persons_csv}},
+            "source": {"format": "csv", "options": {"header": "true", "path": boats_csv}},
             "target": {
                 "format": "com.example.graph.Source",
                 "mode": "Overwrite",
-                "options": {"labels": ":Person", "url": "bolt://db", "node.keys": "person_id:id"},
+                "options": {"labels": ":Boat", "url": "bolt://db", "node.keys": "hull:id"},
             },
         },
     )
-    assert PropertyGraph(spark, path).read_nodes("Person").count() == 3
+    assert PropertyGraph(spark, path).read_nodes("Boat").count() == 3
 
 
 @pytest.mark.parametrize("name", [n for n in FORMATS if FORMATS[n] not in ("jdbc", "graph")])
@@ -165,7 +165,7 @@ def test_jdbc_table_and_query_reach_the_reader(name, what, monkeypatch):
     monkeypatch.setenv("DB_PASSWORD", "secret")
     reader = Recorder()
     options = {"url": "jdbc:x://h/db", "password": "${env:DB_PASSWORD}", **what}
-    assert scan(reader, Source(name, options)) == ("rows", False)
+    assert scan(reader, Source(name, options)) == "rows"
     assert reader.calls == ["jdbc", {"url": "jdbc:x://h/db", "password": "secret", **what}]
 
 
