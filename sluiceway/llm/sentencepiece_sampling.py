@@ -51,10 +51,10 @@ class Vocabulary:
         """A text's units; together they are the text, a space before it, its spaces marked."""
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def decode(self, pieces: list[str | bytes]) -> str:
-        """Bytes of characters without a piece, and the others' text; the space put before is taken off."""
-        text = b"".join(p if isinstance(p, bytes) else p.encode() for p in pieces).decode("utf-8", "replace")
-        return text.replace(SPACE, " ")[1:]
+    @staticmethod
+    def decode(pieces: list[bytes]) -> str:
+        """The text of pieces, of which byte pieces give their bytes; the space put before is taken off."""
+        return b"".join(pieces).decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
 @dataclass
@@ -100,8 +100,9 @@ class Lattices:
         none, whole = np.zeros(0), np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)  # each state's first edge, and the number of all edges
         self.edges = Edges(none, none, none, whole, whole, whole)
-        self.texts: list[str | bytes] = [*self.plain]
-        self.text_ids: list[tuple[int, ...]] = [(self.vocabulary.ids[t],) for t in self.plain]
+        self.texts: list[bytes] = [t.encode() for t in self.plain]
+        self.sizes = np.zeros(0, np.int64)
+        self.single = np.array([self.vocabulary.ids[t] for t in self.plain], np.int32)
         self.characters: dict[str, int] = {}
 
     def character(self, text: str) -> int:
@@ -109,9 +110,21 @@ class Lattices:
         if (n := self.characters.get(text)) is None:
             n = self.characters[text] = len(self.texts)
             self.texts.append(text.encode())
-            self.text_ids.append(tuple(self.vocabulary.bytes[b] for b in text.encode()))
         return n
 
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        """The identifiers of pieces; those written as bytes have several."""
+        if len(self.sizes) < len(self.texts):
+            own = [self.vocabulary.bytes[b] for t in self.texts[len(self.plain) :] for b in t]
+            self.flat = np.concatenate([self.single, np.array(own, np.int32)])
+            self.sizes = np.array([1] * len(self.plain) + [*map(len, self.texts[len(self.plain) :])], np.int64)
+            self.begins = np.cumsum(self.sizes) - self.sizes
+        sizes, begins = self.sizes[numbers], self.begins[numbers]
+        total = int(sizes.sum())
+        if total == len(numbers):
+            return self.flat[begins]
+        return self.flat[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(total)]
+
     def learn(self, units: list[str]) -> None:
         new = [u for u in dict.fromkeys(units) if u not in self.starts]
         if len(self.starts) + len(new) > KEPT_UNITS:
@@ -338,13 +351,13 @@ def sampled_segmentations(
                     draw = np.random.Generator(np.random.PCG64(xxhash.xxh3_64_intdigest(f"{seed}:{name}".encode())))
                     paths, threshold = Sampler(lattices, units, draw).sample(count)
                     for n, path in enumerate(paths):
-                        numbers = lattices.edges.piece[path.edges].tolist()
-                        ids = [x for p in numbers for x in lattices.text_ids[p]]
-                        decoded = lattices.vocabulary.decode([lattices.texts[p] for p in numbers])
+                        numbers = lattices.edges.piece[path.edges]
+                        ids = lattices.ids(numbers)
+                        decoded = lattices.vocabulary.decode([*map(lattices.texts.__getitem__, numbers.tolist())])
                         where.append(i)
                         row = (
                             n, len(ids), path.log_prob, path.perturbed, log_inclusion(path.log_prob, threshold),
-                            zlib.crc32(np.array(ids, "<u4").tobytes()), decoded == (value or ""), ids if with_ids else None,
+                            zlib.crc32(ids.astype("<u4").tobytes()), decoded == (value or ""), ids.tolist() if with_ids else None,
                         )
                         for column, item in zip(out, row, strict=True):
                             column.append(item)

@@ -216,7 +216,7 @@ def test_samples_follow_the_law():
     first, second, weights = collections.Counter(), collections.Counter(), collections.Counter()
     for seed in range(6000):
         paths, threshold = sentencepiece_sampling.Sampler(lattices, units, np.random.default_rng(seed)).sample(3)
-        found = [tuple(lattices.texts[p] for p in lattices.edges.piece[x.edges]) for x in paths]
+        found = [tuple(lattices.texts[p].decode() for p in lattices.edges.piece[x.edges]) for x in paths]
         assert len(set(found)) == 3
         for path, key in zip(paths, found, strict=True):
             assert math.isclose(path.log_prob, math.log(law[key]), abs_tol=1e-9)
