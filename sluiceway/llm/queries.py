@@ -1,4 +1,4 @@
-"""The operators as queries over whole tables, with SQL where it can express them."""
+"""The operators as queries over whole tables."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.minhash import near_duplicates
 from sluiceway.llm.neighbours import nearest
+from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.packing import pack
 from sluiceway.llm.quality import COUNTS, quality
 from sluiceway.llm.sentencepiece_sampling import sampled_segmentations
@@ -91,6 +92,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -106,28 +109,3 @@ QUERIES = {
         op10_token_counts,
     )
 }
-
-#: The checksum is built from its polynomial, bit by bit, then byte by byte.
-OP1_SQL = """
-WITH digits AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
-    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
-sized AS (
-  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
-    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
-        lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
-  FROM documents, digits),
-draws AS (
-  SELECT doc_id, size, text_crc32, s AS shard,
-    -ln((('0x' || substr(md5(s || ':' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) AS draw
-  FROM sized, range(41) AS shards(s)),
-placed AS (
-  SELECT doc_id, size, text_crc32, arg_min(shard, draw) FILTER (shard < 40) AS shard, arg_min(shard, draw) AS grown_shard
-  FROM draws GROUP BY doc_id, size, text_crc32)
-SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
-  row_number() OVER (PARTITION BY shard
-    ORDER BY md5(coalesce(doc_id::VARCHAR, '') || '|' || text_crc32 || '|' || size), doc_id) - 1 AS slot,
-  grown_shard::INTEGER AS grown_shard
-FROM placed
-"""
-
-ORACLES: dict[str, str] = {"op1_rendezvous_shards": OP1_SQL}

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from corpus_fixtures import documents, nothing, texts  # noqa: F401  (fixtures)
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from corpus_fixtures import documents, nothing, texts  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 from sluiceway.llm import (
