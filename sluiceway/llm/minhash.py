@@ -21,7 +21,7 @@ BANDS, ROWS = 32, 5
 #: standard errors of the estimate.
 SLACK = 0.15
 #: Distinct words whose hashes a worker keeps; when full, it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 #: Further centres of a bucket in the first round that needs them; eight times as many in each later one.
 CENTRES = 64
 
@@ -112,10 +112,10 @@ def sets_of(documents: DataFrame) -> DataFrame:
 class Links:
     """Pairs checked on signatures, then on whole sets."""
 
-    def __init__(self, documents: DataFrame, heads: DataFrame, percent: int):
-        self.documents, self.percent = documents, percent
+    def __init__(self, sets: DataFrame, heads: DataFrame, percent: int):
+        self.sets, self.percent = sets, percent
         self.heads = heads.select("doc", "n_shingles", "signature")
-        self.kind = documents.schema["doc"].dataType.simpleString()
+        self.kind = sets.schema["doc"].dataType.simpleString()
 
     def joined(self, pairs: DataFrame, side: DataFrame) -> DataFrame:
         """Pairs with what a table has of both ends, the pairs on the side that a join can split."""
@@ -151,13 +151,10 @@ class Links:
         )
         likely = Staged(sized.select("a", "b", "signature_a", "signature_b").mapInArrow(agree, f"a {kind}, b {kind}"), "pairs")
         near = likely.read()
-        ends = near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        sets = Staged(sets_of(self.documents.join(ends, "doc", "left_semi")), "sets")
-        found = self.joined(near, sets.read()).select("a", "b", "members_a", "members_b")
+        found = self.joined(near, self.sets).select("a", "b", "members_a", "members_b")
         links = Staged(found.mapInArrow(meet, f"a {kind}, b {kind}").distinct(), "links")
         likely.discard()
-        sets.discard()
-        let_go(self.documents.sparkSession)
+        let_go(pairs.sparkSession)
         return links
 
 
@@ -206,7 +203,11 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     stars = Staged(
         members.read().where("doc <> centre").groupBy("doc", "centre").agg(F.count(F.lit(1)).alias("bands")), "stars"
     )
-    check = Links(source.where("doc IS NOT NULL"), heads.read(), percent)
+    # the sets of all that share a bucket, by one join whose plan is the same for few and for many
+    some = members.read().select("doc").distinct().hint("shuffle_hash")
+    sets = Staged(sets_of(source.join(some, "doc", "left_semi")), "sets")
+    let_go(documents.sparkSession)
+    check = Links(sets.read(), heads.read(), percent)
 
     # first, the centre with which a document shares most bands
     best = stars.read().groupBy("doc").agg(F.max_by("centre", F.struct("bands", -F.col("centre"))).alias("centre"))
@@ -225,7 +226,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         opened = Staged(several_groups(now), "open").read()
         if opened.isEmpty():
             break
-        shared = shared_sizes(source, opened, heads.read())
+        shared = shared_sizes(sets.read(), opened, heads.read())
         able = several_groups(opened.join(shared, "doc").where(f"100 * shared >= {percent} * size"))
         able = Staged(able, "able").read()
         sizes = able.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("rows"))
@@ -274,7 +275,7 @@ def several_groups(rows: DataFrame) -> DataFrame:
     return rows.join(mixed_up.select("bucket"), "bucket", "left_semi")
 
 
-def shared_sizes(documents: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFrame:
+def shared_sizes(sets: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFrame:
     """``doc``, ``size`` of its set and ``shared``, how many of it some other document of the rows has.
 
     Two documents have no more in common than the smaller of their shared numbers, so these bound
@@ -284,18 +285,18 @@ def shared_sizes(documents: DataFrame, rows: DataFrame, heads: DataFrame) -> Dat
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(x.as_py()) for x in batch.column("text")]
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("members")]
             owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in found])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc").take(pa.array(owner)),
-                    pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)),
+                    pa.array(np.concatenate([*found, np.zeros(0, np.int64)])),
                 ],
                 names=["doc", "shingle"],
             )
 
-    kind = documents.schema["doc"].dataType.simpleString()
-    some = documents.join(rows.select("doc").distinct(), "doc", "left_semi")
+    kind = sets.schema["doc"].dataType.simpleString()
+    some = sets.join(rows.select("doc").distinct(), "doc", "left_semi")
     staged = Staged(some.mapInArrow(spread, f"doc {kind}, shingle long"), "shingles")
     each = staged.read()
     common = each.groupBy("shingle").agg(F.min("doc").alias("one"), F.max("doc").alias("two")).where("one <> two")

@@ -29,11 +29,22 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 class Staged:
-    """A table written to the shared folder. It cuts lineage and survives lost executors."""
+    """A table written to the shared folder. It cuts lineage and survives lost executors.
+
+    While it is written, Python gets few rows at a time, as any of them may be a long text.
+    """
+
+    batch_rows = "1000"
 
     def __init__(self, frame: DataFrame, name: str):
         self.spark, self.path, self.schema = frame.sparkSession, new_path(frame.sparkSession, name), frame.schema
-        frame.write.parquet(self.path)
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, self.batch_rows)
+        try:
+            frame.write.parquet(self.path)
+        finally:
+            self.spark.conf.set(setting, before)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
