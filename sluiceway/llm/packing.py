@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import sys
 import zlib
@@ -21,6 +22,8 @@ from sluiceway.llm.shared import Staged, part_count
 GROUP_ROWS = 100_000
 #: Words whose identifiers a worker keeps in each of two generations.
 KEPT_WORDS = 500_000
+# Fixed value: the pattern of vocabularies with letters, single digits and other signs as words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Underfull bins in a row that swaps could not lower before the search ends.
 PATIENCE = 50
 
@@ -39,24 +42,56 @@ class WordIds:
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        lowers = '"Lowercase"' in json.dumps(spec["normalizer"])
+        splits = spec["pre_tokenizer"] == {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        }
+        self.simple = lowers and splits
+
+    def base(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word that has a word's identifiers but for those of a sign at its end, and that sign.
+
+        A vocabulary in lower case has the same for capitals, unless they spell a special string.
+        One that splits at letters and digits has a comma or a stop after one as a token of its own.
+        """
+        if self.simple and b"<|" not in word:
+            word = word.lower()
+            if word[-1:] in (b",", b".") and word[-2:-1].isalnum():
+                return word[:-1], word[-1:]
+        return word, b""
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) >= KEPT_WORDS:
             self.known, self.old = {}, self.known
         known, old = self.known, self.old
-        new = []
+        new, parts = {}, []
         for word in words:
-            if word not in known:
-                if (ids := old.get(word)) is not None:
-                    known[word] = ids
-                else:
-                    new.append(word)
+            if word in known:
+                continue
+            if (ids := old.get(word)) is not None:
+                known[word] = ids
+                continue
+            base, sign = self.base(word)
+            parts.append((word, base, sign))
+            for part in (base, sign):
+                if part and part not in known and part not in new:
+                    if (ids := old.get(part)) is not None:
+                        known[part] = ids
+                    else:
+                        new[part] = None
         found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         for word, encoding in zip(new, found, strict=True):
             ids = array("I", encoding.ids)
             if sys.byteorder == "big":
                 ids.byteswap()
             known[word] = ids.tobytes()
+        for word, base, sign in parts:
+            known[word] = known[base] + known[sign] if sign else known[base]
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """No token reaches across ASCII white space, so a text's identifiers are its words' in turn."""
