@@ -60,37 +60,55 @@ class DiskQueues:
         return np.fromfile(self.file, np.int64, part[1])
 
     def pop(self, key: int) -> np.ndarray | None:
-        """The next entries of a queue, at most a slice."""
+        """The next entries of a queue, at most a slice; small parts come together."""
         queue = self.queues.get(key)
         if not queue:
             return None
-        part = queue.popleft()
-        if isinstance(part, tuple) and part[1] > SLICE:
-            queue.appendleft((part[0] + SLICE, part[1] - SLICE))
-            part = (part[0], SLICE)
-        elif isinstance(part, np.ndarray):
-            self.held -= len(part)
-            if len(part) > SLICE:
-                queue.appendleft(part[SLICE:])
-                self.held += len(part) - SLICE
-                part = part[:SLICE]
-        return self.read(part)
+        if isinstance(queue[0], tuple):
+            start, size = queue.popleft()
+            if size > SLICE:
+                queue.appendleft((start + SLICE, size - SLICE))
+            return self.read((start, min(size, SLICE)))
+        parts, size = [], 0
+        while queue and size < SLICE and isinstance(queue[0], np.ndarray):
+            parts.append(queue.popleft())
+            size += len(parts[-1])
+        some = parts[0] if len(parts) == 1 else np.concatenate(parts)
+        if size > SLICE:
+            queue.appendleft(some[SLICE:])
+        self.held -= min(size, SLICE)
+        return some[:SLICE]
 
     def slices(self, key: int, backwards: bool = False) -> Iterator[np.ndarray]:
-        """All entries of a queue, which keeps them, from either end."""
-        for part in (reversed if backwards else iter)(self.queues.get(key, ())):
-            size = part[1] if isinstance(part, tuple) else len(part)
-            starts = range(0, size, SLICE)
+        """All entries of a queue, which keeps them, from either end, in slices."""
+        parts = [*self.queues.get(key, ())]
+        waiting: list[np.ndarray] = []
+
+        def together() -> Iterator[np.ndarray]:
+            some = np.concatenate(waiting[::-1] if backwards else waiting)
+            waiting.clear()
+            for start in range(0, len(some), SLICE):
+                end = len(some) - start
+                yield some[max(0, end - SLICE) : end][::-1] if backwards else some[start : start + SLICE]
+
+        size = 0
+        for part in reversed(parts) if backwards else parts:
+            if isinstance(part, np.ndarray):
+                waiting.append(part)
+                size += len(part)
+                if size >= SLICE:
+                    yield from together()
+                    size = 0
+                continue
+            if waiting:
+                yield from together()
+                size = 0
+            starts = range(0, part[1], SLICE)
             for start in reversed(starts) if backwards else starts:
-                stop = min(size, start + SLICE)
-                some = part[start:stop] if isinstance(part, np.ndarray) else self.read((part[0] + start, stop - start))
+                some = self.read((part[0] + start, min(SLICE, part[1] - start)))
                 yield some[::-1] if backwards else some
-
-    def end(self, key: int, last: bool) -> int | None:
-        """The first or last entry of a queue."""
-        for some in self.slices(key, backwards=last):
-            return int(some[0])
-        return None
+        if waiting:
+            yield from together()
 
     def keys(self) -> list[int]:
         return [k for k, q in self.queues.items() if q]
