@@ -39,7 +39,8 @@ class WordHashes(dict):
         return value
 
 
-_hashes = WordHashes()
+#: Of the worker, kept from task to task.
+word_hashes = WordHashes()
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -47,7 +48,7 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     words = (text or "").encode().lower().split()  # bytes: lower-cases A-Z alone
     if not words:
         return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    codes = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
     count = max(1, len(codes) - size + 1)
     width = min(size, len(codes))
     total = np.full(count, width, np.uint64)

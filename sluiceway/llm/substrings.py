@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.anchored import parts
-from sluiceway.llm.minhash import WordHashes
+from sluiceway.llm.minhash import word_hashes
 from sluiceway.llm.shared import Staged, let_go
 
 WINDOW = 35
@@ -26,8 +26,6 @@ GRAM = 8
 #: Variants in a reference block; larger blocks are dealt again by more of the words around the anchor.
 BLOCK = 512
 
-_hashes = WordHashes()
-
 
 def new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches without the rows whose ``id`` has come before."""
@@ -51,7 +49,7 @@ def part_rows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataF
             found = []
             for value in batch.column("text"):
                 words = (value.as_py() or "").encode().split()
-                codes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+                codes = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
                 found.append(parts(codes, window, gram))
             owner = np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found])
             if len(owner):
