@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import Staged
+from sluiceway.llm.shared import Staged, part_count
+
+#: Links that a partition holds, about.
+PART_LINKS = 200_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,14 +31,16 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _state(edges.read())
     while before[0]:
+        # few links in few partitions, which then need no shuffle
+        parts = part_count(links.sparkSession, 2 * before[0], PART_LINKS)
         one = edges.read()
-        both = one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(parts)
         least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
         large = (
             both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
         )
         grown = Staged(large, "large-star")
-        big = grown.read()  # every edge points from the larger end to the smaller
+        big = grown.read().coalesce(parts)  # every edge points from the larger end to the smaller
         lows = big.groupBy("a").agg(F.min("b").alias("least"))
         small = big.join(lows, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
         after_edges = Staged(small.where("a <> b").distinct(), "small-star")
