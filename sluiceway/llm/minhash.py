@@ -31,6 +31,12 @@ FIRST_SHARED = (
     "i -> if(bands[i] = bands_of_centre[i], bands[i], NULL)), x -> x IS NOT NULL), 1)"
 )
 
+#: In how many of their minima two signatures agree.
+AGREEING = (
+    f"size(filter(sequence(0, {BANDS * ROWS - 1}), i -> "
+    "substring(signature, 2 * i + 1, 2) = substring(signature_of_centre, 2 * i + 1, 2)))"
+)
+
 _draw = np.random.default_rng(20)
 MULTIPLIERS = _draw.integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _draw.integers(0, 2**63, BANDS * ROWS, np.uint64)
@@ -235,7 +241,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
             break
         shared = shared_sizes(sets.read(), opened, heads.read())
         able = several_groups(opened.join(shared, "doc").where(f"100 * shared >= {percent} * size"))
-        able = Staged(able.join(heads.read().select("doc", "bands"), "doc"), "able").read()
+        able = Staged(able.join(heads.read().select("doc", "bands", "signature"), "doc"), "able").read()
         sizes = able.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("rows"))
         largest = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("rows", "group")).alias("main"))
         turn = Window.partitionBy("bucket").orderBy("doc")
@@ -244,7 +250,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
             .where("group <> main")
             .withColumn("turn", F.row_number().over(turn))
             .where(F.col("turn") <= limit)
-            .select("bucket", *(F.col(c).alias(f"{c}_of_centre") for c in ("doc", "group", "size", "shared", "bands"))),
+            .select("bucket", *(F.col(c).alias(f"{c}_of_centre") for c in ("doc", "group", "size", "shared", "bands", "signature"))),
             "centres",
         ).read()
         common = F.least("shared", "shared_of_centre")
@@ -253,6 +259,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
             .where(F.col("group") != F.col("group_of_centre"))
             .where(100 * common >= percent * (F.col("size") + F.col("size_of_centre") - common))
             .where(FIRST_SHARED)  # a pair is made in one bucket only
+            .where(f"{AGREEING} >= {(percent / 100 - SLACK) * BANDS * ROWS}")
             .select(F.least("doc", "doc_of_centre").alias("a"), F.greatest("doc", "doc_of_centre").alias("b"))
             .distinct()
         )
