@@ -19,8 +19,9 @@ from sluiceway.llm.substrings import joined_spans, new_texts
 LENGTH = 50
 #: Bytes of an anchor.
 GRAM = 20
-#: Bytes of text that a shard has, about. Larger ones only take longer: queues and text go to disk.
-SHARD_BYTES = 16_000_000
+#: Bytes of text that a shard has, about; its names are then sorted in memory. In larger ones they are sorted
+#: by recursion, with queues and text on disk, which takes far longer.
+SHARD_BYTES = 8_000_000
 #: A shard's text up to this size is in memory, a larger one in a mapped file.
 HELD_TEXT = 64_000_000
 NOBODY = 2**63 - 1
