@@ -46,10 +46,20 @@ class DiskQueues:
             self.file = tempfile.TemporaryFile()
         self.file.seek(0, 2)
         for queue in self.queues.values():
-            for n, part in enumerate(queue):
+            # what is in memory lies behind what went to the file before, but for a part put back in front
+            parts = [*queue]
+            queue.clear()
+            waiting: list[np.ndarray] = []
+            for part in [*parts, None]:
                 if isinstance(part, np.ndarray):
-                    queue[n] = (self.file.tell() // 8, len(part))
-                    part.tofile(self.file)
+                    waiting.append(part)
+                    continue
+                if waiting:
+                    queue.append((self.file.tell() // 8, sum(map(len, waiting))))
+                    np.concatenate(waiting).tofile(self.file)
+                    waiting = []
+                if part is not None:
+                    queue.append(part)
         self.file.flush()
         self.held = 0
 
