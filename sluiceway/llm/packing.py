@@ -56,10 +56,11 @@ class WordIds:
     def base(self, word: bytes) -> tuple[bytes, bytes]:
         """A word that has a word's identifiers but for those of a sign at its end, and that sign.
 
-        A vocabulary in lower case has the same for capitals, unless they spell a special string.
+        A vocabulary in lower case has the same for capitals, unless they spell a special string. That holds
+        for words of ASCII alone: others are composed first, and some small letters compose where capitals do not.
         One that splits at letters and digits has a comma or a stop after one as a token of its own.
         """
-        if self.simple and b"<|" not in word:
+        if self.simple and b"<|" not in word and word.isascii():
             word = word.lower()
             if word[-1:] in (b",", b".") and word[-2:-1].isalnum():
                 return word[:-1], word[-1:]

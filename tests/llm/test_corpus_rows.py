@@ -169,6 +169,17 @@ def test_packed_lengths(lengths):
     assert len(bins) <= len(packing.best_fit(sizes, 20))
 
 
+def test_word_ids_of_odd_texts():
+    """Letters whose small form alone composes with a mark, and other odd ones, as the library sees them."""
+    ids, words, draw = library(), packing.WordIds(BPE), random.Random(4)
+    odd = [
+        "J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "A\u030a", "\u03a3", "\u0130", "I\u0307", "<|endoftext|>",
+        "<|ENDOFTEXT|>", " ", "\n", "\x1c", "\x85", "\xa0", "'s", "'LL", "12", ",", ".", "\u00bd", "\u6f22", "\u212b", "A", "the",
+    ]
+    for text in ["J\u030c", *("".join(draw.choices(odd, k=draw.randint(0, 12))) for _ in range(3000))]:
+        assert np.frombuffer(next(words.of([text.encode()])), "<u4").tolist() == ids(text), repr(text)
+
+
 def test_swaps_empty_a_bin():
     # two for one: 4 and 3 go for a 6
     sizes = np.array([6, 3, 4, 3, 3])
