@@ -2,7 +2,7 @@
 
 Stages take the session, documents and the folder of the tables, and return the columns of the
 documents with the stage's decisions carried out; the last returns the packed pieces. Rows with a
-null key are judged like others but never taken for copies. An empty table stays empty.
+null key are judged like others; as copies they go before rows with a key. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm.minhash import near_duplicates
@@ -40,11 +40,31 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(*(F.col(own).alias(name) for name, own in names.items()))
 
 
+def near_key(key: str, text: str) -> Column:
+    """A number for each key and text, in the order of the keys; null keys come last."""
+    # 2 to the 63rd is above every key, and 62 bits of the text's hash are below the key's
+    own = F.coalesce(F.col(key).cast("decimal(20,0)"), F.lit(str(2**63)).cast("decimal(20,0)"))
+    low = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2).cast("decimal(20,0)")
+    return (own * F.lit(str(2**62)).cast("decimal(20,0)") + low).cast("decimal(38,0)")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest key. Rows of one key stay or go together."""
+    """Of each group of near copies exactly one row, one of the smallest key.
+
+    Different texts of one key are documents of their own, and null keys are larger than any other.
+    Of rows with one key and one text, which one stays is not fixed.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    copies = near_duplicates(docs, percent=NEAR_PERCENT).where("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    body, names = plain(docs)
+    text = names["text"]
+    body = body.withColumn("near_key", near_key(names["doc_id"], text))
+    judged = near_duplicates(body, "near_key", text, percent=NEAR_PERCENT)
+    notes = judged.groupBy("near_key").agg(F.min("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    notes = Staged(notes.where("n > 1 OR NOT stays"), "near-copies").read()
+    once = body.join(notes, "near_key", "left_anti").select(*body.columns)
+    several = body.join(notes.where("stays"), "near_key", "left_semi").select(*body.columns)
+    kept = once.unionByName(several.dropDuplicates(["near_key", text]))
+    return kept.select(*(F.col(own).alias(name) for name, own in names.items()))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -247,6 +247,31 @@ def test_recall(spark, sf):
     assert total and hits / total >= 0.9
 
 
+def test_one_row_of_a_group_goes_on(spark, tmp_path):
+    """Rows that come twice with one key, or as copies without a key, keep their words once."""
+    import corpus_pipeline
+
+    text = [" ".join(f"t{n}w{k}" for k in range(90)) for n in range(8)]
+    near_copy = text[5].replace("w50", "other")
+    pages = [
+        (1, text[0]), (1, text[0]),  # ingested twice
+        (None, text[1]), (None, text[1]),
+        (2, text[2]), (None, text[2]), (3, text[2]),
+        (4, text[3]), (4, text[4]), (4, text[4]),  # one key, two texts
+        (5, text[5]), (None, near_copy),
+        (-6, text[6]), (2**63 - 1, text[6]), (None, text[6]), (2**63 - 1, text[7]),
+    ]
+    rows = [(i, t, n) for n, (i, t) in enumerate(pages)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near_key int").repartition(3)
+    stay = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert stay.columns == docs.columns
+    found = collections.Counter((r.doc_id, r.text) for r in stay.collect())
+    assert found == collections.Counter(
+        [(1, text[0]), (None, text[1]), (2, text[2]), (4, text[3]), (4, text[4]), (5, text[5]), (-6, text[6]), (2**63 - 1, text[7])]
+    )
+    assert collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.cut_repeats(spark, stay, "").collect()) == found
+
+
 def test_pipeline(spark, documents, texts, tmp_path):
     import corpus_pipeline
 
