@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from sluiceway.llm.substrings import joined_spans, new_texts
 LENGTH = 50
 #: Bytes of an anchor.
 GRAM = 20
-#: Bytes of text that a shard has, about; its names are then sorted in memory. In larger ones they are sorted
+#: Bytes of text that a shard has, about, of blocks of at most a quarter; its names are then sorted in memory. In larger ones they are sorted
 #: by recursion, with queues and text on disk, which takes far longer.
 SHARD_BYTES = 8_000_000
 #: A shard's text up to this size is in memory, a larger one in a mapped file.
@@ -30,7 +31,7 @@ CODES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
 def byte_parts(texts: DataFrame, length: int, gram: int, only_anchors: bool) -> DataFrame:
-    """Of texts (``id``, ``text``): the distinct ``anchor`` of each text, or ``id``, ``first``, ``count``, ``anchor``, ``digest``."""
+    """Of texts (``id``, ``text``): the distinct ``anchor`` of each text, or ``id``, ``first``, ``count``, ``before``, ``anchor``, ``digest``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in new_texts(batches):
@@ -46,34 +47,72 @@ def byte_parts(texts: DataFrame, length: int, gram: int, only_anchors: bool) ->
                     )
                     continue
                 owner = np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found])
-                first, count, _, anchor, digest = (pa.array(np.concatenate(c)) for c in zip(*found, strict=True))
+                first, count, before, anchor, digest = (pa.array(np.concatenate(c)) for c in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(owner)), first, count, anchor, digest],
-                    names=["id", "first", "count", "anchor", "digest"],
+                    [batch.column("id").take(pa.array(owner)), first, count, before, anchor, digest],
+                    names=["id", "first", "count", "before", "anchor", "digest"],
                 )
 
-    kinds = "anchor long" if only_anchors else "id binary, first int, count int, anchor long, digest long"
+    kinds = "anchor long" if only_anchors else "id binary, first int, count int, before int, anchor long, digest long"
     return texts.mapInArrow(find, kinds)
 
 
 def contents(texts: DataFrame, length: int) -> DataFrame:
-    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``owner``, ``bytes`` of each."""
+    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``owner``, ``before``, ``bytes`` of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], []]
+            rows: list[list] = [[], [], [], [], []]
             for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
                 data = text.as_py().encode()
                 for x in wanted.as_py():
                     part = data[x["first"] : x["first"] + x["count"] - 1 + length]
-                    for column, value in zip(rows, (x["anchor"], x["digest"], x["owner"], part), strict=True):
+                    for column, value in zip(rows, (x["anchor"], x["digest"], x["owner"], x["before"], part), strict=True):
                         column.append(value)
-            kinds = pa.int64(), pa.int64(), pa.int64(), pa.binary()
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["anchor", "digest", "owner", "bytes"]
+                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)],
+                names=["anchor", "digest", "owner", "before", "bytes"],
             )
 
-    return texts.mapInArrow(cut, "anchor long, digest long, owner long, bytes binary")
+    return texts.mapInArrow(cut, "anchor long, digest long, owner long, before int, bytes binary")
+
+
+BLOCK_COLUMNS = ["block", "anchor", "digest", "owner", "place", "offset", "low", "high", "bytes"]
+
+
+def dealt_again(blocks: DataFrame, length: int) -> DataFrame:
+    """Rows of too large blocks, each in up to two blocks of half the windows, with the bytes of these alone.
+
+    ``low`` and ``high``: where windows start in the bytes that may surround an anchor; ``place``: where the
+    row's bytes start there; ``offset``: where they start in the variant."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list] = [[] for _ in BLOCK_COLUMNS]
+            for _, anchor, digest, owner, place, offset, low, high, own in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle + 1, high)):
+                    first, last = max(a, place), min(b, place + len(own) - length)  # windows of the half
+                    if first > last:
+                        continue
+                    core = own[b - place : a + length - place]  # all windows of a half hold it
+                    block = xxhash.xxh3_64_intdigest(b"%d %d %d " % (anchor, a, b) + core) - 2**63
+                    part = own[first - place : last - place + length]
+                    row = block, anchor, digest, owner, first, offset + first - place, a, b, part
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(rows, [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()], strict=True)],
+                names=BLOCK_COLUMNS,
+            )
+
+    return blocks.select(*BLOCK_COLUMNS).mapInArrow(
+        deal,
+        "block long, anchor long, digest long, owner long, place int, offset int, low int, high int, bytes binary",
+    )
 
 
 def least_owners(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int, held: int) -> np.ndarray:
@@ -107,15 +146,16 @@ def least_owners(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, lengt
     return least
 
 
-def sorted_shards(variants: DataFrame, shards: int, length: int, held: int) -> DataFrame:
-    """``anchor``, ``digest``, ``start``, ``end``, ``least``: for variants (``anchor``, ``digest``, ``owner``,
-    ``bytes``) the runs of windows and the smallest owner that has them. A task sorts its shard's text."""
+def sorted_shards(blocks: DataFrame, shards: int, length: int, held: int) -> DataFrame:
+    """``anchor``, ``digest``, ``start``, ``end``, ``least``: for variants in blocks (``block``, ``anchor``,
+    ``digest``, ``owner``, ``offset``, ``bytes``) the runs of windows and the smallest owner that has them. A
+    task sorts the text of one shard, which has whole blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, digests, owners, sizes = [], [], [], []
+        anchors, digests, owners, offsets, sizes = [], [], [], [], []
         with tempfile.TemporaryFile() as file:  # gone with the process
             for batch in batches:
-                for column, name in ((anchors, "anchor"), (digests, "digest"), (owners, "owner")):
+                for column, name in ((anchors, "anchor"), (digests, "digest"), (owners, "owner"), (offsets, "offset")):
                     column.append(batch.column(name).to_numpy(zero_copy_only=False))
                 for value in batch.column("bytes"):
                     part = np.frombuffer(value.as_buffer(), np.uint8).astype(np.uint16) + 2
@@ -134,8 +174,7 @@ def sorted_shards(variants: DataFrame, shards: int, length: int, held: int) -> D
                 text = np.memmap(file, np.uint16, "r", shape=(total,))
             size = np.array(sizes, np.int64)
             starts = np.cumsum(size + 1) - size - 1
-            anchor, digest, owner = (np.concatenate(c) for c in (anchors, digests, owners))
-            # a text that comes twice gives its variants twice
+            anchor, digest, owner, offset = (np.concatenate(c) for c in (anchors, digests, owners, offsets))
             least = least_owners(text, starts, owner, length, held)
         rows: list[list] = [[], [], [], []]
         whose: list[np.ndarray] = []
@@ -149,19 +188,61 @@ def sorted_shards(variants: DataFrame, shards: int, length: int, held: int) -> D
                 low, high, least_own = (np.concatenate(c) for c in rows[:3])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(anchor[who]), pa.array(digest[who]), pa.array(low.astype(np.int32)),
-                        pa.array((high + length - 1).astype(np.int32)), pa.array(least_own),
+                        pa.array(anchor[who]), pa.array(digest[who]), pa.array((offset[who] + low).astype(np.int32)),
+                        pa.array((offset[who] + high + length - 1).astype(np.int32)), pa.array(least_own),
                     ],
                     names=["anchor", "digest", "start", "end", "least"],
                 )
                 rows, whose = [[], [], [], []], []
 
-    dealt = variants.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartitionByRange(shards, "shard")
-    return dealt.select("anchor", "digest", "owner", "bytes").mapInArrow(
+    dealt = blocks.repartitionById(shards, F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"))
+    return dealt.select("anchor", "digest", "owner", "offset", "bytes").mapInArrow(
         work, "anchor long, digest long, start int, end int, least long"
     )
 
 
+def runs_of(variants: DataFrame, length: int, gram: int, shard_bytes: int, held: int) -> DataFrame:
+    """``anchor``, ``digest``, ``start``, ``end``, ``least`` of variants (``anchor``, ``digest``, ``owner``,
+    ``before``, ``bytes``), no two of one anchor and digest.
+
+    An anchor's variants are a block. Blocks over a quarter of a shard are dealt again, down to one window,
+    which needs no sorting, so no shard grows with an anchor."""
+    spark, reach = variants.sparkSession, length - gram
+    blocks = variants.select(
+        F.col("anchor").alias("block"), "anchor", "digest", "owner", (reach - F.col("before")).alias("place"),
+        F.lit(0).alias("offset"), F.lit(0).alias("low"), F.lit(reach).alias("high"), "bytes",
+    )
+    limit = max(1, shard_bytes // 4)
+    found: DataFrame | None = None
+    while True:
+        sizes = Staged(
+            blocks.groupBy("block")
+            .agg(
+                F.sum(F.octet_length("bytes") + 1).alias("size"), F.max(F.col("high") - F.col("low")).alias("width"),
+                F.min("owner").alias("least"), F.max("owner").alias("most"),
+            )
+            .where("least <> most"),  # nobody else has a block of one owner
+            "sizes",
+        ).read()
+        fits = sizes.where(f"width > 0 AND size <= {limit}")
+        size = fits.agg(F.sum("size")).first()[0] or 0
+        some = blocks.join(fits.select("block"), "block", "left_semi")
+        runs = Staged(sorted_shards(some, part_count(spark, size, shard_bytes), length, held), "runs").read()
+        # a block of one window: all its variants have it
+        single = sizes.where("width = 0").select("block", "least")
+        runs = runs.unionByName(
+            blocks.join(single, "block").select(
+                "anchor", "digest", F.col("offset").alias("start"), (F.col("offset") + length).alias("end"), "least"
+            )
+        )
+        found = runs if found is None else found.unionByName(runs)
+        large = sizes.where(f"width > 0 AND size > {limit}").select("block")
+        if large.isEmpty():
+            return found
+        blocks = Staged(dealt_again(blocks.join(large, "block", "left_semi"), length), "blocks").read()
+        let_go(spark)
+
+
 def shared_spans(texts: DataFrame, owners: DataFrame, length: int, gram: int, shard_bytes: int, held: int) -> DataFrame:
     """``id`` and ``spans`` (in bytes) that a text shares with one of a smaller owner, in texts (``id``,
     ``text``) with owners (``id``, ``owner``)."""
@@ -191,17 +272,16 @@ def shared_spans(texts: DataFrame, owners: DataFrame, length: int, gram: int, sh
     spans = known.where("equal AND owner > least").select("id", F.col("first").alias("start"), end.alias("end"))
     rest = known.where("NOT equal").drop("least")
     variants = rest.groupBy("anchor", "digest").agg(
-        F.min(F.struct("owner", "id", "first", "count")).alias("at")
+        F.min(F.struct("owner", "id", "first", "count", "before")).alias("at")
     ).select("anchor", "digest", "at.*")
     wanted = Staged(
-        variants.groupBy("id").agg(F.collect_list(F.struct("anchor", "digest", "first", "count", "owner")).alias("wanted")),
+        variants.groupBy("id").agg(F.collect_list(F.struct("anchor", "digest", "first", "count", "before", "owner")).alias("wanted")),
         "wanted",
     )
     body = Staged(contents(texts.join(wanted.read(), "id"), length).dropDuplicates(["anchor", "digest"]), "text")
     let_go(spark)
-    size = body.read().agg(F.sum(F.octet_length("bytes") + 1)).first()[0] or 0
-    runs = Staged(sorted_shards(body.read(), part_count(spark, size, shard_bytes), length, held), "runs")
-    more = rest.join(runs.read(), ["anchor", "digest"]).where("owner > least")
+    runs = runs_of(body.read(), length, gram, shard_bytes, held)
+    more = rest.join(runs, ["anchor", "digest"]).where("owner > least")
     spans = spans.unionByName(
         more.select("id", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end"))
     )

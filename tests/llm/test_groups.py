@@ -171,6 +171,33 @@ def test_suffix_dedup(documents, texts, nothing):
     assert suffix_dedup.suffix_dedup(nothing).collect() == []
 
 
+def test_large_anchors_are_dealt_again(spark, monkeypatch):
+    """A line that many texts share with other bytes around it is sorted in more than one task."""
+    line = "0123456789 the line of all "
+    texts = [(n, f"{'ab'[n % 2] * (n % 9)}{n % 5}x{line}y{n % 7}{'cd'[n % 3 == 0] * 40}{n}") for n in range(60)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    least, seen = {}, []
+    for key, text in texts:
+        for i in range(len(text) - 49):
+            least[text[i : i + 50]] = min(key, least.get(text[i : i + 50], key))
+    work = suffix_dedup.sorted_shards
+
+    def watched(blocks, *rest):
+        seen.append(blocks.groupBy("block").agg(F.sum(F.octet_length("bytes") + 1).alias("size")).agg(F.max("size")).first()[0])
+        return work(blocks, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "sorted_shards", watched)
+    rows = suffix_dedup.suffix_dedup(frame, shard_bytes=2000).collect()
+    assert len(seen) > 1 and max(x or 0 for x in seen) <= 500
+    lost = 0
+    for r in rows:
+        text = texts[r.doc_id][1]
+        gone = {k for i in range(len(text) - 49) if least[text[i : i + 50]] < r.doc_id for k in range(i, i + 50)}
+        assert r.kept_bytes.decode() == "".join(c for k, c in enumerate(text) if k not in gone)
+        lost += len(gone)
+    assert lost
+
+
 def test_archives(spark, tmp_path):
     long = "long é\r\n\r\nWARC/1.1\r\n" * 3000
     pages = [
