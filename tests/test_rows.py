@@ -227,3 +227,9 @@ def test_keep_together_is_plain_hashing(skewed, small_partitions):
     assert frame.rdd.getNumPartitions() == 10
     spread = frame.where("key = -1").select(F.spark_partition_id()).distinct().count()
     assert spread == 1
+
+
+def test_earlier_query_names_stay():
+    from showcase import ORACLES, QUERIES
+
+    assert {"limit_count", "limit_large", "limit_distributed"} <= QUERIES.keys() & ORACLES.keys()
