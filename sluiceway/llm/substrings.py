@@ -63,10 +63,12 @@ def part_rows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataF
 
 
 def contents(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``before``, ``words`` of each."""
+    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``before``, ``words`` of each.
+
+    A text that a task meets again gives none."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in new_texts(batches):
             rows: list[list] = [[], [], [], []]
             for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
                 words = text.as_py().encode().split()
@@ -224,7 +226,7 @@ def duplicate_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, bl
         .agg(F.collect_list(F.struct("anchor", "digest", "first", "count", "before")).alias("wanted"))
     )
     dealt = Staged(
-        contents(texts.join(wanted, "id"), window).select(
+        contents(texts.join(wanted, "id"), window).dropDuplicates(["anchor", "digest"]).select(
             F.col("anchor").alias("block"), "anchor", "digest", "before", "words",
             F.lit(0).alias("low"), F.lit(window - gram).alias("high"),
         ),

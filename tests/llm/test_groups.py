@@ -124,6 +124,22 @@ def test_large_blocks_are_dealt_again(spark):
         assert sum(b - a for a, b in spans.get(key, [])) == gone, text
 
 
+def test_copies_give_their_parts_once(spark, monkeypatch):
+    """A text that most rows have goes to its reference block once."""
+    shared = " ".join(f"s{k}" for k in range(40))
+    texts = [(1, f"{shared} {' '.join(f'a{k}' for k in range(40))}")] * 50 + [(2, f"{shared} {' '.join(f'b{k}' for k in range(40))}")]
+    frame = spark.createDataFrame(texts, "id long, text string").select(F.col("id").cast("string").cast("binary").alias("id"), "text")
+    seen, parse = [], substrings.parse_blocks
+
+    def watched(blocks, *rest):
+        seen.append((blocks.count(), blocks.select("anchor", "digest").distinct().count()))
+        return parse(blocks, *rest)
+
+    monkeypatch.setattr(substrings, "parse_blocks", watched)
+    substrings.duplicate_spans(frame.repartition(4))
+    assert seen and all(rows == variants for rows, variants in seen) and seen[0][0] > 1
+
+
 def test_every_window_is_in_one_part(monkeypatch):
     draw = np.random.default_rng(4)
     monkeypatch.setattr(anchored, "PLACE_BITS", 7)
