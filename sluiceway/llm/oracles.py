@@ -1,7 +1,7 @@
 """The same rows in SQL for DuckDB, for the operators that it can express.
 
-The trees of the quality rules, the choice of a packing, random segmentations, the graph search and
-a tokenizer's merges are beyond it; tests compare these with brute force.
+The trees of the quality rules, the choice of a packing, random segmentations, the graph search, a
+tokenizer's merges and periodic runs of whole texts are beyond it; tests compare these with brute force.
 """
 
 from __future__ import annotations
@@ -102,10 +102,49 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coales
 FROM d LEFT JOIN runs USING (row) LEFT JOIN kept USING (row)
 """
 
+EXACT = """
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+    sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER staying AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER staying = 1 AS kept, text_sha256
+FROM d WINDOW staying AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
+"""
+
+
+def _clusters(count: int, rounds: int) -> str:
+    """A pair of tables for each round: the nearest centroid of every vector, and the centroids moved."""
+    nearest = """a{n} AS MATERIALIZED (
+  SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d)::BIGINT AS distance FROM (
+    SELECT row, cluster, list_dot_product(v.p, v.p) - 2 * list_dot_product(v.p, c.p) + list_dot_product(c.p, c.p) AS d
+    FROM v, c{n} c) GROUP BY row)"""
+    moved = """c{m} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(s.p, c.p) AS p FROM c{n} c LEFT JOIN (
+    SELECT cluster, list(x ORDER BY k) AS p FROM (
+      SELECT cluster, k, floor(sum(p[k]) / count(*)) AS x
+      FROM a{n} JOIN v USING (row), range(1, 65) AS places(k) GROUP BY cluster, k) GROUP BY cluster) s USING (cluster))"""
+    steps = [step.format(n=n, m=n + 1) for n in range(rounds) for step in (nearest, moved)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS p FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, p FROM (
+    SELECT sha256('2:' || vec_id) AS h, p FROM v ORDER BY h LIMIT {count})),
+{", ".join([*steps, nearest.format(n=rounds)])}
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c.p, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c USING (cluster) JOIN v USING (row)
+"""
+
+
 ORACLES = {
     "op1_rendezvous_shards": RENDEZVOUS_SHARDS,
     "op3_minhash_near_dedup": NEAR_DUPLICATES,
     "op4_substring_dedup": SUBSTRINGS,
     "op6_warc_round_trip": ARCHIVES,
     "op8_suffix_array_dedup": SHARED_STRINGS,
+    "op11_exact_dedup": EXACT,
+    "op12_centroid_clustering": _clusters(40, 5),
 }

@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.llm.clustering import clusters
+from sluiceway.llm.exact_dedup import exact_dedup
 from sluiceway.llm.minhash import near_duplicates
 from sluiceway.llm.neighbours import nearest
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.packing import pack
+from sluiceway.llm.periodic_runs import periodic_runs
 from sluiceway.llm.quality import COUNTS, quality
 from sluiceway.llm.sentencepiece_sampling import sampled_segmentations
 from sluiceway.llm.sharding import shard_manifest
@@ -92,6 +95,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays of those with its text, white space aside."""
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector in one of 40 clusters, after five rounds."""
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every whole text, periodic tails planted in some."""
+    return periodic_runs(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -107,5 +125,8 @@ QUERIES = {
         op8_suffix_array_dedup,
         op9_nearest_neighbours,
         op10_token_counts,
+        op11_exact_dedup,
+        op12_centroid_clustering,
+        op13_periodic_runs,
     )
 }

@@ -13,6 +13,7 @@ COLUMNS = {
     "op7_sampled_segmentations": "doc_id sample n_pieces log_prob perturbed log_inclusion ids_crc32 round_trip",
     "op9_nearest_neighbours": "query_id rank vec_id score",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op13_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
@@ -24,7 +25,7 @@ def ordered(frame: pd.DataFrame) -> pd.DataFrame:
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(name, spark, sf):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/sf0.001/{table}.parquet'")
     theirs = ordered(connection.execute(ORACLES[name]).df())
     ours = ordered(QUERIES[name](spark, sf).toPandas())
@@ -40,4 +41,4 @@ def test_columns_and_rows(name, spark, sf):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
