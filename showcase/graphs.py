@@ -291,6 +291,27 @@ def relationships_other_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT o_custkey AS customer, o_orderkey AS "order", o_orderstatus AS folder, 'b' || o_orderpriority AS new
+    FROM orders
+    """
+)
+def relationships_reserved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and properties with the names that the writer's own columns would like to have."""
+    graph = _graph(spark)
+    orders = _table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS a", "o_orderkey AS b", "o_orderstatus AS __folder", "concat('a', o_orderpriority) AS __new"
+    )
+    ends = NodePattern(":Buyer", "a:bucket", "overwrite"), NodePattern(":Order", "b:__key0", "overwrite")
+    graph.write_relationships(orders, "PLACED", *ends, "overwrite")
+    later = orders.withColumn("__new", F.expr("concat('b', substr(__new, 2))")).drop("__folder")
+    graph.write_relationships(later, "PLACED", *ends, "overwrite")
+    return graph.read_relationships("PLACED").selectExpr(
+        "`source.bucket` AS customer", "`target.__key0` AS order", "`rel.__folder` AS folder", "`rel.__new` AS new"
+    )
+
+
 @query("SELECT DISTINCT l_partkey, l_suppkey, l_shipdate FROM lineitem")
 def merge_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(part)-[shipped {date}]->(supplier): two dates are two relationships.

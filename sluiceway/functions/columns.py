@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
@@ -13,6 +15,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores at its end if a column is called so, in whatever case."""
+    names = {item.lower() for item in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
 def as_column(column: spec.Column) -> Column:
     """A projected column: any Spark SQL expression, renamed if it has an alias.
 

@@ -19,6 +19,13 @@ def end_id(side: str) -> str:
     return f"<{side}.id>"
 
 
+def refuse_reserved(names: Iterable[str]) -> None:
+    """Fail if a property is called as the columns that every node or read has."""
+    clash = sorted({name for name in names if name.lower() in (NODE_ID, LABELS)})
+    if clash:
+        raise ValueError(f"{', '.join(clash)} cannot be the name of a property or key: rename it")
+
+
 class InvalidKeys(ValueError):
     """A batch holds NULL keys, or keys that the graph's key type cannot hold."""
 

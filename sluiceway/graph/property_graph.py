@@ -19,6 +19,7 @@ from sluiceway.graph.model import (
     end_id,
     mapping,
     parse_labels,
+    refuse_reserved,
 )
 from sluiceway.graph.write import GraphWrite, union
 
@@ -72,6 +73,7 @@ class PropertyGraph:
         """
         labels, mode = parse_labels(labels), _mode(mode)
         keys = _found(frame, mapping(keys))
+        refuse_reserved(keys.get(name, name) for name in frame.columns)
         if not labels:
             raise ValueError("nodes need at least one label")
         if mode == "overwrite" and not keys:
@@ -115,6 +117,7 @@ class PropertyGraph:
         """
         mode = _mode(mode)
         keys, starts, ends = (_found(frame, mapping(m)) for m in (keys, source.keys, target.keys))
+        refuse_reserved([*starts.values(), *ends.values()])
         if properties is None:
             chosen = {name: name for name in frame.columns if name not in {*starts, *ends}}
         else:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, NumericType, StructType
 
-from sluiceway.functions.columns import lossless_cast, quoted
+from sluiceway.functions.columns import lossless_cast, quoted, unused
 from sluiceway.graph.catalog import Catalog
 from sluiceway.graph.model import NODE_ID, InvalidKeys, NodePattern, Table, end_id
 from sluiceway.operators.merge import (
@@ -21,7 +21,7 @@ from sluiceway.operators.merge import (
 )
 
 # The folder of a stored row, in its file's path.
-_FOLDER = r"/data/([0-9a-f]{32}(?:/bucket=\d+)?)/[^/]*$"
+_FOLDER = r"/data/([0-9a-f]{32}(?:/bucket_*=\d+)?)/[^/]*$"
 
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -151,7 +151,8 @@ class GraphWrite:
             types |= {f"{side}.{name}": kind for name, kind in found.items()}
         every = [*keys["source"], *keys["target"], *identity]
         typed = self._typed(frame, every, types)
-        batch = self._write(self._reduced(typed, every, upsert, order_by))
+        # the columns of the order only say which row counts
+        batch = self._write(self._reduced(typed, every, upsert, order_by).drop(*order_by))
         self._check(batch, every, typed)
 
         rows = batch.frame
@@ -167,10 +168,11 @@ class GraphWrite:
                 rows = self._with_ids(rows, side, end)
         rows = rows.select(*map(quoted, batch.schema.names), *(quoted(end_id(side)) for side in sides))
         pair = [end_id("source"), end_id("target"), *identity]
-        if upsert and set(batch.schema.names) > set(every):
+        new = Batch(rows, rows.schema, ())
+        if upsert and known and set(batch.schema.names) > set(every):
             # properties change stored relationships, which takes the batch twice
-            rows = self._write(rows).frame
-        self._merge(table, Batch(rows, rows.schema, ()), pair, upsert, known)
+            new = self._write(rows)
+        self._merge(table, new, pair, upsert, known)
 
     # ---- steps -----------------------------------------------------------
 
@@ -251,9 +253,8 @@ class GraphWrite:
     def _reduced(
         typed: DataFrame, keys: Sequence[str], unique: bool, order_by: Sequence[str]
     ) -> DataFrame:
-        """One row per key if ``unique``, without the columns that only say which."""
-        rows = latest_per_key(typed, keys, order_by) if unique else typed
-        return rows.drop(*(name for name in order_by if name.startswith("__order")))
+        """One row per key if ``unique``."""
+        return latest_per_key(typed, keys, order_by) if unique else typed
 
     @staticmethod
     def _check(batch: Batch, keys: Sequence[str], typed: DataFrame) -> None:
@@ -281,10 +282,11 @@ class GraphWrite:
         """Upsert: set the batch's columns on the rows of ``known`` that have its keys.
         Rows that are left, or all rows, are added to ``table``."""
         stored = [item for item in known if upsert and item.has(keys)]
+        end_columns = ("source.", "target.") if table.rel_type else ()
         columns = {
             name
             for name in batch.schema.names
-            if name not in keys and name != NODE_ID and not name.startswith(("source.", "target."))
+            if name not in keys and name != NODE_ID and not name.startswith(end_columns)
         }
         left, rows = batch.frame, None
         for item in stored:
@@ -293,15 +295,17 @@ class GraphWrite:
             if not columns:
                 left = unmatched_rows(left, matched_keys(old, batch.frame, keys, unique), keys)
                 continue
+            name = unused("__folder", keys)
             folder = F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1)
-            place = old.select(*map(quoted, keys), folder.alias("__folder"))
+            place = old.select(*map(quoted, keys), folder.alias(name))
             wanted = batch.frame.select(*map(quoted, keys))
-            hits = self._write(place.distinct().join(wanted, list(keys), "left_semi")).frame
+            hit_rows = place.join(wanted, list(keys), "left_semi")
+            hits = self._write(hit_rows if unique else hit_rows.distinct()).frame
             # As many as the table has folders, whatever the number of rows.
-            folders = {row[0] for row in hits.select("__folder").distinct().collect()}
+            folders = {row[0] for row in hits.select(name).distinct().collect()}
             if not folders:
                 continue
-            found = hits.drop("__folder") if unique else hits.drop("__folder").distinct()
+            found = hits.drop(name) if unique else hits.drop(name).distinct()
             hit = [path for path in item.paths if path.split("/data/")[-1] in folders]
             kept = [path for path in item.paths if path not in hit]
             schema = widened(item.schema, StructType([f for f in batch.schema if f.name in columns]))
@@ -354,11 +358,12 @@ class GraphWrite:
         self._written.append(path)
         folders = -(-size // self.folder_bytes) if keys else 1
         if folders > 1:
+            name = unused("bucket", frame.columns)
             bucket = F.pmod(F.xxhash64(*(F.col(quoted(key)) for key in keys)), F.lit(folders))
-            dealt = frame.withColumn("bucket", bucket).repartition("bucket")
-            dealt.write.partitionBy("bucket").parquet(path)
-            names = self._catalog.storage.names(path)
-            paths = tuple(f"{path}/{name}" for name in sorted(names) if name.startswith("bucket="))
+            dealt = frame.withColumn(name, bucket).repartition(name)
+            dealt.write.partitionBy(name).parquet(path)
+            found = sorted(self._catalog.storage.names(path))
+            paths = tuple(f"{path}/{item}" for item in found if item.startswith(f"{name}="))
         else:
             frame.write.parquet(path)
             paths = (path,)
@@ -370,12 +375,13 @@ class GraphWrite:
             return {side: self._write(frame) for side, frame in frames.items()}
         path = f"{self._root}/data/{uuid.uuid4().hex}"
         self._written.append(path)
-        tagged = [frame.withColumn("bucket", F.lit(n)) for n, frame in enumerate(frames.values())]
-        union(tagged).write.partitionBy("bucket").parquet(path)
+        name = unused("bucket", [item for frame in frames.values() for item in frame.columns])
+        tagged = [frame.withColumn(name, F.lit(n)) for n, frame in enumerate(frames.values())]
+        union(tagged).write.partitionBy(name).parquet(path)
         there = set(self._catalog.storage.names(path))
         out = {}
         for n, (side, frame) in enumerate(frames.items()):
-            paths = (f"{path}/bucket={n}",) if f"bucket={n}" in there else ()
+            paths = (f"{path}/{name}={n}",) if f"{name}={n}" in there else ()
             stored = Table(schema=frame.schema, paths=paths)
             rows = self._read(stored) if paths else frame.limit(0)
             out[side] = Batch(rows, frame.schema, paths)

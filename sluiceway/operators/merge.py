@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from sluiceway.functions.columns import comparable, quoted
+from sluiceway.functions.columns import comparable, quoted, unused
 
 
 def latest_per_key(
@@ -39,10 +39,11 @@ def latest_per_key(
         best = F.max_by(row, F.struct(*(F.col(quoted(name)) for name in rank)))
     else:
         raise ValueError("rows with a map or variant column need order_by to choose among")
-    grouped = frame.groupBy(*(F.col(quoted(name)) for name in keys)).agg(best.alias("__row"))
+    chosen = unused("__row", frame.columns)
+    grouped = frame.groupBy(*(F.col(quoted(name)) for name in keys)).agg(best.alias(chosen))
     return grouped.select(
         *(
-            F.col(quoted(name)) if name in keys else F.col("__row")[name].alias(name)
+            F.col(quoted(name)) if name in keys else F.col(chosen)[name].alias(name)
             for name in frame.columns
         )
     )
@@ -53,13 +54,12 @@ def matched_keys(
 ) -> DataFrame:
     """The keys of ``batch`` that ``table`` holds, once each. Reads key columns only.
 
-    Keys that may repeat in the table are reduced before the join, task by task,
-    so that a key on a third of the rows does not meet in one task.
+    Keys that may repeat in the table are reduced after the join, which leaves
+    few of them and needs no shuffle of the table where the batch is small.
     """
     names = [quoted(name) for name in keys]
-    stored = table.select(*names)
-    stored = stored if unique else stored.distinct()
-    return stored.join(batch.select(*names), list(keys), "left_semi")
+    found = table.select(*names).join(batch.select(*names), list(keys), "left_semi")
+    return found if unique else found.distinct()
 
 
 def unmatched_rows(batch: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,10 +76,12 @@ def merge_rows(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
     new = [name for name in batch.columns if name not in keys]
     if not new:
         return table
-    names = [f"__key{i}" for i in range(len(keys))]
+    taken = [*table.columns, *batch.columns]
+    row = unused("__new", taken)
+    names = [unused(f"__key{i}", taken) for i in range(len(keys))]
     incoming = batch.select(
         *(F.col(quoted(key)).alias(name) for key, name in zip(keys, names)),
-        F.struct(*(F.col(quoted(name)) for name in new)).alias("__new"),
+        F.struct(*(F.col(quoted(name)) for name in new)).alias(row),
     )
     same = reduce(
         lambda left, right: left & right,
@@ -90,8 +92,7 @@ def merge_rows(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
         old = F.col(quoted(name)) if name in table.columns else F.lit(None)
         if name not in new:
             return old
-        value = F.col("__new")[name]
-        return F.when(F.col("__new").isNotNull(), value).otherwise(old).alias(name)
+        return F.when(F.col(row).isNotNull(), F.col(row)[name]).otherwise(old).alias(name)
 
     every = table.columns + [name for name in new if name not in table.columns]
     return table.join(incoming, same, "left").select(*(merged(name) for name in every))
