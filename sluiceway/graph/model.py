@@ -72,6 +72,7 @@ class Table:
     """One stored table: the Parquet folders that make up its current state.
 
     ``unique`` are columns of which no two rows share all values, if any are known.
+    ``buckets``, if any, is the number of Spark's buckets by these that its one folder has.
     """
 
     labels: tuple[str, ...] = ()
@@ -83,6 +84,7 @@ class Table:
     schema: StructType = field(default_factory=StructType)
     paths: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
+    buckets: int = 0
 
     @property
     def identity(self) -> tuple:
@@ -101,7 +103,7 @@ class Table:
     def with_data(
         self, schema: StructType, paths: Iterable[str], unique: Iterable[str]
     ) -> "Table":
-        return replace(self, schema=schema, paths=tuple(paths), unique=tuple(sorted(unique)))
+        return replace(self, schema=schema, paths=tuple(paths), unique=tuple(sorted(unique)), buckets=0)
 
     @classmethod
     def from_dict(cls, values: Mapping) -> "Table":

@@ -9,6 +9,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway.functions.columns import quoted
+from sluiceway.graph.buckets import open_bucketed
 from sluiceway.graph.catalog import Catalog
 from sluiceway.graph.model import (
     LABELS,
@@ -21,7 +22,9 @@ from sluiceway.graph.model import (
     parse_labels,
     refuse_reserved,
 )
+from sluiceway.graph.patterns import reachable, sorted_ends, triangles
 from sluiceway.graph.write import GraphWrite, union
+from sluiceway.storage import Staged, staging_path
 
 # Spark's save modes, by every name it accepts.
 _MODES = {
@@ -63,13 +66,21 @@ class PropertyGraph:
         keys: "str | Iterable[str] | Mapping[str, str]" = (),
         mode: str = "append",
         order_by: Iterable[str] = (),
+        newest: bool = False,
+        buckets: int = 0,
     ) -> None:
         """Each row as a node with these labels.
 
         ``overwrite`` is an upsert on ``keys``: nodes that have the labels and a
         key of the batch take the batch's columns, other keys become new nodes.
         Of several rows with one key the last by ``order_by`` counts, without it
-        the largest row.
+        the largest row. With ``newest`` that holds across batches too: a row that
+        is before the stored one by ``order_by`` changes nothing, so batches may
+        arrive in any order.
+
+        ``buckets`` keeps a new table in so many of Spark's buckets by its keys. An
+        upsert then shuffles the batch alone, never the stored side, and rewrites
+        the table: for batches that hit most of it anyway.
         """
         labels, mode = parse_labels(labels), _mode(mode)
         keys = _found(frame, mapping(keys))
@@ -78,6 +89,10 @@ class PropertyGraph:
             raise ValueError("nodes need at least one label")
         if mode == "overwrite" and not keys:
             raise ValueError("overwriting nodes needs node keys")
+        if newest and (mode != "overwrite" or not mapping(order_by)):
+            raise ValueError("keeping the newest rows needs mode overwrite and an order")
+        if buckets and mode != "overwrite":
+            raise ValueError("buckets need mode overwrite, and node keys")
         with GraphWrite(self._catalog, self._root, self.open) as write:
             exists = any(table.labels == labels for table in write.tables)
             if exists and mode == "ignore":
@@ -94,9 +109,69 @@ class PropertyGraph:
                 tuple(keys.values()),
                 mode == "overwrite",
                 [keys.get(name, name) for name in order_by],
+                newest,
+                buckets,
             )
             write.publish()
 
+    def delete_nodes(
+        self,
+        frame: DataFrame,
+        labels: "str | Iterable[str]",
+        keys: "str | Iterable[str] | Mapping[str, str]",
+        detach: bool = True,
+    ) -> None:
+        """Remove the nodes that have all these labels and a key of ``frame``, and their relationships.
+
+        Without ``detach`` it fails if one of them has relationships. Keys that no node
+        has, and NULLs, remove nothing. Only folders with such rows are rewritten.
+        """
+        names = _found(frame, mapping(keys))
+        if not names or not parse_labels(labels):
+            raise ValueError("removing nodes needs labels and node keys")
+        wanted = frame.select(*_renamed(names, ""))
+        with GraphWrite(self._catalog, self._root, self.open) as write:
+            if write.remove_nodes(wanted, parse_labels(labels), tuple(names.values()), detach):
+                write.publish()
+
+    def delete_relationships(
+        self,
+        frame: DataFrame,
+        rel_type: str,
+        source: NodePattern,
+        target: NodePattern,
+        keys: "str | Iterable[str] | Mapping[str, str]" = (),
+    ) -> None:
+        """Remove the relationships between the nodes that rows name, and with their values of ``keys`` if any.
+
+        The nodes stay. Rows that name no relationship, and NULLs, remove nothing.
+        """
+        keys, starts, ends = (_found(frame, mapping(m)) for m in (keys, source.keys, target.keys))
+        wanted = frame.select(*_renamed(starts, "source."), *_renamed(ends, "target."), *_renamed(keys, "rel."))
+        patterns = (replace(source, keys=starts), replace(target, keys=ends))
+        with GraphWrite(self._catalog, self._root, self.open) as write:
+            if write.remove_edges(wanted, rel_type, patterns, [f"rel.{name}" for name in keys.values()]):
+                write.publish()
+
+    def clear_properties(
+        self,
+        frame: DataFrame,
+        labels: "str | Iterable[str]",
+        keys: "str | Iterable[str] | Mapping[str, str]",
+        properties: "str | Iterable[str]",
+    ) -> None:
+        """Set properties of the nodes that have all these labels and a key of ``frame`` to NULL.
+
+        Keys that no node has add none; a property that a node lacks is NULL already.
+        """
+        names, gone = _found(frame, mapping(keys)), list(mapping(properties))
+        if not names or not gone or set(gone) & set(names.values()):
+            raise ValueError("clearing needs node keys, and properties that are no keys")
+        wanted = frame.select(*_renamed(names, ""))
+        with GraphWrite(self._catalog, self._root, self.open) as write:
+            if write.clear(wanted, parse_labels(labels), tuple(names.values()), gone):
+                write.publish()
+
     def write_relationships(
         self,
         frame: DataFrame,
@@ -234,11 +309,65 @@ class PropertyGraph:
             raise ValueError(f"the graph has no nodes with the labels {labels} at the ends of {rel_type}")
         return union(frames)
 
+    def reach(
+        self, rel_type: str, starts: DataFrame | None = None, hops: int | None = None
+    ) -> DataFrame:
+        """What can be reached over relationships of a type: the keys of both ends and the least ``hops``.
+
+        From every node that such a relationship leaves, or from those whose keys are in
+        ``starts``, a frame with columns called as they are. ``hops`` bounds the length of
+        paths; without it all that can be reached is found, cycles or not. A node is reached
+        from itself if a path leads back. The result is a table that stays in the staging
+        folder for as long as it is read.
+        """
+        found = self._edge_tables(self._catalog.load()[1], rel_type)
+        edges = union([self.open(table) for table in found])
+        ids = edges.select(F.col(quoted(end_id("source"))).alias("s"), F.col(quoted(end_id("target"))).alias("t"))
+        left, right = (_end_keys(edges, side, name) for side, name in (("source", "start"), ("target", "end")))
+        with Staged(self._spark) as staged:
+            from_ids = None
+            if starts is not None:
+                names = [f"source.{name}" for name in starts.columns]
+                from_ids = left.join(starts.toDF(*names), names, "left_semi").select("start")
+            pairs = reachable(ids, from_ids, hops, staged)
+            rows = pairs.join(left, "start").join(right, "end").drop("start", "end")
+            return self._result(rows.select(*(quoted(n) for n in rows.columns if n != "hops"), "hops"))
+
+    def triangles(self, rel_type: str) -> DataFrame:
+        """Every three nodes that relationships of a type join with each other, in whatever direction.
+
+        ``first``, ``second`` and ``third`` are structs of their keys, in order. Several relationships
+        of a pair count as one, those of a node with itself not. Kept as the result of ``reach`` is.
+        """
+        found = self._edge_tables(self._catalog.load()[1], rel_type)
+        edges = union([self.open(table) for table in found])
+        ids = edges.select(F.col(quoted(end_id("source"))).alias("s"), F.col(quoted(end_id("target"))).alias("t"))
+        ends = [_end_keys(edges, side, "node") for side in ("source", "target")]
+        ends = [rows.toDF(*(name.split(".", 1)[-1] for name in rows.columns)) for rows in ends]
+        both = union(ends)
+        names = [name for name in both.columns if name != "node"]
+        with Staged(self._spark) as staged:
+            nodes = staged.rows(both.groupBy("node").agg(*(F.max(F.col(quoted(n))).alias(n) for n in names)))
+            rows = triangles(ids, staged)
+            for end in ("u", "v", "w"):
+                keys = F.struct(*(F.col(quoted(name)) for name in names)).alias(f"{end}_keys")
+                rows = rows.join(nodes.select(F.col("node").alias(end), keys), end)
+            ordered = sorted_ends(F.col("u_keys"), F.col("v_keys"), F.col("w_keys"))
+            return self._result(rows.select(*(c.alias(n) for c, n in zip(ordered, ("first", "second", "third")))))
+
+    def _result(self, rows: DataFrame) -> DataFrame:
+        """The rows as a table in the staging folder."""
+        path = staging_path(self._spark)
+        rows.write.parquet(path)
+        return self._spark.read.schema(rows.schema).parquet(path)
+
     def query(self, sql: str) -> DataFrame:
         """A Spark SQL query over the graph's tables, named in braces.
 
         ``{Customer}`` stands for the nodes with that label, ``{HAS_ORDER}`` for
-        the relationships of that type with the keys of both ends.
+        the relationships of that type with the keys of both ends. A query may be
+        recursive, by ``UNION ALL`` and with a bound on its depth: Spark keeps no
+        set of what it has seen, and ``reach`` does.
         """
         names = {name for _, name, _, _ in string.Formatter().parse(sql) if name}
         tables = self._catalog.load()[1]
@@ -317,6 +446,8 @@ class PropertyGraph:
 
     def open(self, table: Table) -> DataFrame:
         """A stored table. Its schema is known, so no file footer is read to plan."""
+        if table.buckets:
+            return open_bucketed(self._spark, table)
         return self._spark.read.schema(table.schema).parquet(*table.paths)
 
     # ---- job options ---------------------------------------------------
@@ -331,6 +462,9 @@ class PropertyGraph:
         """What a job's source options ask for: nodes, relationships or a SQL query."""
         if options.get("query"):
             return self.query(options["query"])
+        if options.get("relationship") and options.get("relationship.hops"):
+            hops = options["relationship.hops"].strip().lower()
+            return self.reach(options["relationship"], hops=None if hops == "all" else int(hops))
         if options.get("relationship"):
             return self.read_relationships(
                 options["relationship"],
@@ -344,6 +478,12 @@ class PropertyGraph:
     def write_options(self, frame: DataFrame, options: Mapping[str, str], mode: str) -> None:
         """What a job's target options ask for: nodes or relationships."""
         order_by = list(mapping(options.get("order.by")))
+        delete = options.get("delete", "").strip().lower()
+        if delete not in ("", "true", "false", "detach"):
+            raise ValueError(f"delete '{delete}': true, detach or false")
+        late = options.get("order.late", "overwrite").strip().lower()
+        if late not in ("overwrite", "ignore"):
+            raise ValueError(f"order.late '{late}': overwrite or ignore")
         if options.get("relationship"):
             strategy = options.get("relationship.save.strategy", "keys")
             if strategy.strip().lower() != "keys":
@@ -356,6 +496,11 @@ class PropertyGraph:
                 )
                 for side in ("source", "target")
             )
+            if delete in ("true", "detach"):
+                self.delete_relationships(
+                    frame, options["relationship"], source, target, options.get("relationship.keys")
+                )
+                return
             self.write_relationships(
                 frame,
                 options["relationship"],
@@ -366,8 +511,14 @@ class PropertyGraph:
                 options.get("relationship.keys"),
                 order_by,
             )
+        elif options.get("labels") and delete in ("true", "detach"):
+            self.delete_nodes(frame, options["labels"], options.get("node.keys"), delete == "detach")
+        elif options.get("labels") and options.get("clear"):
+            self.clear_properties(frame, options["labels"], options.get("node.keys"), options["clear"])
         elif options.get("labels"):
-            self.write_nodes(frame, options["labels"], options.get("node.keys"), mode, order_by)
+            buckets = int(options.get("node.buckets") or 0)
+            keys = options.get("node.keys")
+            self.write_nodes(frame, options["labels"], keys, mode, order_by, late == "ignore", buckets)
         elif options.get("query"):
             raise ValueError(
                 "graph query text cannot be written; describe the pattern with 'labels' and "
@@ -381,6 +532,13 @@ def _renamed(columns: Mapping[str, str], prefix: str) -> list[Column]:
     return [F.col(quoted(name)).alias(prefix + wanted) for name, wanted in columns.items()]
 
 
+def _end_keys(edges: DataFrame, side: str, name: str) -> DataFrame:
+    """The nodes at an end, once each: their identity as ``name``, and the keys that relationships have of them."""
+    keys = [item for item in edges.columns if item.startswith(f"{side}.")]
+    node = F.col(quoted(end_id(side))).alias(name)
+    return edges.groupBy(node).agg(*(F.max(F.col(quoted(key))).alias(key) for key in keys))
+
+
 def _found(frame: DataFrame, columns: Mapping[str, str]) -> dict[str, str]:
     """``columns`` as ``frame`` spells them; a name without a new one keeps that spelling."""
     spelled = {name.lower(): name for name in frame.columns}

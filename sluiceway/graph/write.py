@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, NumericType, StructType
 
 from sluiceway.functions.columns import lossless_cast, quoted, unused
+from sluiceway.graph.buckets import upserted, write_bucketed
 from sluiceway.graph.catalog import Catalog
 from sluiceway.graph.model import NODE_ID, InvalidKeys, NodePattern, Table, end_id
 from sluiceway.operators.merge import (
@@ -118,14 +119,25 @@ class GraphWrite:
         keys: Sequence[str],
         upsert: bool,
         order_by: Sequence[str] = (),
+        newest: bool = False,
+        buckets: int = 0,
     ) -> None:
-        """Add nodes, or upsert them on ``keys``."""
+        """Add nodes, or upsert them on ``keys``; if ``newest``, not over rows that are later by the order."""
         known = self._node_tables(labels, keys)
+        own = Table(labels=labels, unique=tuple(sorted(keys)), buckets=buckets)
+        stored = known[0] if len(known) == 1 and known[0].labels == labels else None
+        if buckets and known and (stored is None or not stored.buckets or stored.unique != own.unique):
+            raise ValueError("nodes with these labels are stored without buckets by these keys")
+        own = stored if stored is not None and stored.buckets and stored.unique == own.unique else own
         typed = self._typed(frame, keys, _key_types(known, keys))
         rows = self._reduced(typed, keys, upsert, order_by)
         batch = self._write(rows.withColumn(NODE_ID, new_id()))
         self._check(batch, keys, typed)
-        self._merge(Table(labels=labels), batch, keys, upsert, known)
+        order = list(order_by) if newest else []
+        if upsert and own.buckets:
+            self._merge_buckets(own, batch, order)
+        else:
+            self._merge(Table(labels=labels), batch, keys, upsert, known, order)
 
     def edges(
         self,
@@ -278,9 +290,11 @@ class GraphWrite:
         keys: Sequence[str],
         upsert: bool,
         known: Sequence[Table],
+        order: Sequence[str] = (),
+        add: bool = True,
     ) -> None:
         """Upsert: set the batch's columns on the rows of ``known`` that have its keys.
-        Rows that are left, or all rows, are added to ``table``."""
+        Rows that are left, or all rows, are added to ``table`` if ``add``."""
         stored = [item for item in known if upsert and item.has(keys)]
         end_columns = ("source.", "target.") if table.rel_type else ()
         columns = {
@@ -310,7 +324,7 @@ class GraphWrite:
             kept = [path for path in item.paths if path not in hit]
             schema = widened(item.schema, StructType([f for f in batch.schema if f.name in columns]))
             changes = batch.frame.select(*map(quoted, keys), *map(quoted, sorted(columns)))
-            merged = merge_rows(self._read(item.with_data(item.schema, hit, ())), changes, keys)
+            merged = merge_rows(self._read(item.with_data(item.schema, hit, ())), changes, keys, order)
             size = sum(self._catalog.storage.size(path) for path in hit)
             new = self._write(merged, keys, size)
             still = () if columns & set(item.unique) else item.unique
@@ -318,7 +332,7 @@ class GraphWrite:
             rows = batch.frame.count() if rows is None else rows
             if left is not None:
                 left = None if found.count() == rows else unmatched_rows(left, found, keys)
-        if left is None:
+        if left is None or not add:
             return
         if left is not batch.frame or not batch.paths or (upsert and self._size(batch) > self.folder_bytes):
             batch = self._write(left, keys if upsert else (), self._size(batch))
@@ -326,6 +340,104 @@ class GraphWrite:
                 return
         self._add(table, batch, keys if upsert else ())
 
+    def _merge_buckets(self, table: Table, batch: Batch, order: list[str]) -> None:
+        """Upsert into a table in buckets by the keys, all of which is written anew without shuffling it."""
+        path = f"{self._root}/data/{uuid.uuid4().hex}"
+        self._written.append(path)
+        if not table.paths:
+            rows, schema = batch.frame.repartition(table.buckets, *map(quoted, table.unique)), batch.schema
+        else:
+            schema = widened(table.schema, batch.schema)
+            changes = batch.frame.withColumnRenamed(NODE_ID, unused("<new id>", batch.schema.names))
+            rows = upserted(self._read(table), changes, table, order)
+            given = F.col(quoted(changes.columns[batch.schema.names.index(NODE_ID)]))
+            rows = rows.withColumn(NODE_ID, F.coalesce(F.col(quoted(NODE_ID)), given))
+            rows = rows.select(*map(quoted, schema.names))
+        write_bucketed(rows, path, table)
+        self._put(replace(table, schema=schema, paths=(path,)))
+
+    # ---- removing ----------------------------------------------------------
+
+    def remove_nodes(self, wanted: DataFrame, labels: tuple[str, ...], keys: Sequence[str], detach: bool) -> bool:
+        """Remove the nodes with the wanted keys, and their relationships; whether there are any."""
+        batch = self._write(wanted.distinct())
+        gone: list[DataFrame] = []
+        for item in self._node_tables(labels, keys):
+            if (ids := self._without(item, self._keys_as_stored(batch.frame, item, keys), keys, [NODE_ID])) is not None:
+                gone.append(ids)
+        if not gone:
+            return False
+        ids = union(gone).withColumnRenamed(NODE_ID, "id")
+        for side in ("source", "target"):
+            for item in [table for table in self.tables if table.rel_type]:
+                ends = ids.select(F.col("id").alias(end_id(side)))
+                if self._without(item, ends, [end_id(side)], []) is not None and not detach:
+                    raise ValueError(f"nodes to remove have relationships of type {item.rel_type}: detach them")
+        return True
+
+    def remove_edges(
+        self, wanted: DataFrame, rel_type: str, ends: tuple[NodePattern, NodePattern], identity: Sequence[str]
+    ) -> bool:
+        """Remove the relationships between the nodes that rows name; whether there are any."""
+        found = False
+        for item in [table for table in self.tables if table.rel_type == rel_type and table.has(identity)]:
+            rows = self._write(wanted.distinct()).frame
+            for side, end in zip(("source", "target"), ends):
+                rows = self._with_ids(self._typed_ends(rows, side, end), side, end)
+            pair = [end_id("source"), end_id("target"), *identity]
+            rows = self._keys_as_stored(rows.select(*map(quoted, pair)), item, identity)
+            found |= self._without(item, rows, pair, []) is not None
+        return found
+
+    def clear(self, wanted: DataFrame, labels: tuple[str, ...], keys: Sequence[str], properties: Sequence[str]) -> bool:
+        """Set properties of the nodes with the wanted keys to NULL; whether a table has such."""
+        changed = False
+        for item in self._node_tables(labels, keys):
+            there = [name for name in item.schema.names if name in properties]
+            if there:
+                rows = self._keys_as_stored(wanted, item, keys)
+                for key in keys:
+                    rows = rows.where(F.col(quoted(key)).isNotNull())
+                rows = rows.distinct()
+                empty = [F.lit(None).cast(item.schema[name].dataType).alias(name) for name in there]
+                batch = self._write(rows.select(*map(quoted, keys), *empty))
+                self._merge(Table(labels=item.labels), batch, keys, True, [item], add=False)
+                changed = True
+        return changed
+
+    def _typed_ends(self, rows: DataFrame, side: str, end: NodePattern) -> DataFrame:
+        names = list(end.keys.values())
+        types = _key_types(self._node_tables(end.labels, names), names)
+        return self._typed(rows, [f"{side}.{n}" for n in names], {f"{side}.{n}": kind for n, kind in types.items()})
+
+    def _keys_as_stored(self, rows: DataFrame, item: Table, keys: Sequence[str]) -> DataFrame:
+        return self._typed(rows, keys, {key: item.schema[key].dataType for key in keys})
+
+    def _without(
+        self, item: Table, wanted: DataFrame, keys: Sequence[str], returned: Sequence[str]
+    ) -> DataFrame | None:
+        """Remove a table's rows with the wanted keys; these rows' ``returned`` columns, None if there are none.
+
+        A semi join finds the rows and their folders, and only these are written again.
+        The table is on the left, the side that adaptive execution splits.
+        """
+        name = unused("__folder", [*keys, *returned])
+        folder = F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1)
+        columns = dict.fromkeys([*keys, *returned])
+        plain = item.with_data(item.schema, item.paths, item.unique)
+        place = self._read(plain).select(*map(quoted, columns), folder.alias(name))
+        hits = self._write(place.join(wanted, list(keys), "left_semi").select(*map(quoted, returned), quoted(name))).frame
+        folders = {row[0] for row in hits.select(name).distinct().collect()}
+        if not folders:
+            return None
+        hit = [path for path in item.paths if path.split("/data/")[-1] in folders]
+        kept = [path for path in item.paths if path not in hit]
+        rows = self._read(item.with_data(item.schema, hit, ())).join(wanted, list(keys), "left_anti")
+        size = sum(self._catalog.storage.size(path) for path in hit)
+        new = self._write(rows.select(*map(quoted, item.schema.names)), item.unique, size)
+        self._put(item.with_data(item.schema, [*kept, *new.paths], item.unique))
+        return hits.drop(name)
+
     def _add(self, table: Table, batch: Batch, keys: Sequence[str]) -> None:
         """Add a batch's folders to a table. ``keys``: of which no row shares all with another."""
         current = next((t for t in self.tables if t.identity == table.identity), table)

@@ -67,18 +67,30 @@ def unmatched_rows(batch: DataFrame, matched: DataFrame, keys: Sequence[str]) ->
     return batch.join(matched, list(keys), "left_anti")
 
 
-def merge_rows(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_rows(
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
     """``table`` with the columns of ``batch`` set on each row whose key it holds.
 
     ``batch`` has one row per key. A matched row takes every column the batch
     has, NULLs too, and keeps the others; columns new to the table are added.
+    With ``order``, columns of the batch, it does so only if the stored row is
+    not later by these, nor the larger where they tie.
     """
-    new = [name for name in batch.columns if name not in keys]
-    if not new:
+    if all(name in keys for name in batch.columns):
         return table
+    return merged_columns(table, batch, keys, order, "left")
+
+
+def merged_columns(
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], how: str
+) -> DataFrame:
+    """The columns of ``merge_rows`` over a ``left`` join, or a ``full`` one that adds the batch's other rows."""
+    new = [name for name in batch.columns if name not in keys]
     taken = [*table.columns, *batch.columns]
     row = unused("__new", taken)
     names = [unused(f"__key{i}", taken) for i in range(len(keys))]
+    mark = unused("__old", taken)
     incoming = batch.select(
         *(F.col(quoted(key)).alias(name) for key, name in zip(keys, names)),
         F.struct(*(F.col(quoted(name)) for name in new)).alias(row),
@@ -88,11 +100,24 @@ def merge_rows(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
         (F.col(quoted(key)) == F.col(name) for key, name in zip(keys, names)),
     )
 
+    wins = F.col(row).isNotNull()
+    if ranked := [name for name in order if name in table.columns and name in new]:
+        rest = [
+            name for name in new
+            if name in table.columns and name not in ranked and comparable(batch.schema[name].dataType)
+        ]
+        stored = F.struct(*(F.col(quoted(name)) for name in ranked + rest))
+        given = F.struct(*(F.col(row)[name] for name in ranked + rest))
+        wins &= F.col(mark).isNull() | (given >= stored)
+
     def merged(name: str):
         old = F.col(quoted(name)) if name in table.columns else F.lit(None)
+        if name in keys and how == "full":
+            return F.coalesce(old, F.col(names[list(keys).index(name)])).alias(name)
         if name not in new:
             return old
-        return F.when(F.col(row).isNotNull(), F.col(row)[name]).otherwise(old).alias(name)
+        return F.when(wins, F.col(row)[name]).otherwise(old).alias(name)
 
     every = table.columns + [name for name in new if name not in table.columns]
-    return table.join(incoming, same, "left").select(*(merged(name) for name in every))
+    joined = table.withColumn(mark, F.lit(True)).join(incoming, same, how)
+    return joined.select(*(merged(name) for name in every))

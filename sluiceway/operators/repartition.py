@@ -13,10 +13,11 @@ def repartition_rows(frame: DataFrame, partition: Partition) -> DataFrame:
     By a column, rows are dealt over so many partitions by the column's hash, and
     adaptive execution then splits partitions over its advisory size, as a hot
     key makes them, and joins small ones. With ``keepTogether`` the number is
-    exact and every key stays in one partition, whatever its size.
+    exact and every key stays in one partition, whatever its size. A grid's rows
+    are dealt when they are written, round by round.
     """
     number, by = partition.number, partition.by.strip()
-    if number <= 0:
+    if number <= 0 or partition.grid:
         return frame
     if not by:
         return frame.repartition(number)

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.operators.shape import shape
+from sluiceway.sinks.rounds import write_rounds
 from sluiceway.sinks.write import write
 from sluiceway.sources.scan import scan
 from sluiceway.spec import JobConfig, Source
@@ -35,7 +36,11 @@ def read(spark: SparkSession, source: "Source | dict", strict: bool = False) ->
 
 
 def _move(spark: SparkSession, job: JobConfig, strict: bool) -> None:
-    write(read(spark, job.source, strict), job.target, strict)
+    rows = read(spark, job.source, strict)
+    if job.source.partition.grid:
+        write_rounds(rows, job.target, job.source.partition, strict)
+    else:
+        write(rows, job.target, strict)
 
 
 def _warn_of_ignored_settings(job: JobConfig) -> None:

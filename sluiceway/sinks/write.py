@@ -73,6 +73,17 @@ def refuse_self_overwrite(spark: SparkSession, folder: str, reads: Iterable[str]
             raise SelfOverwrite(f"overwriting {folder} would delete the job's own input {path}")
 
 
+def check_target(frame: DataFrame, target: Target, strict: bool = False) -> None:
+    """Fail if overwriting the target would delete what the frame reads."""
+    format, options = resolve_format(target.format, resolve_options(target.options, strict))
+    folders = [value for name, value in options.items() if name.lower() == "path"]
+    replaced = format != GRAPH_FORMAT and format not in VERSIONED_FORMATS
+    if target.mode.strip().lower() == "overwrite" and folders and replaced:
+        roots = input_roots(frame)
+        for folder in folders:
+            refuse_self_overwrite(frame.sparkSession, folder, roots)
+
+
 def write(frame: DataFrame, target: Target, strict: bool = False) -> None:
     """Save ``frame`` as the target says; a blank mode is Spark's default.
 
@@ -85,11 +96,7 @@ def write(frame: DataFrame, target: Target, strict: bool = False) -> None:
         graph = PropertyGraph.from_options(frame.sparkSession, options)
         graph.write_options(frame, options, target.mode)
         return
-    folders = [value for name, value in options.items() if name.lower() == "path"]
-    if target.mode.strip().lower() == "overwrite" and folders and format not in VERSIONED_FORMATS:
-        roots = input_roots(frame)
-        for folder in folders:
-            refuse_self_overwrite(frame.sparkSession, folder, roots)
+    check_target(frame, target, strict)
     writer = frame.write.format(format).options(**options)
     if target.mode:
         writer = writer.mode(target.mode)

@@ -21,7 +21,10 @@ class UnknownPreset(KeyError):
 
 @dataclass(frozen=True)
 class Preset:
-    """What one system needs: ``required`` options, and groups of which one is needed."""
+    """What one system needs: ``required`` options, and groups of which one is needed.
+
+    ``upserts`` says that overwriting sets the rows with the same keys and leaves others.
+    """
 
     name: str
     format: str
@@ -32,6 +35,7 @@ class Preset:
     conf: Mapping[str, str] = field(default_factory=dict)
     hadoop_conf: Mapping[str, str] = field(default_factory=dict)
     defaults: Mapping[str, str] = field(default_factory=dict)
+    upserts: bool = False
 
     @property
     def option_names(self) -> tuple[str, ...]:
@@ -86,7 +90,13 @@ _BUILT_IN = (
             "relationship.target.node.keys",
             "relationship.target.save.mode",
             "order.by",
+            "order.late",
+            "node.buckets",
+            "relationship.hops",
+            "delete",
+            "clear",
         ),
+        upserts=True,
     ),
     Preset(
         name="BigQuery",

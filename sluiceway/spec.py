@@ -79,11 +79,23 @@ class Partition:
 
     A key that holds far more than its fair share of the rows is spread over
     several partitions; ``keepTogether`` keeps every key in one.
+
+    ``grid`` names the two columns with the ends of relationships, to write them
+    in ``number`` rounds of which no two tasks touch one node; ``sameNodes`` says
+    that one node may be at either end.
     """
 
     number: int = 0
     by: str = ""
     keepTogether: bool = False
+    grid: Sequence[str] = ()
+    sameNodes: bool = False
+
+    def __post_init__(self) -> None:
+        names = self.grid.split(",") if isinstance(self.grid, str) else self.grid or ()
+        object.__setattr__(self, "grid", tuple(name.strip() for name in names if name.strip()))
+        if self.grid and (len(self.grid) != 2 or self.number <= 0 or self.by.strip()):
+            raise ValueError("a grid needs the two columns of both ends, a number of rounds and no 'by'")
 
     @classmethod
     def of(cls, value: "Partition | Mapping | None") -> "Partition":
@@ -94,6 +106,8 @@ class Partition:
             _whole(value.get("number"), 0),
             _text(value.get("by")),
             _flag(value.get("keepTogether", False)),
+            value.get("grid") or (),
+            _flag(value.get("sameNodes", False)),
         )
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark import SparkContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 class Storage:
@@ -85,6 +86,43 @@ class Storage:
         self._system.delete(self._path(path), True)
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Where that is unset and the master local, a folder of this machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="sluiceway-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/staged-{uuid.uuid4().hex}"
+
+
+class Staged:
+    """Rows written to the shared folder, read back as often as needed, removed at the end of the block."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._paths = spark, []
+
+    def __enter__(self) -> "Staged":
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self._paths:
+            Storage(self._spark, path).remove(path)
+
+    def path(self) -> str:
+        self._paths.append(staging_path(self._spark))
+        return self._paths[-1]
+
+    def rows(self, frame: DataFrame) -> DataFrame:
+        path = self.path()
+        frame.write.parquet(path)
+        return self._spark.read.schema(frame.schema).parquet(path)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its file system, without dots, doubled slashes and links of local disks."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
