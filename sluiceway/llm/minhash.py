@@ -22,6 +22,8 @@ BANDS, ROWS = 32, 5
 SLACK = 0.15
 #: Distinct words whose hashes a worker keeps; when full, it starts anew.
 KEPT_WORDS = 200_000
+#: So many documents at most are named to all tasks to find their texts; of more, texts and names are shuffled.
+NAMED_ROWS = 1_000_000
 #: Further centres of a bucket in the first round that needs them; eight times as many in each later one.
 CENTRES = 64
 
@@ -139,6 +141,7 @@ class Links:
         return pairs
 
     def of(self, pairs: DataFrame) -> Staged:
+        """The links among pairs (``a``, ``b``)."""
         percent, kind = self.percent, self.kind
 
         def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +202,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     candidate of any band is left out.
 
     Null and empty texts have no set, are linked with nothing and kept. A null key links nothing and
-    is kept, with a null component. Repeated keys are one document with the links of all its texts.
-    Equal rows get equal results; other columns are not read; no rows give none.
+    is kept, with a null component. Repeated keys are one document with the links of all its texts, in
+    every one of its rows. Equal rows get equal results; other columns are not read; no rows give none.
     """
     source = documents.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     staged = Staged(described(source), "described")
@@ -210,68 +213,96 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     heads = Staged(
         named.join(firsts.read().select("whole", F.col("head").alias("doc")), ["whole", "doc"], "left_semi"), "head-rows"
     )
+    # a document with several sets is one with the first of each
+    several = named.groupBy("doc").agg(F.min("whole").alias("one"), F.max("whole").alias("two")).where("one <> two")
+    own = named.join(several.select("doc"), "doc", "left_semi").join(firsts.read(), "whole")
+    same = Staged(own.where("doc <> head").select(F.col("doc").alias("a"), F.col("head").alias("b")).distinct(), "own-links")
     rows = heads.read().select("doc", F.explode("bands").alias("bucket"))
     buckets = rows.groupBy("bucket").agg(F.min("doc").alias("centre"), F.max("doc").alias("last")).where("centre <> last")
     members = Staged(rows.join(buckets.select("bucket", "centre"), "bucket").distinct(), "members")
     stars = Staged(
         members.read().where("doc <> centre").groupBy("doc", "centre").agg(F.count(F.lit(1)).alias("bands")), "stars"
     )
-    # the sets of all that share a bucket, by one join whose plan is the same for few and for many
-    some = members.read().select("doc").distinct().hint("shuffle_hash")
+    # the sets of all that share a bucket; texts are not shuffled while the names of these are few
+    sharing = Staged(members.read().select("doc").distinct(), "sharing")
+    some = sharing.read()
+    some = F.broadcast(some) if some.count() <= NAMED_ROWS else some.hint("shuffle_hash")
     sets = Staged(sets_of(source.join(some, "doc", "left_semi")), "sets")
+    sharing.discard()
     let_go(documents.sparkSession)
     check = Links(sets.read(), heads.read(), percent)
 
     # first, the centre with which a document shares most bands
     best = stars.read().groupBy("doc").agg(F.max_by("centre", F.struct("bands", -F.col("centre"))).alias("centre"))
     links = check.of(best.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
-    groups = Staged(merged(None, links.read()), "groups")
+    groups = Staged(merged(None, links.read().unionByName(same.read())), "groups")
+    used = [links, same]
     tested = best
     # then the other centres, where they could still join two groups
     rest = apart(stars.read().join(tested, ["doc", "centre"], "left_anti"), "doc", "centre", groups.read())
     links = check.of(rest.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
+    used += [links, groups, stars]
     groups = Staged(merged(groups.read(), links.read()), "groups")
+    discard(used)
 
-    limit = CENTRES
+    limit, left = CENTRES, []
     state = members.read().where("doc <> centre").select("bucket", "doc")
     while True:
         now = state.join(groups.read(), "doc", "left").select("bucket", "doc", F.coalesce("group", "doc").alias("group"))
-        opened = Staged(several_groups(now), "open").read()
+        open_rows = Staged(several_groups(now), "open")
+        opened = open_rows.read()
         if opened.isEmpty():
+            open_rows.discard()
             break
         shared = shared_sizes(sets.read(), opened, heads.read())
-        able = several_groups(opened.join(shared, "doc").where(f"100 * shared >= {percent} * size"))
-        able = Staged(able.join(heads.read().select("doc", "bands", "signature"), "doc"), "able").read()
+        able = several_groups(opened.join(shared.read(), "doc").where(f"100 * shared >= {percent} * size"))
+        able = able.join(heads.read().select("doc", "bands", "signature"), "doc").join(listed(sets.read()), "doc")
+        able_rows = Staged(able, "able")
+        able = able_rows.read()
         sizes = able.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("rows"))
         largest = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("rows", "group")).alias("main"))
         turn = Window.partitionBy("bucket").orderBy("doc")
-        centres = Staged(
+        centre_rows = Staged(
             able.join(largest, "bucket")
             .where("group <> main")
             .withColumn("turn", F.row_number().over(turn))
             .where(F.col("turn") <= limit)
-            .select("bucket", *(F.col(c).alias(f"{c}_of_centre") for c in ("doc", "group", "size", "shared", "bands", "signature"))),
+            .select("bucket", *(F.col(c).alias(f"{c}_of_centre") for c in ("doc", "group", "size", "shared", "bands", "signature", "members"))),
             "centres",
-        ).read()
+        )
+        centres = centre_rows.read()
         common = F.least("shared", "shared_of_centre")
-        pairs = (
+        both = F.size(F.array_intersect("members", "members_of_centre"))
+        # the join gives links alone: what is cheap to compare comes first, whole sets last
+        found = (
             able.join(centres, "bucket")
             .where(F.col("group") != F.col("group_of_centre"))
             .where(100 * common >= percent * (F.col("size") + F.col("size_of_centre") - common))
             .where(FIRST_SHARED)  # a pair is made in one bucket only
             .where(f"{AGREEING} >= {(percent / 100 - SLACK) * BANDS * ROWS}")
+            .where(100 * both >= percent * (F.size("members") + F.size("members_of_centre") - both))
             .select(F.least("doc", "doc_of_centre").alias("a"), F.greatest("doc", "doc_of_centre").alias("b"))
             .distinct()
         )
-        links = check.of(pairs)
+        links = Staged(found, "links")
+        used = [open_rows, shared, able_rows, centre_rows, links, groups, *left]
         groups = Staged(merged(groups.read(), links.read()), "groups")
         been = centres.select("bucket", F.col("doc_of_centre").alias("doc"))
-        state = Staged(able.select("bucket", "doc").join(been, ["bucket", "doc"], "left_anti"), "left").read()
+        left = [Staged(able.select("bucket", "doc").join(been, ["bucket", "doc"], "left_anti"), "left")]
+        state = left[0].read()
+        discard(used)
         limit *= 8
         let_go(documents.sparkSession)
-
+    discard([heads, members, sets, *left])
+
+    rows = every.select("doc", "n_shingles", "whole")
+    # a row without words has the component of its document's other rows
+    other = named.join(every.where("whole IS NULL").select("doc").distinct(), "doc", "left_semi")
+    other = Staged(other.groupBy("doc").agg(F.min("whole").alias("other")), "other-rows")
+    if not other.read().isEmpty():
+        rows = rows.join(other.read(), "doc", "left").withColumn("whole", F.coalesce("whole", "other")).drop("other")
     result = (
-        every.select("doc", "n_shingles", "whole")
+        rows
         .join(firsts.read(), "whole", "left")
         .join(groups.read().withColumnRenamed("doc", "head"), "head", "left")
     )
@@ -284,13 +315,35 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
 
 
+def discard(tables: list[Staged]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        table.discard()
+
+
+def listed(sets: DataFrame) -> DataFrame:
+    """``doc`` and ``members`` as an array that the JVM can intersect."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("members")]
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            values = pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.ListArray.from_arrays(pa.array(starts), values)], names=["doc", "members"]
+            )
+
+    kind = sets.schema["doc"].dataType.simpleString()
+    return sets.mapInArrow(read, f"doc {kind}, members array<long>")
+
+
 def several_groups(rows: DataFrame) -> DataFrame:
     """Rows of buckets with more than one group."""
     mixed_up = rows.groupBy("bucket").agg(F.min("group").alias("one"), F.max("group").alias("two")).where("one <> two")
     return rows.join(mixed_up.select("bucket"), "bucket", "left_semi")
 
 
-def shared_sizes(sets: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFrame:
+def shared_sizes(sets: DataFrame, rows: DataFrame, heads: DataFrame) -> Staged:
     """``doc``, ``size`` of its set and ``shared``, how many of it some other document of the rows has.
 
     Two documents have no more in common than the smaller of their shared numbers, so these bound
@@ -319,7 +372,7 @@ def shared_sizes(sets: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFram
     counts = each.join(common.select("shingle"), "shingle", "left_semi").groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
     found = Staged(counts.join(sizes, "doc"), "shared")
     staged.discard()
-    return found.read()
+    return found
 
 
 def apart(pairs: DataFrame, one: str, two: str, groups: DataFrame) -> DataFrame:
