@@ -172,7 +172,11 @@ class Target:
 
 @dataclass(frozen=True)
 class JobConfig:
-    """One job: a source, a target and the session settings it asks for."""
+    """One job: a source, a target and the session settings it asks for.
+
+    ``rejected``, if given, is a second target, for rows that a cast of the source's columns
+    cannot take, as they came and with the ``reason``; without it such a row fails the job.
+    """
 
     name: str = DEFAULT_JOB_NAME
     conf: Mapping[str, str] = field(default_factory=dict, repr=False)
@@ -180,6 +184,7 @@ class JobConfig:
     source: Source = None  # type: ignore[assignment]
     target: Target = None  # type: ignore[assignment]
     master: str = ""
+    rejected: Target | None = None
 
     def __post_init__(self) -> None:
         if self.source is None or self.target is None:
@@ -191,6 +196,7 @@ class JobConfig:
         set_(self, "hadoopConfiguration", _options(self.hadoopConfiguration))
         set_(self, "source", Source.of(self.source))
         set_(self, "target", Target.of(self.target))
+        set_(self, "rejected", Target.of(self.rejected) if self.rejected else None)
 
     @classmethod
     def load(cls, data: Any) -> "JobConfig":
@@ -207,6 +213,7 @@ class JobConfig:
             hadoopConfiguration=data.get("hadoopConfiguration"),
             source=data.get("source"),
             target=data.get("target"),
+            rejected=data.get("rejected"),
         )
 
     @classmethod
