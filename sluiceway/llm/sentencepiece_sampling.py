@@ -10,13 +10,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
+from sluiceway.llm.anchored import mixed
+
 SPACE = "▁"
 #: Units whose lattices a worker keeps; when full, it starts anew.
 KEPT_UNITS = 250_000
+#: Texts, and bytes of text, that are sampled together.
+PORTION_ROWS, PORTION_BYTES = 500, 2_000_000
 #: Of the hashes that pieces are looked up by.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,9 +57,9 @@ class Vocabulary:
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     @staticmethod
-    def decode(pieces: list[bytes]) -> str:
-        """The text of pieces, of which byte pieces give their bytes; the space put before is taken off."""
-        return b"".join(pieces).decode("utf-8", "replace").replace(SPACE, " ")[1:]
+    def decode(spelled: bytes) -> str:
+        """The text that pieces spell together, byte pieces by their bytes; the space put before is taken off."""
+        return spelled.decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
 @dataclass
@@ -112,18 +117,20 @@ class Lattices:
             self.texts.append(text.encode())
         return n
 
-    def ids(self, numbers: np.ndarray) -> np.ndarray:
-        """The identifiers of pieces; those written as bytes have several."""
+    def written(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The identifiers of pieces, those written as bytes having several, and the bytes they spell; where
+        each piece's begin, and an end."""
         if len(self.sizes) < len(self.texts):
             own = [self.vocabulary.bytes[b] for t in self.texts[len(self.plain) :] for b in t]
             self.flat = np.concatenate([self.single, np.array(own, np.int32)])
             self.sizes = np.array([1] * len(self.plain) + [*map(len, self.texts[len(self.plain) :])], np.int64)
             self.begins = np.cumsum(self.sizes) - self.sizes
-        sizes, begins = self.sizes[numbers], self.begins[numbers]
-        total = int(sizes.sum())
-        if total == len(numbers):
-            return self.flat[begins]
-        return self.flat[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(total)]
+            self.spelled = np.frombuffer(b"".join(self.texts), np.uint8)
+            self.widths = np.array([*map(len, self.texts)], np.int64)
+            self.letters = np.cumsum(self.widths) - self.widths
+        ids, id_ends = spans(self.flat, self.begins[numbers], self.sizes[numbers])
+        letters, letter_ends = spans(self.spelled, self.letters[numbers], self.widths[numbers])
+        return ids, id_ends, letters, letter_ends
 
     def learn(self, units: list[str]) -> None:
         new = [u for u in dict.fromkeys(units) if u not in self.starts]
@@ -201,6 +208,12 @@ class Lattices:
         )
 
 
+def spans(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of an array one after another, and where each begins there, with the end of all."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return values[np.repeat(begins - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+
 @dataclass
 class Lump:
     """All paths that follow a sampled one up to a step and there take none of the barred edges."""
@@ -220,89 +233,179 @@ class Path:
     perturbed: float
 
 
-def truncated(place: np.ndarray, top: float, draw: np.random.Generator) -> np.ndarray:
-    """Gumbel draws at the given places, none above ``top``."""
+def truncated(place: np.ndarray, top: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """Gumbel values at the given places from uniform draws, none above ``top``."""
     with np.errstate(over="ignore"):
-        return place - np.log(np.exp(place - top) - np.log(draw.random(len(place)) + 1e-300))
+        return place - np.log(np.exp(place - top) - np.log(draw))
 
 
-class Sampler:
-    """Top-down search for the largest perturbed log probabilities.
+class Draws:
+    """Uniform draws by a text's seed, the sample's number and a place, so that they do not depend on
+    which texts are worked on together."""
+
+    def __init__(self, seeds: np.ndarray):
+        self.seeds = mixed(seeds)
+
+    def at(self, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """What ``of`` takes: the start of a counter for each text and place."""
+        return self.seeds[text] + mixed(place.astype(np.uint64) + FACTOR)
+
+    @staticmethod
+    def of(at: np.ndarray, sample: int, kind: int, step: int = 0) -> np.ndarray:
+        turn = (((step << 24 | sample) << 2 | kind) + 1) * int(FACTOR) % 2**64
+        bits = mixed(at + np.uint64(turn))
+        return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+
+
+#: What a draw is for.
+ROOT, STEP, WAY, REST = range(4)
+
+
+class Batch:
+    """Top-down search for the largest perturbed log probabilities, of many texts at once.
 
     The root's maximum is a Gumbel draw. Of an opened lump the best path is drawn by the edges'
     shares and has the lump's maximum; what is left of it falls into one lump a step, whose maxima
     are Gumbel draws under that of their parent. So opening the best lump again and again gives the
     distinct paths that a draw for every path would have ranked first. Masses are exact, so no lump
-    is opened in vain.
+    is opened in vain. Each round opens one lump of every text, and walks all their units together.
     """
 
-    def __init__(self, lattices: Lattices, units: list[str], draw: np.random.Generator):
-        self.lattices, self.draw = lattices, draw
-        self.starts = np.array([lattices.starts[u] for u in units], np.int64)
-
-    def walk(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Edges drawn from each state to its unit's end, in order, and which state each began from."""
-        edges = self.lattices.edges
+    def __init__(self, lattices: Lattices, texts: list[list[str]], seeds: np.ndarray):
+        self.lattices, self.draws = lattices, Draws(seeds)
+        sizes = np.array([len(units) for units in texts], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])  # of each text's units
+        self.text = np.repeat(np.arange(len(texts)), sizes)
+        self.states = np.array([lattices.starts[u] for units in texts for u in units], np.int64)
+        self.counters = self.draws.at(self.text, np.arange(len(self.text)) - self.first[self.text] + 1)  # of each unit
+
+    def walk(self, units: np.ndarray, states: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
+        """Edges drawn from each state to its unit's end, in order, and where each is among ``units``."""
+        upto, to, first = self.lattices.edges.upto, self.lattices.edges.to, self.lattices.first
+        counters = self.counters[units]
         at, live, steps = states.copy(), np.flatnonzero(states >= 0), []
         while len(live):
+            draw = Draws.of(counters[live], sample, STEP, len(steps))
             here = at[live]
-            taken = np.searchsorted(edges.upto, here + self.draw.random(len(live)), side="right")
+            taken, target = first[here + 1] - 1, here + draw
+            # long pieces come last and have most of the mass, so few go far back
+            back = np.flatnonzero((taken > first[here]) & (upto[taken - 1] > target))
+            while len(back):
+                taken[back] -= 1
+                now = taken[back]
+                back = back[(now > first[here[back]]) & (upto[now - 1] > target[back])]
             steps.append((live, taken))
-            at[live] = edges.to[taken]
-            live = live[at[live] >= 0]
+            here = to[taken]
+            at[live] = here
+            live = live[here >= 0]
         if not steps:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         owner, taken = (np.concatenate(x) for x in zip(*steps, strict=True))
         order = np.argsort(owner, kind="stable")
         return taken[order], owner[order]
 
-    def opened(self, lump: Lump | None, top: float, want: int) -> tuple[Path, list[Lump]]:
-        """The best path of a lump, and at most ``want`` of the best lumps that are left of it."""
+    def way(self, lump: Lump, draw: float) -> tuple[int, float]:
+        """The edge that a lump's best path takes at its step, and the log share of those it might still take."""
         edges = self.lattices.edges
-        if lump is None:
-            taken, unit = self.walk(self.starts)
-            kept, barred = 0, ()
-        else:
-            old, step = lump.path, lump.step
-            state = int(edges.state[old.edges[step]])
-            ways = [e for e in range(self.lattices.first[state], self.lattices.first[state + 1]) if e not in lump.barred]
-            shares = np.exp(edges.log_share[ways])
-            chosen = ways[int(min(np.searchsorted(np.cumsum(shares), self.draw.random() * shares.sum(), side="right"), len(ways) - 1))]
-            at = int(old.unit[step])
-            states = self.starts[at:].copy()
-            states[0] = edges.to[chosen]
-            taken, unit = self.walk(states)
-            taken = np.concatenate([old.edges[:step], [chosen], taken])
-            unit = np.concatenate([old.unit[: step + 1], unit + at])
-            kept, barred = step, lump.barred
-        logs = edges.log_share[taken]
-        sums = np.cumsum(logs)
-        path = Path(taken, unit, sums - logs, float(sums[-1]) if len(sums) else 0.0, top)
-        places = path.before[kept:] + edges.log_rest[taken[kept:]]
-        if barred:
-            free = [e for e in ways if e != chosen]
-            places[0] = path.before[kept] + math.log(np.exp(edges.log_share[free]).sum()) if free else -math.inf
-        tops = np.where(np.isfinite(places), truncated(np.where(np.isfinite(places), places, 0), top, self.draw), -np.inf)
-        best = np.argpartition(-tops, want)[:want] if len(tops) > want else np.arange(len(tops))
-        lumps = [
-            Lump(float(tops[n]), path, kept + int(n), ((*barred, int(taken[kept])) if n == 0 else (int(taken[kept + n]),)))
-            for n in best
-            if tops[n] > -np.inf
-        ]
-        return path, lumps
+        state = edges.state[lump.path.edges[lump.step]]
+        low, high = self.lattices.first[state : state + 2].tolist()
+        shares = {low + n: math.exp(x) for n, x in enumerate(edges.log_share[low:high].tolist()) if low + n not in lump.barred}
+        rest = draw * math.fsum(shares.values())
+        for chosen, share in shares.items():
+            rest -= share
+            if rest < 0:
+                break
+        left = math.fsum(share for edge, share in shares.items() if edge != chosen)
+        return chosen, math.log(left) if left > 0 else -math.inf
+
+    def opened(self, lumps: dict[int, Lump | None], tops: dict[int, float], sample: int, want: int) -> dict[int, tuple[Path, list[Lump]]]:
+        """By text, the best path of a lump (of all paths if None), and at most ``want`` of the best lumps left of it."""
+        edges = self.lattices.edges
+        units, states, ways = [], [], {}
+        texts = np.array([*lumps], np.int64)
+        draws = Draws.of(self.draws.at(texts, np.zeros(len(texts))), sample, WAY).tolist()
+        for (text, lump), draw in zip(lumps.items(), draws, strict=True):
+            begin = int(self.first[text])
+            if lump is not None:
+                ways[text] = self.way(lump, draw)
+                begin += int(lump.path.unit[lump.step])
+            own = np.arange(begin, self.first[text + 1])
+            start = self.states[own]
+            if lump is not None:
+                start[0] = edges.to[ways[text][0]]
+            units.append(own), states.append(start)
+        counts = np.cumsum([0, *map(len, units)])
+        every = np.concatenate([*units, np.zeros(0, np.int64)])
+        taken, owner = self.walk(every, np.concatenate([*states, np.zeros(0, np.int64)]), sample)
+        local = every[owner] - self.first[self.text[every[owner]]]
+        cuts = np.searchsorted(owner, counts)
+        paths, places, kept = {}, [], []
+        for n, (text, lump) in enumerate(lumps.items()):
+            own, unit = taken[cuts[n] : cuts[n + 1]], local[cuts[n] : cuts[n + 1]]
+            step = 0
+            if lump is not None:
+                old, step = lump.path, lump.step
+                own = np.concatenate([old.edges[:step], [ways[text][0]], own])
+                unit = np.concatenate([old.unit[: step + 1], unit])
+            logs = edges.log_share[own]
+            sums = np.cumsum(logs)
+            path = Path(own, unit, sums - logs, float(sums[-1]) if len(sums) else 0.0, tops[text])
+            place = path.before[step:] + edges.log_rest[own[step:]]
+            if lump is not None:
+                place[0] = path.before[step] + ways[text][1]
+            paths[text] = path
+            places.append(place), kept.append(step)
+        sizes = np.array([*map(len, places)], np.int64)
+        ends = np.cumsum(sizes)
+        flat = np.concatenate([*places, np.zeros(0)])
+        number = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
+        draw = Draws.of(self.draws.at(np.repeat(texts, sizes), number), sample, REST)
+        there = np.isfinite(flat)
+        values = np.full(len(flat), -np.inf)
+        values[there] = truncated(flat[there], np.repeat([tops[t] for t in lumps], sizes)[there], draw[there])
+        out = {}
+        for n, (text, lump) in enumerate(lumps.items()):
+            own, path, step = values[ends[n] - sizes[n] : ends[n]], paths[text], kept[n]
+            best = np.argpartition(-own, want)[:want] if len(own) > want else np.arange(len(own))
+            barred = lump.barred if lump is not None else ()
+            out[text] = path, [
+                Lump(float(own[k]), path, step + int(k), (*barred, int(path.edges[step])) if k == 0 else (int(path.edges[step + k]),))
+                for k in best
+                if own[k] > -np.inf
+            ]
+        return out
+
+    def samples(self, count: int) -> list[tuple[list[Path], float]]:
+        """Of each text at most ``count`` distinct paths, best first, and the threshold that the next one would have."""
+        size = len(self.first) - 1
+        root = Draws.of(self.draws.at(np.arange(size), np.zeros(size)), 0, ROOT)
+        tops = dict(enumerate((-np.log(-np.log(root))).tolist()))
+        paths: list[list[Path]] = [[] for _ in range(size)]
+        waiting: list[list[Lump]] = [[] for _ in range(size)]
+        lumps: dict[int, Lump | None] = dict.fromkeys(range(size))
+        for sample in range(count):
+            for text, (path, more) in self.opened(lumps, tops, sample, count).items():
+                paths[text].append(path)
+                waiting[text] = waiting[text][:count] + more
+            if sample == count - 1:
+                break
+            lumps, tops = {}, {}
+            for text, held in enumerate(waiting):
+                if held:
+                    held.sort(key=lambda x: -x.top)
+                    lumps[text] = held.pop(0)
+                    tops[text] = lumps[text].top
+        return [(found, max((x.top for x in left), default=-math.inf)) for found, left in zip(paths, waiting, strict=True)]
+
+
+class Sampler:
+    """The samples of one text, seeded by a generator."""
+
+    def __init__(self, lattices: Lattices, units: list[str], draw: np.random.Generator):
+        self.batch = Batch(lattices, [units], draw.integers(0, 2**63, 1).astype(np.uint64))
 
     def sample(self, count: int) -> tuple[list[Path], float]:
-        """At most ``count`` distinct paths, best first, and the threshold that the next one would have."""
-        top = float(-math.log(-math.log(self.draw.random() + 1e-300) + 1e-300))
-        path, waiting = self.opened(None, top, count)
-        paths = [path]
-        while waiting and len(paths) < count:
-            waiting.sort(key=lambda x: -x.top)
-            lump = waiting.pop(0)
-            path, more = self.opened(lump, lump.top, count)
-            paths.append(path)
-            waiting = waiting[:count] + more
-        return paths, max((x.top for x in waiting), default=-math.inf)
+        return self.batch.samples(count)[0]
 
 
 _lattices: dict[str, Lattices] = {}
@@ -324,6 +427,18 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
     return math.log(-math.expm1(-math.exp(min(gap, 700.0))))
 
 
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most so many rows and about so many bytes of text, or one text that is longer."""
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = int(np.searchsorted(ends, before + PORTION_BYTES, side="right"))
+        end = min(max(end, start + 1), start + PORTION_ROWS)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def sampled_segmentations(
     documents: DataFrame, model: str, count: int, seed: int = 7, key: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:
@@ -341,19 +456,27 @@ def sampled_segmentations(
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = lattices_for(model)
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
+            for batch in portions(whole):
                 where: list[int] = []
                 out: list[list] = [[] for _ in range(8)]
                 texts = [lattices.vocabulary.units(x or "") for x in batch.column(1).to_pylist()]
                 lattices.learn([u for units in texts for u in units])
-                for i, (name, value, units) in enumerate(zip(*(c.to_pylist() for c in batch.columns), texts, strict=True)):
-                    draw = np.random.Generator(np.random.PCG64(xxhash.xxh3_64_intdigest(f"{seed}:{name}".encode())))
-                    paths, threshold = Sampler(lattices, units, draw).sample(count)
+                names_and_texts = [c.to_pylist() for c in batch.columns]
+                seeds = [xxhash.xxh3_64_intdigest(f"{seed}:{name}".encode()) for name in names_and_texts[0]]
+                found = Batch(lattices, texts, np.array(seeds, np.uint64)).samples(count)
+                every = [path.edges for paths, _ in found for path in paths]
+                cuts = np.cumsum([0, *map(len, every)])
+                numbers = lattices.edges.piece[np.concatenate([*every, np.zeros(0, np.int64)])]
+                flat, id_ends, letters, letter_ends = lattices.written(numbers)
+                id_cuts, letter_cuts, at = id_ends[cuts].tolist(), letter_ends[cuts].tolist(), 0
+                for i, (value, (paths, threshold)) in enumerate(zip(names_and_texts[1], found, strict=True)):
+                    last = decoded = None  # samples of a text mostly spell the same bytes
                     for n, path in enumerate(paths):
-                        numbers = lattices.edges.piece[path.edges]
-                        ids = lattices.ids(numbers)
-                        decoded = lattices.vocabulary.decode([*map(lattices.texts.__getitem__, numbers.tolist())])
+                        ids = flat[id_cuts[at] : id_cuts[at + 1]]
+                        spelled = letters[letter_cuts[at] : letter_cuts[at + 1]].tobytes()
+                        at += 1
+                        if spelled != last:
+                            last, decoded = spelled, lattices.vocabulary.decode(spelled)
                         where.append(i)
                         row = (
                             n, len(ids), path.log_prob, path.perturbed, log_inclusion(path.log_prob, threshold),
