@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import bisect
+import heapq
+import itertools
 import json
 import os
 import sys
@@ -24,8 +26,6 @@ GROUP_ROWS = 100_000
 KEPT_WORDS = 500_000
 # Fixed value: the pattern of vocabularies with letters, single digits and other signs as words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Underfull bins in a row that swaps could not lower before the search ends.
-PATIENCE = 50
 
 
 class WordIds:
@@ -162,76 +162,146 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
 
 
 class SwapSearch:
-    """Empties underfull bins by moves and swaps, each of which raises the sum of squared fills."""
+    """Empties underfull bins by moves and swaps, each of which raises the sum of squared fills.
+
+    Bins are gone over from the emptiest on, and give to bins that are at least as full, again and
+    again until none of them could give anything. A bin's pieces have few lengths, as these sum to
+    less than its size, so all sums of one or two are looked at; of the pieces to take in return, the
+    one of each length whose bin has the most room decides, and a heap for each length knows it.
+    """
 
     def __init__(self, lengths: np.ndarray, bins: list[list[int]], size: int):
-        self.lengths, self.size = lengths, size
-        self.bins = [b for b in bins if lengths[b].sum() < size]
-        self.full = [b for b in bins if lengths[b].sum() >= size]
-        self.fill = np.array([int(lengths[b].sum()) for b in self.bins], np.int64)
-        items = [(i, n) for n, b in enumerate(self.bins) for i in b]
-        self.item = np.array([i for i, _ in items], np.int64)
-        self.home = np.array([n for _, n in items], np.int64)
+        fills = [int(lengths[b].sum()) for b in bins]
+        self.size = size
+        self.full = [b for b, fill in zip(bins, fills, strict=True) if fill >= size]
+        under = [b for b, fill in zip(bins, fills, strict=True) if fill < size]
+        self.fill = np.array([fill for fill in fills if fill < size], np.int64)
+        self.members: list[dict[int, list[int]]] = []  # of each bin, pieces by length
+        for held in under:
+            own: dict[int, list[int]] = {}
+            for item, length in zip(held, lengths[held].tolist(), strict=True):
+                own.setdefault(length, []).append(item)
+            self.members.append(own)
 
     def run(self) -> list[list[int]]:
-        waste = 0
-        # one bin can go only while the others have room for its content
-        while len(self.bins) > 1 and waste < PATIENCE:
-            live = np.flatnonzero(self.fill > 0)
-            if (self.size * len(live) - self.fill.sum()) < self.size:
-                break
-            order = live[np.argsort(self.fill[live], kind="stable")]
-            if waste >= len(order):
+        changed = True
+        while changed and not self.done():
+            changed = self.sweep()
+        return self.full + [[item for held in own.values() for item in held] for own in self.members if own]
+
+    def done(self) -> bool:
+        """Whether no bin can go, as the others have no room for what one holds."""
+        return self.size * int((self.fill > 0).sum()) - int(self.fill.sum()) < self.size
+
+    def sweep(self) -> bool:
+        """Go over all bins once, those that took something meanwhile left out; whether anything moved."""
+        live = np.flatnonzero(self.fill > 0)
+        order = live[np.argsort(self.fill[live], kind="stable")].tolist()
+        self.age = np.zeros(len(self.fill), np.int64)  # one more each time that a bin's room is noted
+        self.closed = np.zeros(len(self.fill), bool)  # emptier than the bin that gives, or that bin
+        self.rising = [(int(self.fill[n]), n) for n in order]  # bins by fill, to be closed in turn
+        self.heaps: list[list[tuple[int, int, int]]] = [[] for _ in range(self.size + 1)]
+        for n in order:
+            for length in self.members[n]:
+                self.heaps[length].append((int(self.fill[n]) - self.size, n, 0))
+        self.room = np.full(self.size + 1, -1, np.int64)  # the most room of an open bin with a piece of each length
+        self.where = np.zeros(self.size + 1, np.int64)
+        for length, heap in enumerate(self.heaps):
+            if heap:
+                heapq.heapify(heap)
+                self.look(length)
+        changed, took = False, np.array(self.fill)
+        for turn, source in enumerate(order):
+            fill = int(self.fill[source])
+            if fill != took[source]:
+                continue
+            while self.rising and self.rising[0][0] < fill:
+                low, n = heapq.heappop(self.rising)
+                if low == self.fill[n]:
+                    self.close(n)
+            self.close(source)
+            gave = self.move(source)
+            while self.members[source] and self.swap(source):
+                gave = True
+            changed |= gave
+            if gave and self.done():
                 break
-            source = int(order[waste])
-            changed = self.lower(source)
-            waste = 0 if changed else waste + 1
-        left = [[] for _ in self.bins]
-        for i, n in zip(self.item, self.home, strict=True):
-            left[n].append(int(i))
-        return self.full + [b for b in left if b]
-
-    def put(self, at: int, target: int) -> None:
-        length = self.lengths[self.item[at]]
-        self.fill[self.home[at]] -= length
+            if not gave and turn + 1 < len(order) and self.fill[order[turn + 1]] == fill:
+                self.closed[source] = False  # open for the others that are as full
+                self.noted(source)
+        return changed
+
+    def close(self, n: int) -> None:
+        self.closed[n] = True
+        for length in self.members[n]:
+            if self.where[length] == n:
+                self.look(length)
+
+    def look(self, length: int) -> None:
+        """Find the open bin with the most room that holds a piece of this length."""
+        heap = self.heaps[length]
+        while heap and (self.closed[n := heap[0][1]] or heap[0][2] != self.age[n] or length not in self.members[n]):
+            heapq.heappop(heap)
+        self.room[length], self.where[length] = (-heap[0][0], heap[0][1]) if heap else (-1, 0)
+
+    def noted(self, n: int, gone: int = -1) -> None:
+        """Note the room of an open bin for all its lengths, and for one that it may have lost."""
+        self.age[n] += 1
+        heapq.heappush(self.rising, (int(self.fill[n]), n))
+        for length in self.members[n]:
+            heapq.heappush(self.heaps[length], (int(self.fill[n]) - self.size, n, int(self.age[n])))
+            self.look(length)
+        if gone >= 0:
+            self.look(gone)
+
+    def put(self, length: int, source: int, target: int) -> None:
+        held = self.members[source][length]
+        self.members[target].setdefault(length, []).append(held.pop())
+        if not held:
+            del self.members[source][length]
+        self.fill[source] -= length
         self.fill[target] += length
-        self.home[at] = target
 
-    def lower(self, source: int) -> bool:
-        """Move, then swap one for one, then two for one, out of a bin; whether anything moved."""
+    def move(self, source: int) -> bool:
+        """Each piece, the longest first, into the bin that it fills best of those at least as full."""
+        if min(self.members[source]) > self.size - int(self.fill[source]):
+            return False  # nor has a fuller bin room for it
         changed = False
-        mine = np.flatnonzero(self.home == source)
-        for at in mine[np.argsort(-self.lengths[self.item[mine]], kind="stable")]:
-            room = self.size - self.fill
-            room[source] = -1
-            need = self.lengths[self.item[at]]
-            fits = np.flatnonzero((room >= need) & (self.fill >= self.fill[source]))
-            if len(fits):
-                self.put(at, int(fits[room[fits].argmin()]))
-                changed = True
-        if not (self.home == source).any():
-            return True
-        mine = np.flatnonzero(self.home == source)
-        size_of = self.lengths[self.item]
-        offers = [(at,) for at in mine]
-        some = mine[:64]
-        offers += [(a, b) for n, a in enumerate(some) for b in some[n + 1 :]]
-        for offer in offers:
-            if any(self.home[at] != source for at in offer):
-                continue
-            give = int(sum(size_of[at] for at in offer))
-            gain = give - size_of
-            room = (self.size - self.fill)[self.home]
-            good = (gain > 0) & (gain <= room) & (self.home != source) & (self.fill[self.home] + gain > self.fill[source])
-            if good.any():
-                back = int(np.where(good, gain, -1).argmax())
-                target = int(self.home[back])
-                self.put(back, source)
-                for at in offer:
-                    self.put(at, target)
+        for length in sorted(self.members[source], reverse=True):
+            while length in self.members[source]:
+                room = np.where((self.fill >= self.fill[source]) & ~self.closed, self.size - self.fill, -1)
+                fits = np.flatnonzero(room >= length)
+                if not len(fits):
+                    break
+                target = int(fits[room[fits].argmin()])
+                self.put(length, source, target)
+                self.noted(target)
                 changed = True
         return changed
 
+    def swap(self, source: int) -> bool:
+        """The exchange of one or two pieces for a smaller one that fills the other bin most."""
+        own = self.members[source]
+        offers = {length: (length,) for length in own}
+        for one, two in itertools.combinations_with_replacement(sorted(own), 2):
+            if one != two or len(own[one]) > 1:
+                offers.setdefault(one + two, (one, two))
+        sums = np.zeros(self.size + 1, np.int64)
+        sums[[*offers]] = [*offers]
+        largest = np.maximum.accumulate(sums)  # sum up to each number
+        lengths = np.flatnonzero(self.room > 0)
+        gains = largest[np.minimum(lengths + self.room[lengths], self.size)] - lengths
+        if not len(lengths) or gains.max() <= 0:
+            return False
+        best = int(gains.argmax())
+        back = int(lengths[best])
+        target = int(self.where[back])
+        self.put(back, target, source)
+        for length in offers[back + int(gains[best])]:
+            self.put(length, source, target)
+        self.noted(target, back)
+        return True
+
 
 def pack_lengths(lengths: np.ndarray, size: int) -> list[list[int]]:
     """Bins of indexes, as few as best fit and the swaps reach."""

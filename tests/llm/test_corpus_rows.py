@@ -1,6 +1,7 @@
 """Operators that give rows of single documents: shards, statistics, counts, pieces, segmentations."""
 
 import collections
+import itertools
 import json
 import math
 import random
@@ -240,3 +241,36 @@ def test_samples_follow_the_law():
         assert abs(first[key] / 6000 - share) < 0.025 and abs(second[key] / 6000 - after) < 0.025
         if share > 0.01:
             assert abs(weights[key] / 6000 - 1) < 0.25  # inverse inclusion scores are unbiased
+
+
+def improvements(lengths, bins, size):
+    """Moves and exchanges of one or two pieces that would fill a bin at least as full further."""
+    fills = [int(lengths[b].sum()) for b in bins]
+    for s, t in itertools.permutations([n for n, fill in enumerate(fills) if fill < size], 2):
+        if fills[t] < fills[s]:
+            continue
+        own = sorted(lengths[bins[s]].tolist())
+        given = {*own, *(a + b for n, a in enumerate(own) for b in own[n + 1 :])}
+        singles, room = set(own), size - fills[t]
+        if any(x <= room for x in singles) or any(0 < x - y <= room for y in {*lengths[bins[t]].tolist()} for x in given):
+            yield s, t
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_no_bin_is_left_out_of_the_swaps(seed):
+    draw = np.random.default_rng(seed)
+    many = [1] * 150 + [3] * 50  # a bin of 200 pieces
+    stubborn = [[n] for n in range(1030, 1110)]  # 80 that fit with none of their kind
+    rest = [draw.integers(200, 900, 2).tolist() for _ in range(30)] + [[2047], [2046 - seed, 1]]
+    bins, lengths = [], []
+    for held in [many, *stubborn, *rest]:
+        bins.append([*range(len(lengths), len(lengths) + len(held))])
+        lengths += held
+    lengths = np.array(lengths)
+    search = packing.SwapSearch(lengths, bins, 2048)
+    before = sum(int(lengths[b].sum()) ** 2 for b in bins)
+    packed = search.run()
+    assert sorted(i for b in packed for i in b) == list(range(len(lengths)))
+    assert max(int(lengths[b].sum()) for b in packed) <= 2048 and len(packed) < len(bins)
+    assert sum(int(lengths[b].sum()) ** 2 for b in packed) > before
+    assert search.done() or not any(improvements(lengths, packed, 2048))
