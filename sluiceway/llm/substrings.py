@@ -2,7 +2,9 @@
 
 Equal windows of words have the same anchor, so a document's parts need comparing only with the
 parts of their own anchors. The parts of one anchor are the reference block that each of them is
-factored against. Anchors of which all parts are equal need no parsing: their parts are duplicates.
+factored against, by an index of the block. Matches count where they lie at the same place from the
+anchor: elsewhere they may be the same words of one document. A part that is equal to another is one
+factor as a whole and needs no index.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ WINDOW = 35
 #: Words of an anchor.
 GRAM = 8
 #: Variants in a reference block; larger blocks are dealt again by more of the words around the anchor.
-BLOCK = 512
+BLOCK = 4096
+#: Rows of whole blocks that are indexed together.
+TOGETHER = 4096
 
 
 def new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,29 +88,68 @@ def contents(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     return texts.mapInArrow(cut, "anchor long, digest long, before int, words binary")
 
 
-def factor_spans(same: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Duplicate spans of a part by its greedy factors.
+def match_lengths(codes: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """For each row and place, how many words from there on another row of its block has too, at the same places.
 
-    ``same``: for each reference and word of the part, whether the reference has the same word there.
-    A factor is the longest match with any reference from where the last ended. At each factor's
-    start the matches of all references are followed to both sides; long ones are duplicates. A
-    long match that holds no factor's start lies within one factor, so it is found at that one's.
+    The index of a block is the order of its rows by their words from each place on, with the common
+    length of neighbours in it. It is made from the last place to the first, of all blocks at once: the
+    order at a place is that of the place after it, sorted by the words here. A row's longest match is
+    with a neighbour. The work is in proportion to the rows, however many a block has.
     """
-    width = same.shape[1]
-    place = np.arange(width)
-    ends = np.minimum.accumulate(np.where(same, width, place)[:, ::-1], axis=1)[:, ::-1]
-    starts = np.maximum.accumulate(np.where(same, 0, place + 1), axis=1)
-    spans: list[tuple[int, int]] = []
-    at = 0
-    while at < width:
-        reach = int(ends[:, at].max())
-        if reach == at:  # a literal
-            at += 1
-            continue
-        for k in np.flatnonzero((ends[:, at] - starts[:, at] >= window) & same[:, at]):
-            spans.append((int(starts[k, at]), int(ends[k, at])))
-        at = reach
-    return spans
+    rows, width = codes.shape
+    lengths = np.zeros((rows, width), np.int32)
+    order = np.argsort(block, kind="stable")
+    common = np.where(np.diff(block[order], prepend=-1) == 0, 0, -1)  # of each in the order with the one before it
+    rank = np.empty(rows, np.int64)
+    for place in range(width - 1, -1, -1):
+        rank[order] = np.arange(rows)
+        after, common_after = order, common
+        order = after[np.lexsort((codes[after, place], block[after]))]
+        one, two = rank[order[:-1]], rank[order[1:]]  # places in the order after this one, where ``one`` is before
+        same = (codes[order[:-1], place] == codes[order[1:], place]) & (block[order[:-1]] == block[order[1:]])
+        common = np.full(rows, -1)
+        if same.any():
+            # two rows have in common what all between them have with the one before
+            between = np.stack([one[same] + 1, two[same] + 1], axis=1).ravel()
+            least = np.minimum.reduceat(np.append(common_after, 0), between)[::2]
+            common[1:][same] = 1 + np.maximum(least, 0)
+        longest = np.maximum(common, np.append(common[1:], -1))
+        lengths[order, place] = np.maximum(longest, 0)
+    return lengths
+
+
+def factored(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Row, start and end of the duplicate spans by greedy factors, and how many factors there were.
+
+    A factor is the longest match from where the last one ended; a word without any is a literal. A
+    factor of a window's length is a duplicate. A repeated window that is not within one factor crosses
+    the end of the one it starts in, so the windows that cross an end are checked by their own matches.
+    """
+    rows, width = lengths.shape
+    places = np.arange(width)
+    long = lengths >= window
+    taken = np.zeros((rows, width), bool)
+    at, factors = np.zeros(rows, np.int64), 0
+    live = np.arange(rows)
+    while len(live):
+        here = at[live]
+        size = lengths[live, here]
+        factors += int((size > 0).sum())
+        end = here + np.maximum(size, 1)
+        crossing = (places >= np.maximum(here, end - window + 1)[:, None]) & (places < end[:, None])
+        taken[live] |= crossing & long[live]
+        taken[live, here] |= long[live, here]
+        at[live] = end
+        live = live[end < width]
+    change = np.zeros((rows, width + 1), np.int32)
+    row, place = np.nonzero(taken)
+    np.add.at(change, (row, place), 1)
+    np.add.at(change, (row, place + lengths[row, place]), -1)
+    inside = np.zeros((rows, width + 2), np.int8)
+    inside[:, 1:-1] = np.cumsum(change[:, :-1], axis=1) > 0
+    edge = np.diff(inside, axis=1)
+    row, start = np.nonzero(edge == 1)
+    return row, start, np.nonzero(edge == -1)[1], factors
 
 
 def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -123,43 +166,35 @@ def parse_blocks(blocks: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     """``anchor``, ``digest``, ``start``, ``end`` of the duplicate spans of variants (``block``, ``anchor``,
     ``digest``, ``before``, ``words``), each factored against the others of its block.
 
-    The rows of a block come together, in no memory but one block's."""
+    The rows of a block come together. Whole blocks are indexed together up to some thousand rows."""
     reach = window - gram
     width = 2 * reach + gram
 
-    def parse(block: dict[tuple[int, int], tuple[int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
+    def parse(held: dict[tuple[int, int, int], tuple[int, bytes]]) -> pa.RecordBatch:
         numbers: dict[bytes, int] = {}
-        codes = np.empty((len(block), width), np.int32)
-        for n, (before, words) in enumerate(block.values()):
-            codes[n] = -1 - n  # past a part's ends nothing is the same
+        codes = np.repeat(-1 - np.arange(len(held)), width).reshape(-1, width)  # past a part's ends nothing is the same
+        first = np.zeros(len(held), np.int64)
+        for n, (before, words) in enumerate(held.values()):
             mine = [numbers.setdefault(w, len(numbers)) for w in words.split()]
-            codes[n, reach - before : reach - before + len(mine)] = mine
-        others = np.ones(len(block), bool)
-        for n, (variant, (before, _)) in enumerate(block.items()):
-            others[n] = False
-            for start, end in joined_spans(factor_spans(codes[others] == codes[n], window)):
-                yield *variant, start - (reach - before), end - (reach - before)
-            others[n] = True
+            first[n] = reach - before
+            codes[n, first[n] : first[n] + len(mine)] = mine
+        keys = np.array([*held], np.int64).reshape(-1, 3)
+        block = np.unique(keys[:, 0], return_inverse=True)[1].reshape(-1)
+        row, start, end, _ = factored(match_lengths(codes, block), window)
+        columns = keys[row, 1], keys[row, 2], (start - first[row]).astype(np.int32), (end - first[row]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "digest", "start", "end"])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, found = None, {}, []
+        key, held = None, {}
         for batch in batches:
             for block, anchor, digest, before, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if block != key:
-                    found += parse(held)
-                    key, held = block, {}
-                held[anchor, digest] = (before, words)
-            if len(found) > 5000:
-                yield spans_batch(found)
-                found = []
-        yield spans_batch([*found, *parse(held)])
-
-    def spans_batch(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-        rows = np.array(found, np.int64).reshape(-1, 4).T
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(k)) for c, k in zip(rows, (np.int64, np.int64, np.int32, np.int32), strict=True)],
-            names=["anchor", "digest", "start", "end"],
-        )
+                if block != key and len(held) >= TOGETHER:
+                    yield parse(held)
+                    held = {}
+                key = block
+                held[block, anchor, digest] = (before, words)
+        if held:
+            yield parse(held)
 
     together = blocks.select("block", "anchor", "digest", "before", "words").repartition("block").sortWithinPartitions("block")
     return together.mapInArrow(stream, "anchor long, digest long, start int, end int")
@@ -201,15 +236,18 @@ def duplicate_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, bl
     place = F.xxhash64("id", "first")
     found = Staged(part_rows(texts, window, gram), "parts")
     rows = found.read()
-    anchors = (
+    # written first, so that the join can split what a common anchor has on its left side
+    anchors = Staged(
         rows.groupBy("anchor")
         .agg(
             F.min(place).alias("one"), F.max(place).alias("two"), F.min("digest").alias("low"), F.max("digest").alias("high")
         )
         .where("one <> two")
-        .select("anchor", (F.col("low") == F.col("high")).alias("equal"))
+        .select("anchor", (F.col("low") == F.col("high")).alias("equal")),
+        "anchors",
     )
-    repeated = Staged(rows.join(anchors, "anchor"), "repeated")
+    repeated = Staged(rows.join(anchors.read(), "anchor"), "repeated")
+    anchors.discard()
     found.discard()
     let_go(spark)
     rows = repeated.read()

@@ -369,3 +369,50 @@ def test_empty_pipeline(spark, nothing, tmp_path):
 def _repeats(words):
     windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
     return len({k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)})
+
+
+def longest_matches(codes, block):
+    """By comparing every two rows of a block at every place."""
+    rows, width = codes.shape
+    out = np.zeros((rows, width), int)
+    for i, j in itertools.permutations(range(rows), 2):
+        if block[i] == block[j]:
+            same = [*(codes[i] == codes[j]), False]
+            for place in range(width):
+                out[i, place] = max(out[i, place], same.index(False, place) - place)
+    return out
+
+
+def test_index_of_reference_blocks():
+    draw = np.random.default_rng(2)
+    for _ in range(60):
+        rows, width, window = int(draw.integers(1, 14)), 16, 5
+        codes = draw.integers(0, draw.integers(2, 4), (rows, width))
+        gaps = draw.random((rows, width)) < 0.1
+        codes[gaps] = -1 - np.nonzero(gaps)[0]  # a row's own, the same as nothing
+        block = draw.integers(0, 3, rows)
+        lengths = substrings.match_lengths(codes, block)
+        expected = longest_matches(codes, block)
+        assert (lengths == expected).all()
+        row, start, end, _ = substrings.factored(lengths, window)
+        found = np.zeros((rows, width), int)
+        for r, low, high in zip(row, start, end, strict=True):
+            assert (found[r, low:high] == 0).all()  # spans are apart
+            found[r, low:high] = 1
+        covered = np.zeros((rows, width), int)
+        for r, place in zip(*np.nonzero(expected >= window), strict=True):
+            covered[r, place : place + expected[r, place]] = 1
+        assert (found == covered).all()
+
+
+def test_factors_are_the_longest_matches():
+    """A row is cut where a reference ends, and a repeated window over that cut is found at it."""
+    one, two = [*range(10)], [*range(100, 110)]
+    codes = np.array([one + two, one + [*range(200, 210)], [*range(300, 306)] + one[6:] + two[:4] + [*range(400, 406)]])
+    block = np.zeros(3, int)
+    lengths = substrings.match_lengths(codes, block)
+    assert lengths[0, [0, 6, 10, 14]].tolist() == [10, 8, 4, 0]
+    row, start, end, factors = substrings.factored(lengths, 8)
+    # the first row is one factor of ten and one of four; the second one of ten; the third one of eight
+    assert factors == 4
+    assert sorted(zip(row.tolist(), start.tolist(), end.tolist(), strict=True)) == [(0, 0, 14), (1, 0, 10), (2, 6, 14)]
