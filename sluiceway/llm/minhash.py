@@ -255,9 +255,11 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
             open_rows.discard()
             break
         shared = shared_sizes(sets.read(), opened, heads.read())
-        able = several_groups(opened.join(shared.read(), "doc").where(f"100 * shared >= {percent} * size"))
-        able = able.join(heads.read().select("doc", "bands", "signature"), "doc").join(listed(sets.read()), "doc")
-        able_rows = Staged(able, "able")
+        # what a document is compared by is put together once, not in each of its buckets
+        facts = shared.read().where(f"100 * shared >= {percent} * size")
+        able = several_groups(opened.join(facts.select("doc"), "doc", "left_semi"))
+        facts = facts.join(heads.read().select("doc", "bands", "signature"), "doc").join(listed(sets.read()), "doc")
+        able_rows = Staged(able.join(facts, "doc"), "able")
         able = able_rows.read()
         sizes = able.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("rows"))
         largest = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("rows", "group")).alias("main"))
