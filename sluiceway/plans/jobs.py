@@ -46,7 +46,7 @@ def _save(rows: DataFrame, job: JobConfig, strict: bool) -> None:
         write(rows, job.target, strict)
 
 
-def _move(spark: SparkSession, job: JobConfig, strict: bool, counted: bool) -> dict[str, int]:
+def _move(spark: SparkSession, job: JobConfig, strict: bool, counted: bool = False) -> dict[str, int]:
     """Run the job; the counts of rows, if asked for."""
     counts = Counts() if counted else None
     watch = counts.watch if counts is not None else lambda frame, _: frame
@@ -103,7 +103,7 @@ def run_job(
         _warn_of_ignored_settings(job)
     session = spark or session_for(job)
     try:
-        return _move(session, job, strict, counts)
+        return _move(session, job, strict, counted=True) if counts else _move(session, job, strict)
     finally:
         if close_session:
             session.stop()
@@ -134,7 +134,7 @@ def run_jobs(
         for job in waiting:
             _warn_of_ignored_settings(job)
         try:
-            run_together(spark, waiting, lambda job: _move(spark, job, strict, False), together)
+            run_together(spark, waiting, lambda job: _move(spark, job, strict), together)
         finally:
             if close_session:
                 spark.stop()
@@ -151,7 +151,7 @@ def run_jobs(
                 # A session that was there before is used, and is not ours to stop.
                 started = SparkSession.getActiveSession() is None
                 session, settings = session_for(job), wanted
-            _move(session, job, strict, False)
+            _move(session, job, strict)
     finally:
         if close_session and session is not None:
             session.stop()
