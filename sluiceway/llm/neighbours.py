@@ -15,7 +15,7 @@ from sluiceway.llm.graph_index import SmallWorld
 from sluiceway.llm.shared import Staged, new_path, part_count, store
 
 #: Distinct vectors of a shard at most, about; a shard is built and searched in one task's memory.
-SHARD_ROWS = 250_000
+SHARD_ROWS = 20_000
 #: Shards at least, so that small tables use more than one core.
 LEAST_SHARDS = 8
 DEGREE, BUILD_BREADTH, SEARCH_BREADTH = 16, 100, 160
@@ -60,19 +60,22 @@ def build_shards(vectors: DataFrame, most: int, shards: int, folder: str) -> Sta
     )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[tuple[int, int], list] = {}
+        rows: dict[tuple[int, int], list[tuple[np.ndarray, list[list]]]] = {}
         for batch in batches:
-            for dims, shard, vector, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.setdefault((dims, shard), []).append((ids, vector))
+            kinds = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in (0, 1)], axis=1)
+            for dims, shard in np.unique(kinds, axis=0).tolist() if len(kinds) else []:
+                part = batch.filter(pa.array((kinds == (dims, shard)).all(axis=1)))
+                rows.setdefault((dims, shard), []).append((matrix(part.column(2), dims), part.column(3).to_pylist()))
         done: list[tuple[int, int, str]] = []
         files, base = store(folder)
         files.create_dir(base, recursive=True)
         for (dims, shard), held in sorted(rows.items()):
-            held.sort(key=lambda x: x[0])  # the same graph whatever order rows come in
-            index = SmallWorld.build(np.array([v for _, v in held], np.float64), DEGREE, BUILD_BREADTH)
+            ids = [own for _, part in held for own in part]
+            order = sorted(range(len(ids)), key=lambda n: ids[n])  # the same graph whatever order rows come in
+            index = SmallWorld.build(np.concatenate([part for part, _ in held])[order], DEGREE, BUILD_BREADTH)
             name = f"{uuid.uuid4().hex}.graph"  # of this attempt; only what it reports is read
             with files.open_output_stream(f"{base}/{name}") as stream:
-                stream.write(pickle.dumps((index.dump(), [ids for ids, _ in held])))
+                stream.write(pickle.dumps((index.dump(), [ids[n] for n in order])))
             done.append((dims, shard, f"{folder}/{name}"))
         yield pa.RecordBatch.from_arrays(
             [
@@ -82,10 +85,15 @@ def build_shards(vectors: DataFrame, most: int, shards: int, folder: str) -> Sta
             names=["dims", "shard", "path"],
         )
 
-    dealt = nodes.select("dims", "shard", "vector", "ids").repartitionByRange(shards, "dims", "shard")
+    dealt = nodes.select("dims", "shard", "vector", "ids").repartitionById(shards, F.col("shard"))
     return Staged(dealt.mapInArrow(build, "dims int, shard int, path string"), "graphs")
 
 
+def matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """Lists of one length as rows."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -100,7 +108,8 @@ def nearest(
     with the largest inner product, its own key left out, ties to the smaller key.
 
     Vectors that are null, empty, all zero, or hold a null or non-finite component take no part, nor
-    do rows with a null key; vectors meet those of their own length. A repeated row counts once.
+    do rows with a null key; vectors meet those of their own length. A repeated row counts once; a key
+    with several vectors is found, and asks, by each, and the largest product of a pair of keys counts.
     With fewer candidates all that are found come; no rows give none. Other columns are not read.
     Scores are products of the vectors as given, in double precision.
     """
@@ -114,32 +123,38 @@ def nearest(
     shards = max(least_shards, part_count(spark, good.count(), shard_rows))
     graphs = build_shards(good.select("id", "vector"), count + 1, shards, new_path(spark, "graphs")).read()
     asked = good.where("asks").select("id", "vector", F.size("vector").alias("dims")).join(graphs, "dims")
-    tasks = part_count(spark, asked.count(), QUERY_ROWS)
+    splits = part_count(spark, asked.count(), shards * QUERY_ROWS)  # of the queries of a shard
     kind = vectors.schema[key].dataType.simpleString()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], []]
-            for path, query, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                index, members = loaded(path)
-                asked_vector = np.array(values, np.float64)
-                found = index.search(asked_vector, breadth)
-                scores = np.einsum("ij,j->i", index.vectors[found], asked_vector)
-                rows = [(-s, i) for s, n in zip(scores.tolist(), found, strict=True) for i in members[n] if i != query]
-                for score, other in sorted(rows)[:count]:
-                    for column, value in zip(out, (query, other, -score), strict=True):
-                        column.append(value)
+            paths = batch.column(0).to_pylist()
+            cuts = [n for n in range(len(paths)) if n == 0 or paths[n] != paths[n - 1]]
+            for low, high in zip(cuts, [*cuts[1:], len(paths)], strict=True):
+                index, members = loaded(paths[low])
+                asking = matrix(batch.column(2).slice(low, high - low), index.vectors.shape[1])
+                queries = batch.column(1).slice(low, high - low).to_pylist()
+                for query, own, found in zip(queries, asking, index.search(asking, breadth), strict=True):
+                    scores = np.einsum("ij,j->i", index.vectors[found], own)
+                    rows = [(-s, i) for s, n in zip(scores.tolist(), found, strict=True) for i in members[n] if i != query]
+                    for score, other in sorted(rows)[:count]:
+                        for column, value in zip(out, (query, other, -score), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], batch.column(1).type), pa.array(out[1], batch.column(1).type), pa.array(out[2], pa.float64())],
                 names=["query_id", "found_id", "score"],
             )
 
+    place = F.col("shard") * splits + F.pmod(F.xxhash64("id"), F.lit(splits)).cast("int")
     dealt = (
-        asked.select("path", "id", "vector")
-        .repartitionByRange(max(shards, tasks), "path", "id")
+        asked.select("path", "id", "vector", place.alias("place"))
+        .repartitionById(shards * splits, F.col("place"))
         .sortWithinPartitions("path")
+        .select("path", "id", "vector")
     )
-    found = dealt.mapInArrow(search, f"query_id {kind}, found_id {kind}, score double").dropDuplicates(["query_id", "found_id"])
+    found = dealt.mapInArrow(search, f"query_id {kind}, found_id {kind}, score double")
+    found = found.groupBy("query_id", "found_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "found_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

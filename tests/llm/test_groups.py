@@ -14,6 +14,7 @@ from sluiceway.llm import (
     anchored,
     components,
     external_suffixes,
+    graph_index,
     minhash,
     neighbours,
     substrings,
@@ -416,3 +417,29 @@ def test_factors_are_the_longest_matches():
     # the first row is one factor of ten and one of four; the second one of ten; the third one of eight
     assert factors == 4
     assert sorted(zip(row.tolist(), start.tolist(), end.tolist(), strict=True)) == [(0, 0, 14), (1, 0, 10), (2, 6, 14)]
+
+
+def test_recall_in_one_large_shard():
+    """Twenty thousand clustered vectors of unequal lengths in one graph, against brute force."""
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(200, 64))
+    vectors = (centres[draw.integers(0, 200, 20_000)] + 0.4 * draw.normal(size=(20_000, 64))) * draw.uniform(0.5, 2, (20_000, 1))
+    index = graph_index.SmallWorld.build(vectors, neighbours.DEGREE, neighbours.BUILD_BREADTH)
+    asked = np.arange(0, 20_000, 100)
+    hits = 0
+    for query, found in zip(asked.tolist(), index.search(vectors[asked], neighbours.SEARCH_BREADTH), strict=True):
+        products = vectors @ vectors[query]
+        products[query] = -np.inf
+        best = sorted((n for n in found if n != query), key=lambda n: -products[n])[:20]
+        hits += len(set(best) & set(np.argpartition(-products, 20)[:20].tolist()))
+    assert hits / (20 * len(asked)) >= 0.9
+    for level, links in enumerate(index.neighbours):
+        assert ((index.levels[links[links >= 0]]) >= level).all()
+        assert all(len(set(own)) == len(own) for own in ([x for x in row if x >= 0] for row in links[:500].tolist()))
+
+
+def test_a_key_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.5, 0.1]), (2, [3.0, 0.0]), (3, [0.0, 2.0]), (3, [2.0, 0.0]), (3, [2.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0, count=5).orderBy("rank").collect()]
+    assert found == [(20, 1, 2, 3.0), (20, 2, 3, 2.0), (20, 3, 1, 1.0)]
