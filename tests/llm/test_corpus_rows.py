@@ -274,3 +274,34 @@ def test_no_bin_is_left_out_of_the_swaps(seed):
     assert max(int(lengths[b].sum()) for b in packed) <= 2048 and len(packed) < len(bins)
     assert sum(int(lengths[b].sum()) ** 2 for b in packed) > before
     assert search.done() or not any(improvements(lengths, packed, 2048))
+
+
+def test_registered_queries_row_by_row(spark, sf):
+    """Statistics, pieces and token counts of the smallest documents, by plain Python and the vocabulary's library."""
+    from sluiceway.llm.queries import QUERIES
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    ids = library()
+    tokens = {i: [*ids(t), 0] for i, t in texts.items()}
+
+    for row in QUERIES["op2_quality_rules"](spark, sf).collect():
+        counts = plain_statistics(texts[row.doc_id])
+        assert [row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words] == counts
+        assert row.base_failed == (counts[0] < 20 or 100 * counts[4] > 30 * counts[0]) and not (row.base_failed and row.kept)
+
+    counted = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in QUERIES["op10_token_counts"](spark, sf).collect()}
+    assert counted == {i: (len((t or "").encode()), len(tokens[i]) - 1, len(tokens[i]) - 1 > 2048) for i, t in texts.items()}
+
+    pieces = QUERIES["op5_best_fit_packing"](spark, sf).collect()
+    expected = {
+        (i, start // 2048): (start, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
+        for i, own in tokens.items() for start in range(0, len(own), 2048) for part in [own[start : start + 2048]]
+    }
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in pieces} == expected and len(pieces) == len(expected)
+    fills = collections.defaultdict(list)
+    for r in pieces:
+        fills[r.sequence_id].append((r.offset, r.length))
+    for placed in fills.values():
+        ends = [0, *itertools.accumulate(n for _, n in sorted(placed))]
+        assert [at for at, _ in sorted(placed)] == ends[:-1] and ends[-1] <= 2048
+    assert len(fills) <= -(-sum(map(len, tokens.values())) // 2048) + 2
