@@ -293,8 +293,9 @@ def duplicate_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, bl
         if large.isEmpty():
             break
         dealt = Staged(dealt_again(blocks.join(large, "block", "left_semi"), window, gram), "blocks")
+    # written first, so that the join can split what a common variant has on its left side
     by_variant = by_variant.groupBy("anchor", "digest").agg(F.collect_set(F.struct("start", "end")).alias("own"))
-    more = open_rows.join(by_variant, ["anchor", "digest"]).select("id", "first", end.alias("last"), F.explode("own").alias("x"))
+    more = open_rows.join(Staged(by_variant, "variant-spans").read(), ["anchor", "digest"]).select("id", "first", end.alias("last"), F.explode("own").alias("x"))
     spans = spans.unionByName(
         more.select(
             "id", (F.col("first") + F.col("x.start")).alias("start"), F.least(F.col("first") + F.col("x.end"), "last").alias("end")
