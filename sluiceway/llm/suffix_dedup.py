@@ -58,27 +58,25 @@ def byte_parts(texts: DataFrame, length: int, gram: int, only_anchors: bool) ->
 
 
 def contents(texts: DataFrame, length: int) -> DataFrame:
-    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``owner``, ``before``, ``bytes`` of each."""
+    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``owner``, ``last_owner``, ``before``, ``bytes`` of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[list] = [[] for _ in names]
             for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
                 data = text.as_py().encode()
                 for x in wanted.as_py():
                     part = data[x["first"] : x["first"] + x["count"] - 1 + length]
-                    for column, value in zip(rows, (x["anchor"], x["digest"], x["owner"], x["before"], part), strict=True):
+                    for column, value in zip(rows, (*(x[name] for name in names[:-1]), part), strict=True):
                         column.append(value)
-            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)],
-                names=["anchor", "digest", "owner", "before", "bytes"],
-            )
+            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
 
-    return texts.mapInArrow(cut, "anchor long, digest long, owner long, before int, bytes binary")
+    names = ["anchor", "digest", "owner", "last_owner", "before", "bytes"]
+    return texts.mapInArrow(cut, "anchor long, digest long, owner long, last_owner long, before int, bytes binary")
 
 
-BLOCK_COLUMNS = ["block", "anchor", "digest", "owner", "place", "offset", "low", "high", "bytes"]
+BLOCK_COLUMNS = ["block", "anchor", "digest", "owner", "last_owner", "place", "offset", "low", "high", "bytes"]
 
 
 def dealt_again(blocks: DataFrame, length: int) -> DataFrame:
@@ -90,7 +88,7 @@ def dealt_again(blocks: DataFrame, length: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list] = [[] for _ in BLOCK_COLUMNS]
-            for _, anchor, digest, owner, place, offset, low, high, own in zip(
+            for _, anchor, digest, owner, last_owner, place, offset, low, high, own in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 middle = (low + high) // 2
@@ -101,17 +99,17 @@ def dealt_again(blocks: DataFrame, length: int) -> DataFrame:
                     core = own[b - place : a + length - place]  # all windows of a half hold it
                     block = xxhash.xxh3_64_intdigest(b"%d %d %d " % (anchor, a, b) + core) - 2**63
                     part = own[first - place : last - place + length]
-                    row = block, anchor, digest, owner, first, offset + first - place, a, b, part
+                    row = block, anchor, digest, owner, last_owner, first, offset + first - place, a, b, part
                     for column, value in zip(rows, row, strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()], strict=True)],
+                [pa.array(c, k) for c, k in zip(rows, [pa.int64()] * 5 + [pa.int32()] * 4 + [pa.binary()], strict=True)],
                 names=BLOCK_COLUMNS,
             )
 
     return blocks.select(*BLOCK_COLUMNS).mapInArrow(
         deal,
-        "block long, anchor long, digest long, owner long, place int, offset int, low int, high int, bytes binary",
+        "block long, anchor long, digest long, owner long, last_owner long, place int, offset int, low int, high int, bytes binary",
     )
 
 
@@ -203,13 +201,15 @@ def sorted_shards(blocks: DataFrame, shards: int, length: int, held: int) -> Dat
 
 def runs_of(variants: DataFrame, length: int, gram: int, shard_bytes: int, held: int) -> DataFrame:
     """``anchor``, ``digest``, ``start``, ``end``, ``least`` of variants (``anchor``, ``digest``, ``owner``,
-    ``before``, ``bytes``), no two of one anchor and digest.
+    ``last_owner``, ``before``, ``bytes``), no two of one anchor and digest; ``owner`` is the smallest that has
+    the variant, ``last_owner`` the largest.
 
     An anchor's variants are a block. Blocks over a quarter of a shard are dealt again, down to one window,
-    which needs no sorting, so no shard grows with an anchor."""
+    which needs no sorting, so no shard grows with an anchor. Nor do blocks whose variants have one smallest
+    owner, though others may have them."""
     spark, reach = variants.sparkSession, length - gram
     blocks = variants.select(
-        F.col("anchor").alias("block"), "anchor", "digest", "owner", (reach - F.col("before")).alias("place"),
+        F.col("anchor").alias("block"), "anchor", "digest", "owner", "last_owner", (reach - F.col("before")).alias("place"),
         F.lit(0).alias("offset"), F.lit(0).alias("low"), F.lit(reach).alias("high"), "bytes",
     )
     limit = max(1, shard_bytes // 4)
@@ -219,24 +219,25 @@ def runs_of(variants: DataFrame, length: int, gram: int, shard_bytes: int, held:
             blocks.groupBy("block")
             .agg(
                 F.sum(F.octet_length("bytes") + 1).alias("size"), F.max(F.col("high") - F.col("low")).alias("width"),
-                F.min("owner").alias("least"), F.max("owner").alias("most"),
+                F.min("owner").alias("least"), F.max("owner").alias("most"), F.max("last_owner").alias("last"),
             )
-            .where("least <> most"),  # nobody else has a block of one owner
+            .where("least <> last"),  # of others nobody has the block
             "sizes",
         ).read()
-        fits = sizes.where(f"width > 0 AND size <= {limit}")
+        several = sizes.where("width > 0 AND least <> most")
+        fits = several.where(f"size <= {limit}")
         size = fits.agg(F.sum("size")).first()[0] or 0
         some = blocks.join(fits.select("block"), "block", "left_semi")
         runs = Staged(sorted_shards(some, part_count(spark, size, shard_bytes), length, held), "runs").read()
-        # a block of one window: all its variants have it
-        single = sizes.where("width = 0").select("block", "least")
+        # a block of one window: all its variants have it; of one smallest owner: it has every window
+        single = sizes.where("width = 0 OR least = most").select("block", "least")
+        end = (F.col("offset") + F.octet_length("bytes")).alias("end")
         runs = runs.unionByName(
-            blocks.join(single, "block").select(
-                "anchor", "digest", F.col("offset").alias("start"), (F.col("offset") + length).alias("end"), "least"
-            )
-        )
+            blocks.where("last_owner > owner OR high = low").join(single, "block")
+            .where("last_owner > least").select("anchor", "digest", F.col("offset").alias("start"), end, "least")
+        )
         found = runs if found is None else found.unionByName(runs)
-        large = sizes.where(f"width > 0 AND size > {limit}").select("block")
+        large = several.where(f"size > {limit}").select("block")
         if large.isEmpty():
             return found
         blocks = Staged(dealt_again(blocks.join(large, "block", "left_semi"), length), "blocks").read()
@@ -272,12 +273,10 @@ def shared_spans(texts: DataFrame, owners: DataFrame, length: int, gram: int, sh
     spans = known.where("equal AND owner > least").select("id", F.col("first").alias("start"), end.alias("end"))
     rest = known.where("NOT equal").drop("least")
     variants = rest.groupBy("anchor", "digest").agg(
-        F.min(F.struct("owner", "id", "first", "count", "before")).alias("at")
-    ).select("anchor", "digest", "at.*")
-    wanted = Staged(
-        variants.groupBy("id").agg(F.collect_list(F.struct("anchor", "digest", "first", "count", "before", "owner")).alias("wanted")),
-        "wanted",
-    )
+        F.min(F.struct("owner", "id", "first", "count", "before")).alias("at"), F.max("owner").alias("last_owner")
+    ).select("anchor", "digest", "at.*", "last_owner")
+    place = F.struct("anchor", "digest", "first", "count", "before", "owner", "last_owner")
+    wanted = Staged(variants.groupBy("id").agg(F.collect_list(place).alias("wanted")), "wanted")
     body = Staged(contents(texts.join(wanted.read(), "id"), length).dropDuplicates(["anchor", "digest"]), "text")
     let_go(spark)
     runs = runs_of(body.read(), length, gram, shard_bytes, held)
