@@ -81,3 +81,22 @@ def test_a_hub_is_not_squared(spark):
         assert pairs.count() == 6000 and pairs.where("u = 0").count() == 0
         assert patterns.wedges(pairs).count() <= 6000 * 2  # squared, the hub alone would have 4.5 million
         assert patterns.triangles(edges, staged).count() == 3000
+
+
+def test_recursive_query_of_over_a_million_rows(spark, tmp_path):
+    graph = graph_of(spark, tmp_path / "g", list(itertools.product(range(4), repeat=2)))
+    setting = "spark.sql.cteRecursionRowLimit"
+    sql = """
+        WITH RECURSIVE paths(a, b, n) AS (
+            SELECT `source.id`, `target.id`, 1 FROM {R}
+            UNION ALL SELECT a, r.`target.id`, n + 1 FROM paths JOIN {R} r ON r.`source.id` = b WHERE n < 9)
+        SELECT n, count(*) AS paths FROM paths GROUP BY n
+    """
+    assert {tuple(row) for row in graph.query(sql).collect()} == {(n, 4 ** (n + 1)) for n in range(1, 10)}
+    assert spark.conf.get(setting, None) is None
+    spark.conf.set(setting, "1000")  # a limit of the session's own holds
+    try:
+        with pytest.raises(Exception, match="RECURSION_ROW_LIMIT"):
+            graph.query(sql).collect()
+    finally:
+        spark.conf.unset(setting)
