@@ -100,3 +100,13 @@ def test_recursive_query_of_over_a_million_rows(spark, tmp_path):
             graph.query(sql).collect()
     finally:
         spark.conf.unset(setting)
+
+
+def test_what_may_close_is_one_row_a_pair(spark):
+    """Forty nodes that all meet: lists of ends, not a row for every two pairs of a node."""
+    edges = spark.createDataFrame(list(itertools.combinations(range(40), 2)), "s long, t long")
+    with Staged(spark) as staged:
+        pairs = staged.rows(patterns.oriented(edges, staged))
+        assert patterns.wedges(pairs).count() < pairs.count() == 780  # 9,880 as rows
+        found = patterns.triangles(edges, staged)
+        assert found.count() == found.distinct().count() == 9880
