@@ -7,7 +7,9 @@ import heapq
 import itertools
 import json
 import os
+import re
 import sys
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,21 +20,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sluiceway.llm.shared import Staged, part_count
+from sluiceway.llm.shared import Staged, part_count, portions
+from sluiceway.llm.token_counts import byte_symbols
 
 #: Pieces that are packed together, in one task.
 GROUP_ROWS = 100_000
-#: Words whose identifiers a worker keeps in each of two generations.
+#: Parts of words whose identifiers a worker keeps in each of two generations.
 KEPT_WORDS = 500_000
 # Fixed value: the pattern of vocabularies with letters, single digits and other signs as words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN = {kind: "".join(f"\\x{n:02x}" for n in range(256) if unicodedata.category(chr(n))[0] == kind) for kind in "LN"}
+#: The same for signs of Latin-1.
+PARTS = re.compile(f"[{LATIN['L']}]+|[{LATIN['N']}]|'(?:[stmd]|re|ve|ll)|[^ \\t-\\r\\x85\\xa0{LATIN['L']}{LATIN['N']}]+")
+# Fixed value: what such vocabularies do to a text before.
+SIMPLE = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+
+
+def written(ids: list[int]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 class WordIds:
-    """Identifiers by word as bytes of little-endian 32-bit numbers, from the vocabulary's own library.
+    """Identifiers by part of a word as bytes of little-endian 32-bit numbers, from the vocabulary's own library.
 
-    Words are kept in two generations: when the new one is full it becomes the old one, from which
-    words that come again are taken over.
+    Parts are kept in two generations: when the new one is full it becomes the old one, from which
+    parts that come again are taken over.
     """
 
     def __init__(self, path: str):
@@ -40,10 +58,9 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
-        lowers = '"Lowercase"' in json.dumps(spec["normalizer"])
         splits = spec["pre_tokenizer"] == {
             "type": "Sequence",
             "pretokenizers": [
@@ -51,55 +68,62 @@ class WordIds:
                 {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
             ],
         }
-        self.simple = lowers and splits
+        self.simple = spec["normalizer"] == SIMPLE and splits
+        self.simple &= all(x["content"].startswith("<|") for x in spec["added_tokens"])
+        self.merges = self.tokenizer.model  # the library's, for parts whose bytes have been spelled
+        self.symbols = dict(enumerate(byte_symbols()))
 
-    def base(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word that has a word's identifiers but for those of a sign at its end, and that sign.
+    def plain(self, text: str) -> bool:
+        """Whether the parts of a text are known without the library.
 
-        A vocabulary in lower case has the same for capitals, unless they spell a special string. That holds
-        for words of ASCII alone: others are composed first, and some small letters compose where capitals do not.
-        One that splits at letters and digits has a comma or a stop after one as a token of its own.
+        Signs of Latin-1 are never composed and have one small letter each, so their words are parted as the
+        library would, unless they may spell a special string.
         """
-        if self.simple and b"<|" not in word and word.isascii():
-            word = word.lower()
-            if word[-1:] in (b",", b".") and word[-2:-1].isalnum():
-                return word[:-1], word[-1:]
-        return word, b""
+        if not self.simple or "<|" in text:
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) >= KEPT_WORDS:
-            self.known, self.old = {}, self.known
-        known, old = self.known, self.old
-        new, parts = {}, []
-        for word in words:
-            if word in known:
-                continue
-            if (ids := old.get(word)) is not None:
-                known[word] = ids
-                continue
-            base, sign = self.base(word)
-            parts.append((word, base, sign))
-            for part in (base, sign):
-                if part and part not in known and part not in new:
-                    if (ids := old.get(part)) is not None:
-                        known[part] = ids
-                    else:
-                        new[part] = None
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            ids = array("I", encoding.ids)
-            if sys.byteorder == "big":
-                ids.byteswap()
-            known[word] = ids.tobytes()
-        for word, base, sign in parts:
-            known[word] = known[base] + known[sign] if sign else known[base]
+    def parts(self, text: str) -> list[str]:
+        """What a text's identifiers follow from one by one: parts of words in lower case, or whole words.
+
+        No token reaches across ASCII white space.
+        """
+        if self.plain(text):
+            return PARTS.findall(text.lower())
+        words = [x.decode() for x in text.encode().split()]
+        return [part for word in words for part in (PARTS.findall(word.lower()) if self.plain(word) else (word,))]
+
+    def learn(self, parts: set[str]) -> None:
+        plain, whole = [], []
+        for part in parts:
+            if (ids := self.old.get(part)) is not None:
+                self.known[part] = ids
+            else:
+                (plain if self.plain(part) else whole).append(part)
+        for part in plain:
+            spelled = part
+            if not (part.isascii() and part.isprintable()):
+                spelled = part.encode().decode("latin-1").translate(self.symbols)
+            self.known[part] = written([token.id for token in self.merges.tokenize(spelled)])
+        if whole:
+            found = self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
+            self.known.update((part, written(encoding.ids)) for part, encoding in zip(whole, found, strict=True))
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        """No token reaches across ASCII white space, so a text's identifiers are its words' in turn."""
-        split = [text.split() for text in texts]
-        self.learn(set().union(*split))
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words))
+        """The identifiers of each text."""
+        if len(self.known) >= KEPT_WORDS:
+            self.known, self.old = {}, self.known
+        parted = [self.parts(text.decode()) for text in texts]
+        found = [[*map(self.known.get, parts)] for parts in parted]
+        self.learn({p for parts, own in zip(parted, found, strict=True) for p, ids in zip(parts, own, strict=True) if ids is None})
+        for parts, own in zip(parted, found, strict=True):
+            if None in own:
+                own = [self.known[p] if ids is None else ids for p, ids in zip(parts, own, strict=True)]
+            yield b"".join(own)
 
 
 _ids: dict[str, WordIds] = {}
@@ -118,7 +142,7 @@ def cut(documents: DataFrame, key: str, text: str, vocabulary: str, end_id: int,
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = ids_for(vocabulary)
-        for batch in (whole.slice(start, 200) for whole in batches for start in range(0, whole.num_rows, 200)):
+        for batch in (some for whole in batches for some in portions(whole)):
             rows: list[tuple[int, int, int, int, int]] = []
             for i, ids in enumerate(words.of([(x or "").encode() for x in batch.column(1).to_pylist()])):
                 ids += end

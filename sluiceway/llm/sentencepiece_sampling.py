@@ -10,18 +10,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
 from sluiceway.llm.anchored import mixed
+from sluiceway.llm.shared import portions
 
 SPACE = "▁"
 #: Units whose lattices a worker keeps; when full, it starts anew.
 KEPT_UNITS = 250_000
-#: Texts, and bytes of text, that are sampled together.
-PORTION_ROWS, PORTION_BYTES = 500, 2_000_000
 #: Of the hashes that pieces are looked up by.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -427,18 +425,6 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
     return math.log(-math.expm1(-math.exp(min(gap, 700.0))))
 
 
-def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of at most so many rows and about so many bytes of text, or one text that is longer."""
-    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        before = ends[start - 1] if start else 0
-        end = int(np.searchsorted(ends, before + PORTION_BYTES, side="right"))
-        end = min(max(end, start + 1), start + PORTION_ROWS)
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def sampled_segmentations(
     documents: DataFrame, model: str, count: int, seed: int = 7, key: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:

@@ -5,12 +5,18 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: What separates words, as bytes.split() does: \x20 and \x09-\x0D.
 SPACES = " \t\n\r\x0b\x0c"
+#: Texts, and bytes of text, that a task works on together.
+PORTION_ROWS, PORTION_BYTES = 500, 2_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -78,3 +84,15 @@ def store(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 def part_count(spark: SparkSession, rows: int, per_part: int) -> int:
     """So many partitions that each has about ``per_part`` rows at most."""
     return max(1, -(-rows // per_part))
+
+
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most so many rows and about so many bytes of text, or one text that is longer."""
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = int(np.searchsorted(ends, before + PORTION_BYTES, side="right"))
+        end = min(max(end, start + 1), start + PORTION_ROWS)
+        yield batch.slice(start, end - start)
+        start = end

@@ -181,6 +181,14 @@ def test_word_ids_of_odd_texts():
         assert np.frombuffer(next(words.of([text.encode()])), "<u4").tolist() == ids(text), repr(text)
 
 
+def test_a_part_of_words_is_encoded_once():
+    """Words that differ in capitals or in signs around them share what the library is asked for."""
+    ids, words = library(), packing.WordIds(BPE)
+    text = "Élan, élan. ÉLAN; élan### élan's (élan) élan\xa0élan 漢élan, élan"
+    assert np.frombuffer(next(words.of([text.encode()])), "<u4").tolist() == ids(text)
+    assert {word for word in words.known if "lan" in str(word)} == {"élan", "漢élan,"}
+
+
 def test_swaps_empty_a_bin():
     # two for one: 4 and 3 go for a 6
     sizes = np.array([6, 3, 4, 3, 3])
