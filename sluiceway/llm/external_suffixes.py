@@ -19,7 +19,7 @@ import numpy as np
 from sluiceway.llm.anchored import RangeHashes, mixed
 
 #: Queue entries in memory; beyond, they are appended to a file that is gone with the process.
-HELD_ENTRIES = 4_000_000
+HELD_ENTRIES = 1_000_000
 #: Entries taken from a queue at once.
 SLICE = 1_000_000
 #: A string of names up to this length is sorted in memory.
@@ -342,13 +342,17 @@ def by_doubling(names: np.ndarray) -> np.ndarray:
 def prefixes_of(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """The common prefix of each suffix with the one before it, up to a depth, in blocks."""
     out = np.zeros(len(places), np.int64)
-    reach = np.arange(depth)
-    end = len(text) - 1
+    last = len(text) - depth  # the last place with so many items
+    items = np.lib.stride_tricks.sliding_window_view(text, depth) if last >= 0 else None
     for start in range(1, len(places), 100_000):
         one = places[start - 1 : min(start + 99_999, len(places) - 1)]
         two = places[start : start + len(one)]
-        same = np.asarray(text[np.minimum(one[:, None] + reach, end)]) == np.asarray(text[np.minimum(two[:, None] + reach, end)])
-        out[start : start + len(one)] = np.where(same.all(axis=1), depth, same.argmin(axis=1))
+        inside = np.flatnonzero(np.maximum(one, two) <= last)
+        if len(inside):
+            same = items[one[inside]] == items[two[inside]]
+            out[start + inside] = np.where(same.all(axis=1), depth, same.argmin(axis=1))
+        for n in np.flatnonzero(np.maximum(one, two) > last).tolist():
+            out[start + n] = common_prefix(text, int(one[n]), int(two[n]), depth)
     return out
 
 

@@ -9,20 +9,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.anchored import mixed, parts
 from sluiceway.llm.external_suffixes import HELD_ENTRIES, suffixes
-from sluiceway.llm.shared import Staged, let_go, part_count
-from sluiceway.llm.substrings import joined_spans, new_texts
+from sluiceway.llm.shared import Staged, let_go, part_count, portions
+from sluiceway.llm.substrings import joined_spans
 
 LENGTH = 50
 #: Bytes of an anchor.
 GRAM = 20
-#: Bytes of text that a shard has, about, of blocks of at most a quarter; its names are then sorted in memory. In larger ones they are sorted
-#: by recursion, with queues and text on disk, which takes far longer.
-SHARD_BYTES = 8_000_000
+#: Bytes of text that a shard has, about, of blocks of at most a quarter; sorting them takes 50 times as much memory. Names are then sorted
+#: in memory. In larger shards they are sorted by recursion, with queues and text on disk, which takes far longer.
+SHARD_BYTES = 4_000_000
 #: A shard's text up to this size is in memory, a larger one in a mapped file.
 HELD_TEXT = 64_000_000
 NOBODY = 2**63 - 1
@@ -30,35 +30,32 @@ NOBODY = 2**63 - 1
 CODES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-def byte_parts(texts: DataFrame, length: int, gram: int, only_anchors: bool) -> DataFrame:
-    """Of texts (``id``, ``text``): the distinct ``anchor`` of each text, or ``id``, ``first``, ``count``, ``before``, ``anchor``, ``digest``."""
+def byte_parts(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Of distinct texts (``n``, ``text``, ``owner``): ``n``, ``owner``, ``anchor``, ``digest``, ``at`` of each part.
+
+    ``at`` has the part's first window, their number and the bytes before the anchor, the last two of 12 bits each.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in new_texts(batches):
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                found = []
-                for value in batch.column("text"):
-                    data = (value.as_py() or "").encode()
-                    found.append(parts(CODES[np.frombuffer(data, np.uint8)], length, gram))
-                if only_anchors:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([np.unique(x[3]) for x in found]))], names=["anchor"]
-                    )
-                    continue
-                owner = np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found])
-                first, count, before, anchor, digest = (pa.array(np.concatenate(c)) for c in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(owner)), first, count, before, anchor, digest],
-                    names=["id", "first", "count", "before", "anchor", "digest"],
-                )
+        for batch in (some for whole in batches for some in portions(whole)):
+            found = []
+            for value in batch.column("text"):
+                found.append(parts(CODES[np.frombuffer(value.as_buffer(), np.uint8)], length, gram))
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found]))
+            first, count, before, anchor, digest = (np.concatenate(c) for c in zip(*found, strict=True))
+            at = first.astype(np.int64) << 24 | count << 12 | before
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("n").take(owner), batch.column("owner").take(owner), *map(pa.array, (anchor, digest, at))],
+                names=["n", "owner", "anchor", "digest", "at"],
+            )
 
-    kinds = "anchor long" if only_anchors else "id binary, first int, count int, before int, anchor long, digest long"
-    return texts.mapInArrow(find, kinds)
+    if length >= 4096:
+        raise ValueError(f"strings of {length} bytes: up to 4095 are known")
+    return texts.select("n", "text", "owner").mapInArrow(find, "n long, owner long, anchor long, digest long, at long")
 
 
 def contents(texts: DataFrame, length: int) -> DataFrame:
-    """Of texts (``id``, ``text``, ``wanted`` parts): ``anchor``, ``digest``, ``owner``, ``last_owner``, ``before``, ``bytes`` of each."""
+    """Of texts (``text``, ``wanted`` parts): ``anchor``, ``digest``, ``owner``, ``last_owner``, ``before``, ``bytes`` of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,10 +118,10 @@ def least_owners(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, lengt
     """
     least = np.full(len(text), NOBODY, np.int64)
     waiting: list[np.ndarray] = []  # the last group so far
+    part = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(text))))
 
     def close(places: np.ndarray, cuts: np.ndarray) -> None:
-        part = np.searchsorted(starts, places, side="right") - 1
-        owner = owners[np.maximum(part, 0)]
+        owner = owners[part[places]]
         least[places] = np.repeat(np.minimum.reduceat(owner, cuts), np.diff(np.append(cuts, len(places))))
 
     for places, prefixes in suffixes(text, length, held):
@@ -244,47 +241,42 @@ def runs_of(variants: DataFrame, length: int, gram: int, shard_bytes: int, held:
         let_go(spark)
 
 
-def shared_spans(texts: DataFrame, owners: DataFrame, length: int, gram: int, shard_bytes: int, held: int) -> DataFrame:
-    """``id`` and ``spans`` (in bytes) that a text shares with one of a smaller owner, in texts (``id``,
-    ``text``) with owners (``id``, ``owner``)."""
+def shared_spans(texts: DataFrame, length: int, gram: int, shard_bytes: int, held: int) -> DataFrame:
+    """``n`` and ``spans`` (in bytes) that a text shares with one of a smaller owner, in distinct texts (``n``,
+    ``text``, ``owner``)."""
     spark = texts.sparkSession
-    anchors = byte_parts(texts, length, gram, only_anchors=True).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    repeated = Staged(anchors.where("n > 1").select("anchor"), "anchors")
-    let_go(spark)
-    rows = byte_parts(texts, length, gram, only_anchors=False).join(repeated.read(), "anchor", "left_semi")
-    # equal texts have equal parts; the smallest owner stands for all
-    found = Staged(rows, "parts")
-    let_go(spark)
-    owned = Staged(found.read().join(owners, "id").dropDuplicates(["id", "first"]), "owned")
-    found.discard()
+    # one shuffle tells which anchors several owners have, and whether all their parts are equal
+    of_anchor = Window.partitionBy("anchor")
+    rows = byte_parts(texts, length, gram).select(
+        "*", F.min("digest").over(of_anchor).alias("low"), F.max("digest").over(of_anchor).alias("high"),
+        F.min("owner").over(of_anchor).alias("least"), F.max("owner").over(of_anchor).alias("most"),
+    )
+    equal = F.col("low") == F.col("high")
+    # of equal parts the smallest owner's lose nothing and are not wanted
+    rows = rows.where("least <> most").where(~equal | F.expr("owner > least"))
+    columns = ["n", "owner", "anchor", "digest", "at", equal.alias("equal")]
+    known = Staged(rows.select(*columns), "groups").read().select(
+        "n", "owner", "anchor", "digest", "equal", F.expr("CAST(at >> 24 AS INT) first"),
+        F.expr("CAST((at >> 12) & 4095 AS INT) count"), F.expr("CAST(at & 4095 AS INT) before"),
+    )
     let_go(spark)
-    rows = owned.read()
-    groups = (
-        rows.groupBy("anchor")
-        .agg(
-            F.min("digest").alias("low"), F.max("digest").alias("high"),
-            F.min("owner").alias("least"), F.max("owner").alias("most"),
-        )
-        .where("least <> most")
-        .select("anchor", "least", (F.col("low") == F.col("high")).alias("equal"))
-    )
-    known = Staged(rows.join(groups, "anchor"), "groups").read()
     end = F.col("first") + F.col("count") - 1 + length
-    spans = known.where("equal AND owner > least").select("id", F.col("first").alias("start"), end.alias("end"))
-    rest = known.where("NOT equal").drop("least")
+    spans = known.where("equal").select("n", F.col("first").alias("start"), end.alias("end"))
+    rest = known.where("NOT equal")
     variants = rest.groupBy("anchor", "digest").agg(
-        F.min(F.struct("owner", "id", "first", "count", "before")).alias("at"), F.max("owner").alias("last_owner")
+        F.min(F.struct("owner", "n", "first", "count", "before")).alias("at"), F.max("owner").alias("last_owner")
     ).select("anchor", "digest", "at.*", "last_owner")
     place = F.struct("anchor", "digest", "first", "count", "before", "owner", "last_owner")
-    wanted = Staged(variants.groupBy("id").agg(F.collect_list(place).alias("wanted")), "wanted")
-    body = Staged(contents(texts.join(wanted.read(), "id"), length).dropDuplicates(["anchor", "digest"]), "text")
+    wanted = Staged(variants.groupBy("n").agg(F.collect_list(place).alias("wanted")), "wanted")
+    let_go(spark)
+    body = Staged(contents(texts.select("n", "text").join(wanted.read(), "n"), length), "text")
     let_go(spark)
     runs = runs_of(body.read(), length, gram, shard_bytes, held)
     more = rest.join(runs, ["anchor", "digest"]).where("owner > least")
     spans = spans.unionByName(
-        more.select("id", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end"))
+        more.select("n", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end"))
     )
-    return spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.groupBy("n").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def suffix_dedup(
@@ -309,13 +301,14 @@ def suffix_dedup(
     keep = keep or [key]
     body = documents.withColumn("whole_text_id", F.unhex(F.substring(F.md5(F.coalesce(F.col(text), F.lit(""))), 1, 24)))
     body = body.withColumn("whole_text_owner", F.coalesce(F.col(key).cast("long"), F.lit(NOBODY)))
-    rows = body.select(F.col("whole_text_id").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") >= length)
-    owners = Staged(
-        body.groupBy(F.col("whole_text_id").alias("id")).agg(F.min("whole_text_owner").alias("owner")), "owners"
-    )
-    spans = Staged(shared_spans(rows, owners.read(), length, gram, shard_bytes, held), "text-spans")
+    # equal texts have equal parts; the smallest owner stands for all
+    rows = body.where(F.octet_length(text) >= length).groupBy(F.col("whole_text_id").alias("id"))
+    rows = rows.agg(F.min("whole_text_owner").alias("owner"), F.first(text).alias("text"))
+    texts = Staged(rows.withColumn("n", F.monotonically_increasing_id()), "texts").read()
+    let_go(documents.sparkSession)
+    spans = Staged(shared_spans(texts, length, gram, shard_bytes, held), "text-spans")
     let_go(documents.sparkSession)
-    notes = owners.read().join(spans.read(), "id", "left").withColumnRenamed("id", "whole_text_id")
+    notes = texts.select("n", F.col("id").alias("whole_text_id"), "owner").join(spans.read(), "n", "left").drop("n")
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,6 +1,7 @@
 """Strings that a document has in several surroundings, and a later one in one of these."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -24,3 +25,18 @@ def test_repeats_of_one_owner(spark, others, shard_bytes):
     rows = suffix_dedup.suffix_dedup(spark.createDataFrame(texts, "doc_id long, text string"), shard_bytes=shard_bytes).collect()
     found = {r.doc_id: (r.n_removed, r.n_spans, r.kept_bytes.decode()) for r in rows}
     assert found == {key: (0, 0, text) if key == 1 else (len(text), 1, "") for key, text in texts}
+
+
+def test_memory_of_a_shard():
+    """Two tasks of an executor sort a shard each beside its heap, with 1,200 MB for both."""
+    draw = np.random.default_rng(3)
+    parts = [draw.integers(99, 125, 90).astype(np.uint16) for _ in range(suffix_dedup.SHARD_BYTES // 364)]
+    rows = [np.append(np.where(np.arange(90) == k * 20, 50 + k, part), 1) for part in parts for k in range(4)]
+    text = np.concatenate([*rows, [0]]).astype(np.uint16)
+    starts = np.arange(len(rows)) * 91
+    tracemalloc.start()
+    least = suffix_dedup.least_owners(text, starts, np.arange(len(rows)), 50, suffix_dedup.HELD_ENTRIES)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert least[91 + 40] == 0 and least[91 + 1] == 1  # windows after the sign that differs, and over it
+    assert peak < 350_000_000
