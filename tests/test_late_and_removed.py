@@ -151,3 +151,34 @@ def test_cleared_properties(spark, people):
     assert found == {n: None if n in (5, 70) else n + 0.5 for n in range(100)}
     with pytest.raises(ValueError, match="clearing"):
         people.clear_properties(rows, ":T", "key:id", "id")
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_removals_of_many_are_joined_by_keys(spark, tmp_path, monkeypatch, mixed):
+    """Identities that follow from keys are not shuffled, unless other nodes of the type have the same keys."""
+    graph, joined = PropertyGraph(spark, str(tmp_path / "g")), []
+    rows = spark.createDataFrame([(n % 40, n % 30, n) for n in range(200)], "a long, b long, n long")
+    ends = NodePattern(":Part", "a:id"), NodePattern(":Supplier", "b:id")
+    graph.merge_pattern(rows, "SHIPPED", *ends, "n")
+    others = NodePattern(":Tool", "a:id"), ends[1]
+    if mixed:
+        graph.merge_pattern(rows, "SHIPPED", *others, "n")
+    work = GraphWrite._without
+
+    def watched(self, item, wanted, keys, *rest):
+        joined.append(list(keys))
+        return work(self, item, wanted, keys, *rest)
+
+    monkeypatch.setattr(GraphWrite, "_without", watched)
+    graph.delete_relationships(rows.where("n % 2 = 0").unionByName(rows.selectExpr("a", "b", "n + 1000 AS n")), "SHIPPED", *ends, "n")
+    # each pair of labels has a table of its own
+    assert joined == [["source.id", "target.id", "rel.n"], ["<source.id>", "target.id", "rel.n"]][: 1 + mixed]
+    left = sorted(r.n for r in graph.read_relationships("SHIPPED", ":Part").selectExpr("`rel.n` AS n").collect())
+    assert left == list(range(1, 200, 2))
+    if mixed:
+        assert graph.read_relationships("SHIPPED", ":Tool").count() == 200
+    # what is left can be merged and removed again
+    graph.merge_pattern(rows, "SHIPPED", *ends, "n")
+    assert graph.read_relationships("SHIPPED", ":Part").count() == 200
+    graph.delete_relationships(rows, "SHIPPED", *ends, "n")
+    assert graph.read_relationships("SHIPPED", ":Part").count() == 0
