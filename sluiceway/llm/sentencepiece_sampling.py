@@ -22,6 +22,8 @@ SPACE = "▁"
 KEPT_UNITS = 250_000
 #: Of the hashes that pieces are looked up by.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
+HIGH_BITS, LOW_BITS = 18, np.uint64(46)
 
 
 class Vocabulary:
@@ -77,11 +79,16 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        texts = sorted(vocabulary.ids, key=lambda t: int(self.hashed([t])[0]))
-        self.hashes = np.concatenate([self.hashed([t]) for t in texts])
+        hashes = {t: int((self.hashed([t]) * SPREAD)[0]) for t in vocabulary.ids}
+        texts = sorted(hashes, key=hashes.__getitem__)
+        self.hashes = np.array([hashes[t] for t in texts], np.uint64)
         if len(np.unique(self.hashes)) < len(texts):
             raise ValueError("two pieces have one hash")
         self.weights = np.array([vocabulary.weight[t] for t in texts])
+        # the first piece whose hash has no smaller high bits, and whether several have the same
+        self.begin = np.searchsorted(self.hashes, np.arange(2**HIGH_BITS, dtype=np.uint64) << LOW_BITS).astype(np.int32)
+        self.begin = np.minimum(self.begin, len(texts) - 1)
+        self.several = np.bincount((self.hashes >> LOW_BITS).astype(np.int64), minlength=2**HIGH_BITS) > 1
         self.plain = texts
         self.clear()
 
@@ -99,7 +106,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.starts: dict[str, int] = {}
-        self.states = 0
+        self.states = self.built = 0
         none, whole = np.zeros(0), np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)  # each state's first edge, and the number of all edges
         self.edges = Edges(none, none, none, whole, whole, whole)
@@ -138,74 +145,98 @@ class Lattices:
         by_size: dict[int, list[str]] = {}
         for unit in new:
             by_size.setdefault(len(unit), []).append(unit)
-        parts: list[tuple] = []
         for size, same in by_size.items():
             step = max(1, 1_000_000 // (size * min(size, self.vocabulary.longest)))
             for start in range(0, len(same), step):
-                parts.append(self.lattice(same[start : start + step], size))
-        if not parts:
-            return
-        firsts, *edges = zip(*parts, strict=True)
-        old = self.edges
-        self.first = np.concatenate([self.first[:-1], *firsts, [len(old.to) + sum(map(len, edges[0]))]])
-        self.edges = Edges(
-            *(
-                np.concatenate([a, *b])
-                for a, b in zip((old.upto, old.log_share, old.log_rest, old.to, old.state, old.piece), edges, strict=True)
-            )
-        )
+                self.add(same[start : start + step], size)
+
+    def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The piece with each hash, and whether there is one."""
+        high = (hashes >> LOW_BITS).astype(np.int64)
+        at = self.begin[high]
+        hit = self.hashes[at] == hashes
+        more = np.flatnonzero(self.several[high] & ~hit)
+        at[more] = np.minimum(np.searchsorted(self.hashes, hashes[more]), len(self.hashes) - 1)
+        hit[more] = self.hashes[at[more]] == hashes[more]
+        return at, hit
+
+    def add(self, units: list[str], size: int) -> None:
+        """Put the lattices of units of one length behind the others."""
+        first, *edges = self.lattice(units, size)
+        for n, u in enumerate(units):
+            self.starts[u] = self.states + n * (size + 1)
+        old, end = self.edges, self.built + len(edges[0])
+        self.first = grown(self.first, self.states, np.append(first, end))
+        arrays = old.upto, old.log_share, old.log_rest, old.to, old.state, old.piece
+        self.edges = Edges(*(grown(a, self.built, b) for a, b in zip(arrays, edges, strict=True)))
+        self.states += len(first)
+        self.built = end
 
     def lattice(self, units: list[str], size: int) -> tuple:
-        """The lattices of units of one length, from their ends: masses of paths, and edges' shares."""
+        """The lattices of units of one length, from their ends: masses of paths, and edges' shares.
+
+        Units are the last dimension of all arrays, so that places and lengths are whole stretches of memory."""
         number, width = len(units), min(size, self.vocabulary.longest)
-        points = self.points(units) + np.uint64(1)
-        weight = np.full((number, size, width), -np.inf)
-        piece = np.zeros((number, size, width), np.int32)
-        total = np.zeros((number, size), np.uint64)
+        points = np.ascontiguousarray(self.points(units).T) + np.uint64(1)
+        weight = np.full((size, width, number), -np.inf)
+        piece = np.zeros((size, width, number), np.int32)
+        total = np.zeros((size, number), np.uint64)
         for k in range(width):  # pieces of k + 1 characters
             places = size - k
-            total = total[:, :places] * FACTOR + points[:, k:]
-            at = np.minimum(np.searchsorted(self.hashes, total), len(self.hashes) - 1)
-            hit = self.hashes[at] == total
-            weight[:, :places, k] = np.where(hit, self.weights[at], -np.inf)
-            piece[:, :places, k] = at
+            total = total[:places] * FACTOR + points[k:]
+            at, hit = (x.reshape(places, number) for x in self.look((total * SPREAD).ravel()))
+            weight[:places, k] = np.where(hit, self.weights[at], -np.inf)
+            piece[:places, k] = at
             if k == 0:
-                for row, place in zip(*np.nonzero(~hit), strict=True):
+                for place, row in zip(*np.nonzero(~hit), strict=True):
                     text = units[row][place]
-                    weight[row, place, 0] = len(text.encode()) * self.vocabulary.last
-                    piece[row, place, 0] = self.character(text)
-        mass = np.zeros((number, size + 1))
+                    weight[place, 0, row] = len(text.encode()) * self.vocabulary.last
+                    piece[place, 0, row] = self.character(text)
+        mass = np.zeros((size + 1, number))
         log_share = np.full(weight.shape, -np.inf)
+        share = np.zeros(weight.shape)
         for i in range(size - 1, -1, -1):
             reach = min(width, size - i)
-            paths = weight[:, i, :reach] + mass[:, i + 1 : i + 1 + reach]
-            most = paths.max(axis=1)
-            mass[:, i] = most + np.log(np.exp(paths - most[:, None]).sum(axis=1))
-            log_share[:, i, :reach] = paths - mass[:, i, None]
-        share = np.exp(log_share)
-        zero = np.zeros((number, size, 1))
-        upto = np.cumsum(share, axis=2)
-        later = np.concatenate([np.cumsum(share[:, :, :0:-1], axis=2)[:, :, ::-1], zero], axis=2)
-        with np.errstate(divide="ignore"):
-            log_rest = np.log(np.concatenate([zero, upto[:, :, :-1]], axis=2) + later)
+            paths = weight[i, :reach] + mass[i + 1 : i + 1 + reach]
+            most = paths.max(axis=0)
+            each = np.exp(paths - most)
+            every = each.sum(axis=0)
+            mass[i] = most + np.log(every)
+            log_share[i, :reach] = paths - mass[i]
+            share[i, :reach] = each / every
+        upto = np.cumsum(share, axis=1)
+        ahead = np.zeros(share.shape)
+        ahead[:, 1:] = upto[:, :-1]
+        later = np.zeros(share.shape)
+        later[:, :-1] = np.cumsum(share[:, :0:-1], axis=1)[:, ::-1]
         there = np.isfinite(weight)
-        unit, place, length = np.nonzero(there)
+        unit, place, length = np.nonzero(there.transpose(2, 0, 1))
+        own = place, length, unit
+        counts = np.concatenate([there.sum(axis=1).T, np.zeros((number, 1), np.int64)], axis=1).ravel()
+        upto, ahead, later = upto[own], ahead[own], later[own]
         base = self.states + unit * (size + 1)
         state = base + place
         to = np.where(place + length + 1 < size, base + place + length + 1, -1)
-        counts = np.concatenate([there.sum(axis=2), np.zeros((number, 1), np.int64)], axis=1).ravel()
-        begun = self.built if self.states else 0
-        first = begun + np.concatenate([[0], np.cumsum(counts)[:-1]])
-        self.built = begun + int(counts.sum())
-        for n, u in enumerate(units):
-            self.starts[u] = self.states + n * (size + 1)
-        self.states += number * (size + 1)
+        first = self.built + np.concatenate([[0], np.cumsum(counts)[:-1]])
+        with np.errstate(divide="ignore"):
+            log_rest = np.log(ahead + later)
         return (
-            first, state + np.where(later[there] > 0, upto[there], 1.0), log_share[there], log_rest[there],
-            to.astype(np.int32), state.astype(np.int32), piece[there],
+            first, state + np.where(later > 0, upto, 1.0), log_share[own], log_rest,
+            to.astype(np.int32), state.astype(np.int32), piece[own],
         )
 
 
+def grown(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """An array with more values from a place on, and with room for as many again where it has to be a new one."""
+    end = used + len(more)
+    if end > len(values):
+        room = np.empty(2 * end, values.dtype)  # what is not used takes no memory
+        room[:used] = values[:used]
+        values = room
+    values[used:end] = more
+    return values
+
+
 def spans(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges of an array one after another, and where each begins there, with the end of all."""
     ends = np.concatenate([[0], np.cumsum(sizes)])

@@ -313,3 +313,30 @@ def test_registered_queries_row_by_row(spark, sf):
         ends = [0, *itertools.accumulate(n for _, n in sorted(placed))]
         assert [at for at, _ in sorted(placed)] == ends[:-1] and ends[-1] <= 2048
     assert len(fills) <= -(-sum(map(len, tokens.values())) // 2048) + 2
+
+
+def test_lattices_grow_in_place():
+    """New units do not copy what is known of the others, and shares are those of each unit alone."""
+    lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
+    draw = random.Random(8)
+    units = list(dict.fromkeys("".join(draw.choices("abeinorst漢#é", k=draw.randint(1, 9))) for _ in range(900)))
+    lattices.learn(units[:600])
+    held = lattices.edges.upto
+    lattices.learn(units[600:700])
+    assert lattices.edges.upto is held
+    lattices.learn(units[700:])
+    alone = sentencepiece_sampling.Lattices(lattices.vocabulary)
+    for unit in units[::50]:
+        alone.clear()
+        alone.learn([unit])
+        results = []
+        for lattice in (lattices, alone):
+            start = lattice.starts[unit]
+            low, high = lattice.first[start], lattice.first[start + len(unit)]
+            e = lattice.edges
+            pieces = [lattice.texts[n].decode() for n in e.piece[low:high]]
+            results.append((pieces, e.log_share[low:high].tolist(), (e.upto[low:high] - start).round(6).tolist()))
+        assert results[0] == results[1]
+        assert {p for p in pieces if len(p) > 1} == {
+            unit[i:j] for i in range(len(unit)) for j in range(i + 2, len(unit) + 1) if unit[i:j] in lattices.vocabulary.ids
+        }
