@@ -37,20 +37,25 @@ def new_path(spark: SparkSession, name: str) -> str:
 class Staged:
     """A table written to the shared folder. It cuts lineage and survives lost executors.
 
-    While it is written, Python gets few rows at a time, as any of them may be a long text.
+    While it is written, Python gets few rows at a time, as any of them may be a long text. With ``once`` Spark
+    deletes the shuffle files as soon as the table is written, where it knows the setting (4.1).
     """
 
     batch_rows = "1000"
 
-    def __init__(self, frame: DataFrame, name: str):
+    def __init__(self, frame: DataFrame, name: str, once: bool = False):
         self.spark, self.path, self.schema = frame.sparkSession, new_path(frame.sparkSession, name), frame.schema
-        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, self.batch_rows)
+        settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": self.batch_rows}
+        if once:
+            settings["spark.sql.classic.shuffleDependency.fileCleanup.enabled"] = "true"
+        before = {setting: self.spark.conf.get(setting, None) for setting in settings}
+        for setting, value in settings.items():
+            self.spark.conf.set(setting, value)
         try:
             frame.write.parquet(self.path)
         finally:
-            self.spark.conf.set(setting, before)
+            for setting, value in before.items():
+                self.spark.conf.unset(setting) if value is None else self.spark.conf.set(setting, value)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

@@ -40,3 +40,35 @@ def test_memory_of_a_shard():
     tracemalloc.stop()
     assert least[91 + 40] == 0 and least[91 + 1] == 1  # windows after the sign that differs, and over it
     assert peak < 350_000_000
+
+
+def test_parts_of_many_texts(monkeypatch):
+    """Parts found together hold the same windows by the same anchors as those of each text, and are hashed by halves."""
+    for seed in range(20):
+        draw = np.random.default_rng(seed)
+        length = int(draw.integers(20, 60))
+        gram = int(draw.integers(5, length + 1))
+        monkeypatch.setattr(suffix_dedup, "TOGETHER", int(draw.integers(60, 3000)))
+        texts = [draw.integers(97, 99 + seed, int(draw.integers(0, 400))).astype(np.uint8) for _ in range(40)]
+        found, expected = {}, {}
+        for some in suffix_dedup.found_parts(texts, length, gram):
+            assert {*suffix_dedup.halves(some, length, gram)[1].tolist()} == {*range(len(some.first))}
+            for text, first, count, before, anchor in zip(some.text, some.first, some.count, some.before, some.anchor.view(np.int64)):
+                found |= {(text, first + k): (first + before, anchor) for k in range(count)}
+        for n, text in enumerate(texts):
+            for first, count, before, anchor, _ in zip(*parts(suffix_dedup.CODES[text], length, gram)):
+                expected |= {(n, first + k): (first + before, anchor) for k in range(count)}
+        assert found == expected
+
+
+def test_only_parts_with_shared_bytes_are_rows(spark):
+    """A gram that texts share gives no row unless as many bytes beside it are shared as half of a window has."""
+    draw = random.Random(5)
+    alone = ["".join(draw.choice("abcdefgh ") for _ in range(3000)) for _ in range(40)]
+    gram, passage = alone[0][:20], alone[1][500:580]
+    texts = [(n, text + gram + text[::-1] if n < 30 else text + passage, n) for n, text in enumerate(alone)]
+    frame = spark.createDataFrame(texts, "n long, text string, owner long").selectExpr("*", "n DIV 8 page")
+    others = suffix_dedup.common_halves(frame, 50, 20, 7)
+    rows = suffix_dedup.byte_parts(frame, others, 50, 20, 7).collect()
+    assert {r.n for r in rows} == {1, *range(30, 40)}  # each text has some 375 parts
+    assert all(bytes(r.bytes) in texts[r.n][1].encode() for r in rows) and len(rows) < 12 * 11
