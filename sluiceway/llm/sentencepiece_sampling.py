@@ -240,7 +240,12 @@ def grown(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
 def spans(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges of an array one after another, and where each begins there, with the end of all."""
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    return values[np.repeat(begins - ends[:-1], sizes) + np.arange(ends[-1])], ends
+    if ends[-1] == len(sizes) and (sizes == 1).all():
+        return values[begins], ends
+    kind = np.int32 if max(len(values), ends[-1]) < 2**31 else np.int64  # half the memory to go through
+    place = np.repeat((begins - ends[:-1]).astype(kind), sizes)
+    place += np.arange(ends[-1], dtype=kind)
+    return values[place], ends
 
 
 @dataclass
@@ -257,6 +262,7 @@ class Lump:
 class Path:
     edges: np.ndarray
     unit: np.ndarray
+    logs: np.ndarray  # log shares of the steps
     before: np.ndarray  # log probability of the steps before each
     log_prob: float
     perturbed: float
@@ -369,6 +375,7 @@ class Batch:
         local = every[owner] - self.first[self.text[every[owner]]]
         cuts = np.searchsorted(owner, counts)
         paths, places, kept = {}, [], []
+        shares, rests = edges.log_share[taken], edges.log_rest[taken]
         for n, (text, lump) in enumerate(lumps.items()):
             own, unit = taken[cuts[n] : cuts[n + 1]], local[cuts[n] : cuts[n + 1]]
             step = 0
@@ -376,10 +383,14 @@ class Batch:
                 old, step = lump.path, lump.step
                 own = np.concatenate([old.edges[:step], [ways[text][0]], own])
                 unit = np.concatenate([old.unit[: step + 1], unit])
-            logs = edges.log_share[own]
+            logs, cut = shares[cuts[n] : cuts[n + 1]], 0
+            if lump is not None:
+                cut = step + 1
+                logs = np.concatenate([old.logs[:step], [edges.log_share[ways[text][0]]], logs])
             sums = np.cumsum(logs)
-            path = Path(own, unit, sums - logs, float(sums[-1]) if len(sums) else 0.0, tops[text])
-            place = path.before[step:] + edges.log_rest[own[step:]]
+            path = Path(own, unit, logs, sums - logs, float(sums[-1]) if len(sums) else 0.0, tops[text])
+            place = path.before[step:].copy()
+            place[cut - step :] += rests[cuts[n] : cuts[n + 1]]
             if lump is not None:
                 place[0] = path.before[step] + ways[text][1]
             paths[text] = path

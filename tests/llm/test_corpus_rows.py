@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -216,6 +217,30 @@ def test_sampled_segmentations(documents, texts, nothing):
     assert sentencepiece_sampling.sampled_segmentations(nothing, PIECES, 2).collect() == []
 
 
+def test_paths_keep_what_they_have_in_common():
+    """Later paths take over the steps before the one they part at; ranges are told by places of four bytes."""
+    lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
+    units = lattices.vocabulary.units("the whole of it, once more and ünd 漢字 again " * 5)
+    lattices.learn(units)
+    edges = lattices.edges
+    for seed in range(30):
+        for path in sentencepiece_sampling.Sampler(lattices, units, np.random.default_rng(seed)).sample(5)[0]:
+            assert np.array_equal(path.logs, edges.log_share[path.edges])
+            assert np.array_equal(path.before, np.cumsum(path.logs) - path.logs)
+            assert math.isclose(path.log_prob, path.logs.sum(), abs_tol=1e-9)
+            spelled = b"".join(lattices.texts[n] for n in edges.piece[path.edges].tolist())
+            assert spelled.decode() == "".join(units)
+    values, sizes = np.arange(200_000, dtype=np.uint8), np.full(100_000, 30)
+    begins = np.arange(100_000)
+    tracemalloc.start()
+    found, ends = sentencepiece_sampling.spans(values, begins, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[ends[77] : ends[78]].tolist() == values[77:107].tolist() and len(found) == ends[-1] == 3_000_000
+    assert peak < 40_000_000  # places of eight bytes take 24,000,000 twice
+    assert sentencepiece_sampling.spans(values, begins[5:9], np.ones(4, int))[0].tolist() == [5, 6, 7, 8]
+
+
 def test_samples_follow_the_law():
     lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
     weight, last = lattices.vocabulary.weight, lattices.vocabulary.last
