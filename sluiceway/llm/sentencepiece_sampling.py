@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -20,7 +21,11 @@ from sluiceway.llm.shared import portions
 SPACE = "▁"
 #: Units whose lattices a worker keeps; when full, it starts anew.
 KEPT_UNITS = 250_000
-#: Of the hashes that pieces are looked up by.
+#: Characters of units whose lattices are made together, or one unit that has more.
+LEARNT_POINTS = 50_000
+#: Of a code point, behind the number of the beginning of a piece that it follows.
+POINT_BITS = 21
+#: Of the hashes that beginnings of pieces are looked up by, and of draws.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
 HIGH_BITS, LOW_BITS = 18, np.uint64(46)
@@ -57,9 +62,20 @@ class Vocabulary:
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     @staticmethod
-    def decode(spelled: bytes) -> str:
-        """The text that pieces spell together, byte pieces by their bytes; the space put before is taken off."""
-        return spelled.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+    def units_of(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct units of texts, which of them those of all texts are, and how many each text has."""
+        written = [f" {t.replace(SPACE, ' ')}".encode() if t else b"" for t in texts]
+        data = np.frombuffer(b"".join(written), np.uint8)
+        ends = np.cumsum([0, *map(len, written)])
+        blank = data == ord(" ")
+        begins = blank.copy()
+        begins[1:] &= ~blank[:-1]
+        begins[ends[:-1][np.diff(ends) > 0]] = True
+        cuts = np.append(np.flatnonzero(begins), len(data))
+        parts = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
+        coded = parts.dictionary_encode()
+        names = pa.compute.replace_substring(coded.dictionary, " ", SPACE)
+        return names, coded.indices.to_numpy(), np.diff(np.searchsorted(cuts[:-1], ends))
 
 
 @dataclass
@@ -68,51 +84,66 @@ class Edges:
 
     upto: np.ndarray  # the state's number plus the share of edges up to this one
     log_share: np.ndarray
-    log_rest: np.ndarray  # of the other edges of its state together
     to: np.ndarray  # the state it leads to; -1 at a unit's end
     state: np.ndarray
     piece: np.ndarray  # the number of its text in ``Lattices.texts``
 
 
+@dataclass
+class Likely:
+    """Growing arrays with a row per known unit, of its path that takes the edge with the largest share everywhere."""
+
+    start: np.ndarray  # the unit's first state
+    log_prob: np.ndarray
+    begin: np.ndarray  # of its identifiers in ``Lattices.ids``
+    size: np.ndarray
+    spelt: np.ndarray  # whether its pieces spell the unit
+
+
 class Lattices:
     """States and edges of known units. An edge's share is its part of the mass of its state's paths."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        hashes = {t: int((self.hashed([t]) * SPREAD)[0]) for t in vocabulary.ids}
-        texts = sorted(hashes, key=hashes.__getitem__)
-        self.hashes = np.array([hashes[t] for t in texts], np.uint64)
-        if len(np.unique(self.hashes)) < len(texts):
-            raise ValueError("two pieces have one hash")
-        self.weights = np.array([vocabulary.weight[t] for t in texts])
-        # the first piece whose hash has no smaller high bits, and whether several have the same
+        self.plain = [*vocabulary.ids]
+        self.weights = np.array([vocabulary.weight[t] for t in self.plain])
+        # beginnings of pieces are nodes, the empty one is 0; a node and a character lead to a longer one
+        nodes: dict[int, int] = {}
+        ends = []
+        for text in self.plain:
+            node = 0
+            for c in text:
+                node = nodes.setdefault(node << POINT_BITS | ord(c), len(nodes) + 1)
+            ends.append(node)
+        keys = np.array([*nodes], np.uint64)
+        self.ending = np.full(len(nodes) + 1, -1, np.int32)  # the piece that a node is, or -1
+        self.ending[ends] = np.arange(len(ends))
+        self.inner = np.zeros(len(nodes) + 1, bool)  # whether pieces go on behind a node
+        self.inner[(keys >> np.uint64(POINT_BITS)).astype(np.int64)] = True
+        hashes = keys * SPREAD  # no two are equal, as the factor is odd
+        self.node = np.argsort(hashes)
+        self.hashes = hashes[self.node]
+        self.node = (self.node + 1).astype(np.int32)
+        # the first node whose hash has no smaller high bits, and whether several have the same
         self.begin = np.searchsorted(self.hashes, np.arange(2**HIGH_BITS, dtype=np.uint64) << LOW_BITS).astype(np.int32)
-        self.begin = np.minimum(self.begin, len(texts) - 1)
+        self.begin = np.minimum(self.begin, len(keys) - 1)
         self.several = np.bincount((self.hashes >> LOW_BITS).astype(np.int64), minlength=2**HIGH_BITS) > 1
-        self.plain = texts
         self.clear()
 
-    @staticmethod
-    def points(texts: list[str]) -> np.ndarray:
-        """The code points of texts of one length, a row each."""
-        return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(len(texts), -1).astype(np.uint64)
-
-    @classmethod
-    def hashed(cls, texts: list[str]) -> np.ndarray:
-        total = np.zeros(len(texts), np.uint64)
-        for column in cls.points(texts).T:
-            total = total * FACTOR + column + np.uint64(1)
-        return total
-
     def clear(self) -> None:
         self.starts: dict[str, int] = {}
-        self.states = self.built = 0
-        none, whole = np.zeros(0), np.zeros(0, np.int32)
+        self.states = self.built = self.listed = 0
+        none, whole, large = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)  # each state's first edge, and the number of all edges
-        self.edges = Edges(none, none, none, whole, whole, whole)
+        self.likely = whole  # each state's edge with the largest share
+        self.rest = none  # the share of the state's other edges
+        self.leave = none  # the share of a state's paths that do not take such edges up to the unit's end
+        self.edges = Edges(none, none, whole, whole, whole)
+        self.paths = Likely(large, none, large, large, np.zeros(0, bool))
+        self.ids = np.zeros(0, "<u4")
         self.texts: list[bytes] = [t.encode() for t in self.plain]
         self.sizes = np.zeros(0, np.int64)
-        self.single = np.array([self.vocabulary.ids[t] for t in self.plain], np.int32)
+        self.single = np.array([self.vocabulary.ids[t] for t in self.plain], "<u4")
         self.characters: dict[str, int] = {}
 
     def character(self, text: str) -> int:
@@ -127,7 +158,7 @@ class Lattices:
         each piece's begin, and an end."""
         if len(self.sizes) < len(self.texts):
             own = [self.vocabulary.bytes[b] for t in self.texts[len(self.plain) :] for b in t]
-            self.flat = np.concatenate([self.single, np.array(own, np.int32)])
+            self.flat = np.concatenate([self.single, np.array(own, "<u4")])
             self.sizes = np.array([1] * len(self.plain) + [*map(len, self.texts[len(self.plain) :])], np.int64)
             self.begins = np.cumsum(self.sizes) - self.sizes
             self.spelled = np.frombuffer(b"".join(self.texts), np.uint8)
@@ -137,21 +168,31 @@ class Lattices:
         letters, letter_ends = spans(self.spelled, self.letters[numbers], self.widths[numbers])
         return ids, id_ends, letters, letter_ends
 
-    def learn(self, units: list[str]) -> None:
+    def learn(self, units: list[str]) -> np.ndarray:
+        """See that units are known; where they are in ``paths``."""
         new = [u for u in dict.fromkeys(units) if u not in self.starts]
         if len(self.starts) + len(new) > KEPT_UNITS:
             self.clear()
             new = [*dict.fromkeys(units)]
-        by_size: dict[int, list[str]] = {}
-        for unit in new:
-            by_size.setdefault(len(unit), []).append(unit)
-        for size, same in by_size.items():
-            step = max(1, 1_000_000 // (size * min(size, self.vocabulary.longest)))
-            for start in range(0, len(same), step):
-                self.add(same[start : start + step], size)
+        ends = np.cumsum([*map(len, new)])
+        start = 0
+        while start < len(new):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + LEARNT_POINTS, side="right")))
+            self.add(new[start:end])
+            start = end
+        starts = np.fromiter(map(self.starts.__getitem__, units), np.int64, len(units))
+        return np.searchsorted(self.paths.start[: len(self.starts)], starts)
+
+    def log_rests(self, edges: np.ndarray) -> np.ndarray:
+        """The log share of the other edges of each edge's state together."""
+        states = self.edges.state[edges]
+        rest = np.where(self.likely[states] == edges, self.rest[states], -np.expm1(self.edges.log_share[edges]))
+        with np.errstate(divide="ignore"):
+            return np.log(rest)
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The piece with each hash, and whether there is one."""
+        """Where the node with each hash is, and whether there is one."""
         high = (hashes >> LOW_BITS).astype(np.int64)
         at = self.begin[high]
         hit = self.hashes[at] == hashes
@@ -160,70 +201,135 @@ class Lattices:
         hit[more] = self.hashes[at[more]] == hashes[more]
         return at, hit
 
-    def add(self, units: list[str], size: int) -> None:
-        """Put the lattices of units of one length behind the others."""
-        first, *edges = self.lattice(units, size)
-        for n, u in enumerate(units):
-            self.starts[u] = self.states + n * (size + 1)
-        old, end = self.edges, self.built + len(edges[0])
-        self.first = grown(self.first, self.states, np.append(first, end))
-        arrays = old.upto, old.log_share, old.log_rest, old.to, old.state, old.piece
-        self.edges = Edges(*(grown(a, self.built, b) for a, b in zip(arrays, edges, strict=True)))
-        self.states += len(first)
-        self.built = end
-
-    def lattice(self, units: list[str], size: int) -> tuple:
-        """The lattices of units of one length, from their ends: masses of paths, and edges' shares.
-
-        Units are the last dimension of all arrays, so that places and lengths are whole stretches of memory."""
-        number, width = len(units), min(size, self.vocabulary.longest)
-        points = np.ascontiguousarray(self.points(units).T) + np.uint64(1)
-        weight = np.full((size, width, number), -np.inf)
-        piece = np.zeros((size, width, number), np.int32)
-        total = np.zeros((size, number), np.uint64)
-        for k in range(width):  # pieces of k + 1 characters
-            places = size - k
-            total = total[:places] * FACTOR + points[k:]
-            at, hit = (x.reshape(places, number) for x in self.look((total * SPREAD).ravel()))
-            weight[:places, k] = np.where(hit, self.weights[at], -np.inf)
-            piece[:places, k] = at
-            if k == 0:
-                for place, row in zip(*np.nonzero(~hit), strict=True):
-                    text = units[row][place]
-                    weight[place, 0, row] = len(text.encode()) * self.vocabulary.last
-                    piece[place, 0, row] = self.character(text)
-        mass = np.zeros((size + 1, number))
-        log_share = np.full(weight.shape, -np.inf)
-        share = np.zeros(weight.shape)
-        for i in range(size - 1, -1, -1):
-            reach = min(width, size - i)
-            paths = weight[i, :reach] + mass[i + 1 : i + 1 + reach]
-            most = paths.max(axis=0)
-            each = np.exp(paths - most)
-            every = each.sum(axis=0)
-            mass[i] = most + np.log(every)
-            log_share[i, :reach] = paths - mass[i]
-            share[i, :reach] = each / every
-        upto = np.cumsum(share, axis=1)
-        ahead = np.zeros(share.shape)
-        ahead[:, 1:] = upto[:, :-1]
-        later = np.zeros(share.shape)
-        later[:, :-1] = np.cumsum(share[:, :0:-1], axis=1)[:, ::-1]
-        there = np.isfinite(weight)
-        unit, place, length = np.nonzero(there.transpose(2, 0, 1))
-        own = place, length, unit
-        counts = np.concatenate([there.sum(axis=1).T, np.zeros((number, 1), np.int64)], axis=1).ravel()
-        upto, ahead, later = upto[own], ahead[own], later[own]
-        base = self.states + unit * (size + 1)
-        state = base + place
-        to = np.where(place + length + 1 < size, base + place + length + 1, -1)
-        first = self.built + np.concatenate([[0], np.cumsum(counts)[:-1]])
-        with np.errstate(divide="ignore"):
-            log_rest = np.log(ahead + later)
-        return (
-            first, state + np.where(later > 0, upto, 1.0), log_share[own], log_rest,
-            to.astype(np.int32), state.astype(np.int32), piece[own],
+    def found(self, points: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places in code points, by place and length, with lengths, numbers and log weights of the pieces there.
+
+        ``left`` says how far it is to the end of the unit. A character without a piece has the weight of its bytes."""
+        places, lengths, pieces = [], [], []
+        live, node = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        for k in range(self.vocabulary.longest):  # pieces of k + 1 characters
+            at, hit = self.look((node << np.uint64(POINT_BITS) | points[live + k]) * SPREAD)
+            live, now = live[hit], self.node[at[hit]]
+            ending = self.ending[now]
+            there = ending >= 0
+            places.append(live[there]), pieces.append(ending[there]), lengths.append(np.full(len(places[-1]), k + 1))
+            on = np.flatnonzero(self.inner[now] & (left[live] > k + 1))
+            live, node = live[on], now[on].astype(np.uint64)
+            if not len(live):
+                break
+        weights = [self.weights[p] for p in pieces]
+        bare = np.ones(len(points), bool)
+        bare[places[0]] = False
+        bare = np.flatnonzero(bare)
+        if len(bare):
+            kinds, kind = np.unique(points[bare], return_inverse=True)
+            numbers = [self.character(chr(c)) for c in kinds.tolist()]
+            places.append(bare), lengths.append(np.ones(len(bare), np.int64))
+            pieces.append(np.array(numbers, np.int32)[kind])
+            weights.append(np.array([len(self.texts[n]) for n in numbers])[kind] * self.vocabulary.last)
+        place, length, piece, weight = (np.concatenate(x) for x in (places, lengths, pieces, weights))
+        order = np.lexsort([length, place]) if len(bare) else np.argsort(place, kind="stable")
+        return place[order], length[order], piece[order], weight[order]
+
+    def add(self, units: list[str]) -> None:
+        """Put the lattices of units behind the others, from the units' ends: masses of paths, and edges' shares."""
+        sizes = np.array([*map(len, units)], np.int64)
+        points = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").astype(np.uint64)
+        ends, count = np.cumsum(sizes), len(points)
+        left = np.repeat(ends, sizes) - np.arange(count)
+        place, length, piece, weight = self.found(points, left)
+        own = np.arange(count) + np.repeat(np.arange(len(units)), sizes)  # states; a unit has one more for its end
+        state = own[place]
+        after = state + length
+        edges = np.bincount(place, minlength=count)
+        heads = np.cumsum(edges) - edges
+
+        # places as far from the end of their units are worked on together
+        near = left.astype(np.int16) if left.max() < 2**15 else left  # those are sorted faster
+        turn, edge_turn = np.argsort(near, kind="stable"), np.argsort(near[place], kind="stable")
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(left)[1:])])
+        own_turn, head_turn = own[turn], np.concatenate([[0], np.cumsum(edges[turn])])
+        weight_turn, after_turn = weight[edge_turn], after[edge_turn]
+        mass = np.zeros(count + len(units))
+        cuts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+        for low, high in cuts:
+            start, end = head_turn[low], head_turn[high]
+            paths = weight_turn[start:end] + mass[after_turn[start:end]]
+            mass[own_turn[low:high]] = np.logaddexp.reduceat(paths, head_turn[low:high] - start)
+        log_share = weight + mass[after] - mass[state]
+        share = np.exp(log_share)
+        running = np.cumsum(share)
+        upto = running - np.repeat(running[heads] - share[heads], edges)
+        upto[heads + edges - 1] = 1.0
+        largest = np.flatnonzero(log_share == np.repeat(np.maximum.reduceat(log_share, heads), edges))
+        likely = np.empty(count, np.int64)
+        likely[place[largest]] = largest
+        others = share.copy()
+        others[likely] = 0.0
+        rest = np.add.reduceat(others, heads)
+        leave = np.zeros(len(mass))
+        rest_turn, share_turn, likely_after = rest[turn], share[likely[turn]], after[likely[turn]]
+        for low, high in cuts:
+            leave[own_turn[low:high]] = rest_turn[low:high] + share_turn[low:high] * leave[likely_after[low:high]]
+
+        at, live, steps = ends - sizes, np.arange(len(units)), []
+        while len(live):
+            taken = likely[at[live]]
+            steps.append((live, taken))
+            at[live] += length[taken]
+            live = live[at[live] < ends[live]]
+        taken, _, begins = in_order(steps, len(units))
+        ids, id_ends, letters, letter_ends = self.written(piece[taken])
+        cut = np.append(begins, len(taken))
+        widths = np.add.reduceat(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), ends - sizes, dtype=np.int64)
+        wanted = np.frombuffer("".join(units).encode(), np.uint8)
+        spelt = alike(letters, letter_ends[cut], wanted, np.concatenate([[0], np.cumsum(widths)]))
+
+        starts = self.states + own[ends - sizes]
+        for unit, start in zip(units, starts.tolist(), strict=True):
+            self.starts[unit] = start
+        known = len(self.starts) - len(units)
+        path = (
+            starts, np.add.reduceat(log_share[taken], begins), self.listed + id_ends[begins],
+            id_ends[cut[1:]] - id_ends[begins], spelt,
         )
+        old = self.paths
+        arrays = old.start, old.log_prob, old.begin, old.size, old.spelt
+        self.paths = Likely(*(grown(a, known, b) for a, b in zip(arrays, path, strict=True)))
+        self.ids = grown(self.ids, self.listed, ids)
+        per_state = np.zeros(len(mass), np.int64)
+        per_state[own] = edges
+        end = self.built + len(place)
+        self.first = grown(self.first, self.states, np.append(end - len(place) + np.cumsum(per_state) - per_state, end))
+        self.leave = grown(self.leave, self.states, leave)
+        per_state_rest, likely_edge = np.zeros(len(mass)), np.zeros(len(mass), np.int32)
+        per_state_rest[own], likely_edge[own] = rest, self.built + likely
+        self.rest = grown(self.rest, self.states, per_state_rest)
+        self.likely = grown(self.likely, self.states, likely_edge)
+        to = np.where(length < left[place], self.states + after, -1)
+        old, state = self.edges, self.states + state
+        arrays = old.upto, old.log_share, old.to, old.state, old.piece
+        new = state + upto, log_share, to.astype(np.int32), state.astype(np.int32), piece.astype(np.int32)
+        self.edges = Edges(*(grown(a, self.built, b) for a, b in zip(arrays, new, strict=True)))
+        self.states += len(mass)
+        self.built, self.listed = end, self.listed + len(ids)
+
+
+def in_order(steps: list[tuple[np.ndarray, np.ndarray]], count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The edges of ``count`` walks made together, walk by walk, whose each is, and where each walk begins."""
+    owner, taken = (np.concatenate(x) for x in zip(*steps, strict=True))
+    sizes = np.bincount(owner, minlength=count)
+    order = np.argsort(owner, kind="stable")
+    return taken[order], owner[order], np.cumsum(sizes) - sizes
+
+
+def alike(letters: np.ndarray, cuts: np.ndarray, wanted: np.ndarray, wanted_cuts: np.ndarray) -> np.ndarray:
+    """Whether each stretch of letters is the one that is wanted."""
+    if np.array_equal(letters, wanted) and np.array_equal(cuts, wanted_cuts):
+        return np.ones(len(cuts) - 1, bool)
+    found, sought = letters.tobytes(), wanted.tobytes()
+    places = zip(cuts[:-1].tolist(), cuts[1:].tolist(), wanted_cuts[:-1].tolist(), wanted_cuts[1:].tolist(), strict=True)
+    return np.array([found[a:b] == sought[c:d] for a, b, c, d in places], bool)
 
 
 def grown(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
@@ -258,6 +364,16 @@ class Lump:
     barred: tuple[int, ...]
 
 
+@dataclass
+class Sample:
+    """A path as it is given out."""
+
+    ids: bytes  # of 4 bytes each, the lowest first
+    log_prob: float
+    perturbed: float
+    spelt: bool  # whether the pieces spell the text, its spaces marked
+
+
 @dataclass
 class Path:
     edges: np.ndarray
@@ -375,7 +491,7 @@ class Batch:
         local = every[owner] - self.first[self.text[every[owner]]]
         cuts = np.searchsorted(owner, counts)
         paths, places, kept = {}, [], []
-        shares, rests = edges.log_share[taken], edges.log_rest[taken]
+        shares, rests = edges.log_share[taken], self.lattices.log_rests(taken)
         for n, (text, lump) in enumerate(lumps.items()):
             own, unit = taken[cuts[n] : cuts[n + 1]], local[cuts[n] : cuts[n + 1]]
             step = 0
@@ -448,6 +564,111 @@ class Sampler:
         return self.batch.samples(count)[0]
 
 
+class Arrivals:
+    """Paths of many texts in the order in which they arrive, one in a unit of time on average.
+
+    Whole paths arrive at the times of a Poisson process, each drawn anew by its probability. So a path's first
+    arrival is exponential with its probability as the rate, and minus the log of that time is its perturbed log
+    probability: the distinct paths, as they arrive, are those that a draw for every path would have ranked first.
+    This is for texts none of whose paths arrives often. A unit takes its likely path unless a draw says otherwise,
+    and only units that leave theirs are walked.
+    """
+
+    def __init__(self, lattices: Lattices, names: pa.Array, rows: np.ndarray, kinds: np.ndarray, sizes: np.ndarray, seeds: np.ndarray):
+        """Units, and where they are among the known; which of them those of all texts are, one text after another;
+        and how many each text has, one at least."""
+        self.lattices, self.draws, self.kinds, self.sizes = lattices, Draws(seeds), kinds, sizes
+        self.first = np.cumsum(sizes) - sizes  # of each text's units
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        self.counters = self.draws.at(text, np.arange(len(kinds)) - self.first[text] + 1)  # of each unit
+        _, offsets, data = names.buffers()
+        self.letters = np.frombuffer(data or b"", np.uint8)
+        self.letter_ends = np.frombuffer(offsets, np.int64)[names.offset : names.offset + len(names) + 1]
+        paths = lattices.paths
+        self.states, self.log_prob, self.id_sizes, self.spelt = (x[rows] for x in (paths.start, paths.log_prob, paths.size, paths.spelt))
+        self.leave = lattices.leave[self.states]
+        self.ids, ends = spans(lattices.ids, paths.begin[rows], self.id_sizes)
+        self.begins = ends[:-1]
+
+    @staticmethod
+    def fits(lattices: Lattices, rows: np.ndarray, kinds: np.ndarray, sizes: np.ndarray, count: int) -> np.ndarray:
+        """Whether it is rare that the same path of a text is twice among so many that arrive."""
+        leave = lattices.leave[lattices.paths.start[rows]]
+        most = np.log(np.maximum(1 - leave, leave))[kinds]  # no path of a unit has more
+        sums = np.zeros(len(sizes))
+        held = np.flatnonzero(sizes)
+        if len(held):
+            sums[held] = np.add.reduceat(most, (np.cumsum(sizes) - sizes)[held])
+        return sums <= -math.log(10 * (count + 1))
+
+    def walk(self, states: np.ndarray, counters: np.ndarray, arrival: int) -> tuple[np.ndarray, np.ndarray]:
+        """Edges drawn from each unit's first state to its end, not all of them the likely ones, and where each walk begins."""
+        lattices, edges = self.lattices, self.lattices.edges
+        at, held, live, steps = states.copy(), np.ones(len(states), bool), np.arange(len(states)), []
+        while len(live):
+            here, bound = at[live], held[live]  # those that have taken likely edges only have to leave them still
+            low, taken, likely = lattices.first[here], lattices.first[here + 1] - 1, lattices.likely[here]
+            rest = Draws.of(counters[live], arrival, STEP, len(steps)) * np.where(bound, lattices.leave[here], 1.0)
+            seek = np.arange(len(live))
+            while len(seek):
+                now = taken[seek]
+                share = np.exp(edges.log_share[now])
+                again = np.flatnonzero(bound[seek] & (now == likely[seek]))
+                to = edges.to[now[again]]
+                share[again] *= np.where(to < 0, 0.0, lattices.leave[to])
+                rest[seek] -= share
+                seek = seek[(rest[seek] >= 0) & (now > low[seek])]
+                taken[seek] -= 1
+            steps.append((live, taken))
+            held[live] = bound & (taken == likely)
+            at[live] = here = edges.to[taken]
+            live = live[here >= 0]
+        taken, _, begins = in_order(steps, len(states))
+        return taken, begins
+
+    def arrive(self, arrival: int, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The path of each of the texts that is its arrival number so: log probabilities, identifiers of all, where
+        each path's begin, and an end, and whether each path spells its text."""
+        edges, sizes = self.lattices.edges, self.sizes[texts]
+        places, ends = spans(np.arange(len(self.kinds)), self.first[texts], sizes)
+        counters, kinds = self.counters[places], self.kinds[places]
+        log_prob, begins, id_sizes, spelt = (x[kinds] for x in (self.log_prob, self.begins, self.id_sizes, self.spelt))
+        leaving, ids = np.flatnonzero(Draws.of(counters, arrival, WAY) < self.leave[kinds]), self.ids
+        if len(leaving):
+            own = kinds[leaving]
+            taken, walks = self.walk(self.states[own], counters[leaving], arrival)
+            log_prob[leaving] = np.add.reduceat(edges.log_share[taken], walks)
+            new, id_ends, letters, letter_ends = self.lattices.written(edges.piece[taken])
+            cuts = np.append(walks, len(taken))
+            begins[leaving], id_sizes[leaving] = len(ids) + id_ends[walks], np.diff(id_ends[cuts])
+            wanted = spans(self.letters, self.letter_ends[own], self.letter_ends[own + 1] - self.letter_ends[own])
+            spelt[leaving] = alike(letters, letter_ends[cuts], *wanted)
+            ids = np.concatenate([ids, new])
+        flat, id_ends = spans(ids, begins, id_sizes)
+        return np.add.reduceat(log_prob, ends[:-1]), flat, id_ends[ends], np.logical_and.reduceat(spelt, ends[:-1])
+
+    def samples(self, count: int) -> list[tuple[list[Sample], float]]:
+        """Of each text so many distinct paths, best first, and the threshold that the next one has."""
+        texts = np.arange(len(self.sizes))
+        times, arrival = np.zeros(len(texts)), 0
+        found: list[list[Sample]] = [[] for _ in texts]
+        thresholds = [0.0] * len(texts)
+        while len(texts):
+            times[texts] -= np.log(Draws.of(self.draws.at(texts, np.zeros(len(texts))), arrival, ROOT))
+            log_prob, flat, cuts, spelt = self.arrive(arrival, texts)
+            more, cuts, log_prob, spelt = [], cuts.tolist(), log_prob.tolist(), spelt.tolist()
+            for n, text in enumerate(texts.tolist()):
+                path = Sample(flat[cuts[n] : cuts[n + 1]].tobytes(), log_prob[n], -math.log(times[text]), spelt[n])
+                if all(path.ids != other.ids for other in found[text]):
+                    if len(found[text]) == count:
+                        thresholds[text] = path.perturbed
+                        continue
+                    found[text].append(path)
+                more.append(text)
+            texts, arrival = np.array(more, np.int64), arrival + 1
+        return [*zip(found, thresholds, strict=True)]
+
+
 _lattices: dict[str, Lattices] = {}
 
 
@@ -457,6 +678,40 @@ def lattices_for(path: str) -> Lattices:
     return _lattices[path]
 
 
+def searched(lattices: Lattices, texts: list[list[str]], seeds: np.ndarray, count: int) -> list[tuple[list[Sample], float]]:
+    """Samples and thresholds of texts, by their units, as ``Batch`` finds them."""
+    found = Batch(lattices, texts, seeds).samples(count)
+    every = [path.edges for paths, _ in found for path in paths]
+    cuts = np.cumsum([0, *map(len, every)])
+    numbers = lattices.edges.piece[np.concatenate([*every, np.zeros(0, np.int64)])]
+    flat, id_ends, letters, letter_ends = lattices.written(numbers)
+    wanted = ["".join(units).encode() for units, (paths, _) in zip(texts, found, strict=True) for _ in paths]
+    whole = np.frombuffer(b"".join(wanted), np.uint8)
+    spelt = alike(letters, letter_ends[cuts], whole, np.cumsum([0, *map(len, wanted)])).tolist()
+    out, at, places = [], 0, id_ends[cuts].tolist()
+    for paths, threshold in found:
+        own = range(at, at + len(paths))
+        at += len(paths)
+        out.append((
+            [Sample(flat[places[n] : places[n + 1]].tobytes(), p.log_prob, p.perturbed, spelt[n]) for n, p in zip(own, paths, strict=True)],
+            threshold,
+        ))
+    return out
+
+
+def sampled(lattices: Lattices, texts: list[str], seeds: np.ndarray, count: int) -> list[tuple[list[Sample], float]]:
+    """Of each text at most so many distinct samples, best first, and the threshold that the next one would have."""
+    names, kinds, sizes = lattices.vocabulary.units_of(texts)
+    units = names.to_pylist()
+    rows = lattices.learn(units)
+    fits = Arrivals.fits(lattices, rows, kinds, sizes, count)
+    arriving = Arrivals(lattices, names, rows, kinds[np.repeat(fits, sizes)], sizes[fits], seeds[fits]).samples(count)
+    ends = np.cumsum(sizes)
+    few = [[units[k] for k in kinds[ends[n] - sizes[n] : ends[n]].tolist()] for n in np.flatnonzero(~fits)]
+    others, arriving = iter(searched(lattices, few, seeds[~fits], count) if few else []), iter(arriving)
+    return [next(arriving if x else others) for x in fits.tolist()]
+
+
 def log_inclusion(log_prob: float, threshold: float) -> float:
     """The log of the chance that a path's perturbed value exceeds the threshold."""
     if threshold == -math.inf:
@@ -487,28 +742,16 @@ def sampled_segmentations(
             for batch in portions(whole):
                 where: list[int] = []
                 out: list[list] = [[] for _ in range(8)]
-                texts = [lattices.vocabulary.units(x or "") for x in batch.column(1).to_pylist()]
-                lattices.learn([u for units in texts for u in units])
-                names_and_texts = [c.to_pylist() for c in batch.columns]
-                seeds = [xxhash.xxh3_64_intdigest(f"{seed}:{name}".encode()) for name in names_and_texts[0]]
-                found = Batch(lattices, texts, np.array(seeds, np.uint64)).samples(count)
-                every = [path.edges for paths, _ in found for path in paths]
-                cuts = np.cumsum([0, *map(len, every)])
-                numbers = lattices.edges.piece[np.concatenate([*every, np.zeros(0, np.int64)])]
-                flat, id_ends, letters, letter_ends = lattices.written(numbers)
-                id_cuts, letter_cuts, at = id_ends[cuts].tolist(), letter_ends[cuts].tolist(), 0
-                for i, (value, (paths, threshold)) in enumerate(zip(names_and_texts[1], found, strict=True)):
-                    last = decoded = None  # samples of a text mostly spell the same bytes
+                keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
+                seeds = [xxhash.xxh3_64_intdigest(f"{seed}:{name}".encode()) for name in keys]
+                found = sampled(lattices, texts, np.array(seeds, np.uint64), count)
+                for i, (value, (paths, threshold)) in enumerate(zip(texts, found, strict=True)):
                     for n, path in enumerate(paths):
-                        ids = flat[id_cuts[at] : id_cuts[at + 1]]
-                        spelled = letters[letter_cuts[at] : letter_cuts[at + 1]].tobytes()
-                        at += 1
-                        if spelled != last:
-                            last, decoded = spelled, lattices.vocabulary.decode(spelled)
                         where.append(i)
                         row = (
-                            n, len(ids), path.log_prob, path.perturbed, log_inclusion(path.log_prob, threshold),
-                            zlib.crc32(ids.astype("<u4").tobytes()), decoded == (value or ""), ids.tolist() if with_ids else None,
+                            n, len(path.ids) // 4, path.log_prob, path.perturbed, log_inclusion(path.log_prob, threshold),
+                            zlib.crc32(path.ids), path.spelt and SPACE not in value,
+                            np.frombuffer(path.ids, "<u4").tolist() if with_ids else None,
                         )
                         for column, item in zip(out, row, strict=True):
                             column.append(item)

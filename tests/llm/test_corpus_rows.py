@@ -11,11 +11,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from corpus_fixtures import documents, nothing, texts  # noqa: F401  (fixtures)
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from sluiceway.llm import packing, quality, sentencepiece_sampling, sharding, token_counts, trees
@@ -365,3 +367,99 @@ def test_lattices_grow_in_place():
         assert {p for p in pieces if len(p) > 1} == {
             unit[i:j] for i in range(len(unit)) for j in range(i + 2, len(unit) + 1) if unit[i:j] in lattices.vocabulary.ids
         }
+
+
+def test_arrivals_follow_the_law():
+    """Paths in the order in which they arrive are those that a draw for every path would have ranked first."""
+    lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
+    texts, weight = ["ab ca"] * 6000, lattices.vocabulary.weight
+    names, kinds, sizes = lattices.vocabulary.units_of(texts)
+    rows = lattices.learn(names.to_pylist())
+    assert not sentencepiece_sampling.Arrivals.fits(lattices, rows, kinds, sizes, 3).any()  # so that paths come twice here
+    seeds = np.arange(6000).astype(np.uint64)
+    found = sentencepiece_sampling.Arrivals(lattices, names, rows, kinds, sizes, seeds).samples(3)
+    law, numbers = {}, lattices.vocabulary.ids
+    for cuts in itertools.product([False, True], repeat=5):
+        parts = "".join(c + "|" * cut for c, cut in zip("▁ab▁ca", [*cuts, False], strict=True)).split("|")
+        if all(p in numbers for p in parts) and not any("▁" in p[1:] for p in parts):
+            law[np.array([numbers[p] for p in parts], "<u4").tobytes()] = sum(weight[p] for p in parts)
+    whole = math.log(sum(map(math.exp, law.values())))
+    law = {k: math.exp(w - whole) for k, w in law.items()}
+    first, second, scores = collections.Counter(), collections.Counter(), collections.Counter()
+    gumbel = []
+    for paths, threshold in found:
+        assert len({p.ids for p in paths}) == 3 and all(p.spelt for p in paths)
+        assert [p.perturbed for p in paths] == sorted([p.perturbed for p in paths], reverse=True)
+        assert threshold < paths[-1].perturbed
+        gumbel.append(paths[0].perturbed)
+        first[paths[0].ids] += 1
+        second[paths[1].ids] += 1
+        for p in paths:
+            assert math.isclose(p.log_prob, math.log(law[p.ids]), abs_tol=1e-9)
+            scores[p.ids] += 1 / math.exp(sentencepiece_sampling.log_inclusion(p.log_prob, threshold))
+    assert abs(np.mean(gumbel) - 0.5772) < 0.08 and abs(np.var(gumbel) - math.pi**2 / 6) < 0.2
+    for key, share in law.items():
+        after = sum(law[k] * share / (1 - law[k]) for k in law if k != key)
+        assert abs(first[key] / 6000 - share) < 0.025 and abs(second[key] / 6000 - after) < 0.025
+        if share > 0.01:
+            assert abs(scores[key] / 6000 - 1) < 0.25
+
+
+def test_only_units_that_leave_their_likely_path_are_walked(monkeypatch):
+    """Walks of all units, two and a half times a text, took most of the time."""
+    walked = [0]
+
+    def counted(walk):
+        def call(self, *arrays):
+            walked[0] += len(arrays[0])
+            return walk(self, *arrays)
+
+        return call
+
+    for name in ("Batch", "Arrivals"):
+        if kind := getattr(sentencepiece_sampling, name, None):
+            monkeypatch.setattr(kind, "walk", counted(kind.walk))
+    model = sentencepiece_sampling.lattices_for(PIECES).vocabulary
+    text = "the people of this city have been there for more than a year and 漢 know it\n" * 40
+    units = len(model.units(text))
+
+    class Frame:
+        schema = StructType().add("doc_id", "long")
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return list(work(iter([pa.RecordBatch.from_pydict({"doc_id": [5, 6], "text": [text, text + "▁"]})])))
+
+    rows = sentencepiece_sampling.sampled_segmentations(Frame(), PIECES, 4, with_ids=True)[0].to_pylist()
+    assert 0 < walked[0] < 2 * units
+    assert [r["round_trip"] for r in rows] == [True] * 4 + [False] * 4
+    assert len({tuple(r["ids"]) for r in rows}) == 8
+    last = model.last
+    plain = {i: model.weight[p] for p, i in model.ids.items()}
+    sums = [r["log_prob"] - sum(plain.get(i, last) for i in r["ids"]) for r in rows]
+    assert max(sums[:4]) - min(sums[:4]) < 1e-6  # the same mass of all paths
+    assert all(model.processor.decode(r["ids"]) == text for r in rows[:4])
+
+
+def test_units_of_many_texts():
+    lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
+    draw = random.Random(3)
+    some = ["", " ", "  ", "▁", "a", *("".join(draw.choices("ab  ▁\n漢é", k=draw.randint(0, 12))) for _ in range(300)), ""]
+    for texts in (some, [], [""], ["", ""]):
+        names, kinds, sizes = lattices.vocabulary.units_of(texts)
+        names, ends = names.to_pylist(), np.cumsum(sizes)
+        units = [[names[k] for k in kinds[e - s : e]] for e, s in zip(ends, sizes, strict=True)]
+        assert units == [lattices.vocabulary.units(t) for t in texts]
+        rows = lattices.learn(names)
+        assert lattices.paths.start[rows].tolist() == [lattices.starts[u] for u in names]
+        for n in rows.tolist():
+            path = lattices.paths
+            assert math.isclose(lattices.leave[path.start[n]], -math.expm1(path.log_prob[n]), abs_tol=1e-12)
+        assert lattices.paths.spelt[rows].all()
+    letters, cuts = np.frombuffer(b"abcabd", np.uint8), np.array([0, 3, 6])
+    alike = sentencepiece_sampling.alike
+    assert alike(letters, cuts, letters, cuts).tolist() == [True, True]
+    assert alike(letters, cuts, np.frombuffer(b"abcabc", np.uint8), cuts).tolist() == [True, False]
+    assert alike(letters, cuts, letters, np.array([0, 2, 6])).tolist() == [False, False]
