@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -52,24 +51,22 @@ class Vocabulary:
         }
         self.longest = max(map(len, self.ids))
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        # no piece has a space after another character, so a text falls into units at its spaces
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
-            raise ValueError(f"{path}: pieces reach across spaces")
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        # a text falls into units wherever no piece has the two bytes there, the last of a character and the first
+        # of the next one, one after the other; a byte that goes on with a character begins none
+        self.joined = np.zeros(2**16, bool)
+        self.joined.reshape(256, 256)[:, 0x80:0xC0] = True
+        for piece in self.ids:
+            self.joined[pairs(np.frombuffer(piece.replace(SPACE, " ").encode(), np.uint8))] = True
 
-    def units(self, text: str) -> list[str]:
-        """A text's units; together they are the text, a space before it, its spaces marked."""
-        return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    def units_of(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct units of texts, which of them those of all texts are, and how many each text has.
 
-    @staticmethod
-    def units_of(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """The distinct units of texts, which of them those of all texts are, and how many each text has."""
+        Together a text's units are the text, a space before it, its spaces marked."""
         written = [f" {t.replace(SPACE, ' ')}".encode() if t else b"" for t in texts]
         data = np.frombuffer(b"".join(written), np.uint8)
         ends = np.cumsum([0, *map(len, written)])
-        blank = data == ord(" ")
-        begins = blank.copy()
-        begins[1:] &= ~blank[:-1]
+        begins = np.ones(len(data), bool)
+        begins[1:] = ~self.joined[pairs(data)]
         begins[ends[:-1][np.diff(ends) > 0]] = True
         cuts = np.append(np.flatnonzero(begins), len(data))
         parts = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
@@ -77,6 +74,16 @@ class Vocabulary:
         names = pa.compute.replace_substring(coded.dictionary, " ", SPACE)
         return names, coded.indices.to_numpy(), np.diff(np.searchsorted(cuts[:-1], ends))
 
+    def units(self, text: str) -> list[str]:
+        """A text's units, in order."""
+        names, kinds, _ = self.units_of([text])
+        return names.take(pa.array(kinds)).to_pylist()
+
+
+def pairs(data: np.ndarray) -> np.ndarray:
+    """Every two neighbouring bytes as one number."""
+    return data[:-1].astype(np.uint16) << 8 | data[1:]
+
 
 @dataclass
 class Edges:
@@ -123,7 +130,10 @@ class Lattices:
         hashes = keys * SPREAD  # no two are equal, as the factor is odd
         self.node = np.argsort(hashes)
         self.hashes = hashes[self.node]
+        self.root = np.zeros(0x110000, np.int32)  # the node of each character, or 0
         self.node = (self.node + 1).astype(np.int32)
+        single = np.flatnonzero(keys < len(self.root))
+        self.root[keys[single].astype(np.int64)] = single + 1
         # the first node whose hash has no smaller high bits, and whether several have the same
         self.begin = np.searchsorted(self.hashes, np.arange(2**HIGH_BITS, dtype=np.uint64) << LOW_BITS).astype(np.int32)
         self.begin = np.minimum(self.begin, len(keys) - 1)
@@ -132,6 +142,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.starts: dict[str, int] = {}
+        self.known: list[pa.Array] = []  # the same units, in order
         self.states = self.built = self.listed = 0
         none, whole, large = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)  # each state's first edge, and the number of all edges
@@ -168,8 +179,7 @@ class Lattices:
         letters, letter_ends = spans(self.spelled, self.letters[numbers], self.widths[numbers])
         return ids, id_ends, letters, letter_ends
 
-    def learn(self, units: list[str]) -> np.ndarray:
-        """See that units are known; where they are in ``paths``."""
+    def learn(self, units: list[str]) -> None:
         new = [u for u in dict.fromkeys(units) if u not in self.starts]
         if len(self.starts) + len(new) > KEPT_UNITS:
             self.clear()
@@ -181,8 +191,17 @@ class Lattices:
             end = max(start + 1, int(np.searchsorted(ends, before + LEARNT_POINTS, side="right")))
             self.add(new[start:end])
             start = end
-        starts = np.fromiter(map(self.starts.__getitem__, units), np.int64, len(units))
-        return np.searchsorted(self.paths.start[: len(self.starts)], starts)
+
+    def rows(self, units: pa.Array) -> np.ndarray:
+        """Where different units are in ``paths``; what is not known of them is learnt first."""
+        found = pa.compute.index_in(units, value_set=pa.chunked_array(self.known, pa.large_string()))
+        if len(self.starts) + found.null_count > KEPT_UNITS:
+            self.clear()
+            found = pa.nulls(len(units), pa.int32())
+        rows = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows[rows < 0] = len(self.starts) + np.arange(found.null_count)
+        self.learn(units.filter(found.is_null()).to_pylist())
+        return rows
 
     def log_rests(self, edges: np.ndarray) -> np.ndarray:
         """The log share of the other edges of each edge's state together."""
@@ -205,19 +224,13 @@ class Lattices:
         """Places in code points, by place and length, with lengths, numbers and log weights of the pieces there.
 
         ``left`` says how far it is to the end of the unit. A character without a piece has the weight of its bytes."""
-        places, lengths, pieces = [], [], []
-        live, node = np.arange(len(points)), np.zeros(len(points), np.uint64)
-        for k in range(self.vocabulary.longest):  # pieces of k + 1 characters
-            at, hit = self.look((node << np.uint64(POINT_BITS) | points[live + k]) * SPREAD)
-            live, now = live[hit], self.node[at[hit]]
-            ending = self.ending[now]
-            there = ending >= 0
-            places.append(live[there]), pieces.append(ending[there]), lengths.append(np.full(len(places[-1]), k + 1))
-            on = np.flatnonzero(self.inner[now] & (left[live] > k + 1))
-            live, node = live[on], now[on].astype(np.uint64)
-            if not len(live):
-                break
-        weights = [self.weights[p] for p in pieces]
+        now = self.root[points]
+        live = np.flatnonzero(now)
+        now = now[live]
+        ending = self.ending[now]
+        there = ending >= 0
+        places, pieces = [live[there]], [ending[there]]
+        weights, lengths = [self.weights[pieces[0]]], [np.ones(len(places[0]), np.int64)]
         bare = np.ones(len(points), bool)
         bare[places[0]] = False
         bare = np.flatnonzero(bare)
@@ -227,8 +240,19 @@ class Lattices:
             places.append(bare), lengths.append(np.ones(len(bare), np.int64))
             pieces.append(np.array(numbers, np.int32)[kind])
             weights.append(np.array([len(self.texts[n]) for n in numbers])[kind] * self.vocabulary.last)
+        for k in range(1, self.vocabulary.longest):  # pieces of k + 1 characters
+            on = np.flatnonzero(self.inner[now] & (left[live] > k))
+            live = live[on]
+            if not len(live):
+                break
+            at, hit = self.look((now[on].astype(np.uint64) << np.uint64(POINT_BITS) | points[live + k]) * SPREAD)
+            live, now = live[hit], self.node[at[hit]]
+            ending = self.ending[now]
+            there = ending >= 0
+            places.append(live[there]), pieces.append(ending[there]), lengths.append(np.full(len(places[-1]), k + 1))
+            weights.append(self.weights[pieces[-1]])
         place, length, piece, weight = (np.concatenate(x) for x in (places, lengths, pieces, weights))
-        order = np.lexsort([length, place]) if len(bare) else np.argsort(place, kind="stable")
+        order = np.argsort(short(place), kind="stable")
         return place[order], length[order], piece[order], weight[order]
 
     def add(self, units: list[str]) -> None:
@@ -245,7 +269,7 @@ class Lattices:
         heads = np.cumsum(edges) - edges
 
         # places as far from the end of their units are worked on together
-        near = left.astype(np.int16) if left.max() < 2**15 else left  # those are sorted faster
+        near = short(left)
         turn, edge_turn = np.argsort(near, kind="stable"), np.argsort(near[place], kind="stable")
         bounds = np.concatenate([[0], np.cumsum(np.bincount(left)[1:])])
         own_turn, head_turn = own[turn], np.concatenate([[0], np.cumsum(edges[turn])])
@@ -285,10 +309,9 @@ class Lattices:
         wanted = np.frombuffer("".join(units).encode(), np.uint8)
         spelt = alike(letters, letter_ends[cut], wanted, np.concatenate([[0], np.cumsum(widths)]))
 
-        starts = self.states + own[ends - sizes]
-        for unit, start in zip(units, starts.tolist(), strict=True):
-            self.starts[unit] = start
-        known = len(self.starts) - len(units)
+        starts, known = self.states + own[ends - sizes], len(self.starts)
+        self.starts.update(zip(units, starts.tolist(), strict=True))
+        self.known.append(pa.array(units, pa.large_string()))
         path = (
             starts, np.add.reduceat(log_share[taken], begins), self.listed + id_ends[begins],
             id_ends[cut[1:]] - id_ends[begins], spelt,
@@ -315,6 +338,11 @@ class Lattices:
         self.built, self.listed = end, self.listed + len(ids)
 
 
+def short(numbers: np.ndarray) -> np.ndarray:
+    """The same numbers, none below 0, in two bytes if they fit there; those are sorted faster."""
+    return numbers.astype(np.uint16) if numbers.max() < 2**16 else numbers
+
+
 def in_order(steps: list[tuple[np.ndarray, np.ndarray]], count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The edges of ``count`` walks made together, walk by walk, whose each is, and where each walk begins."""
     owner, taken = (np.concatenate(x) for x in zip(*steps, strict=True))
@@ -702,12 +730,11 @@ def searched(lattices: Lattices, texts: list[list[str]], seeds: np.ndarray, coun
 def sampled(lattices: Lattices, texts: list[str], seeds: np.ndarray, count: int) -> list[tuple[list[Sample], float]]:
     """Of each text at most so many distinct samples, best first, and the threshold that the next one would have."""
     names, kinds, sizes = lattices.vocabulary.units_of(texts)
-    units = names.to_pylist()
-    rows = lattices.learn(units)
+    rows = lattices.rows(names)
     fits = Arrivals.fits(lattices, rows, kinds, sizes, count)
     arriving = Arrivals(lattices, names, rows, kinds[np.repeat(fits, sizes)], sizes[fits], seeds[fits]).samples(count)
     ends = np.cumsum(sizes)
-    few = [[units[k] for k in kinds[ends[n] - sizes[n] : ends[n]].tolist()] for n in np.flatnonzero(~fits)]
+    few = [names.take(pa.array(kinds[ends[n] - sizes[n] : ends[n]])).to_pylist() for n in np.flatnonzero(~fits)]
     others, arriving = iter(searched(lattices, few, seeds[~fits], count) if few else []), iter(arriving)
     return [next(arriving if x else others) for x in fits.tolist()]
 

@@ -374,7 +374,7 @@ def test_arrivals_follow_the_law():
     lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
     texts, weight = ["ab ca"] * 6000, lattices.vocabulary.weight
     names, kinds, sizes = lattices.vocabulary.units_of(texts)
-    rows = lattices.learn(names.to_pylist())
+    rows = lattices.rows(names)
     assert not sentencepiece_sampling.Arrivals.fits(lattices, rows, kinds, sizes, 3).any()  # so that paths come twice here
     seeds = np.arange(6000).astype(np.uint64)
     found = sentencepiece_sampling.Arrivals(lattices, names, rows, kinds, sizes, seeds).samples(3)
@@ -446,13 +446,18 @@ def test_only_units_that_leave_their_likely_path_are_walked(monkeypatch):
 def test_units_of_many_texts():
     lattices = sentencepiece_sampling.Lattices(sentencepiece_sampling.Vocabulary(PIECES))
     draw = random.Random(3)
+    inside = {a + b for piece in lattices.vocabulary.ids for a, b in itertools.pairwise(piece)}
+    assert lattices.vocabulary.units("ab, é") == ["▁ab", ",", "▁é"]
     some = ["", " ", "  ", "▁", "a", *("".join(draw.choices("ab  ▁\n漢é", k=draw.randint(0, 12))) for _ in range(300)), ""]
     for texts in (some, [], [""], ["", ""]):
         names, kinds, sizes = lattices.vocabulary.units_of(texts)
+        rows, again = lattices.rows(names), lattices.rows(names[::-1])
         names, ends = names.to_pylist(), np.cumsum(sizes)
         units = [[names[k] for k in kinds[e - s : e]] for e, s in zip(ends, sizes, strict=True)]
         assert units == [lattices.vocabulary.units(t) for t in texts]
-        rows = lattices.learn(names)
+        assert ["".join(u) for u in units] == ["▁" + t.replace(" ", "▁") if t else "" for t in texts]
+        assert not {a[-1] + b[0] for u in units for a, b in itertools.pairwise(u)} & inside  # no piece reaches across
+        assert rows.tolist() == again.tolist()[::-1]
         assert lattices.paths.start[rows].tolist() == [lattices.starts[u] for u in names]
         for n in rows.tolist():
             path = lattices.paths
