@@ -1,4 +1,4 @@
-"""Distinct sampled segmentations by perturbed search over the lattice of a SentencePiece vocabulary."""
+"""Distinct sampled segmentations, as paths arrive or by perturbed search over the lattice of a SentencePiece vocabulary."""
 
 from __future__ import annotations
 
