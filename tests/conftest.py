@@ -1,3 +1,4 @@
+import importlib
 import os
 import sys
 from pathlib import Path
@@ -44,3 +45,10 @@ def boats_csv(tmp_path):
     path = tmp_path / "boats.csv"
     path.write_text("hull,title,harbour\n17,Petrel,Bergen\n23,Tern,Bergen\n31,Heron,Cork\n")
     return str(path)
+
+
+@pytest.fixture(autouse=True)
+def own_presets(monkeypatch):
+    """Presets that a test registers are gone after it."""
+    presets = importlib.import_module("sluiceway.sources.presets")
+    monkeypatch.setattr(presets, "_registered", dict(presets._registered))
